@@ -4,13 +4,13 @@ Keeps, per key, the first row in ``order_by`` order (ascending, nulls
 first), breaking ties by the remaining columns so the result is
 deterministic. Two plans:
 
-``aggregate`` (default)
-    ``min(struct(order..., rest...))`` per key: an aggregate, so copies of a
-    hot key are combined map-side before the shuffle and no group is ever
-    collected into one task.
-``window``
-    ``row_number() over (partition by key order by ...) = 1``; Spark adds a
-    partial window-group limit before the shuffle for this filter.
+``window`` (default)
+    ``row_number() over (partition by key order by ...) = 1``. Spark plans a
+    partial ``WindowGroupLimit`` before the shuffle, so each map task sends
+    at most one row per key: copies of a hot key never reach one task.
+``aggregate``
+    ``min(struct(order..., rest...))`` per key: a (sort-based) aggregate
+    with the same map-side combine.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def keep_first(
     df: DataFrame,
     keys: list[str] | str,
     order_by: list[str] | str,
-    strategy: str = "aggregate",
+    strategy: str = "window",
 ) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)

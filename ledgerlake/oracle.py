@@ -242,7 +242,7 @@ SELECT count(*) AS received, count_if(route = 'unparseable') AS unparseable, cou
     "partition_distribution": ROUTED + "\nSELECT year, month, day, count(*) AS row_count FROM routed"
     " WHERE route = 'valid' GROUP BY year, month, day",
     "dedup_first": LINEITEM_DEDUP,
-    "dedup_first_window": LINEITEM_DEDUP,
+    "dedup_first_aggregate": LINEITEM_DEDUP,
     "standardize_types": "WITH " + ",".join([PAYMENTS, PARSED]) + """
 SELECT transaction_id, TRY_CAST(amount AS DECIMAL(18,2)) AS amount, event_time, TRY_CAST(mcc AS INTEGER) AS mcc,
        upper(trim(currency)) AS currency FROM parsed WHERE event_time IS NOT NULL""",

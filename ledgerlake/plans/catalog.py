@@ -201,9 +201,9 @@ def q_dedup_first(spark, sf):
     return keep_first(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
-def q_dedup_first_window(spark, sf):
+def q_dedup_first_aggregate(spark, sf):
     return keep_first(
-        read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"], strategy="window"
+        read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"], strategy="aggregate"
     )
 
 
@@ -392,7 +392,7 @@ QUERIES = {
     "batch_counts": q_batch_counts,
     "partition_distribution": q_partition_distribution,
     "dedup_first": q_dedup_first,
-    "dedup_first_window": q_dedup_first_window,
+    "dedup_first_aggregate": q_dedup_first_aggregate,
     "standardize_types": q_standardize_types,
     "clean_strings": q_clean_strings,
     "drop_critical_nulls": q_drop_critical_nulls,

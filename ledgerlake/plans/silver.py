@@ -11,7 +11,7 @@ from ledgerlake.sinks.parquet import write_partitioned
 from ledgerlake.sources.tables import read_partitioned
 
 
-def silver_transform(bronze: DataFrame, dedup_strategy: str = "aggregate") -> DataFrame:
+def silver_transform(bronze: DataFrame, dedup_strategy: str = "window") -> DataFrame:
     """The Silver plan, in the surveyed order.
 
     Dedup runs before the critical-null drop, so a transaction whose first
@@ -32,7 +32,7 @@ def run_silver(
     month: int | None = None,
     day: int | None = None,
     mode: str = "overwrite",
-    dedup_strategy: str = "aggregate",
+    dedup_strategy: str = "window",
 ) -> None:
     """Refine one day (or everything) of Bronze into Silver.
 
