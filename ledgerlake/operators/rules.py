@@ -62,6 +62,11 @@ class WindowRule(Rule):
     ``aggregates`` maps a name to an aggregate expression that Spark can
     combine map-side; ``predicate`` gets a lookup from those names to
     columns. Rows with a null card or event time are never flagged.
+
+    ``grouped_aggregates`` / ``grouped_predicate`` optionally give an
+    equivalent form for ``groupBy`` plans only (e.g. a distinct count,
+    which Spark plans as hash aggregates but allows neither over windows
+    nor in streaming state).
     """
 
     flag: str
@@ -69,8 +74,16 @@ class WindowRule(Rule):
     duration: str
     aggregates: Callable[[], dict[str, Column]]
     predicate: Callable[[Callable[[str], Column]], Column]
+    grouped_aggregates: Callable[[], dict[str, Column]] | None = None
+    grouped_predicate: Callable[[Callable[[str], Column]], Column] | None = None
     windowed: bool = True
 
+    def group_form(self):
+        """(aggregates, predicate) to use under ``groupBy``."""
+        if self.grouped_aggregates is None:
+            return self.aggregates, self.predicate
+        return self.grouped_aggregates, self.grouped_predicate
+
 
 def _declined_indicator() -> Column:
     return F.when(F.col("auth_result") == F.lit(C.DECLINED), F.lit(1)).otherwise(F.lit(0))
@@ -90,8 +103,10 @@ def high_velocity_rule(max_txn: int = C.VELOCITY_MAX_TXN, duration: str = C.VELO
 def cross_border_rule(duration: str = C.CROSS_BORDER_WINDOW) -> WindowRule:
     """More than one distinct country for one card in one bucket.
 
-    Two distinct non-null values exist exactly when min <> max, which unlike
-    a distinct count merges map-side and is allowed over windows and streams.
+    Grouped plans use the distinct count (hash aggregates keyed by country,
+    no sort). Over windows and in streaming state, where a distinct count is
+    not allowed, the equivalent test is min <> max: two distinct non-null
+    values exist exactly when they differ.
     """
     return WindowRule(
         "is_cross_border",
@@ -99,6 +114,8 @@ def cross_border_rule(duration: str = C.CROSS_BORDER_WINDOW) -> WindowRule:
         duration,
         lambda: {"country_min": F.min("country"), "country_max": F.max("country")},
         lambda a: a("country_min") != a("country_max"),
+        lambda: {"country_count": F.count_distinct("country")},
+        lambda a: a("country_count") > F.lit(1),
     )
 
 

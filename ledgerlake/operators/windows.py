@@ -61,14 +61,19 @@ def _group_by_duration(rules) -> "OrderedDict[int, list]":
     return groups
 
 
-def _named_aggs(rules) -> dict[str, Column]:
+def _named_aggs(rules, grouped: bool = False) -> dict[str, Column]:
     out: dict[str, Column] = {}
     for r in rules:
-        for name, agg in r.aggregates().items():
+        aggs = r.group_form()[0] if grouped else r.aggregates
+        for name, agg in aggs().items():
             out[f"_wa_{r.flag}_{name}"] = agg
     return out
 
 
+def _predicate(rule, grouped: bool = False):
+    return rule.group_form()[1] if grouped else rule.predicate
+
+
 def flag_windows(
     df: DataFrame,
     rules,
@@ -96,10 +101,10 @@ def flag_windows(
             df = df.drop(bkt)
             continue
 
-        aggs = _named_aggs(group)
+        aggs = _named_aggs(group, grouped=True)
         fired = {
             f"_wf_{r.flag}": F.coalesce(
-                r.predicate(lambda n, r=r: F.col(f"_wa_{r.flag}_{n}")), F.lit(False)
+                _predicate(r, True)(lambda n, r=r: F.col(f"_wa_{r.flag}_{n}")), F.lit(False)
             )
             for r in group
         }
@@ -138,14 +143,15 @@ def window_groups(
     """
     from ledgerlake.functions import bucket_end
 
-    aggs = rule.aggregates()
+    agg_fn, predicate = rule.group_form()
+    aggs = agg_fn()
     start = bucket_start(time_col, rule.duration)
     grouped = (
         df.filter(F.col(card_col).isNotNull() & F.col(time_col).isNotNull())
         .groupBy(F.col(card_col).alias("card_hash"), start.alias("window_start"))
         .agg(*[a.alias(n) for n, a in aggs.items()])
     )
-    return grouped.filter(F.coalesce(rule.predicate(F.col), F.lit(False))).select(
+    return grouped.filter(F.coalesce(predicate(F.col), F.lit(False))).select(
         "card_hash",
         "window_start",
         bucket_end(F.col("window_start"), rule.duration).alias("window_end"),

@@ -217,9 +217,7 @@ ORACLE_SQL = {
     "rule_decline_rate": ROUTED + "\nSELECT transaction_id, card_hash, event_time, is_high_decline_rate FROM routed"
     " WHERE event_time IS NOT NULL",
     "velocity_windows": _windows("count(*) AS velocity_count", "count(*) > 5"),
-    "cross_border_windows": _windows(
-        "min(country) AS country_min, max(country) AS country_max", "min(country) <> max(country)"
-    ),
+    "cross_border_windows": _windows("count(DISTINCT country) AS country_count", "count(DISTINCT country) > 1"),
     "decline_rate_windows": _windows(
         "count(*) AS total_txn, CAST(sum(CASE WHEN auth_result = 'DECLINED' THEN 1 ELSE 0 END) AS BIGINT)"
         " AS declined_txn",

@@ -139,3 +139,20 @@ def test_gold_tables_and_jdbc(spark, tmp_dir):
     # merchant_id alone is not unique in dim_merchant
     dm = dim_merchant(silver_all(spark, SF))
     assert dm.count() > dm.select("merchant_id").distinct().count()
+
+
+def test_cli_file_transport_end_to_end(spark, tmp_dir):
+    from ledgerlake.cli import main
+    from ledgerlake.plans.catalog import payments
+    from ledgerlake.sinks.jdbc import read_jdbc
+    from ledgerlake.sources.fixtures import messages_from_payments
+
+    messages_from_payments(payments(spark, SF)).write.json(f"{tmp_dir}/inbox")
+    main(["bronze", "--transport", "file", "--inbox", f"{tmp_dir}/inbox", "--dead-letter-path", f"{tmp_dir}/dl",
+          "--bronze-path", f"{tmp_dir}/lake/bronze", "--checkpoint-path", f"{tmp_dir}/ckpt", "--available-now"])
+    main(["silver", "--bronze-path", f"{tmp_dir}/lake/bronze", "--silver-path", f"{tmp_dir}/lake/silver"])
+    url = "jdbc:derby:memory:cli_test;create=true"
+    main(["gold", "--silver-path", f"{tmp_dir}/lake/silver", "--jdbc-url", url])
+    assert spark.read.parquet(f"{tmp_dir}/lake/bronze").count() > 0
+    assert spark.read.json(f"{tmp_dir}/lake/dead_letter/batch_*").count() > 0  # unparseable timestamps
+    assert read_jdbc(spark, "fact_settlement_daily", url).count() > 0
