@@ -51,6 +51,7 @@ def _bronze(args) -> None:
         dead_letter_bootstrap=args.bootstrap,
         dead_letter_path=args.dead_letter_path,
         structural_path=root.rsplit("/", 1)[0] + "/dead_letter",
+        replay_safe=args.replay_safe,
     )
     query = start_bronze_stream(
         spark,
@@ -106,6 +107,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--checkpoint-path", required=True)
     b.add_argument("--trigger", default=DEFAULT_CONFIG.trigger_interval)
     b.add_argument("--available-now", action="store_true")
+    b.add_argument("--replay-safe", action="store_true", help="partition Bronze by batch id, overwrite on replay")
     b.add_argument("--null-policy", choices=["propagate", "quarantine"], default="propagate")
     b.add_argument("--window-strategy", choices=["auto", "join", "window"], default="auto")
     b.set_defaults(run=_bronze)

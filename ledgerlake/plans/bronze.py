@@ -14,6 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake import config as C
 from ledgerlake.config import DEFAULT_CONFIG, PipelineConfig
 from ledgerlake.operators.enrich import with_currency_check, with_event_time, with_partition_columns
 from ledgerlake.operators.routing import (
@@ -29,6 +30,8 @@ from ledgerlake.sinks.parquet import write_json, write_partitioned
 
 # Columns that are routing state, not Bronze data.
 ROUTING_COLUMNS = ("is_fraud", "is_invalid", "route")
+# Partition column of the replay-safe Bronze layout (dropped by Silver).
+BATCH_COLUMN = "bronze_batch"
 
 
 def enrich(payments: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -68,6 +71,10 @@ class BronzeTargets:
     dead_letter_bootstrap: str | None = None
     dead_letter_path: str | None = None  # folder when transport == "file"
     structural_path: str | None = None  # root of dead_letter/batch_<id> folders
+    # Replay-safe Bronze: partition by year/month/day/bronze_batch and
+    # overwrite dynamically, so a replayed micro-batch replaces its own files
+    # instead of appending them again.
+    replay_safe: bool = False
 
 
 def process_batch(
@@ -90,7 +97,14 @@ def process_batch(
         if counts["received"] == 0:
             return counts
         if counts["valid"]:
-            write_partitioned(bronze_rows(routed), targets.bronze_path, mode="append")
+            rows = bronze_rows(routed)
+            if targets.replay_safe:
+                rows = rows.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
+                write_partitioned(
+                    rows, targets.bronze_path, mode="overwrite", partition_by=C.PARTITION_COLUMNS + (BATCH_COLUMN,)
+                )
+            else:
+                write_partitioned(rows, targets.bronze_path, mode="append")
         if counts["dead_letter"]:
             write_messages(
                 dead_letter_messages(routed),

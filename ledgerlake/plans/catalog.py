@@ -264,8 +264,11 @@ def q_gold_jdbc_roundtrip(spark, sf):
 
 # ---------------------------------------- step 8/9: streams and checks
 def _write_messages(spark, sf, run):
+    """Stage the payments as transport messages, spread over several files
+    the way a topic is spread over partitions (fixture preparation)."""
     inbox = f"{run}/inbox"
-    messages_from_payments(payments(spark, sf)).write.mode("overwrite").json(inbox)
+    parts = max(1, spark.sparkContext.defaultParallelism)
+    messages_from_payments(payments(spark, sf)).repartition(parts).write.mode("overwrite").json(inbox)
     return inbox
 
 

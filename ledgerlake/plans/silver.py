@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.operators.dedup import keep_first
+from ledgerlake.plans.bronze import BATCH_COLUMN
 from ledgerlake.operators.enrich import with_partition_columns
 from ledgerlake.operators.refine import clean_strings, drop_critical_nulls, standardize_types
 from ledgerlake.sinks.parquet import write_partitioned
@@ -17,7 +18,7 @@ def silver_transform(bronze: DataFrame, dedup_strategy: str = "window") -> DataF
     Dedup runs before the critical-null drop, so a transaction whose first
     copy has a critical null is dropped entirely (reproduced on purpose).
     """
-    df = with_partition_columns(bronze)
+    df = with_partition_columns(bronze.drop(BATCH_COLUMN))
     df = keep_first(df, "transaction_id", "event_time", strategy=dedup_strategy)
     df = standardize_types(df)
     df = drop_critical_nulls(df)

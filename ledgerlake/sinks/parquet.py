@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame
 from ledgerlake.config import PARTITION_COLUMNS
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str = "append") -> None:
+def write_partitioned(
+    df: DataFrame, path: str, mode: str = "append", partition_by: tuple[str, ...] = PARTITION_COLUMNS
+) -> None:
     """Write a year/month/day-partitioned Parquet table.
 
     ``mode="overwrite"`` uses dynamic partition overwrite (passed as a write
@@ -16,7 +18,7 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "append") -> None:
     Rows are sorted by the partition keys inside each task so every task
     keeps one open file at a time.
     """
-    writer = df.sortWithinPartitions(*PARTITION_COLUMNS).write.partitionBy(*PARTITION_COLUMNS)
+    writer = df.sortWithinPartitions(*partition_by).write.partitionBy(*partition_by)
     if mode == "overwrite":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     elif mode == "append":

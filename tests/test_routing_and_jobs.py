@@ -156,3 +156,18 @@ def test_cli_file_transport_end_to_end(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/lake/bronze").count() > 0
     assert spark.read.json(f"{tmp_dir}/lake/dead_letter/batch_*").count() > 0  # unparseable timestamps
     assert read_jdbc(spark, "fact_settlement_daily", url).count() > 0
+
+
+def test_replay_safe_bronze(spark, tmp_dir):
+    from ledgerlake.plans.catalog import payments
+
+    targets = BronzeTargets(bronze_path=f"{tmp_dir}/bronze", dead_letter_transport="file",
+                            dead_letter_path=f"{tmp_dir}/dl", replay_safe=True)
+    p = payments(spark, SF)
+    c = process_batch(p, 3, targets, FIXTURE_CONFIG)
+    process_batch(p, 3, targets, FIXTURE_CONFIG)  # replay of batch 3
+    bronze = spark.read.parquet(targets.bronze_path)
+    assert bronze.count() == c["valid"] and "bronze_batch" in bronze.columns
+    assert "bronze_batch" not in silver_transform(bronze).columns
+    process_batch(p, 4, targets, FIXTURE_CONFIG)  # a new batch appends
+    assert spark.read.parquet(targets.bronze_path).count() == 2 * c["valid"]
