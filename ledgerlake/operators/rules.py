@@ -163,6 +163,7 @@ class FraudDetector:
         composites: bool = True,
         card_col: str = "card_hash",
         time_col: str = "event_time",
+        cache: list | None = None,
     ):
         flags = [r.flag for r in rules]
         if len(set(flags)) != len(flags):
@@ -174,6 +175,7 @@ class FraudDetector:
         self.composites = composites
         self.card_col = card_col
         self.time_col = time_col
+        self.cache = cache
 
     @classmethod
     def from_config(cls, cfg: C.PipelineConfig = C.DEFAULT_CONFIG, **kw) -> "FraudDetector":
@@ -189,7 +191,7 @@ class FraudDetector:
             df = df.withColumns({r.flag: r.expr() for r in row_rules})
         win_rules = [r for r in self.rules if r.windowed]
         if win_rules:
-            df = flag_windows(df, win_rules, self.strategy, self.card_col, self.time_col)
+            df = flag_windows(df, win_rules, self.strategy, self.card_col, self.time_col, self.cache)
         if self.composites:
             flags = [F.col(r.flag) for r in self.rules]
             df = df.withColumns(

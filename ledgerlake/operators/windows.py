@@ -80,7 +80,15 @@ def flag_windows(
     strategy: str = "auto",
     card_col: str = "card_hash",
     time_col: str = "event_time",
+    cache: list | None = None,
 ) -> DataFrame:
+    """Add one boolean column per rule.
+
+    ``cache``: when given (a batch that owns its lifecycle), the firing-group
+    aggregate of ``auto``/``broadcast`` is persisted once, sized with a full
+    count and reused by the join whichever form it takes; the caller
+    unpersists every frame appended to the list.
+    """
     if strategy not in ("auto", "join", "window", "broadcast"):
         raise ValueError(f"unknown window strategy {strategy!r}")
     card, ts = F.col(card_col), F.col(time_col)
@@ -117,7 +125,14 @@ def flag_windows(
         )
         if strategy in ("auto", "broadcast"):
             limit = broadcast_row_limit(df)
-            small = limit > 0 and per_group.limit(limit + 1).count() <= limit
+            if cache is not None:
+                from pyspark import StorageLevel
+
+                per_group = per_group.persist(StorageLevel.MEMORY_AND_DISK)
+                cache.append(per_group)
+                small = limit > 0 and per_group.count() <= limit
+            else:
+                small = limit > 0 and per_group.limit(limit + 1).count() <= limit
             if small:
                 per_group = F.broadcast(per_group)
         joined = df.join(

@@ -34,12 +34,16 @@ ROUTING_COLUMNS = ("is_fraud", "is_invalid", "route")
 BATCH_COLUMN = "bronze_batch"
 
 
-def enrich(payments: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Parse, partition columns, currency check, rules, route label."""
+def enrich(payments: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, cache: list | None = None) -> DataFrame:
+    """Parse, partition columns, currency check, rules, route label.
+
+    ``cache`` (optional list) collects intermediate frames persisted for the
+    caller's batch; the caller unpersists them.
+    """
     df = with_event_time(payments, cfg.ts_format)
     df = with_partition_columns(df)
     df = with_currency_check(df, cfg.valid_currencies)
-    df = FraudDetector.from_config(cfg).apply(df)
+    df = FraudDetector.from_config(cfg, cache=cache).apply(df)
     return with_route(df, cfg.null_policy)
 
 
@@ -89,9 +93,10 @@ def process_batch(
     and without structural output) writes nothing.
     """
     source = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    held: list = []
     routed = None
     try:
-        routed = enrich(source, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        routed = enrich(source, cfg, cache=held).persist(StorageLevel.MEMORY_AND_DISK)
         counts = batch_counts(routed).first().asDict()
         counts["batch_id"] = batch_id
         if counts["received"] == 0:
@@ -125,4 +130,6 @@ def process_batch(
     finally:
         if routed is not None:
             routed.unpersist()
+        for frame in held:
+            frame.unpersist()
         source.unpersist()
