@@ -86,12 +86,23 @@ def process_batch(
     batch_id: int,
     targets: BronzeTargets,
     cfg: PipelineConfig = DEFAULT_CONFIG,
+    min_partitions: int | None = None,
 ) -> dict:
     """Route one batch to Bronze, the dead letter and the structural dead letter.
 
     Returns the batch counts. An empty batch (or one without parseable rows
     and without structural output) writes nothing.
+
+    A batch with fewer partitions than ``min_partitions`` (default: the
+    cluster's default parallelism) -- e.g. a topic with a handful of
+    partitions -- is spread round-robin before it is persisted, so the rules
+    and every sink run on all executors; a batch with enough partitions is
+    left as it is.
     """
+    spark = batch.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if batch.rdd.getNumPartitions() < want:
+        batch = batch.repartition(want)
     source = batch.persist(StorageLevel.MEMORY_AND_DISK)
     held: list = []
     routed = None

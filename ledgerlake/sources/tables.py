@@ -33,9 +33,23 @@ def read_partitioned(
 ) -> DataFrame:
     """Read a year/month/day-partitioned Parquet table, optionally one day.
 
-    The root is read and filtered, so the day is pruned at planning time
-    (``PartitionFilters`` in the scan) and the partition columns are kept.
+    For one day only that day's folder is listed (read with ``basePath``, so
+    year/month/day stay columns) instead of discovering every partition of
+    the table; the partition filter is applied as well, so the scan shows
+    ``PartitionFilters``. A day without a folder reads the root and yields
+    no rows.
     """
-    df = spark.read.parquet(root)
     cond = partition_filter(year, month, day)
-    return df if cond is None else df.filter(cond)
+    if cond is None:
+        return spark.read.parquet(root)
+    leaf = f"{root.rstrip('/')}/year={int(year)}/month={int(month)}/day={int(day)}"
+    if _exists(spark, leaf):
+        return spark.read.option("basePath", root).parquet(leaf).filter(cond)
+    return spark.read.parquet(root).filter(cond)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the cluster's Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
