@@ -9,7 +9,7 @@ the rows is chosen in :mod:`ledgerlake.operators.windows`.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -44,8 +44,25 @@ def high_amount_rule(threshold: float = C.HIGH_AMOUNT_THRESHOLD) -> RowRule:
     return RowRule("is_high_amount", C.REASON_HIGH_AMOUNT, lambda: F.col("amount") > F.lit(threshold))
 
 
-def blacklisted_merchant_rule(merchants=C.BLACKLISTED_MERCHANTS) -> RowRule:
-    """merchant_id in the list (null merchant -> null)."""
+@dataclass(frozen=True)
+class LookupRule(Rule):
+    """``column`` is one of the values of a table (see ``operators.lookup``)."""
+
+    flag: str
+    reason: str
+    column: str
+    values: DataFrame = field(compare=False, hash=False)
+    lookup: bool = True
+
+
+def blacklisted_merchant_rule(merchants=C.BLACKLISTED_MERCHANTS) -> Rule:
+    """merchant_id in the blacklist (null merchant -> null).
+
+    A list becomes an ``isin``; a DataFrame (first column = merchant ids,
+    for blacklists too large to inline) becomes a checked-size lookup join.
+    """
+    if isinstance(merchants, DataFrame):
+        return LookupRule("is_blacklisted", C.REASON_BLACKLISTED, "merchant_id", merchants)
     values = sorted(set(merchants))
     return RowRule("is_blacklisted", C.REASON_BLACKLISTED, lambda: F.col("merchant_id").isin(values))
 
@@ -186,9 +203,14 @@ class FraudDetector:
 
         if "country" not in df.columns:
             df = df.withColumn("country", country_of("location"))
-        row_rules = [r for r in self.rules if not r.windowed]
+        row_rules = [r for r in self.rules if isinstance(r, RowRule)]
         if row_rules:
             df = df.withColumns({r.flag: r.expr() for r in row_rules})
+        for r in self.rules:
+            if isinstance(r, LookupRule):
+                from ledgerlake.operators.lookup import flag_membership
+
+                df = flag_membership(df, r.column, r.values, r.flag)
         win_rules = [r for r in self.rules if r.windowed]
         if win_rules:
             df = flag_windows(df, win_rules, self.strategy, self.card_col, self.time_col, self.cache)

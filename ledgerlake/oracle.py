@@ -207,6 +207,8 @@ ORACLE_SQL = {
     "rule_high_amount": f"WITH {PAYMENTS}\nSELECT transaction_id, amount, amount > 10000.0 AS is_high_amount FROM payments",
     "rule_blacklist": f"WITH {PAYMENTS}\nSELECT transaction_id, merchant_id,"
     " merchant_id IN ('M11', 'M22') AS is_blacklisted FROM payments",
+    "rule_blacklist_table": f"WITH {PAYMENTS}\nSELECT transaction_id, merchant_id,"
+    " merchant_id IN ('M11', 'M22') AS is_blacklisted FROM payments",
     "rule_declined": f"WITH {PAYMENTS}\nSELECT transaction_id, auth_result,"
     " auth_result = 'DECLINED' AS is_bank_declined FROM payments",
     "fraud_verdict": ROUTED + f"\nSELECT transaction_id, {FLAGS}, fraud_reasons, is_fraud FROM routed",

@@ -106,6 +106,14 @@ def q_rule_blacklist(spark, sf):
     )
 
 
+def q_rule_blacklist_table(spark, sf):
+    """Blacklist given as a table: checked-size broadcast lookup join."""
+    table = spark.createDataFrame([(m,) for m in FX.blacklisted_merchants], "merchant_id string")
+    return RU.blacklisted_merchant_rule(table).apply(payments(spark, sf)).select(
+        "transaction_id", "merchant_id", "is_blacklisted"
+    )
+
+
 def q_rule_declined(spark, sf):
     return RU.bank_declined_rule().apply(payments(spark, sf)).select(
         "transaction_id", "auth_result", "is_bank_declined"
@@ -377,6 +385,7 @@ QUERIES = {
     "currency_validity": q_currency_validity,
     "rule_high_amount": q_rule_high_amount,
     "rule_blacklist": q_rule_blacklist,
+    "rule_blacklist_table": q_rule_blacklist_table,
     "rule_declined": q_rule_declined,
     "fraud_verdict": q_fraud_verdict,
     "rule_velocity": q_rule_velocity,

@@ -59,20 +59,29 @@ def start_card_alerts(
     *,
     watermark: str = "1 hour",
     available_now: bool = False,
+    state_store: str | None = None,
 ) -> list[StreamingQuery]:
-    """One query per window duration; returns the started queries."""
+    """One query per window duration; returns the started queries.
+
+    ``state_store="rocksdb"`` keeps the (card, window) state in RocksDB
+    instead of the executor heap (many cards, long watermarks). It applies
+    to new checkpoints only: the provider is recorded in the checkpoint.
+    """
+    if state_store == "rocksdb":
+        spark.conf.set(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
+    elif state_store is not None:
+        raise ValueError(f"unknown state store {state_store!r}")
     queries = []
     for i, group in enumerate(window_rule_groups(cfg)):
         updates = card_window_updates(decoded, group, cfg, watermark)
-        flags = [r.flag for r in group]
         target = f"{out_path}/group={i}"
 
-        def _batch(batch_df: DataFrame, batch_id: int, target=target, flags=flags) -> None:
-            (
-                batch_df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .write.mode("overwrite")
-                .parquet(f"{target}/batch_id={batch_id}")
-            )
+        def _batch(batch_df: DataFrame, batch_id: int, target=target) -> None:
+            # The folder name carries the batch id (a partition column on read).
+            batch_df.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
         writer = (
             updates.writeStream.outputMode("update")

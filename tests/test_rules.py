@@ -152,3 +152,13 @@ def test_broadcast_fallback_when_threshold_disabled(spark):
 def test_duplicate_flags_rejected():
     with pytest.raises(ValueError):
         FraudDetector([high_amount_rule(), high_amount_rule()])
+
+
+def test_blacklist_table_equals_list(spark, payments_df):
+    rows = [payment(tid="a", merchant="M11"), payment(tid="b", merchant=None), payment(tid="c", merchant="M3")]
+    df = payments_df(rows)
+    table = spark.createDataFrame([("M11",), ("M22",), ("M11",), (None,)], "merchant_id string")
+    by_table = flags(blacklisted_merchant_rule(table).apply(df), "is_blacklisted")
+    by_list = flags(blacklisted_merchant_rule(["M11", "M22"]).apply(df), "is_blacklisted")
+    assert by_table == by_list == {"a": True, "b": None, "c": False}
+    assert blacklisted_merchant_rule(table).apply(df).count() == 3  # no fan-out from duplicate keys

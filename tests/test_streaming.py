@@ -76,3 +76,18 @@ def test_card_alerts_accumulate_across_batches(spark, tmp_dir):
         q.awaitTermination()
     alerts = read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect()
     assert len(alerts) == 1 and alerts[0].is_high_velocity and alerts[0].alert_reasons == "VELOCITY"
+
+
+def test_card_alerts_with_rocksdb_state(spark, tmp_dir):
+    _write_messages(spark, six_in_a_minute("C7"), f"{tmp_dir}/inbox")
+    decoded = decode_payload(read_raw_stream(spark, "file", path=f"{tmp_dir}/inbox"), keep_raw=False)
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    try:
+        for q in start_card_alerts(spark, decoded, f"{tmp_dir}/alerts", f"{tmp_dir}/ckpt", DEFAULT_CONFIG,
+                                   available_now=True, state_store="rocksdb"):
+            q.awaitTermination()
+            assert q.exception() is None
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    alerts = read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect()
+    assert [a.card_hash for a in alerts] == ["C7"]
