@@ -8,11 +8,17 @@ Strategies (same flags, different physical plans):
     the groups that fire, then left equi-join them back on (card, bucket).
     The join shuffles the rows; AQE's skew-join handling splits a hot
     (card, bucket) on the row side.
-``auto`` (default)
+``broadcast``
     As ``join``, but first counts the firing groups (bounded by
     ``limit + 1``). If their estimated size is within the session's
     broadcast threshold they are broadcast and the rows are never shuffled;
     otherwise the plan falls back to ``join``.
+``auto`` (default)
+    ``window`` when Catalyst's size estimate of the input is at most
+    ``spark.ledgerlake.windowRules.smallInputBytes`` (default 64 MB: one
+    small shuffle, no extra job, and no group can be large), else
+    ``broadcast``. Inputs without a size estimate (stream batches) take
+    ``broadcast``.
 ``window``
     Window aggregates over ``partitionBy(card, bucket)``: one shuffle per
     bucket duration, no join, but a hot (card, bucket) group is one task.
@@ -54,6 +60,28 @@ def broadcast_row_limit(df: DataFrame) -> int:
     return max(0, limit // EST_ROW_BYTES)
 
 
+SMALL_INPUT_CONF = "spark.ledgerlake.windowRules.smallInputBytes"
+SMALL_INPUT_DEFAULT = 64 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (no job runs), or None if unknown."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate available
+        return None
+    default = _bytes(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(1 << 62)), 1 << 62)
+    return None if size >= default else size
+
+
+def choose_strategy(df: DataFrame, strategy: str) -> str:
+    if strategy != "auto":
+        return strategy
+    small = _bytes(df.sparkSession.conf.get(SMALL_INPUT_CONF, str(SMALL_INPUT_DEFAULT)), SMALL_INPUT_DEFAULT)
+    size = estimated_bytes(df)
+    return "window" if size is not None and size <= small else "broadcast"
+
+
 def _group_by_duration(rules) -> "OrderedDict[int, list]":
     groups: OrderedDict[int, list] = OrderedDict()
     for r in rules:
@@ -91,6 +119,7 @@ def flag_windows(
     """
     if strategy not in ("auto", "join", "window", "broadcast"):
         raise ValueError(f"unknown window strategy {strategy!r}")
+    strategy = choose_strategy(df, strategy)
     card, ts = F.col(card_col), F.col(time_col)
     keyed_ok = card.isNotNull() & ts.isNotNull()
     for i, (_, group) in enumerate(_group_by_duration(rules).items()):
@@ -123,7 +152,7 @@ def flag_windows(
             .select("_wk_card", "_wk_bkt", *[c.alias(n) for n, c in fired.items()])
             .filter(" OR ".join(f"`{n}`" for n in fired))
         )
-        if strategy in ("auto", "broadcast"):
+        if strategy == "broadcast":
             limit = broadcast_row_limit(df)
             if cache is not None:
                 from pyspark import StorageLevel

@@ -20,7 +20,7 @@ def optimized_plan(df) -> str:
 
 
 def test_window_rules_partial_hash_aggregate_and_broadcast(spark):
-    df = enrich(payments(spark, SF), FIXTURE_CONFIG)  # auto
+    df = enrich(payments(spark, SF), FIXTURE_CONFIG.with_(window_strategy="broadcast"))
     p = optimized_plan(df)
     assert "SortAggregate" not in p
     assert "partial_count" in p  # map-side combine before the shuffle
@@ -55,3 +55,17 @@ def test_no_python_udf_in_pipeline(spark):
     df = enrich(payments(spark, SF), FIXTURE_CONFIG)
     p = plan(df)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_auto_is_cost_based(spark):
+    from ledgerlake.operators.windows import SMALL_INPUT_CONF, choose_strategy
+
+    p = payments(spark, SF)
+    assert choose_strategy(p, "auto") == "window"  # small estimate: one shuffle, no extra job
+    spark.conf.set(SMALL_INPUT_CONF, "0")
+    try:
+        assert choose_strategy(p, "auto") == "broadcast"
+        assert "BroadcastHashJoin" in optimized_plan(enrich(p, FIXTURE_CONFIG))
+    finally:
+        spark.conf.unset(SMALL_INPUT_CONF)
+    assert choose_strategy(p, "join") == "join"

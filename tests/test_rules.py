@@ -137,15 +137,16 @@ def test_broadcast_fallback_when_threshold_disabled(spark):
     p = payments(spark, "/root/testdata/sf0.001")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    cfg = FIXTURE_CONFIG.with_(window_strategy="broadcast")
     try:
-        df = enrich(p, FIXTURE_CONFIG)
+        df = enrich(p, cfg)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan
         n = df.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert n == p.count()
-    plan = enrich(p, FIXTURE_CONFIG)._jdf.queryExecution().executedPlan().toString()
+    plan = enrich(p, cfg)._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
 
 
