@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.config import PARTITION_COLUMNS
 from ledgerlake.operators.dedup import keep_first
 from ledgerlake.plans.bronze import BATCH_COLUMN
 from ledgerlake.operators.enrich import with_partition_columns
@@ -44,4 +45,10 @@ def run_silver(
     if bronze_path.rstrip("/") == silver_path.rstrip("/"):
         raise ValueError("Bronze and Silver paths must differ")
     bronze = read_partitioned(spark, bronze_path, year, month, day)
-    write_partitioned(silver_transform(bronze, dedup_strategy), silver_path, mode=mode)
+    silver = silver_transform(bronze, dedup_strategy)
+    if year is None:
+        # Many days: dedup left every task holding every day (one file per
+        # day per task). Range-partition by date, then id, so each task
+        # writes a contiguous date range and a hot day still spans tasks.
+        silver = silver.repartitionByRange(*PARTITION_COLUMNS, "transaction_id")
+    write_partitioned(silver, silver_path, mode=mode)

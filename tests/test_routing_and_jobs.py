@@ -171,3 +171,17 @@ def test_replay_safe_bronze(spark, tmp_dir):
     assert "bronze_batch" not in silver_transform(bronze).columns
     process_batch(p, 4, targets, FIXTURE_CONFIG)  # a new batch appends
     assert spark.read.parquet(targets.bronze_path).count() == 2 * c["valid"]
+
+
+def test_full_silver_rebuild_file_count(spark, tmp_dir):
+    import glob
+
+    from ledgerlake.plans.catalog import payments
+
+    targets = BronzeTargets(bronze_path=f"{tmp_dir}/bronze", dead_letter_transport="file", dead_letter_path=f"{tmp_dir}/dl")
+    process_batch(payments(spark, "/root/testdata/sf0.01"), 0, targets, FIXTURE_CONFIG)
+    run_silver(spark, targets.bronze_path, f"{tmp_dir}/silver")
+    days = spark.read.parquet(f"{tmp_dir}/silver").select("year", "month", "day").distinct().count()
+    files = glob.glob(f"{tmp_dir}/silver/year=*/month=*/day=*/*.parquet")
+    # range-partitioned by date: about one file per day, not one per day per task
+    assert len(files) <= days + int(spark.conf.get("spark.sql.shuffle.partitions"))
