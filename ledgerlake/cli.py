@@ -41,8 +41,20 @@ def _bronze(args) -> None:
         window_strategy=args.window_strategy,
         trigger_interval=args.trigger,
     )
+    options = {}
+    if args.transport == "kafka":
+        if args.max_offsets_per_trigger:
+            options["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
+        if args.min_partitions:
+            options["minPartitions"] = str(args.min_partitions)
     raw = read_raw_stream(
-        spark, args.transport, path=args.inbox, bootstrap=args.bootstrap, topic=args.topic
+        spark,
+        args.transport,
+        path=args.inbox,
+        bootstrap=args.bootstrap,
+        topic=args.topic,
+        max_files_per_trigger=args.max_files_per_trigger,
+        options=options,
     )
     root = args.bronze_path.rstrip("/")
     targets = BronzeTargets(
@@ -107,9 +119,12 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--checkpoint-path", required=True)
     b.add_argument("--trigger", default=DEFAULT_CONFIG.trigger_interval)
     b.add_argument("--available-now", action="store_true")
+    b.add_argument("--max-offsets-per-trigger", type=int, default=None, help="kafka: bound each micro-batch")
+    b.add_argument("--min-partitions", type=int, default=None, help="kafka: split topic partitions into more tasks")
+    b.add_argument("--max-files-per-trigger", type=int, default=None, help="file: bound each micro-batch")
     b.add_argument("--replay-safe", action="store_true", help="partition Bronze by batch id, overwrite on replay")
     b.add_argument("--null-policy", choices=["propagate", "quarantine"], default="propagate")
-    b.add_argument("--window-strategy", choices=["auto", "join", "window"], default="auto")
+    b.add_argument("--window-strategy", choices=["auto", "broadcast", "join", "window"], default="auto")
     b.set_defaults(run=_bronze)
 
     s = sub.add_parser("silver", help="refine Bronze into Silver")

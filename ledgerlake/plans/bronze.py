@@ -79,6 +79,11 @@ class BronzeTargets:
     # overwrite dynamically, so a replayed micro-batch replaces its own files
     # instead of appending them again.
     replay_safe: bool = False
+    # Rows per Bronze write task: the valid rows are coalesced (no shuffle;
+    # they are read from the batch cache) to ceil(rows / rows_per_task)
+    # tasks, so a small batch does not leave one small file per day per
+    # input task. Message sinks write one file per task and keep their tasks.
+    rows_per_task: int = 1_000_000
 
 
 def process_batch(
@@ -112,8 +117,11 @@ def process_batch(
         counts["batch_id"] = batch_id
         if counts["received"] == 0:
             return counts
+        def sized(df: DataFrame, rows: int) -> DataFrame:
+            return df.coalesce(max(1, -(-rows // max(1, targets.rows_per_task))))
+
         if counts["valid"]:
-            rows = bronze_rows(routed)
+            rows = sized(bronze_rows(routed), counts["valid"])
             if targets.replay_safe:
                 rows = rows.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
                 write_partitioned(
