@@ -138,13 +138,19 @@ SILVER_FROM_BRONZE = ROUTED + "," + f"""
 bronze AS (SELECT {SILVER_COLS} FROM routed WHERE route = 'valid')""" + "," + _silver("bronze")
 
 DATE_KEY = "CAST(strftime(event_time, '%Y%m%d') AS INTEGER)"
-GOLD = SILVER_ALL + f""",
+
+
+def _gold(where: str = "") -> str:
+    return SILVER_ALL + f""",
 gold AS (
   SELECT *, amount > 10000.0 AS is_high_amount, merchant_id IN ('M11', 'M22') AS is_blacklisted,
          false AS is_high_velocity, false AS is_cross_border, {DATE_KEY} AS date_key
-  FROM silver
+  FROM silver {where}
 )"""
 
+
+GOLD = _gold()
+
 # avg(decimal(18,2)) as Spark computes it: decimal(22,6), rounded half up.
 EXACT_AVG = (
     "CAST(CAST((CAST(sum(amount) * 100 AS HUGEINT) * 20000 + count(*)) // (2 * count(*)) AS DECIMAL(22,0))"
@@ -196,6 +202,9 @@ SELECT * EXCLUDE (rn) FROM (
   FROM lineitem
 ) WHERE rn = 1"""
 
+# The day of the day-scoped queries (catalog.CHECK_DAY).
+CHECK_DAY = "year = 2024 AND month = 1 AND day = 15"
+
 ORACLE_SQL = {
     "parse_event_time": "WITH " + ",".join([PAYMENTS, PARSED])
     + "\nSELECT transaction_id, ts_event, event_time, year, month, day FROM parsed WHERE event_time IS NOT NULL",
@@ -279,4 +288,13 @@ SELECT CAST(2024 AS INTEGER) AS year, CAST(1 AS INTEGER) AS month, CAST(15 AS IN
        count(*) > 0 AS present, count(*) AS row_count
 FROM gold WHERE year = 2024 AND month = 1 AND day = 15""",
     "stream_card_alerts": ALERTS,
+    "silver_day": SILVER_FROM_BRONZE + f"\nSELECT {SILVER_COLS} FROM silver WHERE {CHECK_DAY}",
+    "settlement_day": _gold(f"WHERE {CHECK_DAY}") + SETTLEMENT,
+    "gold_job": GOLD + """
+SELECT 'dim_date' AS table_name, count(DISTINCT CAST(event_time AS DATE)) AS row_count FROM gold
+UNION ALL SELECT 'dim_card', count(*) FROM (SELECT DISTINCT card_hash FROM gold)
+UNION ALL SELECT 'dim_merchant', count(*) FROM (SELECT DISTINCT merchant_id, mcc, country FROM gold)
+UNION ALL SELECT 'fact_transactions', count(*) FROM gold
+UNION ALL SELECT 'fact_settlement_daily', count(*) FROM (SELECT DISTINCT date_key, merchant_id FROM gold)
+UNION ALL SELECT 'fact_fraud_signals', count(*) FROM gold WHERE is_high_amount OR is_blacklisted""",
 }

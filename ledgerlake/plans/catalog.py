@@ -363,6 +363,61 @@ def q_silver_job_idempotent(spark, sf):
     return read_partitioned(spark, f"{run}/silver").select(*SILVER_COLUMNS)
 
 
+# The day used by the day-scoped queries (partition-scoped reads).
+CHECK_DAY = (2024, 1, 15)
+
+
+def q_silver_day(spark, sf):
+    """Bronze written from every payment, then the Silver job for one day:
+    only that day's Bronze folder is listed and read (SRC3), and only that
+    day's Silver partition is written."""
+    from ledgerlake.plans.silver import run_silver
+
+    run = new_run_dir(spark, "silver_day")
+    targets = BronzeTargets(bronze_path=f"{run}/bronze", dead_letter_transport="file", dead_letter_path=f"{run}/dl")
+    process_batch(payments(spark, sf), 0, targets, FX)
+    run_silver(spark, targets.bronze_path, f"{run}/silver", *CHECK_DAY)
+    return read_partitioned(spark, f"{run}/silver").select(*SILVER_COLUMNS)
+
+
+def q_settlement_day(spark, sf):
+    """Silver written for every day; the settlement fact of one day read
+    through a partition-scoped Silver read (SRC4)."""
+    from ledgerlake.sinks.parquet import write_partitioned
+
+    run = new_run_dir(spark, "settlement_day")
+    write_partitioned(silver_all(spark, sf), f"{run}/silver", mode="overwrite")
+    day = read_partitioned(spark, f"{run}/silver", *CHECK_DAY)
+    return G.fact_settlement_daily(day)
+
+
+def q_gold_job(spark, sf):
+    """The Gold job end to end: Silver on disk -> six tables through the JDBC
+    sink -> one row per table with the row count read back. Uses an embedded
+    in-memory Derby database in the driver JVM (no port); production points
+    the same job at Postgres."""
+    import uuid
+    from functools import reduce
+
+    from ledgerlake.plans.gold import run_gold
+    from ledgerlake.sinks.jdbc import read_jdbc
+    from ledgerlake.sinks.parquet import write_partitioned
+
+    run = new_run_dir(spark, "gold")
+    write_partitioned(silver_all(spark, sf), f"{run}/silver", mode="overwrite")
+    url = f"jdbc:derby:memory:ledgerlake_{uuid.uuid4().hex[:8]};create=true"
+    written = run_gold(
+        spark, f"{run}/silver", url, threshold=FX.amount_threshold, blacklist=FX.blacklisted_merchants, num_partitions=4
+    )
+    counts = [
+        read_jdbc(spark, name, url)
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "row_count")
+        for name in written
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def q_stream_card_alerts(spark, sf):
     from ledgerlake.sources.transport import decode_payload, read_raw_stream
     from ledgerlake.streaming.alerts import read_card_alerts, start_card_alerts
@@ -410,12 +465,15 @@ QUERIES = {
     "drop_critical_nulls": q_drop_critical_nulls,
     "silver": q_silver,
     "silver_job_idempotent": q_silver_job_idempotent,
+    "silver_day": q_silver_day,
     "dim_date": q_dim_date,
     "dim_card": q_dim_card,
     "dim_merchant": q_dim_merchant,
     "fact_transactions": q_fact_transactions,
     "fact_fraud_signals": q_fact_fraud_signals,
     "gold_jdbc_roundtrip": q_gold_jdbc_roundtrip,
+    "gold_job": q_gold_job,
+    "settlement_day": q_settlement_day,
     "stream_bronze": q_stream_bronze,
     "stream_dead_letter": q_stream_dead_letter,
     "stream_unparseable": q_stream_unparseable,
