@@ -3,8 +3,9 @@
 A literal ``isin`` ships the whole list inside every task's code; a table of
 values is joined instead. The distinct keys are counted first (bounded by
 ``limit + 1``): under the session broadcast threshold they are broadcast and
-the rows are not shuffled, above it a shuffle join is planned. Distinct keys
-mean the left join never fans out.
+the rows are not shuffled, above it a shuffle join is planned in which AQE
+can split a hot value's partition. Distinct keys mean the left join never
+fans out.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.windows import broadcast_row_limit
+from ledgerlake.operators.windows import broadcast_row_limit, shuffle_side
 
 
 def flag_membership(df: DataFrame, column: str, values: DataFrame, flag: str) -> DataFrame:
@@ -25,6 +26,8 @@ def flag_membership(df: DataFrame, column: str, values: DataFrame, flag: str) ->
     limit = broadcast_row_limit(df)
     if limit > 0 and keys.limit(limit + 1).count() <= limit:
         keys = F.broadcast(keys)
+    else:
+        keys = shuffle_side(keys)  # lets AQE split a hot value on the row side
     hits = keys.withColumn("_lk_hit", F.lit(True))
     joined = df.join(hits, F.col(column) == F.col("_lk_key"), "left")
     return joined.withColumn(

@@ -6,8 +6,9 @@ Strategies (same flags, different physical plans):
     Aggregate per (card, bucket) -- partial aggregation combines a hot card
     map-side, so the shuffle carries one row per group and task -- keep only
     the groups that fire, then left equi-join them back on (card, bucket).
-    The join shuffles the rows; AQE's skew-join handling splits a hot
-    (card, bucket) on the row side.
+    The join shuffles the rows; the firing groups get a shuffle of their own
+    (see :func:`shuffle_side`) so that AQE's skew-join handling can split a
+    hot (card, bucket) on the row side.
 ``broadcast``
     As ``join``, but first counts the firing groups (bounded by
     ``limit + 1``). If their estimated size is within the session's
@@ -74,6 +75,18 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return None if size >= default else size
 
 
+def shuffle_side(small: DataFrame) -> DataFrame:
+    """Give an aggregated join side its own shuffle for the join.
+
+    Without it the join reuses the aggregate's exchange (the aggregate is
+    already hash-partitioned on the join keys), and AQE's skew-join rule,
+    which needs both join inputs to be plain shuffle stages, cannot split a
+    hot key's partition on the row side. The ``rebalance`` shuffle moves
+    only the (small) aggregated rows and AQE coalesces its partitions.
+    """
+    return small.hint("rebalance")
+
+
 def choose_strategy(df: DataFrame, strategy: str) -> str:
     if strategy != "auto":
         return strategy
@@ -164,6 +177,10 @@ def flag_windows(
                 small = limit > 0 and per_group.limit(limit + 1).count() <= limit
             if small:
                 per_group = F.broadcast(per_group)
+            else:
+                per_group = shuffle_side(per_group)
+        else:
+            per_group = shuffle_side(per_group)
         joined = df.join(
             per_group,
             (F.col(card_col) == F.col("_wk_card")) & (F.col(bkt) == F.col("_wk_bkt")),
