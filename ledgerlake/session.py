@@ -2,8 +2,9 @@
 
 The library never creates a session or sets a master. Jobs that must cut
 lineage or stage files write under the folder the cluster names in
-``spark.checkpoint.dir``; only when that is unset (tests, a laptop) is a
-private folder chosen and registered.
+``spark.checkpoint.dir``; only when that is unset in local mode (tests, a
+laptop) is a private folder chosen and registered. On a cluster an unset
+folder is an error.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ def scratch_root(spark: SparkSession) -> str:
             root = None
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        # A machine-local folder is invisible to other executors and lost
+        # with its machine: on a cluster the shared folder must be named.
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage (e.g. HDFS, S3, ABFS)")
     key = id(spark.sparkContext)
     if key not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[key] = tempfile.mkdtemp(prefix="ledgerlake-")
