@@ -16,6 +16,7 @@ import json
 import logging
 
 from ledgerlake.config import DEFAULT_CONFIG
+from ledgerlake.plans.gold import DEFAULT_JDBC_CONNECTIONS
 
 log = logging.getLogger("ledgerlake")
 
@@ -138,7 +139,8 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--password", default=None)
     g.add_argument("--driver", default=None)
     g.add_argument("--dim-mode", choices=["overwrite", "append"], default="overwrite")
-    g.add_argument("--jdbc-partitions", type=int, default=None)
+    g.add_argument("--jdbc-partitions", type=int, default=DEFAULT_JDBC_CONNECTIONS,
+                   help="concurrent connections per table (the write coalesces to it)")
     for sp in (s, g):
         sp.add_argument("--year", type=int, default=None)
         sp.add_argument("--month", type=int, default=None)

@@ -9,6 +9,9 @@ from ledgerlake.operators.gold import DIMENSIONS, GOLD_TABLES, gold_flags
 from ledgerlake.sinks.jdbc import write_jdbc
 from ledgerlake.sources.tables import read_partitioned
 
+# Concurrent JDBC connections per Gold table by default.
+DEFAULT_JDBC_CONNECTIONS = 16
+
 
 def gold_tables(
     silver: DataFrame,
@@ -32,7 +35,7 @@ def run_gold(
     driver: str | None = None,
     dim_mode: str = "overwrite",
     fact_mode: str = "append",
-    num_partitions: int | None = None,
+    num_partitions: int | None = DEFAULT_JDBC_CONNECTIONS,
     threshold: float = HIGH_AMOUNT_THRESHOLD,
     blacklist=BLACKLISTED_MERCHANTS,
 ) -> dict[str, str]:
@@ -41,7 +44,11 @@ def run_gold(
     Each table is its own plan over the Silver scan, so every write reads
     only the columns it needs (pruned, partition-filtered Parquet) instead
     of caching the whole input. Dimensions are rebuilt (truncate +
-    insert) by default; facts are appended.
+    insert) by default; facts are appended. ``num_partitions`` bounds the
+    concurrent connections per table (the write coalesces to it): a fact
+    table built from thousands of Silver splits would otherwise open one
+    connection per split against the database. ``None`` keeps the table's
+    own partitioning.
     """
     silver = read_partitioned(spark, silver_path, year, month, day)
     written = {}
