@@ -20,6 +20,11 @@ from ledgerlake.plans.gold import DEFAULT_JDBC_CONNECTIONS
 
 log = logging.getLogger("ledgerlake")
 
+# Default micro-batch bounds of the Bronze stream (each batch is persisted
+# once while its sinks are written).
+MAX_OFFSETS_PER_TRIGGER = 50_000_000
+MAX_FILES_PER_TRIGGER = 1_000
+
 
 def _session(app: str):
     from pyspark.sql import SparkSession
@@ -120,9 +125,12 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--checkpoint-path", required=True)
     b.add_argument("--trigger", default=DEFAULT_CONFIG.trigger_interval)
     b.add_argument("--available-now", action="store_true")
-    b.add_argument("--max-offsets-per-trigger", type=int, default=None, help="kafka: bound each micro-batch")
+    b.add_argument("--max-offsets-per-trigger", type=int, default=MAX_OFFSETS_PER_TRIGGER,
+                   help="kafka: messages per micro-batch (0: unbounded). Bounds the persisted batch, so a "
+                        "catch-up from the earliest offset runs as many batches instead of one")
     b.add_argument("--min-partitions", type=int, default=None, help="kafka: split topic partitions into more tasks")
-    b.add_argument("--max-files-per-trigger", type=int, default=None, help="file: bound each micro-batch")
+    b.add_argument("--max-files-per-trigger", type=int, default=MAX_FILES_PER_TRIGGER,
+                   help="file: files per micro-batch (0: unbounded)")
     b.add_argument("--replay-safe", action="store_true", help="partition Bronze by batch id, overwrite on replay")
     b.add_argument("--null-policy", choices=["propagate", "quarantine"], default="propagate")
     b.add_argument("--window-strategy", choices=["auto", "broadcast", "join", "window"], default="auto")
