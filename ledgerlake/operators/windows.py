@@ -75,7 +75,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return None if size >= default else size
 
 
-def shuffle_side(small: DataFrame) -> DataFrame:
+def shuffle_side(small: DataFrame, unless_broadcast: bool = False) -> DataFrame:
     """Give an aggregated join side its own shuffle for the join.
 
     Without it the join reuses the aggregate's exchange (the aggregate is
@@ -83,7 +83,16 @@ def shuffle_side(small: DataFrame) -> DataFrame:
     which needs both join inputs to be plain shuffle stages, cannot split a
     hot key's partition on the row side. The ``rebalance`` shuffle moves
     only the (small) aggregated rows and AQE coalesces its partitions.
+
+    ``unless_broadcast``: leave the side alone when Catalyst's estimate of it
+    fits the broadcast threshold, since Catalyst will broadcast it anyway
+    (used where no count has decided the join).
     """
+    if unless_broadcast:
+        size = estimated_bytes(small)
+        limit = _bytes(small.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"), 10 << 20)
+        if size is not None and 0 < limit and size <= limit:
+            return small
     return small.hint("rebalance")
 
 
@@ -180,7 +189,7 @@ def flag_windows(
             else:
                 per_group = shuffle_side(per_group)
         else:
-            per_group = shuffle_side(per_group)
+            per_group = shuffle_side(per_group, unless_broadcast=True)
         joined = df.join(
             per_group,
             (F.col(card_col) == F.col("_wk_card")) & (F.col(bkt) == F.col("_wk_bkt")),
