@@ -84,6 +84,11 @@ class WindowRule(Rule):
     equivalent form for ``groupBy`` plans only (e.g. a distinct count,
     which Spark plans as hash aggregates but allows neither over windows
     nor in streaming state).
+
+    ``rollup`` names, per aggregate, how partial values of sub-buckets merge
+    (``"sum"``, ``"min"`` or ``"max"``): with it, the aggregates of a bucket
+    are exactly the merge of those of the finer epoch-aligned buckets inside
+    it, which lets one stateful query serve several durations.
     """
 
     flag: str
@@ -93,6 +98,7 @@ class WindowRule(Rule):
     predicate: Callable[[Callable[[str], Column]], Column]
     grouped_aggregates: Callable[[], dict[str, Column]] | None = None
     grouped_predicate: Callable[[Callable[[str], Column]], Column] | None = None
+    rollup: tuple[tuple[str, str], ...] | None = None
     windowed: bool = True
 
     def group_form(self):
@@ -114,6 +120,7 @@ def high_velocity_rule(max_txn: int = C.VELOCITY_MAX_TXN, duration: str = C.VELO
         duration,
         lambda: {"velocity_count": F.count(F.lit(1))},
         lambda a: a("velocity_count") > F.lit(max_txn),
+        rollup=(("velocity_count", "sum"),),
     )
 
 
@@ -133,6 +140,7 @@ def cross_border_rule(duration: str = C.CROSS_BORDER_WINDOW) -> WindowRule:
         lambda a: a("country_min") != a("country_max"),
         lambda: {"country_count": F.count_distinct("country")},
         lambda a: a("country_count") > F.lit(1),
+        rollup=(("country_min", "min"), ("country_max", "max")),
     )
 
 
@@ -144,6 +152,7 @@ def high_decline_rate_rule(limit: float = C.DECLINE_RATE_LIMIT, duration: str =
         duration,
         lambda: {"total_txn": F.count(F.lit(1)), "declined_txn": F.sum(_declined_indicator())},
         lambda a: (a("declined_txn") / a("total_txn")) > F.lit(limit),
+        rollup=(("total_txn", "sum"), ("declined_txn", "sum")),
     )
 
 

@@ -1,12 +1,18 @@
 """Card alerts over event-time state (window rules across micro-batches).
 
-Per rule-duration group one streaming aggregation
-``withWatermark(event_time) -> groupBy(window, card)`` keeps the mergeable
-aggregates of each (card, window) in the state store; the watermark bounds
-the state. The query runs in ``update`` mode so an open window is reported
-as soon as it changes; every batch's updated windows are written to its own
-``batch_id=<n>`` folder (rewritten on replay), and :func:`read_card_alerts`
-keeps the latest version of each window and returns those that fire.
+One streaming aggregation ``withWatermark(event_time) -> groupBy(window,
+card)`` keeps the mergeable aggregates of each (card, window) in the state
+store; the watermark bounds the state. The query runs in ``update`` mode so
+an open window is reported as soon as it changes; every batch's updated
+windows are written to its own ``batch_id=<n>`` folder (rewritten on
+replay), and :func:`read_card_alerts` keeps the latest version of each
+window and returns those that fire.
+
+When every rule duration is a multiple of the shortest one and every rule
+says how its aggregates merge (``WindowRule.rollup``), a single query keeps
+state per (card, shortest bucket) only -- one read of the source, one state
+store -- and the reader rolls the buckets up into each rule's windows
+(epoch-aligned buckets nest exactly). Otherwise one query per duration runs.
 """
 
 from __future__ import annotations
@@ -16,40 +22,86 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.config import DEFAULT_CONFIG, REASON_SEPARATOR, PipelineConfig
-from ledgerlake.functions import country_of, parse_event_time, reasons_of
+from ledgerlake.functions import bucket_end, bucket_start, country_of, duration_micros, parse_event_time, reasons_of
 from ledgerlake.operators.rules import rules_from_config
 from ledgerlake.operators.windows import _group_by_duration, _named_aggs
 
+_MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
+ROLLUP_FOLDER = "buckets"
+
 
 def window_rule_groups(cfg: PipelineConfig = DEFAULT_CONFIG) -> list[list]:
     rules = [r for r in rules_from_config(cfg) if r.windowed]
     return list(_group_by_duration(rules).values())
 
 
-def card_window_updates(decoded: DataFrame, group: list, cfg: PipelineConfig, watermark: str) -> DataFrame:
-    """Streaming (card, window) aggregates of one rule group, with its flags."""
-    rows = (
+def rollup_duration(cfg: PipelineConfig = DEFAULT_CONFIG) -> str | None:
+    """The shortest rule duration if one stateful query can serve every rule."""
+    rules = [r for g in window_rule_groups(cfg) for r in g]
+    if not rules or any(r.rollup is None for r in rules):
+        return None
+    finest = min(rules, key=lambda r: duration_micros(r.duration))
+    base = duration_micros(finest.duration)
+    if any(duration_micros(r.duration) % base for r in rules):
+        return None
+    return finest.duration
+
+
+def _event_rows(decoded: DataFrame, cfg: PipelineConfig, watermark: str) -> DataFrame:
+    return (
         decoded.withColumn("event_time", parse_event_time("ts_event", cfg.ts_format))
         .filter(F.col("event_time").isNotNull() & F.col("card_hash").isNotNull())
         .withColumn("country", country_of("location"))
         .withWatermark("event_time", watermark)
     )
-    aggs = _named_aggs(group)
-    agg = rows.groupBy(F.window("event_time", group[0].duration).alias("w"), "card_hash").agg(
+
+
+def _window_aggregates(rows: DataFrame, rules: list, duration: str) -> DataFrame:
+    aggs = _named_aggs(rules)
+    return rows.groupBy(F.window("event_time", duration).alias("w"), "card_hash").agg(
         *[a.alias(n) for n, a in aggs.items()]
     )
-    flags = {
-        r.flag: F.coalesce(r.predicate(lambda n, r=r: F.col(f"_wa_{r.flag}_{n}")), F.lit(False))
-        for r in group
+
+
+def _flags(group: list, col) -> dict:
+    return {
+        r.flag: F.coalesce(r.predicate(lambda n, r=r: col(f"_wa_{r.flag}_{n}")), F.lit(False)) for r in group
     }
+
+
+def card_window_updates(decoded: DataFrame, group: list, cfg: PipelineConfig, watermark: str) -> DataFrame:
+    """Streaming (card, window) aggregates of one rule group, with its flags."""
+    agg = _window_aggregates(_event_rows(decoded, cfg, watermark), group, group[0].duration)
+    return agg.select(
+        "card_hash",
+        F.col("w.start").alias("window_start"),
+        F.col("w.end").alias("window_end"),
+        *[c.alias(n) for n, c in _flags(group, F.col).items()],
+    )
+
+
+def card_bucket_updates(decoded: DataFrame, cfg: PipelineConfig, watermark: str) -> DataFrame:
+    """Streaming (card, shortest bucket) partial aggregates of every rule."""
+    rules = [r for g in window_rule_groups(cfg) for r in g]
+    agg = _window_aggregates(_event_rows(decoded, cfg, watermark), rules, rollup_duration(cfg))
     return agg.select(
         "card_hash",
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
-        *[c.alias(n) for n, c in flags.items()],
+        *_named_aggs(rules).keys(),
     )
 
 
+def _start(updates: DataFrame, target: str, checkpoint: str, cfg: PipelineConfig, available_now: bool):
+    def _batch(batch_df: DataFrame, batch_id: int) -> None:
+        # The folder name carries the batch id (a partition column on read).
+        batch_df.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    writer = updates.writeStream.outputMode("update").foreachBatch(_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=cfg.trigger_interval)
+    return writer.start()
+
+
 def start_card_alerts(
     spark: SparkSession,
     decoded: DataFrame,
@@ -61,7 +113,7 @@ def start_card_alerts(
     available_now: bool = False,
     state_store: str | None = None,
 ) -> list[StreamingQuery]:
-    """One query per window duration; returns the started queries.
+    """Start the alert query (or one per duration); returns the started queries.
 
     ``state_store="rocksdb"`` keeps the (card, window) state in RocksDB
     instead of the executor heap (many cards, long watermarks). It applies
@@ -74,25 +126,28 @@ def start_card_alerts(
         )
     elif state_store is not None:
         raise ValueError(f"unknown state store {state_store!r}")
-    queries = []
-    for i, group in enumerate(window_rule_groups(cfg)):
-        updates = card_window_updates(decoded, group, cfg, watermark)
-        target = f"{out_path}/group={i}"
-
-        def _batch(batch_df: DataFrame, batch_id: int, target=target) -> None:
-            # The folder name carries the batch id (a partition column on read).
-            batch_df.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-
-        writer = (
-            updates.writeStream.outputMode("update")
-            .foreachBatch(_batch)
-            .option("checkpointLocation", f"{checkpoint}/group={i}")
+    if rollup_duration(cfg) is not None:
+        updates = card_bucket_updates(decoded, cfg, watermark)
+        return [_start(updates, f"{out_path}/{ROLLUP_FOLDER}", f"{checkpoint}/{ROLLUP_FOLDER}", cfg, available_now)]
+    return [
+        _start(
+            card_window_updates(decoded, group, cfg, watermark),
+            f"{out_path}/group={i}",
+            f"{checkpoint}/group={i}",
+            cfg,
+            available_now,
         )
-        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-            processingTime=cfg.trigger_interval
-        )
-        queries.append(writer.start())
-    return queries
+        for i, group in enumerate(window_rule_groups(cfg))
+    ]
+
+
+def _latest(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
+    """Latest written version of every (card, window) (highest batch id)."""
+    versions = spark.read.option("basePath", folder).parquet(folder)
+    latest = versions.groupBy("card_hash", "window_start", "window_end").agg(
+        F.max_by(F.struct(*columns), F.col("batch_id")).alias("s")
+    )
+    return latest.select("card_hash", "window_start", "window_end", *[F.col(f"s.{c}").alias(c) for c in columns])
 
 
 def read_card_alerts(spark: SparkSession, out_path: str, cfg: PipelineConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -101,22 +156,35 @@ def read_card_alerts(spark: SparkSession, out_path: str, cfg: PipelineConfig = D
     Columns: card_hash, window_start, window_end, one flag per window rule
     (false where the rule belongs to another duration), alert_reasons.
     """
+    groups = window_rule_groups(cfg)
+    all_rules = [r for g in groups for r in g]
+    parts = []
+    if rollup_duration(cfg) is not None:
+        buckets = _latest(spark, f"{out_path}/{ROLLUP_FOLDER}", list(_named_aggs(all_rules)))
+        for group in groups:
+            duration = group[0].duration
+            merged = {
+                f"_wa_{r.flag}_{name}": _MERGE[how](f"_wa_{r.flag}_{name}") for r in group for name, how in r.rollup
+            }
+            rolled = (
+                buckets.groupBy("card_hash", bucket_start("window_start", duration).alias("window_start"))
+                .agg(*[m.alias(n) for n, m in merged.items()])
+                .withColumn("window_end", bucket_end(F.col("window_start"), duration))
+            )
+            parts.append((group, rolled.select("card_hash", "window_start", "window_end", *[
+                c.alias(n) for n, c in _flags(group, F.col).items()
+            ])))
+    else:
+        for i, group in enumerate(groups):
+            parts.append((group, _latest(spark, f"{out_path}/group={i}", [r.flag for r in group])))
     out = None
-    all_rules = [r for g in window_rule_groups(cfg) for r in g]
-    for i, group in enumerate(window_rule_groups(cfg)):
-        flags = [r.flag for r in group]
-        versions = spark.read.option("basePath", f"{out_path}/group={i}").parquet(f"{out_path}/group={i}")
-        latest = versions.groupBy("card_hash", "window_start", "window_end").agg(
-            F.max_by(F.struct(*flags), F.col("batch_id")).alias("s")
-        )
-        part = latest.select(
+    for group, part in parts:
+        flags = {r.flag for r in group}
+        part = part.select(
             "card_hash",
             "window_start",
             "window_end",
-            *[
-                (F.col(f"s.{r.flag}") if r.flag in flags else F.lit(False)).alias(r.flag)
-                for r in all_rules
-            ],
+            *[(F.col(r.flag) if r.flag in flags else F.lit(False)).alias(r.flag) for r in all_rules],
         )
         out = part if out is None else out.unionByName(part)
     return out.filter(" OR ".join(r.flag for r in all_rules)).withColumn(

@@ -91,3 +91,51 @@ def test_card_alerts_with_rocksdb_state(spark, tmp_dir):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
     alerts = read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect()
     assert [a.card_hash for a in alerts] == ["C7"]
+
+
+def test_card_alerts_roll_up_minutes_into_ten_minute_windows(spark, tmp_dir):
+    """Original windows (1 and 10 minutes): one stateful query keeps per-minute
+    state; the 10-minute rules are rolled up from it, across two batches, and
+    equal the batch evaluation of every rule over the same rows."""
+    from ledgerlake.operators.enrich import with_country, with_event_time
+    from ledgerlake.operators.rules import rules_from_config
+    from ledgerlake.operators.windows import window_groups
+    from ledgerlake.streaming.alerts import rollup_duration
+
+    assert rollup_duration(DEFAULT_CONFIG) == "1 minute"
+    rows = (
+        six_in_a_minute("V1")  # velocity in 06:39
+        # cross-border: two countries in different minutes of [06:40, 06:50)
+        + [payment(tid="X1", card="X", ts="2026-05-29 06:41:00", location="London, UK"),
+           payment(tid="X2", card="X", ts="2026-05-29 06:48:59", location="Paris, France")]
+        # not cross-border: the same two countries either side of 06:50
+        + [payment(tid="Y1", card="Y", ts="2026-05-29 06:49:59", location="London, UK"),
+           payment(tid="Y2", card="Y", ts="2026-05-29 06:50:00", location="Paris, France")]
+        # decline rate: 2 of 3 declined, spread over three minutes of [07:00, 07:10)
+        + [payment(tid=f"D{i}", card="D", ts=f"2026-05-29 07:0{2 * i}:00", auth=a)
+           for i, a in enumerate(["DECLINED", "APPROVED", "DECLINED"])]
+    )
+    first, second = rows[::2], rows[1::2]  # every window is split over the two batches
+    decoded = lambda: decode_payload(read_raw_stream(spark, "file", path=f"{tmp_dir}/inbox"), keep_raw=False)
+    for part in (first, second):
+        _write_messages(spark, part, f"{tmp_dir}/inbox")
+        queries = start_card_alerts(spark, decoded(), f"{tmp_dir}/alerts", f"{tmp_dir}/ckpt", DEFAULT_CONFIG,
+                                    available_now=True)
+        assert len(queries) == 1  # one source read, one state store
+        for q in queries:
+            q.awaitTermination()
+            assert q.exception() is None
+    alerts = read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG)
+    flags = [r.flag for r in rules_from_config(DEFAULT_CONFIG) if r.windowed]
+    got = {(a.card_hash, a.window_start, f) for a in alerts.collect() for f in flags if a[f]}
+
+    from ledgerlake.config import PAYMENT_SCHEMA
+
+    static = with_country(with_event_time(spark.createDataFrame(rows, PAYMENT_SCHEMA)))
+    want = set()
+    for rule in (r for r in rules_from_config(DEFAULT_CONFIG) if r.windowed):
+        want |= {(g.card_hash, g.window_start, rule.flag) for g in window_groups(static, rule).collect()}
+    assert got == want
+    assert {(c, f) for c, _, f in got} == {
+        ("V1", "is_high_velocity"), ("X", "is_cross_border"), ("D", "is_high_decline_rate")
+    }
