@@ -246,8 +246,9 @@ ORACLE_SQL = {
     "unparseable_rows": ROUTED + f"\nSELECT {PAYMENT_COLS}, event_time, CAST(0 AS BIGINT) AS batch_id"
     " FROM routed WHERE route = 'unparseable'",
     "batch_counts": ROUTED + """
-SELECT count(*) AS received, count_if(route = 'unparseable') AS unparseable, count_if(route = 'valid') AS valid,
-       count_if(route = 'dead_letter') AS dead_letter, count_if(route = 'unrouted') AS unrouted FROM routed""",
+SELECT count(*) AS received, CAST(count_if(route = 'unparseable') AS BIGINT) AS unparseable,
+       CAST(count_if(route = 'valid') AS BIGINT) AS valid, CAST(count_if(route = 'dead_letter') AS BIGINT) AS dead_letter,
+       CAST(count_if(route = 'unrouted') AS BIGINT) AS unrouted FROM routed""",
     "partition_distribution": ROUTED + "\nSELECT year, month, day, count(*) AS row_count FROM routed"
     " WHERE route = 'valid' GROUP BY year, month, day",
     "dedup_first": LINEITEM_DEDUP,

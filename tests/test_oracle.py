@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.check_oracle import TABLES, norm
+from tools.check_oracle import TABLES, duck_types, norm, spark_types
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,8 +31,11 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    sp = E.queries()[name](spark, SF).toPandas()
-    dd = duck.execute(E.oracle_sql()[name]).df()
+    sdf = E.queries()[name](spark, SF)
+    sp = sdf.toPandas()
+    rel = duck.sql(E.oracle_sql()[name])
+    assert spark_types(sdf.schema) == duck_types(rel)
+    dd = rel.df()
     assert sorted(sp.columns) == sorted(dd.columns)
     assert len(sp) == len(dd)
     assert norm(sp) == norm(dd)
