@@ -54,11 +54,14 @@ def _bytes(value: str | None, default: int) -> int:
     return n * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}[m.group(2).lower()]
 
 
+def broadcast_threshold(df: DataFrame) -> int:
+    """The session's broadcast threshold in bytes (-1: broadcasting off)."""
+    return _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"), 10 << 20)
+
+
 def broadcast_row_limit(df: DataFrame) -> int:
     """Firing groups that may be broadcast under the session threshold (0: never)."""
-    conf = df.sparkSession.conf
-    limit = _bytes(conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"), 10 << 20)
-    return max(0, limit // EST_ROW_BYTES)
+    return max(0, broadcast_threshold(df) // EST_ROW_BYTES)
 
 
 SMALL_INPUT_CONF = "spark.ledgerlake.windowRules.smallInputBytes"
@@ -89,8 +92,7 @@ def shuffle_side(small: DataFrame, unless_broadcast: bool = False) -> DataFrame:
     (used where no count has decided the join).
     """
     if unless_broadcast:
-        size = estimated_bytes(small)
-        limit = _bytes(small.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"), 10 << 20)
+        size, limit = estimated_bytes(small), broadcast_threshold(small)
         if size is not None and 0 < limit and size <= limit:
             return small
     return small.hint("rebalance")
