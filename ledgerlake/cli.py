@@ -51,8 +51,11 @@ def _bronze(args) -> None:
     if args.transport == "kafka":
         if args.max_offsets_per_trigger:
             options["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
-        if args.min_partitions:
-            options["minPartitions"] = str(args.min_partitions)
+        # Split the offset range of a large (hot) topic partition over
+        # several tasks instead of reading it in one (default: the cluster's
+        # parallelism; Spark divides ranges in proportion to their size).
+        min_partitions = args.min_partitions or spark.sparkContext.defaultParallelism
+        options["minPartitions"] = str(min_partitions)
     raw = read_raw_stream(
         spark,
         args.transport,
@@ -128,7 +131,8 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--max-offsets-per-trigger", type=int, default=MAX_OFFSETS_PER_TRIGGER,
                    help="kafka: messages per micro-batch (0: unbounded). Bounds the persisted batch, so a "
                         "catch-up from the earliest offset runs as many batches instead of one")
-    b.add_argument("--min-partitions", type=int, default=None, help="kafka: split topic partitions into more tasks")
+    b.add_argument("--min-partitions", type=int, default=None,
+                   help="kafka: split topic partitions into at least this many tasks (default: cluster parallelism)")
     b.add_argument("--max-files-per-trigger", type=int, default=MAX_FILES_PER_TRIGGER,
                    help="file: files per micro-batch (0: unbounded)")
     b.add_argument("--replay-safe", action="store_true", help="partition Bronze by batch id, overwrite on replay")
