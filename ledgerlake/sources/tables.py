@@ -43,12 +43,12 @@ def read_partitioned(
     if cond is None:
         return spark.read.parquet(root)
     leaf = f"{root.rstrip('/')}/year={int(year)}/month={int(month)}/day={int(day)}"
-    if _exists(spark, leaf):
+    if path_exists(spark, leaf):
         return spark.read.option("basePath", root).parquet(leaf).filter(cond)
     return spark.read.parquet(root).filter(cond)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster's Hadoop file system."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

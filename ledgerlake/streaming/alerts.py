@@ -4,9 +4,11 @@ One streaming aggregation ``withWatermark(event_time) -> groupBy(window,
 card)`` keeps the mergeable aggregates of each (card, window) in the state
 store; the watermark bounds the state. The query runs in ``update`` mode so
 an open window is reported as soon as it changes; every batch's updated
-windows are written to its own ``batch_id=<n>`` folder (rewritten on
-replay), and :func:`read_card_alerts` keeps the latest version of each
-window and returns those that fire.
+windows are written under ``window_date=<d>/batch_id=<n>`` (dynamic
+overwrite: a replayed batch rewrites exactly its own folders), and
+:func:`read_card_alerts` keeps the latest version of each window and returns
+those that fire. A long-running stream adds a batch folder every trigger;
+reading one day lists only that day's folders.
 
 When every rule duration is a multiple of the shortest one and every rule
 says how its aggregates merge (``WindowRule.rollup``), a single query keeps
@@ -25,9 +27,11 @@ from ledgerlake.config import DEFAULT_CONFIG, REASON_SEPARATOR, PipelineConfig
 from ledgerlake.functions import bucket_end, bucket_start, country_of, duration_micros, parse_event_time, reasons_of
 from ledgerlake.operators.rules import rules_from_config
 from ledgerlake.operators.windows import _group_by_duration, _named_aggs
+from ledgerlake.sources.tables import path_exists
 
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 ROLLUP_FOLDER = "buckets"
+DAY_MICROS = 86_400_000_000
 
 
 def window_rule_groups(cfg: PipelineConfig = DEFAULT_CONFIG) -> list[list]:
@@ -94,8 +98,15 @@ def card_bucket_updates(decoded: DataFrame, cfg: PipelineConfig, watermark: str)
 
 def _start(updates: DataFrame, target: str, checkpoint: str, cfg: PipelineConfig, available_now: bool):
     def _batch(batch_df: DataFrame, batch_id: int) -> None:
-        # The folder name carries the batch id (a partition column on read).
-        batch_df.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        (
+            batch_df.withColumns(
+                {"window_date": F.to_date("window_start"), "batch_id": F.lit(batch_id).cast("long")}
+            )
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("window_date", "batch_id")
+            .parquet(target)
+        )
 
     writer = updates.writeStream.outputMode("update").foreachBatch(_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=cfg.trigger_interval)
@@ -141,26 +152,50 @@ def start_card_alerts(
     ]
 
 
-def _latest(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
+def _latest(spark: SparkSession, folder: str, columns: list[str], date: str | None) -> DataFrame:
     """Latest written version of every (card, window) (highest batch id)."""
-    versions = spark.read.option("basePath", folder).parquet(folder)
+    if date is None:
+        versions = spark.read.parquet(folder)
+    else:
+        leaf = f"{folder}/window_date={date}"
+        if path_exists(spark, leaf):
+            versions = spark.read.option("basePath", folder).parquet(leaf)
+        else:  # no window that day: the same columns, no rows
+            versions = spark.read.parquet(folder).filter(F.col("window_date") == F.lit(date).cast("date"))
     latest = versions.groupBy("card_hash", "window_start", "window_end").agg(
         F.max_by(F.struct(*columns), F.col("batch_id")).alias("s")
     )
     return latest.select("card_hash", "window_start", "window_end", *[F.col(f"s.{c}").alias(c) for c in columns])
 
 
-def read_card_alerts(spark: SparkSession, out_path: str, cfg: PipelineConfig = DEFAULT_CONFIG) -> DataFrame:
+def read_card_alerts(
+    spark: SparkSession,
+    out_path: str,
+    cfg: PipelineConfig = DEFAULT_CONFIG,
+    year: int | None = None,
+    month: int | None = None,
+    day: int | None = None,
+) -> DataFrame:
     """Latest state of every (card, window) that fires at least one rule.
 
     Columns: card_hash, window_start, window_end, one flag per window rule
     (false where the rule belongs to another duration), alert_reasons.
+    With year, month and day, only the windows starting that day are read
+    (only that day's folders are listed); every rule duration must then
+    divide a day, so that no window spans two dates.
     """
+    from ledgerlake.sources.tables import partition_filter
+
     groups = window_rule_groups(cfg)
     all_rules = [r for g in groups for r in g]
+    date = None
+    if partition_filter(year, month, day) is not None:
+        if any(DAY_MICROS % duration_micros(r.duration) for r in all_rules):
+            raise ValueError("day-scoped alert reads need rule durations that divide a day")
+        date = f"{int(year):04d}-{int(month):02d}-{int(day):02d}"
     parts = []
     if rollup_duration(cfg) is not None:
-        buckets = _latest(spark, f"{out_path}/{ROLLUP_FOLDER}", list(_named_aggs(all_rules)))
+        buckets = _latest(spark, f"{out_path}/{ROLLUP_FOLDER}", list(_named_aggs(all_rules)), date)
         for group in groups:
             duration = group[0].duration
             merged = {
@@ -176,7 +211,7 @@ def read_card_alerts(spark: SparkSession, out_path: str, cfg: PipelineConfig = D
             ])))
     else:
         for i, group in enumerate(groups):
-            parts.append((group, _latest(spark, f"{out_path}/group={i}", [r.flag for r in group])))
+            parts.append((group, _latest(spark, f"{out_path}/group={i}", [r.flag for r in group], date)))
     out = None
     for group, part in parts:
         flags = {r.flag for r in group}

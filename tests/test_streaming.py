@@ -139,3 +139,27 @@ def test_card_alerts_roll_up_minutes_into_ten_minute_windows(spark, tmp_dir):
     assert {(c, f) for c, _, f in got} == {
         ("V1", "is_high_velocity"), ("X", "is_cross_border"), ("D", "is_high_decline_rate")
     }
+
+
+def test_card_alerts_day_scoped_read(spark, tmp_dir):
+    """Alert output is laid out by window date then batch: one day's read
+    lists only that day and equals the full read restricted to the day."""
+    import pytest
+
+    rows = six_in_a_minute("A") + [
+        payment(tid=f"B{i}", card="B", ts=f"2026-05-30 08:15:{10 + i:02d}") for i in range(6)
+    ]
+    _write_messages(spark, rows, f"{tmp_dir}/inbox")
+    decoded = decode_payload(read_raw_stream(spark, "file", path=f"{tmp_dir}/inbox"), keep_raw=False)
+    for q in start_card_alerts(spark, decoded, f"{tmp_dir}/alerts", f"{tmp_dir}/ckpt", DEFAULT_CONFIG,
+                               available_now=True):
+        q.awaitTermination()
+        assert q.exception() is None
+    assert any(d.startswith("window_date=2026-05-30") for d in os.listdir(f"{tmp_dir}/alerts/buckets"))
+    full = read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG)
+    day = read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG, 2026, 5, 30)
+    assert [r.card_hash for r in day.collect()] == ["B"]
+    assert sorted(full.filter(F.to_date("window_start") == "2026-05-30").collect()) == sorted(day.collect())
+    assert read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG, 2026, 6, 1).count() == 0
+    with pytest.raises(ValueError):
+        read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG, 2026, 5, None)
