@@ -98,10 +98,14 @@ def card_bucket_updates(decoded: DataFrame, cfg: PipelineConfig, watermark: str)
 
 def _start(updates: DataFrame, target: str, checkpoint: str, cfg: PipelineConfig, available_now: bool):
     def _batch(batch_df: DataFrame, batch_id: int) -> None:
+        # The updated windows of one batch are few (bounded by the batch);
+        # grouping them by date first gives one file per date instead of one
+        # per date and state partition.
         (
             batch_df.withColumns(
                 {"window_date": F.to_date("window_start"), "batch_id": F.lit(batch_id).cast("long")}
             )
+            .repartition("window_date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("window_date", "batch_id")
@@ -194,18 +198,24 @@ def read_card_alerts(
             raise ValueError("day-scoped alert reads need rule durations that divide a day")
         date = f"{int(year):04d}-{int(month):02d}-{int(day):02d}"
     parts = []
-    if rollup_duration(cfg) is not None:
+    base = rollup_duration(cfg)
+    if base is not None:
         buckets = _latest(spark, f"{out_path}/{ROLLUP_FOLDER}", list(_named_aggs(all_rules)), date)
         for group in groups:
             duration = group[0].duration
-            merged = {
-                f"_wa_{r.flag}_{name}": _MERGE[how](f"_wa_{r.flag}_{name}") for r in group for name, how in r.rollup
-            }
-            rolled = (
-                buckets.groupBy("card_hash", bucket_start("window_start", duration).alias("window_start"))
-                .agg(*[m.alias(n) for n, m in merged.items()])
-                .withColumn("window_end", bucket_end(F.col("window_start"), duration))
-            )
+            if duration_micros(duration) == duration_micros(base):
+                rolled = buckets  # the buckets are this group's windows
+            else:
+                merged = {
+                    f"_wa_{r.flag}_{name}": _MERGE[how](f"_wa_{r.flag}_{name}")
+                    for r in group
+                    for name, how in r.rollup
+                }
+                rolled = (
+                    buckets.groupBy("card_hash", bucket_start("window_start", duration).alias("window_start"))
+                    .agg(*[m.alias(n) for n, m in merged.items()])
+                    .withColumn("window_end", bucket_end(F.col("window_start"), duration))
+                )
             parts.append((group, rolled.select("card_hash", "window_start", "window_end", *[
                 c.alias(n) for n, c in _flags(group, F.col).items()
             ])))
