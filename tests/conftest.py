@@ -11,7 +11,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    scratch = tempfile.mkdtemp(prefix="ledgerlake-tests-")
     s = (
         SparkSession.builder.master("local[4]")
         .appName("ledgerlake-tests")
@@ -19,7 +18,6 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
