@@ -10,10 +10,11 @@ Strategies (same flags, different physical plans):
     (see :func:`shuffle_side`) so that AQE's skew-join handling can split a
     hot (card, bucket) on the row side.
 ``broadcast``
-    As ``join``, but first counts the firing groups (bounded by
-    ``limit + 1``). If their estimated size is within the session's
-    broadcast threshold they are broadcast and the rows are never shuffled;
-    otherwise the plan falls back to ``join``.
+    As ``join``, but the firing groups are computed first -- persisted for
+    the batch when the caller owns a cache list (micro-batches), else written
+    once to a table under the shared scratch folder -- and counted. If they
+    fit under the session's broadcast threshold they are broadcast and the
+    rows are never shuffled; otherwise the plan falls back to ``join``.
 ``auto`` (default)
     ``window`` when Catalyst's size estimate of the input is at most
     ``spark.ledgerlake.windowRules.smallInputBytes`` (default 64 MB: one
@@ -98,6 +99,21 @@ def shuffle_side(small: DataFrame, unless_broadcast: bool = False) -> DataFrame:
     return small.hint("rebalance")
 
 
+def write_firing_groups(per_group: DataFrame) -> DataFrame:
+    """Compute the firing groups once into a table under the session's
+    shared scratch folder (``spark.checkpoint.dir``) and read it back.
+
+    Counting them and joining them then reads this small table instead of
+    aggregating the input a second time, and the table survives the loss of
+    an executor (a cached copy would be recomputed from the input).
+    """
+    from ledgerlake.session import new_run_dir
+
+    path = new_run_dir(per_group.sparkSession, "firing_groups")
+    per_group.write.parquet(path)
+    return per_group.sparkSession.read.parquet(path)
+
+
 def choose_strategy(df: DataFrame, strategy: str) -> str:
     if strategy != "auto":
         return strategy
@@ -126,6 +142,34 @@ def _predicate(rule, grouped: bool = False):
     return rule.group_form()[1] if grouped else rule.predicate
 
 
+def firing_groups(
+    df: DataFrame,
+    group: list,
+    bucket: Column,
+    card_col: str = "card_hash",
+    time_col: str = "event_time",
+) -> DataFrame:
+    """The (card, bucket) groups of one duration where at least one rule fires.
+
+    Columns ``_wk_card``, ``_wk_bkt`` and one ``_wf_<flag>`` per rule. A hash
+    aggregate with partial (map-side) combine: a card holding a third of all
+    rows becomes one row per map task before the shuffle.
+    """
+    keyed_ok = F.col(card_col).isNotNull() & F.col(time_col).isNotNull()
+    aggs = _named_aggs(group, grouped=True)
+    fired = {
+        f"_wf_{r.flag}": F.coalesce(_predicate(r, True)(lambda n, r=r: F.col(f"_wa_{r.flag}_{n}")), F.lit(False))
+        for r in group
+    }
+    return (
+        df.filter(keyed_ok)
+        .groupBy(F.col(card_col).alias("_wk_card"), bucket.alias("_wk_bkt"))
+        .agg(*[a.alias(n) for n, a in aggs.items()])
+        .select("_wk_card", "_wk_bkt", *[c.alias(n) for n, c in fired.items()])
+        .filter(" OR ".join(f"`{n}`" for n in fired))
+    )
+
+
 def flag_windows(
     df: DataFrame,
     rules,
@@ -162,20 +206,8 @@ def flag_windows(
             df = df.drop(bkt)
             continue
 
-        aggs = _named_aggs(group, grouped=True)
-        fired = {
-            f"_wf_{r.flag}": F.coalesce(
-                _predicate(r, True)(lambda n, r=r: F.col(f"_wa_{r.flag}_{n}")), F.lit(False)
-            )
-            for r in group
-        }
-        per_group = (
-            df.filter(keyed_ok)
-            .groupBy(F.col(card_col).alias("_wk_card"), F.col(bkt).alias("_wk_bkt"))
-            .agg(*[a.alias(n) for n, a in aggs.items()])
-            .select("_wk_card", "_wk_bkt", *[c.alias(n) for n, c in fired.items()])
-            .filter(" OR ".join(f"`{n}`" for n in fired))
-        )
+        fired = [f"_wf_{r.flag}" for r in group]
+        per_group = firing_groups(df, group, F.col(bkt), card_col, time_col)
         if strategy == "broadcast":
             limit = broadcast_row_limit(df)
             if cache is not None:
@@ -184,12 +216,12 @@ def flag_windows(
                 per_group = per_group.persist(StorageLevel.MEMORY_AND_DISK)
                 cache.append(per_group)
                 small = limit > 0 and per_group.count() <= limit
+                side = shuffle_side(per_group)
             else:
-                small = limit > 0 and per_group.limit(limit + 1).count() <= limit
-            if small:
-                per_group = F.broadcast(per_group)
-            else:
-                per_group = shuffle_side(per_group)
+                per_group = write_firing_groups(per_group)
+                small = limit > 0 and per_group.count() <= limit
+                side = per_group  # a plain scan: the join shuffles it itself
+            per_group = F.broadcast(per_group) if small else side
         else:
             per_group = shuffle_side(per_group, unless_broadcast=True)
         joined = df.join(
@@ -199,7 +231,7 @@ def flag_windows(
         )
         df = joined.withColumns(
             {r.flag: F.coalesce(F.col(f"_wf_{r.flag}"), F.lit(False)) for r in group}
-        ).drop("_wk_card", "_wk_bkt", bkt, *fired.keys())
+        ).drop("_wk_card", "_wk_bkt", bkt, *fired)
     return df
 
 

@@ -26,11 +26,20 @@ def optimized_plan(df) -> str:
 
 
 def test_window_rules_partial_hash_aggregate_and_broadcast(spark):
+    from ledgerlake.functions import bucket_start
+    from ledgerlake.operators.enrich import with_country, with_event_time
+    from ledgerlake.operators.rules import rules_from_config
+    from ledgerlake.operators.windows import firing_groups
+
+    rules = [r for r in rules_from_config(FIXTURE_CONFIG) if r.windowed]
+    rows = with_country(with_event_time(payments(spark, SF)))
+    agg = plan(firing_groups(rows, rules, bucket_start("event_time", "1 day")))
+    assert "SortAggregate" not in agg
+    assert "partial_count" in agg  # map-side combine before the shuffle
     df = enrich(payments(spark, SF), FIXTURE_CONFIG.with_(window_strategy="broadcast"))
     p = optimized_plan(df)
-    assert "SortAggregate" not in p
-    assert "partial_count" in p  # map-side combine before the shuffle
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p  # rows not shuffled
+    assert "Exchange hashpartitioning" not in p
 
 
 def test_window_rules_join_form_is_equi_join(spark):
