@@ -236,6 +236,8 @@ ORACLE_SQL = {
     ),
     "rules_join_form": ROUTED + "\nSELECT transaction_id, is_high_velocity, is_cross_border, is_high_decline_rate FROM routed",
     "rules_window_form": ROUTED + "\nSELECT transaction_id, is_high_velocity, is_cross_border, is_high_decline_rate FROM routed",
+    "rules_broadcast_form": ROUTED
+    + "\nSELECT transaction_id, is_high_velocity, is_cross_border, is_high_decline_rate FROM routed",
     "rules_reference_windows": ROUTED_REFERENCE_WINDOWS
     + "\nSELECT transaction_id, is_high_velocity, is_cross_border, is_high_decline_rate FROM routed",
     "route_valid": ROUTED + f"\nSELECT {BRONZE_COLS} FROM routed WHERE route = 'valid'",

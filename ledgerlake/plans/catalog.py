@@ -169,6 +169,8 @@ def _strategy_query(cfg):
 
 q_rules_join_form = _strategy_query(FX.with_(window_strategy="join"))
 q_rules_window_form = _strategy_query(FX.with_(window_strategy="window"))
+# Checked broadcast: firing groups written once to the scratch folder, counted, broadcast.
+q_rules_broadcast_form = _strategy_query(FX.with_(window_strategy="broadcast"))
 # The surveyed defaults: 1-minute velocity, 10-minute cross-border/decline rate.
 q_rules_reference_windows = _strategy_query(C.DEFAULT_CONFIG.with_(blacklisted_merchants=FX.blacklisted_merchants))
 
@@ -451,6 +453,7 @@ QUERIES = {
     "decline_rate_windows": q_decline_rate_windows,
     "rules_join_form": q_rules_join_form,
     "rules_window_form": q_rules_window_form,
+    "rules_broadcast_form": q_rules_broadcast_form,
     "rules_reference_windows": q_rules_reference_windows,
     "route_valid": q_route_valid,
     "route_dead_letter": q_route_dead_letter,
