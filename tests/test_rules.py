@@ -163,3 +163,20 @@ def test_blacklist_table_equals_list(spark, payments_df):
     by_list = flags(blacklisted_merchant_rule(["M11", "M22"]).apply(df), "is_blacklisted")
     assert by_table == by_list == {"a": True, "b": None, "c": False}
     assert blacklisted_merchant_rule(table).apply(df).count() == 3  # no fan-out from duplicate keys
+
+
+def test_static_broadcast_writes_firing_groups_once_under_the_shared_folder(spark, payments_df):
+    import os
+
+    from ledgerlake.session import scratch_root
+
+    root = f"{scratch_root(spark)}/ledgerlake"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    rows = [payment(tid=f"T{i}", ts=f"2026-05-29 06:39:{10 + i:02d}") for i in range(6)]
+    out = FraudDetector([high_velocity_rule()], strategy="broadcast", composites=False).apply(
+        with_event_time(payments_df(rows))
+    )
+    written = [d for d in set(os.listdir(root)) - before if d.startswith("firing_groups-")]
+    assert len(written) == 1  # one aggregation of the input, read back by the count and the join
+    assert spark.read.parquet(f"{root}/{written[0]}").count() == 1
+    assert all(flags(out, "is_high_velocity").values())
