@@ -107,11 +107,9 @@ def write_firing_groups(per_group: DataFrame) -> DataFrame:
     aggregating the input a second time, and the table survives the loss of
     an executor (a cached copy would be recomputed from the input).
     """
-    from ledgerlake.session import new_run_dir
+    from ledgerlake.session import write_scratch_table
 
-    path = new_run_dir(per_group.sparkSession, "firing_groups")
-    per_group.write.parquet(path)
-    return per_group.sparkSession.read.parquet(path)
+    return write_scratch_table(per_group, "firing_groups")
 
 
 def choose_strategy(df: DataFrame, strategy: str) -> str:

@@ -47,3 +47,17 @@ def scratch_root(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder (path only; Spark writers create it) for one run."""
     return f"{scratch_root(spark)}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def write_scratch_table(df, name: str):
+    """Compute ``df`` once into a Parquet table under the shared scratch
+    folder and return a DataFrame reading it back.
+
+    Used for small intermediate results that are both counted (to prove a
+    broadcast bound) and joined: the second use reads the table instead of
+    recomputing its input, and the table survives the loss of an executor
+    (a cached copy would be recomputed).
+    """
+    path = new_run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
