@@ -150,7 +150,8 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--user", default=None)
     g.add_argument("--password", default=None)
     g.add_argument("--driver", default=None)
-    g.add_argument("--dim-mode", choices=["overwrite", "append"], default="overwrite")
+    g.add_argument("--dim-mode", choices=["overwrite", "merge", "append"], default=None,
+                   help="default: overwrite for all of Silver, merge (new rows only) for one day")
     g.add_argument("--jdbc-partitions", type=int, default=DEFAULT_JDBC_CONNECTIONS,
                    help="concurrent connections per table (the write coalesces to it)")
     for sp in (s, g):

@@ -33,7 +33,7 @@ def run_gold(
     user: str | None = None,
     password: str | None = None,
     driver: str | None = None,
-    dim_mode: str = "overwrite",
+    dim_mode: str | None = None,
     fact_mode: str = "append",
     num_partitions: int | None = DEFAULT_JDBC_CONNECTIONS,
     threshold: float = HIGH_AMOUNT_THRESHOLD,
@@ -43,17 +43,27 @@ def run_gold(
 
     Each table is its own plan over the Silver scan, so every write reads
     only the columns it needs (pruned, partition-filtered Parquet) instead
-    of caching the whole input. Dimensions are rebuilt (truncate +
-    insert) by default; facts are appended. ``num_partitions`` bounds the
+    of caching the whole input. Facts are appended. Dimensions
+    (``dim_mode``): ``"overwrite"`` (truncate + insert; the default for a
+    run over all of Silver), ``"merge"`` (insert only rows not yet in the
+    table; the default for a day-scoped run, whose dimensions cover one day
+    only and must not replace the others) or ``"append"``. ``num_partitions`` bounds the
     concurrent connections per table (the write coalesces to it): a fact
     table built from thousands of Silver splits would otherwise open one
     connection per split against the database. ``None`` keeps the table's
     own partitioning.
     """
     silver = read_partitioned(spark, silver_path, year, month, day)
+    if dim_mode is None:
+        dim_mode = "overwrite" if year is None else "merge"
+    if dim_mode not in ("overwrite", "merge", "append"):
+        raise ValueError(f"unknown dimension mode {dim_mode!r}")
+    conn = {"user": user, "password": password, "driver": driver}
     written = {}
     for name, table in gold_tables(silver, threshold, blacklist).items():
         mode = dim_mode if name in DIMENSIONS else fact_mode
+        if mode == "merge":
+            table = new_dimension_rows(spark, table, name, jdbc_url, **conn)
         write_jdbc(
             table,
             name,
@@ -61,8 +71,27 @@ def run_gold(
             user=user,
             password=password,
             driver=driver,
-            mode=mode,
+            mode="append" if mode == "merge" else mode,
             num_partitions=num_partitions,
         )
         written[name] = mode
     return written
+
+
+def new_dimension_rows(spark: SparkSession, rows: DataFrame, table: str, jdbc_url: str, **conn) -> DataFrame:
+    """``rows`` not already in ``table`` (null-safe on every column).
+
+    A left anti join in Spark against the table read over JDBC; a missing
+    table has no rows yet. Re-running a day therefore inserts nothing twice.
+    """
+    from ledgerlake.sinks.jdbc import read_jdbc
+
+    try:
+        existing = read_jdbc(spark, table, jdbc_url, **conn).select(*rows.columns)
+    except Exception:  # noqa: BLE001 - the table does not exist yet
+        return rows
+    cond = None
+    for c in rows.columns:
+        eq = rows[c].eqNullSafe(existing[c])
+        cond = eq if cond is None else cond & eq
+    return rows.join(existing, cond, "left_anti")

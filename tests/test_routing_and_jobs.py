@@ -202,3 +202,25 @@ def test_jdbc_partitioned_read_keeps_every_row(spark):
     assert parts.count() == 1000 and parts.agg(F.sum("v")).first()[0] == 999 * 1000
     with pytest.raises(ValueError):
         read_jdbc(spark, "facts", url, partition_column="date_key")
+
+
+def test_day_scoped_gold_merges_dimensions(spark, tmp_dir):
+    """Day-scoped Gold runs add their dimension rows without replacing other
+    days' rows, and a re-run inserts nothing twice."""
+    from pyspark.sql import functions as F
+
+    from ledgerlake.plans.catalog import silver_all
+    from ledgerlake.plans.gold import run_gold
+    from ledgerlake.sinks.jdbc import read_jdbc
+    from ledgerlake.sinks.parquet import write_partitioned
+
+    write_partitioned(silver_all(spark, SF), f"{tmp_dir}/silver", mode="overwrite")
+    url = "jdbc:derby:memory:gold_days;create=true"
+    for y, m, d in [(2024, 1, 2), (2024, 1, 3), (2024, 1, 2)]:
+        written = run_gold(spark, f"{tmp_dir}/silver", url, y, m, d, blacklist=("M11", "M22"))
+        assert written["dim_card"] == "merge"
+    both = read_partitioned(spark, f"{tmp_dir}/silver").filter(F.col("day").isin(2, 3) & (F.col("month") == 1))
+    for name, cols in [("dim_card", ["card_hash"]), ("dim_merchant", ["merchant_id", "mcc", "country"])]:
+        got = read_jdbc(spark, name, url)
+        assert got.count() == got.distinct().count() == both.select(*cols).distinct().count()
+    assert read_jdbc(spark, "dim_date", url).count() == 2
