@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ def words_of(text: Column) -> Column:
 
 def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into row ranges of about ``max_bytes`` of text (one row at least)."""
-    sizes = [x or 0 for x in pa.compute.binary_length(batch.column(column)).to_pylist()]
+    sizes = [x or 0 for x in pc.binary_length(batch.column(column)).to_pylist()]
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > max_bytes:

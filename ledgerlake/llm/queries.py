@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat, sharding
+from ledgerlake.llm import chat, packing, quality, sharding
+from ledgerlake.llm.oracle import LLM_ORACLE_SQL
 from ledgerlake.sources.tables import read_table
 
 
@@ -20,10 +21,23 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(sharding.write_shards(sharding.shuffle_into_shards(docs)))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.judge_quality(docs).drop("longest_repeat")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.piece_digest(packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_sharding": op2_sharding,
+    "op3_quality_rules": op3_quality_rules,
+    "op6_packing": op6_packing,
 }
 
-#: DuckDB SQL of the queries that SQL can express.
-LLM_ORACLE_SQL: dict[str, str] = {}
+__all__ = ["LLM_ORACLE_SQL", "LLM_QUERIES"]
