@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 OP3 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS words FROM documents),
@@ -32,7 +32,7 @@ base AS (
          CAST(len(words) AS BIGINT) AS n_words,
          CAST(coalesce(length(array_to_string(words, '')), 0) AS BIGINT) AS word_chars,
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
          CAST(coalesce(n3, 0) AS BIGINT) AS n_repeat_words,
          CAST(coalesce(n10, 0) AS BIGINT) AS covered_words,
          coalesce(n101, 0) AS n101
