@@ -47,4 +47,66 @@ SELECT doc_id, n_words, word_chars, n_symbols,
 FROM base
 """
 
-LLM_ORACLE_SQL: dict[str, str] = {"op3_quality_rules": OP3}
+TRIM = r"regexp_replace(regexp_replace({}, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '')"
+
+OP8 = rf"""
+WITH lined AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines, len({WORDS}) AS n_words FROM documents),
+each AS (SELECT doc_id, source, unnest(range(1, len(lines) + 1)) AS i, lines FROM lined),
+line AS (SELECT doc_id, source, i, {TRIM.format('lines[i]')} AS l FROM each),
+spread AS (SELECT l FROM line WHERE l <> '' GROUP BY l HAVING count(DISTINCT source) >= 8),
+gone AS (
+  SELECT doc_id, list(i) AS gone, sum(len(regexp_split_to_array(l, '[\x20\x09-\x0D]+'))) AS words
+  FROM line JOIN spread USING (l) GROUP BY doc_id
+),
+cut AS (
+  SELECT d.doc_id, text, lines, g.gone, coalesce(100 * g.words <= 50 * n_words, false) AS cut
+  FROM lined d LEFT JOIN gone g ON d.doc_id = g.doc_id
+)
+SELECT doc_id,
+       CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines,
+       CAST(CASE WHEN cut THEN len(gone) ELSE 0 END AS BIGINT) AS n_removed,
+       sha256(CASE WHEN cut THEN coalesce(array_to_string(list_filter(lines, lambda x, i: NOT list_contains(gone, i)), chr(10)), '')
+                   ELSE coalesce(text, '') END) AS text_sha256
+FROM cut
+"""
+
+MASKS = ("111111", "11011011", "1101001011", "10110100011")
+
+
+def _seeds(table: str, key: str) -> str:
+    parts = []
+    for m, mask in enumerate(MASKS):
+        picks = [k for k, bit in enumerate(mask) if bit == "1"]
+        words = " || ' ' || ".join(f"t[i + {k}]" for k in picks)
+        parts.append(f"SELECT {key}, i, '{m}:' || {words} AS seed FROM {table}_at WHERE i + {picks[-1]} <= len(t)")
+    return " UNION ALL ".join(parts)
+
+
+TOKENS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+
+OP9 = f"""
+WITH d AS (SELECT doc_id, {TOKENS} AS t FROM documents),
+b AS (SELECT item_id, {TOKENS} AS t FROM benchmark),
+d_at AS (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS i FROM d),
+b_at AS (SELECT item_id, t, unnest(range(1, len(t) + 1)) AS i FROM b),
+ds AS ({_seeds('d', 'doc_id')}),
+bs AS ({_seeds('b', 'item_id')}),
+hits AS (SELECT DISTINCT doc_id, item_id, ds.i - bs.i AS diagonal FROM ds JOIN bs USING (seed)),
+compared AS (
+  SELECT h.doc_id, h.item_id, diagonal, len(b.t) AS n, least(13, len(b.t)) AS w,
+         list_transform(range(1, len(b.t) + 1), lambda j:
+           CASE WHEN diagonal + j >= 1 AND diagonal + j <= len(d.t) AND d.t[diagonal + j] = b.t[j] THEN 1 ELSE 0 END) AS same
+  FROM hits h JOIN d ON d.doc_id = h.doc_id JOIN b ON b.item_id = h.item_id
+),
+judged AS (
+  SELECT doc_id, item_id, diagonal, w, list_sum(same) AS matched,
+         list_max(list_transform(range(1, n - w + 2), lambda i: list_sum(same[i:i + w - 1]))) AS best
+  FROM compared
+)
+SELECT doc_id, item_id, CAST(best AS BIGINT) AS best_overlap, CAST(matched AS BIGINT) AS matched,
+       CAST(diagonal AS BIGINT) AS start
+FROM judged WHERE 13 * best >= 10 * w
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY best DESC, matched DESC, diagonal) = 1
+"""
+
+LLM_ORACLE_SQL: dict[str, str] = {"op3_quality_rules": OP3, "op8_line_dedup": OP8, "op9_decontamination": OP9}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat, packing, quality, sharding
+from ledgerlake.llm import chat, decontaminate, lines, packing, quality, sharding
 from ledgerlake.llm.oracle import LLM_ORACLE_SQL
 from ledgerlake.sources.tables import read_table
 
@@ -33,11 +33,22 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digest(packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digest(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_sharding": op2_sharding,
     "op3_quality_rules": op3_quality_rules,
     "op6_packing": op6_packing,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_decontamination": op9_decontamination,
 }
 
 __all__ = ["LLM_ORACLE_SQL", "LLM_QUERIES"]
