@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat, decontaminate, lines, packing, quality, sharding
+from ledgerlake.llm import chat, decontaminate, lines, packing, quality, sharding, substrings
 from ledgerlake.llm.oracle import LLM_ORACLE_SQL
 from ledgerlake.sources.tables import read_table
 
@@ -42,6 +42,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.repeat_digest(substrings.remove_repeats(docs))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_sharding": op2_sharding,
@@ -49,6 +54,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 __all__ = ["LLM_ORACLE_SQL", "LLM_QUERIES"]
