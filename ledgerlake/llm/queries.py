@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat, decontaminate, lines, packing, quality, sharding, substrings
+from ledgerlake.llm import chat, decontaminate, lines, near_duplicates, packing, quality, sharding, substrings
 from ledgerlake.llm.oracle import LLM_ORACLE_SQL
 from ledgerlake.sources.tables import read_table
 
@@ -33,6 +33,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digest(packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicate_classes(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digest(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
@@ -52,6 +56,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_quality_rules": op3_quality_rules,
     "op6_packing": op6_packing,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
