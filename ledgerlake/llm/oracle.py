@@ -109,4 +109,95 @@ FROM judged WHERE 13 * best >= 10 * w
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY best DESC, matched DESC, diagonal) = 1
 """
 
-LLM_ORACLE_SQL: dict[str, str] = {"op3_quality_rules": OP3, "op8_line_dedup": OP8, "op9_decontamination": OP9}
+def _op4_level(d: int) -> str:
+    return rf"""
+kids{d} AS (
+  SELECT host, template, seg[{d + 1}] AS s, sum(n) AS n, sum(l) AS l, sum(b) AS b
+  FROM tree{d} WHERE len(seg) > {d} GROUP BY ALL
+),
+up{d} AS (
+  SELECT host, template, count(*) AS k, sum(n) AS n, sum(l) AS l, sum(b) AS b FROM kids{d} GROUP BY ALL
+),
+to{d} AS (
+  SELECT c.host, c.template, c.s,
+         CASE WHEN u.k > 50 AND c.n * 50 < u.n THEN '*'
+              WHEN c.l < 10 THEN '*'
+              WHEN abs(c.b::DOUBLE / c.l::DOUBLE - u.b::DOUBLE / u.l::DOUBLE)
+                   <= 1.96 * sqrt(u.b::DOUBLE / u.l::DOUBLE * (1 - u.b::DOUBLE / u.l::DOUBLE) / c.l::DOUBLE) THEN '*'
+              ELSE c.s END AS x
+  FROM kids{d} c JOIN up{d} u ON c.host = u.host AND c.template = u.template
+),
+tree{d + 1} AS (
+  SELECT t.host, t.shape, t.seg, t.n, t.l, t.b, t.template || coalesce('/' || x, '') AS template
+  FROM tree{d} t LEFT JOIN to{d} o ON t.host = o.host AND t.template = o.template AND t.seg[{d + 1}] = o.s
+)"""
+
+
+_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+_FITS = " UNION ALL ".join(
+    f"SELECT '{h}' AS h, '{p}' AS p, '{h}{p}' AS rule, '{v}' AS verdict" for h, p, v in _RULES
+)
+
+OP4 = rf"""
+WITH split AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages
+),
+segs AS (
+  SELECT *, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
+                           lambda s: regexp_replace(s, '[0-9]+', '*', 'g')) AS every
+  FROM split
+),
+parts AS (
+  SELECT page_id, host, path, array_to_string(every[1:4] || CASE WHEN len(every) > 4 THEN ['**'] ELSE [] END, '/') AS shape
+  FROM segs
+),
+marks AS (
+  SELECT p.page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM parts p JOIN labels ON labels.doc_id = TRY_CAST(regexp_extract(path, '/(\d{{1,18}})(?:[/.]|$)', 1) AS BIGINT)
+  GROUP BY p.page_id
+),
+shapes AS (
+  SELECT host, shape, count(*) AS n, count(bad) AS l, coalesce(sum(bad), 0) AS b
+  FROM parts LEFT JOIN marks USING (page_id) GROUP BY ALL
+),
+tree0 AS (SELECT *, list_filter(string_split(shape, '/'), lambda s: s <> '') AS seg, '' AS template FROM shapes),
+{",".join(_op4_level(d) for d in range(4))},
+tree AS (SELECT host, shape, l, b, template || CASE WHEN len(seg) > 4 THEN '/**' ELSE '' END AS template FROM tree4),
+prior AS (SELECT coalesce((sum(l) - sum(b))::DOUBLE / nullif(sum(l), 0)::DOUBLE, 1.0) AS g FROM shapes),
+hosts AS (
+  SELECT host, ((sum(l) - sum(b))::DOUBLE + 10.0::DOUBLE * any_value(g)) / (sum(l)::DOUBLE + 10.0::DOUBLE) AS g
+  FROM shapes, prior GROUP BY host
+),
+judged AS (
+  SELECT t.host, template,
+         CASE WHEN ((sum(l) - sum(b))::DOUBLE + 10.0::DOUBLE * any_value(g)) / (sum(l)::DOUBLE + 10.0::DOUBLE) < 0.5::DOUBLE
+              THEN 'block' ELSE 'allow' END AS verdict
+  FROM tree t JOIN hosts h ON t.host = h.host GROUP BY ALL
+),
+fit AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(r.verdict, length(rule)) AS verdict
+  FROM parts JOIN ({_FITS}) r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY page_id
+)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, j.verdict) AS verdict, t.template
+FROM parts p JOIN tree t ON p.host = t.host AND p.shape = t.shape
+JOIN judged j ON j.host = t.host AND j.template = t.template
+LEFT JOIN fit f ON f.page_id = p.page_id
+"""
+
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op3_quality_rules": OP3,
+    "op4_url_filters": OP4,
+    "op8_line_dedup": OP8,
+    "op9_decontamination": OP9,
+}

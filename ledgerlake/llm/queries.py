@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat, decontaminate, lines, near_duplicates, packing, quality, sharding, substrings
+from ledgerlake.llm import (
+    chat,
+    decontaminate,
+    html_text,
+    lines,
+    near_duplicates,
+    packing,
+    quality,
+    sharding,
+    substrings,
+    urls,
+)
 from ledgerlake.llm.oracle import LLM_ORACLE_SQL
 from ledgerlake.sources.tables import read_table
 
@@ -26,6 +37,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(docs).drop("longest_repeat")
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = urls.labels_by_document_number(pages, read_table(spark, sf_dir, "labels"))
+    return urls.judge_urls(pages, labels).select("page_id", "host", "path", "rule", "verdict", "template")
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -55,6 +76,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_sharding": op2_sharding,
     "op3_quality_rules": op3_quality_rules,
+    "op4_url_filters": op4_url_filters,
+    "op5_html_extraction": op5_html_extraction,
     "op6_packing": op6_packing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_line_dedup": op8_line_dedup,
