@@ -109,7 +109,7 @@ def _signatures(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: in
 
 
 def _band_keys(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """Texts in, their band keys out (null for a text without words)."""
+    """Texts in, the band keys of those with words out."""
     for batch in batches:
         for part in text_slices(batch, "_text", SLICE_BYTES):
             found = []
@@ -130,11 +130,8 @@ def _band_keys(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iter
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel())
             )
-            some = [len(x) > 0 for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), lists.filter(pa.array(some)) if all(some) else pa.array([k if s else None for k, s in zip(lists.to_pylist(), some)], pa.list_(pa.int64()))],
-                names=["_node", "_keys"],
-            )
+            some = pa.array([len(x) > 0 for x in found], pa.bool_())
+            yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["_node", "_keys"]).filter(some)
 
 
 def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -182,7 +179,7 @@ def near_duplicate_classes(
         "_node struct<_id:long,_da:long,_db:long>, _keys array<long>",
     )
     banded = write_scratch_table(
-        of_node(signed.select("_node.*", "_keys")).filter("_keys is not null").select("_node", "_keys"), "band_keys"
+        of_node(signed.select("_node.*", "_keys")).select("_node", "_keys"), "band_keys"
     )
     members = banded.select("_node", F.explode("_keys").alias("_key"))
 
@@ -245,18 +242,21 @@ def near_duplicate_classes(
     classed = write_scratch_table(classed, "classes")
     plain = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return keyed.join(classed, (F.col("_da") == F.col("_ca")) & (F.col("_db") == F.col("_cb"))).select(
-        plain("_id").alias("doc_id"), plain("_class").alias("class_id"), "_id", "_class"
-    ).drop("_id", "_class")
+        plain("_id").alias("doc_id"), plain("_class").alias("class_id")
+    )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one document of each class: the one with the smallest id.
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each class: that of the smallest id (of several rows of that id, the smallest text).
 
-    Equal rows of that id are one document; of several texts under it all stay.
+    The texts are shuffled once, by id; the semi join uses the same shuffle.
     """
-    classes = near_duplicate_classes(docs, id_col=id_col, **options)
+    classes = near_duplicate_classes(docs, id_col=id_col, text_col=text_col, **options)
+    first = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
     first = write_scratch_table(
-        classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_first")).distinct(),
-        "first_of_class",
+        first.select(F.coalesce("class_id", F.lit(NO_ID)).alias("_first")).distinct(), "first_of_class"
     )
-    return docs.dropDuplicates().join(first, F.col(id_col).eqNullSafe(F.col("_first")), "left_semi")
+    turn = F.row_number().over(Window.partitionBy("_key").orderBy(F.col(text_col)))
+    keyed = docs.withColumn("_key", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
+    single = keyed.withColumn("_turn", turn).filter("_turn = 1")
+    return single.join(first, F.col("_key") == F.col("_first"), "left_semi").select(*docs.columns)
