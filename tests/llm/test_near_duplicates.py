@@ -1,0 +1,156 @@
+import random
+
+import numpy as np
+import pytest
+
+from ledgerlake.llm import components, near_duplicates
+from tests.llm import edge
+
+DOCS = "doc_id long, text string"
+
+
+def shingle_set(text):
+    w = text.split()
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute(rows, threshold=0.8):
+    """Smallest id of the component, from every pair, by exact similarity."""
+    texts = dict(rows)
+    parsed = {i: near_duplicates.shingles(t) for i, t in texts.items()}
+    parent = {i: i for i in texts}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(texts)
+    for n, i in enumerate(ids):
+        for j in ids[n + 1 :]:
+            if (texts[i] or "") == (texts[j] or "") or near_duplicates.similarity(parsed[i], parsed[j]) >= threshold:
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return {i: root(i) for i in ids}
+
+
+def classes(spark, rows, **options):
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    return {r.doc_id: r.class_id for r in near_duplicates.near_duplicate_classes(df, **options).collect()}
+
+
+def test_similarity_is_probability_jaccard():
+    rng = random.Random(2)
+    for _ in range(200):
+        x = {k: rng.randint(1, 5) for k in rng.sample(range(12), rng.randint(1, 10))}
+        y = {k: rng.randint(1, 5) for k in rng.sample(range(12), rng.randint(1, 10))}
+        want = sum(
+            1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in set(x) | set(y)) for i in set(x) & set(y)
+        )
+        plain = len(set(x) & set(y)) / len(set(x) | set(y))
+        as_arrays = [(np.array(sorted(d), dtype=np.uint64), np.array([float(d[k]) for k in sorted(d)])) for d in (x, y)]
+        assert near_duplicates.similarity(*as_arrays) == pytest.approx(max(want, plain))
+
+
+def test_signatures_estimate_probability_jaccard():
+    rng = np.random.default_rng(4)
+    a = rng.integers(1, 1 << 62, 300).astype(np.uint64)
+    x = (a[:250], np.linspace(1, 4, 300)[:250])
+    y = (a[50:], np.linspace(1, 4, 300)[50:])
+    x, y = ((k[np.argsort(k)], w[np.argsort(k)]) for k, w in (x, y))
+    text = np.repeat([0, 1], [250, 250])
+    who = near_duplicates._signatures(text, np.concatenate([x[0], y[0]]), np.concatenate([x[1], y[1]]), 2, 4096)
+    assert (who > 0).all()
+    want = near_duplicates.similarity(x, y)
+    assert abs((who[0] == who[1]).mean() - want) < 0.03
+
+
+def test_by_brute_force(spark):
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = []
+    for _ in range(25):
+        base = [rng.choice(vocabulary) for _ in range(rng.randint(30, 120))]
+        for _ in range(rng.randint(1, 6)):
+            text = list(base)
+            for _ in range(rng.randint(0, 4)):
+                text[rng.randrange(len(text))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(text)))
+    rows += [(1000, "too few words"), (1001, "too few words"), (1002, "a a a a a a a a a"), (1003, ""), (1004, "")]
+    assert classes(spark, rows) == brute(rows)
+
+
+def chain(n, step):
+    """Each text is similar to the next ones only; all fall into few common buckets."""
+    words = [f"c{i}" for i in range(200 + n * step)]
+    return [(i, " ".join(words[i * step : i * step + 200])) for i in range(n)]
+
+
+def test_a_chain_of_near_copies_is_one_class(spark):
+    rows = chain(12, 10)
+    assert len(set(brute(rows).values())) == 1
+    assert classes(spark, rows) == brute(rows)
+
+
+def test_crowded_buckets_lose_no_link(spark, monkeypatch):
+    # One band of one slot: buckets hold unlike texts, so that later centres are needed.
+    shared = [f"s{i}" for i in range(60)]
+    rng = random.Random(8)
+    rows = []
+    for g in range(40):
+        own = [f"g{g}_{i}" for i in range(30)]
+        for _ in range(3):
+            text = shared + own
+            text[rng.randrange(60, 90)] = f"x{len(rows)}"
+            rows.append((len(rows), " ".join(text)))
+    # Every bucket's links are found: with enough one-slot bands each pair meets somewhere.
+    assert classes(spark, rows, bands=40, rows=1) == brute(rows)
+
+
+def test_large_groups_of_copies(spark):
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(i, " ".join(base)) for i in range(600)]
+    for i in range(600, 900):
+        text = list(base)
+        text[rng.randrange(150)] = f"n{i}"
+        rows.append((i, " ".join(text)))
+    rows += [(5000 + i, " ".join(f"r{i}_{k}" for k in range(50))) for i in range(100)]
+    got = classes(spark, rows)
+    assert {got[i] for i in range(900)} == {0}
+    assert all(got[5000 + i] == 5000 + i for i in range(100))
+
+
+def test_edges(spark):
+    out = near_duplicates.near_duplicate_classes(edge.docs(spark)).collect()
+    assert len(out) == len(edge.rows())
+    got = {}
+    for r in out:
+        got.setdefault(r.doc_id, set()).add(r.class_id)
+    assert got[5] == got[6] == got[7] == {5}
+    assert got[8] == {8} and got[3] == {3}
+    assert got[0] == got[1] == {None}  # empty, as a row without id is
+    kept = near_duplicates.drop_near_duplicates(edge.docs(spark))
+    assert kept.columns == edge.DOCS.names
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(x for x in ids if x is not None) == [2, 3, 4, 5, 8, 9] and ids.count(None) == 1
+    assert near_duplicates.near_duplicate_classes(edge.no_docs(spark)).count() == 0
+    assert near_duplicates.drop_near_duplicates(edge.no_docs(spark)).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 460)]
+    pairs = [(min(p), max(p)) for p in pairs if p[0] != p[1]]
+    parent = {x: x for p in pairs for x in p}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    got = {(r.a, r.b) for r in components.stars(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {(root(x), x) for x in parent if root(x) != x}
