@@ -34,8 +34,8 @@ def brute(rows, threshold=0.8):
     return {i: root(i) for i in ids}
 
 
-def classes(spark, rows, **options):
-    df = spark.createDataFrame(rows, DOCS).repartition(4)
+def classes(spark, docs, **options):
+    df = spark.createDataFrame(docs, DOCS).repartition(4)
     return {r.doc_id: r.class_id for r in near_duplicates.near_duplicate_classes(df, **options).collect()}
 
 
@@ -92,7 +92,7 @@ def test_a_chain_of_near_copies_is_one_class(spark):
     assert classes(spark, rows) == brute(rows)
 
 
-def test_crowded_buckets_lose_no_link(spark, monkeypatch):
+def test_crowded_buckets_lose_no_link(spark):
     # One band of one slot: buckets hold unlike texts, so that later centres are needed.
     shared = [f"s{i}" for i in range(60)]
     rng = random.Random(8)
