@@ -19,7 +19,6 @@ rows; columns other than id and text are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -61,65 +60,87 @@ class TokenIds:
 
     The tokenizer's pre-tokens never run over a single space between two
     other characters (they only begin with it), so a text is cut there and at
-    single line feeds, and the ids of the parts are remembered. Texts with
-    other white space are encoded whole.
+    single line feeds, and the ids of the parts are remembered: those of the
+    last ``limit`` new parts and of as many before them. Texts with other
+    white space are encoded whole.
     """
 
-    ODD = re.compile(r"\s\s|[^\S\n ]|^\s|\s$")
+    GROUP = 64
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
+        vocabulary = self.tokenizer.get_vocab()
+        # In this vocabulary a token that begins with a space is written with this letter.
+        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.begins[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.feed, self.stop, self.comma = self.encode(["\n", ".", ","])
         self.first: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
+        self.old_first: dict[str, bytes] = {}
+        self.old_inner: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         rows = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in rows]
 
-    def learn(self, parts: set[str], known: dict[str, bytes], lead: str) -> None:
-        new = [x for x in parts if x not in known]
-        if not new:
-            return
-        if len(self.first) + len(self.inner) + len(new) > self.limit:
-            known.clear()
-            new = list(parts)
+    def encode_inner(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that follow a space: many in one string, cut where a token begins with a space."""
+        groups = [" " + " ".join(parts[i : i + self.GROUP]) for i in range(0, len(parts), self.GROUP)]
+        rows = self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)
+        ids = np.concatenate([np.array(x.ids, dtype="<u4") for x in rows]) if rows else np.empty(0, dtype="<u4")
+        cuts = (4 * np.flatnonzero(self.begins[ids])).tolist()
+        if len(cuts) != len(parts):
+            raise ValueError("the tokenizer joins words over spaces")
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in zip(cuts, [*cuts[1:], len(packed)])]
+
+    def learn(self, parts: set[str], known: dict[str, bytes], old: dict[str, bytes], encode) -> None:
+        new = parts.difference(known)
+        again = new.intersection(old)
+        known.update((x, old[x]) for x in again)
+        new -= again
         # "word," is "word" and ",": a letter and a stop never share a pre-token.
-        bare = {x[:-1]: None for x in new if len(x) > 1 and x[-1] in ".," and x[-2].isalpha()}
-        need = [x for x in bare if x not in known]
-        need += [x for x in new if x not in bare and not (len(x) > 1 and x[-1] in ".," and x[-2].isalpha())]
-        known.update(zip(need, self.encode([lead + x for x in need])))
-        if bare:
-            stops = dict(zip(".,", self.encode([".", ","])))
-            for x in new:
-                if x not in known:
-                    known[x] = known[x[:-1]] + stops[x[-1]]
+        stopped = [x for x in new if x[-1] in ".," and x[-2:-1].isalpha()]
+        bare = {x[:-1] for x in stopped}.difference(known)
+        bare |= new.difference(stopped)
+        need = list(bare)
+        known.update(zip(need, encode(need)))
+        for x in stopped:
+            known[x] = known[x[:-1]] + (self.stop if x[-1] == "." else self.comma)
 
     def of(self, texts: list[str]) -> list[bytes]:
-        odd = [bool(self.ODD.search(x)) for x in texts]
-        cut = [None if o else [line.split(" ") for line in x.split("\n")] for x, o in zip(texts, odd)]
-        first: set[str] = {"\n"}
+        if len(self.inner) > self.limit:
+            self.old_inner, self.inner = self.inner, {}
+        if len(self.first) > self.limit // 4:
+            self.old_first, self.first = self.first, {}
+        cut: list[list[list[str]] | None] = []
+        first: set[str] = set()
         inner: set[str] = set()
-        for lines in cut:
-            for line in lines or ():
-                first.add(line[0])
-                inner.update(line[1:])
-        first.discard("")
-        self.learn(first, self.first, "")
-        self.learn(inner, self.inner, " ")
-        if "\n" not in self.first:
-            self.learn({"\n"}, self.first, "")
-        whole = iter(self.encode([x for x, o in zip(texts, odd) if o]))
-        feed, start, rest = self.first["\n"], self.first, self.inner.__getitem__
+        for text in texts:
+            lines = text.split("\n")
+            parts: list[list[str]] | None = None
+            if all(map(str.isprintable, lines)):  # no white space but single spaces, as no part is empty
+                parts = [line.split(" ") for line in lines]
+                if any("" in x for x in parts):
+                    parts = None
+            cut.append(parts)
+            for x in parts or ():
+                first.add(x[0])
+                inner.update(x[1:])
+        self.learn(first, self.first, self.old_first, self.encode)
+        self.learn(inner, self.inner, self.old_inner, self.encode_inner)
+        whole = iter(self.encode([x for x, parts in zip(texts, cut) if parts is None]))
+        start, rest = self.first, self.inner.__getitem__
         out = []
-        for lines in cut:
-            if lines is None:
+        for parts in cut:
+            if parts is None:
                 out.append(next(whole))
             else:
-                out.append(feed.join([b"".join([start[x[0]] if x[0] else b"", *map(rest, x[1:])]) for x in lines]))
+                out.append(self.feed.join([b"".join([start[x[0]], *map(rest, x[1:])]) for x in parts]))
         return out
 
 
@@ -182,7 +203,7 @@ def pack_documents(
 
         def encoded():
             for batch in batches:
-                for part in text_slices(batch, "text"):
+                for part in text_slices(batch, "text", 4 << 20):
                     texts = [x or "" for x in part.column(1).to_pylist()]
                     for doc_id, ids in zip(part.column(0).to_pylist(), tokens.of(texts)):
                         yield doc_id, ids + end
