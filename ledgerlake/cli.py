@@ -20,12 +20,6 @@ from ledgerlake.plans.gold import DEFAULT_JDBC_CONNECTIONS
 
 log = logging.getLogger("ledgerlake")
 
-# Default micro-batch bounds of the Bronze stream (each batch is persisted
-# once while its sinks are written).
-MAX_OFFSETS_PER_TRIGGER = 50_000_000
-MAX_FILES_PER_TRIGGER = 1_000
-
-
 def _session(app: str):
     from pyspark.sql import SparkSession
 
@@ -45,6 +39,7 @@ def _bronze(args) -> None:
     cfg = DEFAULT_CONFIG.with_(
         null_policy=args.null_policy,
         window_strategy=args.window_strategy,
+        window_scope=args.window_scope,
         trigger_interval=args.trigger,
     )
     options = {}
@@ -63,6 +58,7 @@ def _bronze(args) -> None:
         bootstrap=args.bootstrap,
         topic=args.topic,
         max_files_per_trigger=args.max_files_per_trigger,
+        fail_on_data_loss=not args.allow_data_loss,
         options=options,
     )
     root = args.bronze_path.rstrip("/")
@@ -100,7 +96,7 @@ def _gold(args) -> None:
     written = run_gold(
         spark,
         args.silver_path,
-        args.jdbc_url,
+        args.jdbc_url or args.parquet_path,
         args.year,
         args.month,
         args.day,
@@ -108,6 +104,7 @@ def _gold(args) -> None:
         password=args.password,
         driver=args.driver,
         dim_mode=args.dim_mode,
+        fact_mode=args.fact_mode,
         num_partitions=args.jdbc_partitions,
     )
     log.info("gold tables written: %s", written)
@@ -128,13 +125,16 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--checkpoint-path", required=True)
     b.add_argument("--trigger", default=DEFAULT_CONFIG.trigger_interval)
     b.add_argument("--available-now", action="store_true")
-    b.add_argument("--max-offsets-per-trigger", type=int, default=MAX_OFFSETS_PER_TRIGGER,
-                   help="kafka: messages per micro-batch (0: unbounded). Bounds the persisted batch, so a "
-                        "catch-up from the earliest offset runs as many batches instead of one")
+    b.add_argument("--max-offsets-per-trigger", type=int, default=None,
+                   help="kafka: messages per micro-batch (default: no bound). With window scope micro_batch a "
+                        "smaller batch narrows what the window rules see and so changes verdicts")
     b.add_argument("--min-partitions", type=int, default=None,
                    help="kafka: split topic partitions into at least this many tasks (default: cluster parallelism)")
-    b.add_argument("--max-files-per-trigger", type=int, default=MAX_FILES_PER_TRIGGER,
-                   help="file: files per micro-batch (0: unbounded)")
+    b.add_argument("--max-files-per-trigger", type=int, default=None,
+                   help="file: files per micro-batch (default: no bound); narrows the window rules as well")
+    b.add_argument("--window-scope", choices=["micro_batch", "stateful"], default="micro_batch",
+                   help="which rows a window rule sees: those of its micro-batch, or the alert stream's state")
+    b.add_argument("--allow-data-loss", action="store_true", help="kafka: go on when offsets have expired")
     b.add_argument("--replay-safe", action="store_true", help="partition Bronze by batch id, overwrite on replay")
     b.add_argument("--null-policy", choices=["propagate", "quarantine"], default="propagate")
     b.add_argument("--window-strategy", choices=["auto", "broadcast", "join", "window"], default="auto")
@@ -144,16 +144,20 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--bronze-path", required=True)
     s.add_argument("--silver-path", required=True)
     s.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
-    g = sub.add_parser("gold", help="build the star schema into a JDBC database")
+    g = sub.add_parser("gold", help="build the star schema into a JDBC database or Parquet tables")
     g.add_argument("--silver-path", required=True)
-    g.add_argument("--jdbc-url", required=True)
+    where = g.add_mutually_exclusive_group(required=True)
+    where.add_argument("--jdbc-url", default=None)
+    where.add_argument("--parquet-path", default=None, help="root folder of Parquet tables instead of a database")
+    g.add_argument("--fact-mode", choices=["append", "replace_day"], default="append",
+                   help="replace_day (Parquet): a re-run replaces the days it writes")
     g.add_argument("--user", default=None)
     g.add_argument("--password", default=None)
     g.add_argument("--driver", default=None)
     g.add_argument("--dim-mode", choices=["overwrite", "merge", "append"], default=None,
                    help="default: overwrite for all of Silver, merge (new rows only) for one day")
     g.add_argument("--jdbc-partitions", type=int, default=DEFAULT_JDBC_CONNECTIONS,
-                   help="concurrent connections per table (the write coalesces to it)")
+                   help="concurrent connections per table")
     for sp in (s, g):
         sp.add_argument("--year", type=int, default=None)
         sp.add_argument("--month", type=int, default=None)

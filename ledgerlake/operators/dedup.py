@@ -1,8 +1,10 @@
 """Keep-first deduplication.
 
 Keeps, per key, the first row in ``order_by`` order (ascending, nulls
-first), breaking ties by the remaining columns so the result is
-deterministic. Two plans:
+first), breaking ties by ``ties`` (default: the remaining columns) so the
+result is deterministic. Columns that are functions of those in ``ties`` need
+not be sorted by, and a plan that reads few columns then prunes the rest.
+Two plans:
 
 ``window`` (default)
     ``row_number() over (partition by key order by ...) = 1``. Spark plans a
@@ -19,8 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _order(df: DataFrame, keys: list[str], order_by: list[str]) -> list[str]:
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
+def _order(df: DataFrame, keys: list[str], order_by: list[str], ties: list[str] | None) -> list[str]:
+    rest = [c for c in (df.columns if ties is None else ties) if c not in keys and c not in order_by]
     return list(order_by) + rest
 
 
@@ -29,11 +31,12 @@ def keep_first(
     keys: list[str] | str,
     order_by: list[str] | str,
     strategy: str = "window",
+    ties: list[str] | None = None,
 ) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     cols = df.columns
-    order = _order(df, keys, order_by)
+    order = _order(df, keys, order_by, ties)
     if strategy == "window":
         w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
         return (
@@ -44,6 +47,7 @@ def keep_first(
     if strategy != "aggregate":
         raise ValueError(f"unknown dedup strategy {strategy!r}")
     # Struct comparison is field by field, ascending with nulls first.
+    order += [c for c in cols if c not in order and c not in keys]
     first = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]))
     out = df.groupBy(*keys).agg(first.alias("_first"))
     return out.select(*[F.col(f"_first._o{order.index(c)}").alias(c) if c in order else F.col(c) for c in cols])

@@ -127,16 +127,17 @@ def high_velocity_rule(max_txn: int = C.VELOCITY_MAX_TXN, duration: str = C.VELO
 def cross_border_rule(duration: str = C.CROSS_BORDER_WINDOW) -> WindowRule:
     """More than one distinct country for one card in one bucket.
 
-    Grouped plans use the distinct count (hash aggregates keyed by country,
-    no sort). Over windows and in streaming state, where a distinct count is
-    not allowed, the equivalent test is min <> max: two distinct non-null
-    values exist exactly when they differ.
+    Two distinct non-null values exist exactly when the smallest differs from
+    the largest, which also merges over sub-buckets. Their 64-bit hashes stand
+    for the countries: extremes of longs are hash aggregates, those of strings
+    would sort every row. The report of single windows counts the countries.
     """
+    country = F.when(F.col("country").isNotNull(), F.xxhash64("country"))
     return WindowRule(
         "is_cross_border",
         C.REASON_CROSS_BORDER,
         duration,
-        lambda: {"country_min": F.min("country"), "country_max": F.max("country")},
+        lambda: {"country_min": F.min(country), "country_max": F.max(country)},
         lambda a: a("country_min") != a("country_max"),
         lambda: {"country_count": F.count_distinct("country")},
         lambda a: a("country_count") > F.lit(1),
@@ -189,7 +190,7 @@ class FraudDetector:
         composites: bool = True,
         card_col: str = "card_hash",
         time_col: str = "event_time",
-        cache: list | None = None,
+        windows_from_state: bool = False,
     ):
         flags = [r.flag for r in rules]
         if len(set(flags)) != len(flags):
@@ -201,11 +202,12 @@ class FraudDetector:
         self.composites = composites
         self.card_col = card_col
         self.time_col = time_col
-        self.cache = cache
+        self.windows_from_state = windows_from_state
 
     @classmethod
     def from_config(cls, cfg: C.PipelineConfig = C.DEFAULT_CONFIG, **kw) -> "FraudDetector":
-        return cls(rules_from_config(cfg), strategy=cfg.window_strategy, **kw)
+        stateful = cfg.window_scope == "stateful"
+        return cls(rules_from_config(cfg), strategy=cfg.window_strategy, windows_from_state=stateful, **kw)
 
     def apply(self, df: DataFrame) -> DataFrame:
         from ledgerlake.operators.windows import flag_windows
@@ -221,21 +223,26 @@ class FraudDetector:
 
                 df = flag_membership(df, r.column, r.values, r.flag)
         win_rules = [r for r in self.rules if r.windowed]
-        if win_rules:
-            df = flag_windows(df, win_rules, self.strategy, self.card_col, self.time_col, self.cache)
+        if win_rules and self.windows_from_state:
+            # Filled in from the alert stream's state (streaming.alerts.with_window_state).
+            df = df.withColumns({r.flag: F.lit(False) for r in win_rules})
+        elif win_rules:
+            df = flag_windows(df, win_rules, self.strategy, self.card_col, self.time_col)
         if self.composites:
-            flags = [F.col(r.flag) for r in self.rules]
-            df = df.withColumns(
-                {
-                    "fraud_reasons": reasons_of(
-                        [(F.col(r.flag), r.reason) for r in self.rules], C.REASON_SEPARATOR
-                    ),
-                    "is_fraud": any_true(flags),
-                }
-            )
+            df = self.with_verdict(df)
         drop = []
         if not self.keep_flags:
             drop += [r.flag for r in self.rules]
         if not self.keep_country:
             drop.append("country")
         return df.drop(*drop) if drop else df
+
+    def with_verdict(self, df: DataFrame) -> DataFrame:
+        """``fraud_reasons`` and ``is_fraud`` from the flags."""
+        reasons = [(F.col(r.flag), r.reason) for r in self.rules]
+        return df.withColumns(
+            {
+                "fraud_reasons": reasons_of(reasons, C.REASON_SEPARATOR),
+                "is_fraud": any_true([F.col(r.flag) for r in self.rules]),
+            }
+        )

@@ -1,32 +1,27 @@
 """Evaluate window rules: per-(card, tumbling bucket) aggregates -> row flags.
 
-Strategies (same flags, different physical plans):
-
-``join``
-    Aggregate per (card, bucket) -- partial aggregation combines a hot card
-    map-side, so the shuffle carries one row per group and task -- keep only
-    the groups that fire, then left equi-join them back on (card, bucket).
-    The join shuffles the rows; the firing groups get a shuffle of their own
-    (see :func:`shuffle_side`) so that AQE's skew-join handling can split a
-    hot (card, bucket) on the row side.
+Strategies (same flags, different physical plans, every one a lazy plan that
+runs no job and writes nothing while it is built):
+
+``join`` (also ``auto``, the default at every size)
+    One aggregate per (card, shortest bucket) of the incoming rows -- partial
+    aggregation combines a hot card map-side, so the shuffle carries one row
+    per group and task. Longer durations are rolled up from these groups with
+    window functions over at most duration / shortest of them. Only groups
+    where a rule fires are left-joined back, once, on (card, shortest bucket).
+    Adaptive execution broadcasts them if their real bytes allow; else the
+    firing groups have a shuffle of their own (see :func:`shuffle_side`), so
+    that it can split a hot (card, bucket) on the row side.
 ``broadcast``
-    As ``join``, but the firing groups are computed first -- persisted for
-    the batch when the caller owns a cache list (micro-batches), else written
-    once to a table under the shared scratch folder -- and counted. If they
-    fit under the session's broadcast threshold they are broadcast and the
-    rows are never shuffled; otherwise the plan falls back to ``join``.
-``auto`` (default)
-    ``window`` when Catalyst's size estimate of the input is at most
-    ``spark.ledgerlake.windowRules.smallInputBytes`` (default 64 MB: one
-    small shuffle, no extra job, and no group can be large), else
-    ``broadcast``. Inputs without a size estimate (stream batches) take
-    ``broadcast``.
+    As ``join`` without that extra shuffle of the firing groups, for inputs
+    known to have few of them.
 ``window``
     Window aggregates over ``partitionBy(card, bucket)``: one shuffle per
     bucket duration, no join, but a hot (card, bucket) group is one task.
-    Kept as the reference-shaped cross-check.
 
-Rules sharing a bucket duration share one aggregate and one join.
+Durations that are not multiples of the shortest, or rules that cannot be
+rolled up, get one aggregate and one join per duration, all from the incoming
+rows.
 """
 
 from __future__ import annotations
@@ -65,10 +60,6 @@ def broadcast_row_limit(df: DataFrame) -> int:
     return max(0, broadcast_threshold(df) // EST_ROW_BYTES)
 
 
-SMALL_INPUT_CONF = "spark.ledgerlake.windowRules.smallInputBytes"
-SMALL_INPUT_DEFAULT = 64 << 20
-
-
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (no job runs), or None if unknown."""
     try:
@@ -99,27 +90,6 @@ def shuffle_side(small: DataFrame, unless_broadcast: bool = False) -> DataFrame:
     return small.hint("rebalance")
 
 
-def write_firing_groups(per_group: DataFrame) -> DataFrame:
-    """Compute the firing groups once into a table under the session's
-    shared scratch folder (``spark.checkpoint.dir``) and read it back.
-
-    Counting them and joining them then reads this small table instead of
-    aggregating the input a second time, and the table survives the loss of
-    an executor (a cached copy would be recomputed from the input).
-    """
-    from ledgerlake.session import write_scratch_table
-
-    return write_scratch_table(per_group, "firing_groups")
-
-
-def choose_strategy(df: DataFrame, strategy: str) -> str:
-    if strategy != "auto":
-        return strategy
-    small = _bytes(df.sparkSession.conf.get(SMALL_INPUT_CONF, str(SMALL_INPUT_DEFAULT)), SMALL_INPUT_DEFAULT)
-    size = estimated_bytes(df)
-    return "window" if size is not None and size <= small else "broadcast"
-
-
 def _group_by_duration(rules) -> "OrderedDict[int, list]":
     groups: OrderedDict[int, list] = OrderedDict()
     for r in rules:
@@ -168,69 +138,88 @@ def firing_groups(
     )
 
 
+_MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
+
+
+def rolled_up(rules) -> str | None:
+    """The shortest duration, if the aggregates of every rule can be merged from its buckets."""
+    if any(r.rollup is None for r in rules):
+        return None
+    finest = min(rules, key=lambda r: duration_micros(r.duration))
+    base = duration_micros(finest.duration)
+    return None if any(duration_micros(r.duration) % base for r in rules) else finest.duration
+
+
+def firing_buckets(
+    df: DataFrame, rules, base: str, card_col: str = "card_hash", time_col: str = "event_time"
+) -> DataFrame:
+    """(card, ``base`` bucket) groups inside a firing window of any rule: ``_wk_card``, ``_wk_bkt``, ``_wf_<flag>``."""
+    keyed_ok = F.col(card_col).isNotNull() & F.col(time_col).isNotNull()
+    aggs = _named_aggs(rules)
+    groups = (
+        df.filter(keyed_ok)
+        .groupBy(F.col(card_col).alias("_wk_card"), bucket_start(time_col, base).alias("_wk_bkt"))
+        .agg(*[a.alias(n) for n, a in aggs.items()])
+    )
+    fired = {}
+    for micros, group in _group_by_duration(rules).items():
+        if micros == duration_micros(base):
+            at = F.col
+        else:
+            whole = Window.partitionBy("_wk_card", bucket_start(F.col("_wk_bkt"), group[0].duration))
+            how = {f"_wa_{r.flag}_{n}": m for r in group for n, m in r.rollup}
+            at = lambda c, how=how, whole=whole: _MERGE[how[c]](c).over(whole)
+        for r in group:
+            fired[f"_wf_{r.flag}"] = F.coalesce(
+                r.predicate(lambda n, r=r, at=at: at(f"_wa_{r.flag}_{n}")), F.lit(False)
+            )
+    return groups.select("_wk_card", "_wk_bkt", *[c.alias(n) for n, c in fired.items()]).filter(
+        " OR ".join(f"`{n}`" for n in fired)
+    )
+
+
 def flag_windows(
     df: DataFrame,
     rules,
     strategy: str = "auto",
     card_col: str = "card_hash",
     time_col: str = "event_time",
-    cache: list | None = None,
 ) -> DataFrame:
-    """Add one boolean column per rule.
-
-    ``cache``: when given (a batch that owns its lifecycle), the firing-group
-    aggregate of ``auto``/``broadcast`` is persisted once, sized with a full
-    count and reused by the join whichever form it takes; the caller
-    unpersists every frame appended to the list.
-    """
+    """Add one boolean column per rule."""
     if strategy not in ("auto", "join", "window", "broadcast"):
         raise ValueError(f"unknown window strategy {strategy!r}")
-    strategy = choose_strategy(df, strategy)
-    card, ts = F.col(card_col), F.col(time_col)
-    keyed_ok = card.isNotNull() & ts.isNotNull()
-    for i, (_, group) in enumerate(_group_by_duration(rules).items()):
-        bkt = f"_wb_{i}"
-        df = df.withColumn(bkt, bucket_start(time_col, group[0].duration))
-        if strategy == "window":
-            w = Window.partitionBy(card_col, bkt)
+    if strategy == "window":
+        keyed_ok = F.col(card_col).isNotNull() & F.col(time_col).isNotNull()
+        for group in _group_by_duration(rules).values():
+            df = df.withColumn("_wb", bucket_start(time_col, group[0].duration))
+            w = Window.partitionBy(card_col, "_wb")
             over = {n: a.over(w) for n, a in _named_aggs(group).items()}
             df = df.withColumns(
                 {
-                    r.flag: keyed_ok
-                    & F.coalesce(r.predicate(lambda n, r=r: over[f"_wa_{r.flag}_{n}"]), F.lit(False))
+                    r.flag: keyed_ok & F.coalesce(r.predicate(lambda n, r=r: over[f"_wa_{r.flag}_{n}"]), F.lit(False))
                     for r in group
                 }
-            )
-            df = df.drop(bkt)
-            continue
-
-        fired = [f"_wf_{r.flag}" for r in group]
-        per_group = firing_groups(df, group, F.col(bkt), card_col, time_col)
-        if strategy == "broadcast":
-            limit = broadcast_row_limit(df)
-            if cache is not None:
-                from pyspark import StorageLevel
-
-                per_group = per_group.persist(StorageLevel.MEMORY_AND_DISK)
-                cache.append(per_group)
-                small = limit > 0 and per_group.count() <= limit
-                side = shuffle_side(per_group)
-            else:
-                per_group = write_firing_groups(per_group)
-                small = limit > 0 and per_group.count() <= limit
-                side = per_group  # a plain scan: the join shuffles it itself
-            per_group = F.broadcast(per_group) if small else side
-        else:
-            per_group = shuffle_side(per_group, unless_broadcast=True)
-        joined = df.join(
-            per_group,
-            (F.col(card_col) == F.col("_wk_card")) & (F.col(bkt) == F.col("_wk_bkt")),
-            "left",
+            ).drop("_wb")
+        return df
+
+    base = rolled_up(rules)
+    if base is not None:
+        sides = [(base, rules, firing_buckets(df, rules, base, card_col, time_col))]
+    else:
+        sides = [
+            (g[0].duration, g, firing_groups(df, g, bucket_start(time_col, g[0].duration), card_col, time_col))
+            for g in _group_by_duration(rules).values()
+        ]
+    out = df
+    for duration, group, side in sides:
+        if strategy != "broadcast":
+            side = shuffle_side(side, unless_broadcast=True)
+        out = out.withColumn("_wb", bucket_start(time_col, duration))
+        joined = out.join(side, (F.col(card_col) == F.col("_wk_card")) & (F.col("_wb") == F.col("_wk_bkt")), "left")
+        out = joined.withColumns({r.flag: F.coalesce(F.col(f"_wf_{r.flag}"), F.lit(False)) for r in group}).drop(
+            "_wk_card", "_wk_bkt", "_wb", *[f"_wf_{r.flag}" for r in group]
         )
-        df = joined.withColumns(
-            {r.flag: F.coalesce(F.col(f"_wf_{r.flag}"), F.lit(False)) for r in group}
-        ).drop("_wk_card", "_wk_bkt", bkt, *fired)
-    return df
+    return out
 
 
 def window_groups(

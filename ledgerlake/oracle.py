@@ -280,11 +280,9 @@ SELECT transaction_id, date_key, card_hash, merchant_id, amount, currency, chann
     "fact_fraud_signals": GOLD + """
 SELECT transaction_id, date_key, merchant_id, is_high_amount, is_blacklisted, is_high_velocity, is_cross_border
 FROM gold WHERE is_high_amount OR is_blacklisted""",
-    "gold_jdbc_roundtrip": GOLD + SETTLEMENT,
     "stream_bronze": ROUTED + f"\nSELECT {BRONZE_COLS} FROM routed WHERE route = 'valid'",
     "stream_dead_letter": DEAD_LETTER_REPORT,
-    "stream_unparseable": ROUTED + "\nSELECT transaction_id, ts_event, true AS has_raw_value, CAST(0 AS BIGINT) AS batch_id"
-    " FROM routed WHERE route = 'unparseable'",
+    "stream_unparseable": ROUTED + f"\nSELECT {PAYMENT_COLS} FROM routed WHERE route = 'unparseable'",
     "dead_letter_report": DEAD_LETTER_REPORT,
     "partition_check": GOLD + """
 SELECT CAST(2024 AS INTEGER) AS year, CAST(1 AS INTEGER) AS month, CAST(15 AS INTEGER) AS day,
@@ -293,11 +291,19 @@ FROM gold WHERE year = 2024 AND month = 1 AND day = 15""",
     "stream_card_alerts": ALERTS,
     "silver_day": SILVER_FROM_BRONZE + f"\nSELECT {SILVER_COLS} FROM silver WHERE {CHECK_DAY}",
     "settlement_day": _gold(f"WHERE {CHECK_DAY}") + SETTLEMENT,
-    "gold_job": GOLD + """
-SELECT 'dim_date' AS table_name, count(DISTINCT CAST(event_time AS DATE)) AS row_count FROM gold
-UNION ALL SELECT 'dim_card', count(*) FROM (SELECT DISTINCT card_hash FROM gold)
-UNION ALL SELECT 'dim_merchant', count(*) FROM (SELECT DISTINCT merchant_id, mcc, country FROM gold)
-UNION ALL SELECT 'fact_transactions', count(*) FROM gold
-UNION ALL SELECT 'fact_settlement_daily', count(*) FROM (SELECT DISTINCT date_key, merchant_id FROM gold)
-UNION ALL SELECT 'fact_fraud_signals', count(*) FROM gold WHERE is_high_amount OR is_blacklisted""",
+}
+ORACLE_SQL |= {
+    f"gold_job_{name}": ORACLE_SQL[name]
+    for name in ("dim_date", "dim_card", "dim_merchant", "fact_transactions", "fact_fraud_signals")
+}
+ORACLE_SQL |= {
+    "gold_job_fact_settlement_daily": ORACLE_SQL["settlement_daily"],
+    "rules_join_form_reference": ORACLE_SQL["rules_reference_windows"],
+    "rules_across_batches": ROUTED
+    + "\nSELECT transaction_id, is_high_velocity, is_cross_border, is_high_decline_rate, fraud_reasons, is_fraud, route"
+    " FROM routed",
+    "stream_partition_distribution": ORACLE_SQL["partition_distribution"],
+    "stream_restart": ROUTED + """
+SELECT 2 * count(*) AS received, 2 * count(*) AS accounted,
+       CAST(2 * count_if(route = 'unparseable') AS BIGINT) AS unparseable, CAST(0 AS BIGINT) AS mismatches FROM routed""",
 }

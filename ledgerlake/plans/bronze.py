@@ -8,6 +8,7 @@ from the cached rows.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -18,13 +19,13 @@ from ledgerlake import config as C
 from ledgerlake.config import DEFAULT_CONFIG, PipelineConfig
 from ledgerlake.operators.enrich import with_currency_check, with_event_time, with_partition_columns
 from ledgerlake.operators.routing import (
-    batch_counts,
     dead_letter_rows,
     unparseable_rows,
     valid_rows,
     with_route,
 )
 from ledgerlake.operators.rules import FraudDetector
+from ledgerlake.session import require_utc
 from ledgerlake.sinks.messages import to_messages, write_messages
 from ledgerlake.sinks.parquet import write_json, write_partitioned
 
@@ -34,16 +35,13 @@ ROUTING_COLUMNS = ("is_fraud", "is_invalid", "route")
 BATCH_COLUMN = "bronze_batch"
 
 
-def enrich(payments: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, cache: list | None = None) -> DataFrame:
-    """Parse, partition columns, currency check, rules, route label.
-
-    ``cache`` (optional list) collects intermediate frames persisted for the
-    caller's batch; the caller unpersists them.
-    """
+def enrich(payments: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Parse, partition columns, currency check, rules, route label (lazy at every size)."""
+    require_utc(payments.sparkSession)
     df = with_event_time(payments, cfg.ts_format)
     df = with_partition_columns(df)
     df = with_currency_check(df, cfg.valid_currencies)
-    df = FraudDetector.from_config(cfg, cache=cache).apply(df)
+    df = FraudDetector.from_config(cfg).apply(df)
     return with_route(df, cfg.null_policy)
 
 
@@ -70,11 +68,12 @@ def structural_dead_letter(routed: DataFrame, batch_id: int) -> DataFrame:
 @dataclass(frozen=True)
 class BronzeTargets:
     bronze_path: str
+    # Root of the structural dead letter; without it unparseable rows would go nowhere.
+    structural_path: str
     dead_letter_transport: str = "kafka"
     dead_letter_topic: str = "payments.deadletter"
     dead_letter_bootstrap: str | None = None
     dead_letter_path: str | None = None  # folder when transport == "file"
-    structural_path: str | None = None  # root of dead_letter/batch_<id> folders
     # Replay-safe Bronze: partition by year/month/day/bronze_batch and
     # overwrite dynamically, so a replayed micro-batch replaces its own files
     # instead of appending them again.
@@ -85,70 +84,78 @@ class BronzeTargets:
     # input task. Message sinks write one file per task and keep their tasks.
     rows_per_task: int = 1_000_000
 
+    def __post_init__(self):
+        if not self.structural_path:
+            raise ValueError("structural_path is required: unparseable rows are written there")
+
+
+def batch_folder(root: str, run_id: str, batch_id: int) -> str:
+    """Output folder of one batch of one run.
+
+    Batch ids start at 0 again with every new checkpoint, so a batch is known
+    by the run (the stream's own id, kept in its checkpoint) and its number:
+    a replay finds its folder again, another run never does.
+    """
+    return f"{root}/run={run_id}/batch={batch_id}"
+
 
 def process_batch(
     batch: DataFrame,
     batch_id: int,
     targets: BronzeTargets,
     cfg: PipelineConfig = DEFAULT_CONFIG,
-    min_partitions: int | None = None,
+    run_id: str | None = None,
 ) -> dict:
     """Route one batch to Bronze, the dead letter and the structural dead letter.
 
-    Returns the batch counts. An empty batch (or one without parseable rows
-    and without structural output) writes nothing.
+    Returns the batch counts and, as ``partitions``, the valid rows per
+    (year, month, day); both come from one aggregate. An empty batch writes
+    nothing. ``run_id``: of the stream, or of a batch job that may be
+    repeated; by default a new one, so that nothing earlier is overwritten.
 
-    A batch with fewer partitions than ``min_partitions`` (default: the
-    cluster's default parallelism) -- e.g. a topic with a handful of
-    partitions -- is spread round-robin before it is persisted, so the rules
-    and every sink run on all executors; a batch with enough partitions is
-    left as it is.
+    The routed rows are persisted once; parallelism is the source's (Kafka:
+    ``minPartitions``).
     """
-    spark = batch.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if batch.rdd.getNumPartitions() < want:
-        batch = batch.repartition(want)
-    source = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    held: list = []
-    routed = None
+    run_id = run_id or uuid.uuid4().hex
+    routed = enrich(batch, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        routed = enrich(source, cfg, cache=held).persist(StorageLevel.MEMORY_AND_DISK)
-        counts = batch_counts(routed).first().asDict()
-        counts["batch_id"] = batch_id
-        if counts["received"] == 0:
-            return counts
-        def sized(df: DataFrame, rows: int) -> DataFrame:
-            return df.coalesce(max(1, -(-rows // max(1, targets.rows_per_task))))
+        counts = {"received": 0, "unparseable": 0, "valid": 0, "dead_letter": 0, "unrouted": 0}
+        partitions = []
+        # One row per route and day of the batch.
+        for r in routed.groupBy("route", *C.PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n")).collect():
+            counts["received"] += r.n
+            counts[r.route] += r.n
+            if r.route == C.ROUTE_VALID:
+                partitions.append({"year": r.year, "month": r.month, "day": r.day, "row_count": r.n})
+        counts |= {"batch_id": batch_id, "run_id": run_id}
+        counts["partitions"] = sorted(partitions, key=lambda x: (x["year"], x["month"], x["day"]))
 
         if counts["valid"]:
-            rows = sized(bronze_rows(routed), counts["valid"])
+            rows = bronze_rows(routed).coalesce(max(1, -(-counts["valid"] // max(1, targets.rows_per_task))))
             if targets.replay_safe:
-                rows = rows.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
+                rows = rows.withColumn(BATCH_COLUMN, F.lit(f"{run_id}-{batch_id}"))
                 write_partitioned(
                     rows, targets.bronze_path, mode="overwrite", partition_by=C.PARTITION_COLUMNS + (BATCH_COLUMN,)
                 )
             else:
                 write_partitioned(rows, targets.bronze_path, mode="append")
         if counts["dead_letter"]:
+            path = targets.dead_letter_path
             write_messages(
                 dead_letter_messages(routed),
                 targets.dead_letter_transport,
                 topic=targets.dead_letter_topic,
                 bootstrap=targets.dead_letter_bootstrap,
-                path=f"{targets.dead_letter_path}/batch_{batch_id}" if targets.dead_letter_path else None,
+                path=batch_folder(path, run_id, batch_id) if path else None,
                 mode="overwrite",
             )
-        if counts["unparseable"] and targets.structural_path:
+        if counts["unparseable"]:
             # One folder per batch, overwritten: a replayed batch rewrites it.
             write_json(
                 structural_dead_letter(routed, batch_id),
-                f"{targets.structural_path}/batch_{batch_id}",
+                batch_folder(targets.structural_path, run_id, batch_id),
                 mode="overwrite",
             )
         return counts
     finally:
-        if routed is not None:
-            routed.unpersist()
-        for frame in held:
-            frame.unpersist()
-        source.unpersist()
+        routed.unpersist()

@@ -169,10 +169,14 @@ def _strategy_query(cfg):
 
 q_rules_join_form = _strategy_query(FX.with_(window_strategy="join"))
 q_rules_window_form = _strategy_query(FX.with_(window_strategy="window"))
-# Checked broadcast: firing groups written once to the scratch folder, counted, broadcast.
+# Without a shuffle of the firing groups' own.
 q_rules_broadcast_form = _strategy_query(FX.with_(window_strategy="broadcast"))
 # The surveyed defaults: 1-minute velocity, 10-minute cross-border/decline rate.
 q_rules_reference_windows = _strategy_query(C.DEFAULT_CONFIG.with_(blacklisted_merchants=FX.blacklisted_merchants))
+# The same windows as a join: one aggregate by minute, rolled up to ten minutes, one join.
+q_rules_join_form_reference = _strategy_query(
+    C.DEFAULT_CONFIG.with_(blacklisted_merchants=FX.blacklisted_merchants, window_strategy="join")
+)
 
 
 # ----------------------------------------------------- step 5: routing
@@ -256,22 +260,6 @@ q_fact_transactions = _gold("fact_transactions")
 q_fact_fraud_signals = _gold("fact_fraud_signals")
 
 
-def q_gold_jdbc_roundtrip(spark, sf):
-    """Settlement written through the JDBC sink and read back.
-
-    Uses an embedded in-memory Derby database (in the driver JVM, no port);
-    a production run points the same code at Postgres.
-    """
-    import uuid
-
-    from ledgerlake.sinks.jdbc import read_jdbc, write_jdbc
-
-    url = f"jdbc:derby:memory:ledgerlake_{uuid.uuid4().hex[:8]};create=true"
-    table = G.fact_settlement_daily(silver_all(spark, sf))
-    write_jdbc(table, "fact_settlement_daily", url, mode="overwrite", num_partitions=4)
-    return read_jdbc(spark, "fact_settlement_daily", url)
-
-
 # ---------------------------------------- step 8/9: streams and checks
 def _write_messages(spark, sf, run):
     """Stage the payments as transport messages, spread over several files
@@ -282,30 +270,45 @@ def _write_messages(spark, sf, run):
     return inbox
 
 
-def _run_bronze_stream(spark, sf):
-    from ledgerlake.sources.transport import read_raw_stream
-    from ledgerlake.streaming.bronze_stream import start_bronze_stream
-
-    run = new_run_dir(spark, "stream")
-    inbox = _write_messages(spark, sf, run)
-    targets = BronzeTargets(
+def _targets(run):
+    return BronzeTargets(
         bronze_path=f"{run}/bronze",
         dead_letter_transport="file",
         dead_letter_path=f"{run}/dead_letter_topic",
         structural_path=f"{run}/dead_letter",
     )
-    q = start_bronze_stream(
-        spark,
-        read_raw_stream(spark, "file", path=inbox),
-        targets,
-        f"{run}/checkpoints/bronze",
-        FX,
-        available_now=True,
+
+
+def _finish(query):
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def _run_bronze_stream(spark, sf, on_batch=None):
+    from ledgerlake.sources.transport import read_raw_stream
+    from ledgerlake.streaming.bronze_stream import start_bronze_stream
+
+    run = new_run_dir(spark, "stream")
+    inbox = _write_messages(spark, sf, run)
+    raw = read_raw_stream(spark, "file", path=inbox)
+    _finish(
+        start_bronze_stream(
+            spark, raw, _targets(run), f"{run}/checkpoints/bronze", FX, available_now=True, on_batch=on_batch
+        )
     )
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return run, targets
+    return run, _targets(run)
+
+
+def _dead_letter_messages(spark, targets):
+    from ledgerlake.sources.transport import read_raw_batch
+
+    return read_raw_batch(spark, "file", path=f"{targets.dead_letter_path}/run=*/batch=*", topic=C.DEAD_LETTER_TOPIC)
+
+
+def _structural_rows(spark, targets):
+    schema = "transaction_id string, ts_event string, raw_value string, batch_id long"
+    return spark.read.schema(schema).json(f"{targets.structural_path}/run=*/batch=*")
 
 
 def q_stream_bronze(spark, sf):
@@ -315,32 +318,90 @@ def q_stream_bronze(spark, sf):
 
 def q_stream_dead_letter(spark, sf):
     from ledgerlake.sources.dead_letter import dead_letter_report
-    from ledgerlake.sources.transport import read_raw_batch
 
     _, targets = _run_bronze_stream(spark, sf)
-    msgs = read_raw_batch(spark, "file", path=f"{targets.dead_letter_path}/batch_*", topic=C.DEAD_LETTER_TOPIC)
-    return dead_letter_report(msgs)
+    return dead_letter_report(_dead_letter_messages(spark, targets))
 
 
 def q_stream_unparseable(spark, sf):
+    """Structural dead letter; the payload kept there is decoded again and compared field by field."""
+    from ledgerlake.sources.transport import decode_payload
+
     _, targets = _run_bronze_stream(spark, sf)
-    schema = "transaction_id string, ts_event string, raw_value string, batch_id long"
-    rows = spark.read.schema(schema).json(f"{targets.structural_path}/batch_*")
-    return rows.select("transaction_id", "ts_event", F.col("raw_value").isNotNull().alias("has_raw_value"), "batch_id")
+    rows = _structural_rows(spark, targets)
+    return decode_payload(rows.select(F.col("raw_value").alias("value"), "batch_id").select("value"), keep_raw=False)
+
+
+def q_stream_partition_distribution(spark, sf):
+    """Valid rows per day as the batches report them (a few rows a batch, from the aggregate that counts it)."""
+    seen = []
+    _run_bronze_stream(spark, sf, on_batch=lambda c: seen.extend(c["partitions"]))
+    schema = "year int, month int, day int, row_count long"
+    rows = spark.createDataFrame([(x["year"], x["month"], x["day"], x["row_count"]) for x in seen], schema)
+    return rows.groupBy("year", "month", "day").agg(F.sum("row_count").alias("row_count"))
+
+
+def q_stream_restart(spark, sf):
+    """Every staged message is accounted for over a restart, an empty batch and a new checkpoint.
+
+    Two halves of the messages, staged one after the other, through one
+    checkpoint; then a processing-time query on the same checkpoint finds
+    nothing new; then all of them again through a new checkpoint onto the
+    same targets, which must leave the first run's output alone.
+    """
+    from ledgerlake.sources.transport import read_raw_stream
+    from ledgerlake.streaming.bronze_stream import start_bronze_stream
+
+    run = new_run_dir(spark, "restart")
+    messages = messages_from_payments(payments(spark, sf))
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    counts = []
+
+    def start(checkpoint, available_now):
+        raw = read_raw_stream(spark, "file", path=f"{run}/inbox/*")
+        return start_bronze_stream(
+            spark, raw, _targets(run), f"{run}/checkpoints/{checkpoint}", FX.with_(trigger_interval="1 second"),
+            available_now=available_now, on_batch=counts.append,
+        )
+
+    for part in (0, 1):
+        messages.filter(half == part).write.json(f"{run}/inbox/{part}")
+        _finish(start("first", True))
+    query = start("first", False)
+    query.processAllAvailable()
+    query.stop()
+    before = len(counts)
+    _finish(start("second", True))
+    if before < 2 or len(counts) == before:
+        raise RuntimeError("expected batches of both runs")
+
+    targets = _targets(run)
+    written = [
+        spark.read.parquet(targets.bronze_path).select(F.lit("valid").alias("route")),
+        _dead_letter_messages(spark, targets).select(F.lit("dead_letter").alias("route")),
+        _structural_rows(spark, targets).select(F.lit("unparseable").alias("route")),
+    ]
+    rows = written[0].unionByName(written[1]).unionByName(written[2]).groupBy("route").agg(F.count("*").alias("n"))
+    reported = {k: sum(c[k] for c in counts) for k in ("received", "valid", "dead_letter", "unparseable", "unrouted")}
+    reports = spark.createDataFrame(list(reported.items()), "label string, reported long")
+    lost = F.col("label").isin("valid", "dead_letter", "unparseable") & ~F.col("reported").eqNullSafe(F.coalesce("n", F.lit(0)))
+    checked = reports.join(rows, F.col("label") == F.col("route"), "left").withColumn("_lost", lost)
+    # Which rows go to which route depends on the batches; all of them together do not.
+    return checked.agg(
+        F.max(F.when(F.col("label") == "received", F.col("reported"))).alias("received"),
+        F.sum(F.when(F.col("label") != "received", F.col("reported"))).alias("accounted"),
+        F.max(F.when(F.col("label") == "unparseable", F.col("n"))).alias("unparseable"),
+        F.count_if("_lost").alias("mismatches"),
+    )
 
 
 def q_dead_letter_report(spark, sf):
     """Batch run of the Bronze stage, then the dead-letter reader over its output."""
     from ledgerlake.sources.dead_letter import dead_letter_report
-    from ledgerlake.sources.transport import read_raw_batch
 
-    run = new_run_dir(spark, "batch_bronze")
-    targets = BronzeTargets(
-        bronze_path=f"{run}/bronze", dead_letter_transport="file", dead_letter_path=f"{run}/dead_letter_topic"
-    )
+    targets = _targets(new_run_dir(spark, "batch_bronze"))
     process_batch(payments(spark, sf), 0, targets, FX)
-    msgs = read_raw_batch(spark, "file", path=f"{run}/dead_letter_topic/batch_*", topic=C.DEAD_LETTER_TOPIC)
-    return dead_letter_report(msgs)
+    return dead_letter_report(_dead_letter_messages(spark, targets))
 
 
 def q_partition_check(spark, sf):
@@ -358,7 +419,7 @@ def q_silver_job_idempotent(spark, sf):
     from ledgerlake.plans.silver import run_silver
 
     run = new_run_dir(spark, "medallion")
-    targets = BronzeTargets(bronze_path=f"{run}/bronze", dead_letter_transport="file", dead_letter_path=f"{run}/dl")
+    targets = _targets(run)
     process_batch(payments(spark, sf), 0, targets, FX)
     for _ in range(2):
         run_silver(spark, targets.bronze_path, f"{run}/silver")
@@ -367,18 +428,26 @@ def q_silver_job_idempotent(spark, sf):
 
 # The day used by the day-scoped queries (partition-scoped reads).
 CHECK_DAY = (2024, 1, 15)
+EMPTIED_DAY = (2024, 1, 16)
 
 
 def q_silver_day(spark, sf):
     """Bronze written from every payment, then the Silver job for one day:
     only that day's Bronze folder is listed and read (SRC3), and only that
-    day's Silver partition is written."""
+    day's Silver partition is written. Another day is run, emptied and run
+    again: nothing of it stays."""
     from ledgerlake.plans.silver import run_silver
+    from ledgerlake.sinks.parquet import write_day
 
     run = new_run_dir(spark, "silver_day")
-    targets = BronzeTargets(bronze_path=f"{run}/bronze", dead_letter_transport="file", dead_letter_path=f"{run}/dl")
+    targets = _targets(run)
     process_batch(payments(spark, sf), 0, targets, FX)
     run_silver(spark, targets.bronze_path, f"{run}/silver", *CHECK_DAY)
+    run_silver(spark, targets.bronze_path, f"{run}/silver", *EMPTIED_DAY)
+    # The day's Bronze is replaced by no rows; its Silver must be empty after the next run.
+    bronze = spark.read.parquet(targets.bronze_path)
+    write_day(bronze.limit(0), targets.bronze_path, *EMPTIED_DAY)
+    run_silver(spark, targets.bronze_path, f"{run}/silver", *EMPTIED_DAY)
     return read_partitioned(spark, f"{run}/silver").select(*SILVER_COLUMNS)
 
 
@@ -393,45 +462,54 @@ def q_settlement_day(spark, sf):
     return G.fact_settlement_daily(day)
 
 
-def q_gold_job(spark, sf):
-    """The Gold job end to end: Silver on disk -> six tables through the JDBC
-    sink -> one row per table with the row count read back. Uses an embedded
-    in-memory Derby database in the driver JVM (no port); production points
-    the same job at Postgres."""
-    import uuid
-    from functools import reduce
-
-    from ledgerlake.plans.gold import run_gold
-    from ledgerlake.sinks.jdbc import read_jdbc
-    from ledgerlake.sinks.parquet import write_partitioned
+def _gold_job_query(name):
+    def q(spark, sf):
+        """One table of the Gold job: Silver on disk -> six Parquet tables,
+        all of Silver, then one day again (its facts replaced, its dimensions merged)."""
+        from ledgerlake.plans.gold import run_gold
+        from ledgerlake.sinks.parquet import write_partitioned
+
+        run = new_run_dir(spark, "gold")
+        write_partitioned(silver_all(spark, sf), f"{run}/silver", mode="overwrite")
+        options = {"threshold": FX.amount_threshold, "blacklist": FX.blacklisted_merchants, "fact_mode": "replace_day"}
+        run_gold(spark, f"{run}/silver", f"{run}/gold", **options)
+        run_gold(spark, f"{run}/silver", f"{run}/gold", *CHECK_DAY, **options)
+        return spark.read.parquet(f"{run}/gold/{name}")
 
-    run = new_run_dir(spark, "gold")
-    write_partitioned(silver_all(spark, sf), f"{run}/silver", mode="overwrite")
-    url = f"jdbc:derby:memory:ledgerlake_{uuid.uuid4().hex[:8]};create=true"
-    written = run_gold(
-        spark, f"{run}/silver", url, threshold=FX.amount_threshold, blacklist=FX.blacklisted_merchants, num_partitions=4
-    )
-    counts = [
-        read_jdbc(spark, name, url)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(name).alias("table_name"), "row_count")
-        for name in written
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return q
 
 
-def q_stream_card_alerts(spark, sf):
+def _alert_stream(spark, sf):
+    """Card alerts over at least four micro-batches, with a watermark that covers the data."""
     from ledgerlake.sources.transport import decode_payload, read_raw_stream
-    from ledgerlake.streaming.alerts import read_card_alerts, start_card_alerts
+    from ledgerlake.streaming.alerts import start_card_alerts
 
     run = new_run_dir(spark, "alerts")
-    inbox = _write_messages(spark, sf, run)
-    decoded = decode_payload(read_raw_stream(spark, "file", path=inbox), keep_raw=False)
-    for q in start_card_alerts(spark, decoded, f"{run}/alerts", f"{run}/checkpoints", FX, available_now=True):
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-    return read_card_alerts(spark, f"{run}/alerts", FX)
+    messages_from_payments(payments(spark, sf)).repartition(8).write.json(f"{run}/inbox")
+    raw = read_raw_stream(spark, "file", path=f"{run}/inbox", max_files_per_trigger=2)
+    for q in start_card_alerts(
+        spark, decode_payload(raw, keep_raw=False), f"{run}/alerts", f"{run}/checkpoints", FX,
+        watermark="1000 days", available_now=True,
+    ):
+        _finish(q)
+    return f"{run}/alerts"
+
+
+def q_stream_card_alerts(spark, sf):
+    from ledgerlake.streaming.alerts import read_card_alerts
+
+    return read_card_alerts(spark, _alert_stream(spark, sf), FX)
+
+
+def q_rules_across_batches(spark, sf):
+    """Window scope "stateful": flags from state over several micro-batches equal those of the whole table."""
+    from ledgerlake.streaming.alerts import read_card_alerts, with_window_state
+
+    cfg = FX.with_(window_scope="stateful")
+    alerts = read_card_alerts(spark, _alert_stream(spark, sf), cfg)
+    return with_window_state(routed(spark, sf, cfg), alerts, cfg).select(
+        "transaction_id", *WINDOW_FLAGS, "fraud_reasons", "is_fraud", "route"
+    )
 
 
 QUERIES = {
@@ -455,6 +533,8 @@ QUERIES = {
     "rules_window_form": q_rules_window_form,
     "rules_broadcast_form": q_rules_broadcast_form,
     "rules_reference_windows": q_rules_reference_windows,
+    "rules_join_form_reference": q_rules_join_form_reference,
+    "rules_across_batches": q_rules_across_batches,
     "route_valid": q_route_valid,
     "route_dead_letter": q_route_dead_letter,
     "route_quarantine": q_route_quarantine,
@@ -474,12 +554,13 @@ QUERIES = {
     "dim_merchant": q_dim_merchant,
     "fact_transactions": q_fact_transactions,
     "fact_fraud_signals": q_fact_fraud_signals,
-    "gold_jdbc_roundtrip": q_gold_jdbc_roundtrip,
-    "gold_job": q_gold_job,
+    **{f"gold_job_{name}": _gold_job_query(name) for name in G.GOLD_TABLES},
     "settlement_day": q_settlement_day,
     "stream_bronze": q_stream_bronze,
     "stream_dead_letter": q_stream_dead_letter,
     "stream_unparseable": q_stream_unparseable,
+    "stream_restart": q_stream_restart,
+    "stream_partition_distribution": q_stream_partition_distribution,
     "dead_letter_report": q_dead_letter_report,
     "partition_check": q_partition_check,
     "stream_card_alerts": q_stream_card_alerts,

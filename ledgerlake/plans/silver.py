@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.config import PARTITION_COLUMNS
+from ledgerlake.config import PARTITION_COLUMNS, PAYMENT_COLUMNS
 from ledgerlake.operators.dedup import keep_first
 from ledgerlake.plans.bronze import BATCH_COLUMN
 from ledgerlake.operators.enrich import with_partition_columns
 from ledgerlake.operators.refine import clean_strings, drop_critical_nulls, standardize_types
-from ledgerlake.sinks.parquet import write_partitioned
+from ledgerlake.session import require_utc
+from ledgerlake.sinks.parquet import write_day, write_partitioned
 from ledgerlake.sources.tables import read_partitioned
 
 
@@ -20,7 +21,7 @@ def silver_transform(bronze: DataFrame, dedup_strategy: str = "window") -> DataF
     copy has a critical null is dropped entirely (reproduced on purpose).
     """
     df = with_partition_columns(bronze.drop(BATCH_COLUMN))
-    df = keep_first(df, "transaction_id", "event_time", strategy=dedup_strategy)
+    df = keep_first(df, "transaction_id", "event_time", strategy=dedup_strategy, ties=list(PAYMENT_COLUMNS))
     df = standardize_types(df)
     df = drop_critical_nulls(df)
     return clean_strings(df)
@@ -38,17 +39,21 @@ def run_silver(
 ) -> None:
     """Refine one day (or everything) of Bronze into Silver.
 
-    Default ``mode="overwrite"`` replaces only the days written (dynamic
-    partition overwrite), so an hourly re-run of the same day is idempotent;
-    ``"append"`` reproduces the surveyed job.
+    Default ``mode="overwrite"`` is idempotent. One day: that day's folder is
+    replaced as a whole, also when nothing is left of it; a day without a
+    Bronze folder is an error. Everything: the days written are replaced
+    (dynamic partition overwrite). ``"append"`` reproduces the surveyed job.
     """
+    require_utc(spark)
     if bronze_path.rstrip("/") == silver_path.rstrip("/"):
         raise ValueError("Bronze and Silver paths must differ")
-    bronze = read_partitioned(spark, bronze_path, year, month, day)
+    bronze = read_partitioned(spark, bronze_path, year, month, day, missing="error")
     silver = silver_transform(bronze, dedup_strategy)
+    if year is not None and mode == "overwrite":
+        write_day(silver, silver_path, year, month, day)
+        return
     if year is None:
-        # Many days: dedup left every task holding every day (one file per
-        # day per task). Range-partition by date, then id, so each task
-        # writes a contiguous date range and a hot day still spans tasks.
-        silver = silver.repartitionByRange(*PARTITION_COLUMNS, "transaction_id")
+        # Dedup left every task holding every day. A rebalance by day gives
+        # about one file per day and splits a hot day, without a sampling pass.
+        silver = silver.hint("rebalance", *PARTITION_COLUMNS)
     write_partitioned(silver, silver_path, mode=mode)

@@ -23,6 +23,13 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Jobs partition by UTC days; a session in another zone would write local days."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "+00:00", "GMT"):
+        raise ValueError(f"the session time zone must be UTC (spark.sql.session.timeZone), not {zone}")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (or a private one if unset)."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)

@@ -20,10 +20,13 @@ def write_jdbc(
 ) -> None:
     """Write ``df`` to ``table``.
 
-    ``num_partitions`` bounds the number of concurrent connections (Spark
-    coalesces to it); ``mode="overwrite"`` truncates instead of dropping when
+    ``num_partitions`` is the number of concurrent connections: the rows are
+    shuffled to it, so that the scan below keeps its own parallelism (with
+    the writer's option alone Spark would coalesce the scan). ``mode="overwrite"`` truncates instead of dropping when
     ``truncate`` so grants and indexes survive.
     """
+    if num_partitions:
+        df = df.repartition(num_partitions)
     writer = (
         df.write.format("jdbc")
         .option("url", url)
@@ -83,3 +86,24 @@ def read_jdbc(
         if v is not None:
             reader = reader.option(k, v)
     return reader.load()
+
+
+def table_exists(spark: SparkSession, table: str, url: str, *, user=None, password=None, driver=None) -> bool:
+    """Whether the database lists ``table`` (any case). Connection errors are raised, not taken for "no"."""
+    jvm = spark.sparkContext._jvm
+    properties = jvm.java.util.Properties()
+    for k, v in (("user", user), ("password", password)):
+        if v is not None:
+            properties.setProperty(k, v)
+    if driver:
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(driver)
+    connection = jvm.java.sql.DriverManager.getConnection(url, properties)
+    try:
+        found = connection.getMetaData().getTables(None, None, "%", None)
+        name = table.split(".")[-1].lower()
+        while found.next():
+            if found.getString("TABLE_NAME").lower() == name:
+                return True
+        return False
+    finally:
+        connection.close()

@@ -30,21 +30,27 @@ def read_partitioned(
     year: int | None = None,
     month: int | None = None,
     day: int | None = None,
+    missing: str = "empty",
 ) -> DataFrame:
     """Read a year/month/day-partitioned Parquet table, optionally one day.
 
     For one day only that day's folder is listed (read with ``basePath``, so
     year/month/day stay columns) instead of discovering every partition of
     the table; the partition filter is applied as well, so the scan shows
-    ``PartitionFilters``. A day without a folder reads the root and yields
-    no rows.
+    ``PartitionFilters``. A day without a folder yields no rows, or with
+    ``missing="error"`` (the jobs) fails: an absent upstream day or a wrong
+    date must not look like success.
     """
+    if missing not in ("empty", "error"):
+        raise ValueError(f"unknown missing={missing!r}")
     cond = partition_filter(year, month, day)
     if cond is None:
         return spark.read.parquet(root)
     leaf = f"{root.rstrip('/')}/year={int(year)}/month={int(month)}/day={int(day)}"
     if path_exists(spark, leaf):
         return spark.read.option("basePath", root).parquet(leaf).filter(cond)
+    if missing == "error":
+        raise FileNotFoundError(f"no partition {leaf}")
     return spark.read.parquet(root).filter(cond)
 
 

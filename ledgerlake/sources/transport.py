@@ -23,19 +23,17 @@ def read_raw_stream(
     topic: str = RAW_TOPIC,
     starting_offsets: str = "earliest",
     max_files_per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
     options: dict | None = None,
 ) -> DataFrame:
-    """Streaming source of raw payment messages."""
+    """Streaming source of raw payment messages.
+
+    ``fail_on_data_loss=False`` skips offsets that have expired; by default
+    the query fails, so that no message is lost unseen.
+    """
     if transport == "kafka":
-        reader = (
-            spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-            .option("failOnDataLoss", "false")
-        )
-        for k, v in (options or {}).items():
-            reader = reader.option(k, v)
+        chosen = kafka_options(bootstrap, topic, starting_offsets, fail_on_data_loss) | (options or {})
+        reader = spark.readStream.format("kafka").options(**chosen)
         return reader.load().selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
     if transport == "file":
         reader = spark.readStream.schema(RAW_MESSAGE_SCHEMA)
@@ -47,6 +45,19 @@ def read_raw_stream(
     raise ValueError(f"unknown transport {transport!r}")
 
 
+def kafka_options(
+    bootstrap: str | None, topic: str, starting_offsets: str = "earliest", fail_on_data_loss: bool = True
+) -> dict[str, str]:
+    """Options of the Kafka stream source."""
+    # The connector's option names.
+    return {
+        "kafka.bootstrap.servers": bootstrap,
+        "subscribe": topic,
+        "startingOffsets": starting_offsets,
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
+    }
+
+
 def read_raw_batch(
     spark: SparkSession,
     transport: str = "kafka",

@@ -25,11 +25,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.config import DEFAULT_CONFIG, REASON_SEPARATOR, PipelineConfig
 from ledgerlake.functions import bucket_end, bucket_start, country_of, duration_micros, parse_event_time, reasons_of
-from ledgerlake.operators.rules import rules_from_config
-from ledgerlake.operators.windows import _group_by_duration, _named_aggs
+from ledgerlake.operators.routing import with_route
+from ledgerlake.operators.rules import FraudDetector, rules_from_config
+from ledgerlake.operators.windows import _MERGE, _group_by_duration, _named_aggs, rolled_up, shuffle_side
+from ledgerlake.session import write_scratch_table
 from ledgerlake.sources.tables import path_exists
 
-_MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 ROLLUP_FOLDER = "buckets"
 DAY_MICROS = 86_400_000_000
 
@@ -42,13 +43,7 @@ def window_rule_groups(cfg: PipelineConfig = DEFAULT_CONFIG) -> list[list]:
 def rollup_duration(cfg: PipelineConfig = DEFAULT_CONFIG) -> str | None:
     """The shortest rule duration if one stateful query can serve every rule."""
     rules = [r for g in window_rule_groups(cfg) for r in g]
-    if not rules or any(r.rollup is None for r in rules):
-        return None
-    finest = min(rules, key=lambda r: duration_micros(r.duration))
-    base = duration_micros(finest.duration)
-    if any(duration_micros(r.duration) % base for r in rules):
-        return None
-    return finest.duration
+    return rolled_up(rules) if rules else None
 
 
 def _event_rows(decoded: DataFrame, cfg: PipelineConfig, watermark: str) -> DataFrame:
@@ -98,14 +93,13 @@ def card_bucket_updates(decoded: DataFrame, cfg: PipelineConfig, watermark: str)
 
 def _start(updates: DataFrame, target: str, checkpoint: str, cfg: PipelineConfig, available_now: bool):
     def _batch(batch_df: DataFrame, batch_id: int) -> None:
-        # The updated windows of one batch are few (bounded by the batch);
-        # grouping them by date first gives one file per date instead of one
-        # per date and state partition.
+        # Rebalanced by date: about one file per date instead of one per date
+        # and state partition, and a date with most of the rows is split.
         (
             batch_df.withColumns(
                 {"window_date": F.to_date("window_start"), "batch_id": F.lit(batch_id).cast("long")}
             )
-            .repartition("window_date")
+            .hint("rebalance", "window_date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("window_date", "batch_id")
@@ -130,17 +124,34 @@ def start_card_alerts(
 ) -> list[StreamingQuery]:
     """Start the alert query (or one per duration); returns the started queries.
 
+    Rows later than ``watermark`` are left out of the alerts; how many, the
+    queries' progress tells (:func:`rows_dropped_as_late`).
+
     ``state_store="rocksdb"`` keeps the (card, window) state in RocksDB
     instead of the executor heap (many cards, long watermarks). It applies
     to new checkpoints only: the provider is recorded in the checkpoint.
     """
-    if state_store == "rocksdb":
-        spark.conf.set(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
-    elif state_store is not None:
+    if state_store not in (None, "rocksdb"):
         raise ValueError(f"unknown state store {state_store!r}")
+    if state_store is None:
+        return _start_all(decoded, out_path, checkpoint, cfg, watermark, available_now)
+    # A query takes the session's settings when it starts, so the provider is
+    # set for these queries only.
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return _start_all(decoded, out_path, checkpoint, cfg, watermark, available_now)
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
+
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _start_all(decoded, out_path, checkpoint, cfg, watermark, available_now) -> list[StreamingQuery]:
     if rollup_duration(cfg) is not None:
         updates = card_bucket_updates(decoded, cfg, watermark)
         return [_start(updates, f"{out_path}/{ROLLUP_FOLDER}", f"{checkpoint}/{ROLLUP_FOLDER}", cfg, available_now)]
@@ -156,6 +167,57 @@ def start_card_alerts(
     ]
 
 
+def rows_dropped_as_late(query: StreamingQuery) -> int:
+    """Rows that the watermark has dropped in the progress reports that the query still holds."""
+    return sum(
+        int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p["stateOperators"]
+    )
+
+
+def compact_card_alerts(spark: SparkSession, out_path: str, cfg: PipelineConfig, date: str) -> None:
+    """Replace a finished date's batch folders by one with the latest version of each window.
+
+    For dates that the watermark has passed: the running query must not write
+    to the date meanwhile. The rows are staged in the scratch folder first.
+    """
+    groups = window_rule_groups(cfg)
+    if rollup_duration(cfg) is not None:
+        folders = {ROLLUP_FOLDER: list(_named_aggs([r for g in groups for r in g]))}
+    else:
+        folders = {f"group={i}": [r.flag for r in g] for i, g in enumerate(groups)}
+    for folder, columns in folders.items():
+        leaf = f"{out_path}/{folder}/window_date={date}"
+        if not path_exists(spark, leaf):
+            continue
+        last = spark.read.parquet(leaf).agg(F.max("batch_id")).first()[0]
+        latest = _latest(spark, f"{out_path}/{folder}", columns, date).withColumn("batch_id", F.lit(last))
+        staged = write_scratch_table(latest, "alerts")
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(leaf)
+
+
+def with_window_state(rows: DataFrame, alerts: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Routed rows of window scope "stateful" with their window flags from the alert state.
+
+    ``rows``: of :func:`ledgerlake.plans.bronze.enrich`; ``alerts``: of
+    :func:`read_card_alerts`. One join per duration; reasons, verdict and
+    route are derived again.
+    """
+    out = rows
+    for group in window_rule_groups(cfg):
+        flags = [r.flag for r in group]
+        firing = alerts.filter(" OR ".join(flags)).select(
+            F.col("card_hash").alias("_sc"), F.col("window_start").alias("_sw"), *[F.col(f).alias(f"_s_{f}") for f in flags]
+        )
+        bucket = bucket_start("event_time", group[0].duration)
+        out = out.withColumn("_sb", bucket).join(
+            shuffle_side(firing, unless_broadcast=True), (F.col("card_hash") == F.col("_sc")) & (F.col("_sb") == F.col("_sw")), "left"
+        )
+        out = out.withColumns({f: F.coalesce(f"_s_{f}", F.lit(False)) for f in flags}).drop(
+            "_sb", "_sc", "_sw", *[f"_s_{f}" for f in flags]
+        )
+    return with_route(FraudDetector.from_config(cfg).with_verdict(out), cfg.null_policy)
+
+
 def _latest(spark: SparkSession, folder: str, columns: list[str], date: str | None) -> DataFrame:
     """Latest written version of every (card, window) (highest batch id)."""
     if date is None:

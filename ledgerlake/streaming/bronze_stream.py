@@ -4,7 +4,9 @@ raw messages -> decode (PERMISSIVE, raw payload kept) -> per micro-batch:
 persist -> parse -> rules -> route -> Bronze Parquet / dead-letter messages /
 structural dead letter. Progress is in the checkpoint, so a restarted query
 resumes at the first uncommitted batch; a replayed batch appends Bronze
-again (Silver's dedup absorbs it) and rewrites its dead-letter folders.
+again (Silver's dedup absorbs it) and rewrites its dead-letter folders,
+which carry the stream's own id, so that another run on the same folders
+never touches them.
 
 Windowed rules see only the rows of their micro-batch, as in the surveyed
 pipeline; :mod:`ledgerlake.streaming.alerts` evaluates the same rules over
@@ -13,6 +15,7 @@ event-time state across batches.
 
 from __future__ import annotations
 
+import json
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +42,12 @@ def start_bronze_stream(
     ``available_now=True`` processes what is there and stops (tests, backfill);
     otherwise it triggers every ``cfg.trigger_interval``.
     """
+    if cfg.window_scope == "table":
+        raise ValueError("window scope 'table' needs a static table; use 'micro_batch' or 'stateful' for a stream")
     decoded = decode_payload(raw, keep_raw=True)
 
     def _batch(batch_df: DataFrame, batch_id: int) -> None:
-        counts = process_batch(batch_df, batch_id, targets, cfg)
+        counts = process_batch(batch_df, batch_id, targets, cfg, run_id=stream_id(spark, checkpoint))
         if on_batch is not None:
             on_batch(counts)
 
@@ -54,3 +59,8 @@ def start_bronze_stream(
     else:
         writer = writer.trigger(processingTime=cfg.trigger_interval)
     return writer.start()
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives a stream and keeps in its checkpoint, over all restarts."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]

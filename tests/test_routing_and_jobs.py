@@ -1,4 +1,4 @@
-"""Routing, the batch Bronze stage, Silver and Gold jobs, JDBC sink."""
+"""Routing, the batch Bronze stage, Silver and Gold jobs, options of the connectors."""
 
 import json
 
@@ -49,21 +49,22 @@ def test_process_batch_sinks(spark, tmp_dir):
 
     targets = BronzeTargets(bronze_path=f"{tmp_dir}/bronze", dead_letter_transport="file",
                             dead_letter_path=f"{tmp_dir}/dl", structural_path=f"{tmp_dir}/dead_letter")
-    counts = process_batch(payments(spark, SF), 7, targets, FIXTURE_CONFIG)
+    counts = process_batch(payments(spark, SF), 7, targets, FIXTURE_CONFIG, run_id="r")
     bronze = spark.read.parquet(targets.bronze_path)
     assert bronze.count() == counts["valid"] > 0
     assert {"country", "is_high_velocity", "fraud_reasons", "year"} <= set(bronze.columns)
     assert "is_fraud" not in bronze.columns and "route" not in bronze.columns
-    dl = spark.read.json(f"{tmp_dir}/dl/batch_7")
+    dl = spark.read.json(f"{tmp_dir}/dl/run=r/batch=7")
     assert dl.count() == counts["dead_letter"]
     v = json.loads(dl.first().value)
     assert "is_fraud" in v or "is_invalid" in v
-    st = spark.read.json(f"{tmp_dir}/dead_letter/batch_7")
+    assert sum(p["row_count"] for p in counts["partitions"]) == counts["valid"]
+    st = spark.read.json(f"{tmp_dir}/dead_letter/run=r/batch=7")
     assert st.count() == counts["unparseable"] and set(st.select("batch_id").distinct().toPandas().batch_id) == {7}
 
 
 def test_empty_batch_writes_nothing(spark, payments_df, tmp_dir):
-    targets = BronzeTargets(bronze_path=f"{tmp_dir}/bronze", dead_letter_transport="file", dead_letter_path=f"{tmp_dir}/dl")
+    targets = BronzeTargets(f"{tmp_dir}/bronze", f"{tmp_dir}/dead_letter", "file", dead_letter_path=f"{tmp_dir}/dl")
     counts = process_batch(payments_df([]), 0, targets)
     assert counts["received"] == 0
     import os
@@ -104,7 +105,7 @@ def test_dedup_strategies_equal_on_lineitem(spark):
 def test_silver_job_idempotent_and_day_scoped(spark, tmp_dir):
     from ledgerlake.plans.catalog import payments
 
-    targets = BronzeTargets(bronze_path=f"{tmp_dir}/bronze", dead_letter_transport="file", dead_letter_path=f"{tmp_dir}/dl")
+    targets = BronzeTargets(f"{tmp_dir}/bronze", f"{tmp_dir}/dead_letter", "file", dead_letter_path=f"{tmp_dir}/dl")
     process_batch(payments(spark, SF), 0, targets, FIXTURE_CONFIG)
     silver = f"{tmp_dir}/silver"
     run_silver(spark, targets.bronze_path, silver)
@@ -113,63 +114,163 @@ def test_silver_job_idempotent_and_day_scoped(spark, tmp_dir):
     run_silver(spark, targets.bronze_path, silver, 2024, 1, 2)
     assert read_partitioned(spark, silver).count() == first
     day = read_partitioned(spark, silver, 2024, 1, 2)
-    assert "PartitionFilters: [isnotnull(year" in day._jdf.queryExecution().executedPlan().toString() or \
-        "PartitionFilters" in day._jdf.queryExecution().executedPlan().toString()
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: [") :].split("]")[0]
+    assert all(c in filters for c in ("year", "month", "day"))
     assert set(day.select("day").distinct().toPandas().day) <= {2}
     with pytest.raises(ValueError):
         run_silver(spark, silver, silver)
 
 
-def test_gold_tables_and_jdbc(spark, tmp_dir):
+def gold(spark, root, name):
+    return spark.read.parquet(f"{root}/{name}")
+
+
+def test_gold_tables_in_parquet(spark, tmp_dir):
     from ledgerlake.operators.gold import dim_merchant
     from ledgerlake.plans.catalog import silver_all
     from ledgerlake.plans.gold import run_gold
-    from ledgerlake.sinks.jdbc import read_jdbc
     from ledgerlake.sinks.parquet import write_partitioned
 
     write_partitioned(silver_all(spark, SF), f"{tmp_dir}/silver", mode="overwrite")
-    url = "jdbc:derby:memory:gold_test;create=true"
-    written = run_gold(spark, f"{tmp_dir}/silver", url, blacklist=("M11", "M22"))
+    root = f"{tmp_dir}/gold"
+    written = run_gold(spark, f"{tmp_dir}/silver", root, blacklist=("M11", "M22"))
     assert written["dim_card"] == "overwrite" and written["fact_transactions"] == "append"
-    n = read_jdbc(spark, "fact_transactions", url).count()
-    run_gold(spark, f"{tmp_dir}/silver", url, blacklist=("M11", "M22"))
-    assert read_jdbc(spark, "fact_transactions", url).count() == 2 * n  # facts append
-    assert read_jdbc(spark, "dim_card", url).count() == silver_all(spark, SF).select("card_hash").distinct().count()
-    assert read_jdbc(spark, "fact_fraud_signals", url).count() > 0
+    n = gold(spark, root, "fact_transactions").count()
+    run_gold(spark, f"{tmp_dir}/silver", root, blacklist=("M11", "M22"))
+    assert gold(spark, root, "fact_transactions").count() == 2 * n  # facts append
+    assert gold(spark, root, "dim_card").count() == silver_all(spark, SF).select("card_hash").distinct().count()
+    assert gold(spark, root, "fact_fraud_signals").count() > 0
+    for _ in range(2):  # replaced, not appended
+        run_gold(spark, f"{tmp_dir}/silver", f"{root}2", 2024, 1, 2, fact_mode="replace_day")
+    day = read_partitioned(spark, f"{tmp_dir}/silver", 2024, 1, 2)
+    assert gold(spark, f"{root}2", "fact_transactions").count() == day.count() > 0
     # merchant_id alone is not unique in dim_merchant
     dm = dim_merchant(silver_all(spark, SF))
     assert dm.count() > dm.select("merchant_id").distinct().count()
+    with pytest.raises(ValueError):
+        run_gold(spark, f"{tmp_dir}/silver", "jdbc:none:x", fact_mode="replace_day")
+    with pytest.raises(FileNotFoundError):
+        run_gold(spark, f"{tmp_dir}/silver", root, 1999, 1, 1)
+
+
+def test_an_unreachable_database_is_an_error_not_an_empty_table(spark):
+    from ledgerlake.plans.gold import existing_table
+
+    with pytest.raises(Exception, match="[Nn]o suitable driver"):
+        existing_table(spark, "dim_card", "jdbc:nowhere://host/db", {})
+
+
+class Writer:
+    """Records the calls of a DataFrame writer or reader."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls[args[0] if name == "option" else name] = args[-1] if args else None
+            return self
+
+        return call
+
+
+def test_jdbc_options():
+    from types import SimpleNamespace
+
+    from ledgerlake.sinks.jdbc import read_jdbc, write_jdbc
+
+    writer = Writer()
+    df = SimpleNamespace(write=writer, repartition=lambda n: SimpleNamespace(write=writer, n=n))
+    write_jdbc(df, "t", "jdbc:x", user="u", mode="overwrite", num_partitions=4)
+    assert {"url": "jdbc:x", "dbtable": "t", "mode": "overwrite", "truncate": "true", "numPartitions": 4, "user": "u"}.items() <= writer.calls.items()
+    assert "save" in writer.calls and "password" not in writer.calls
+    reader = Writer()
+    spark = SimpleNamespace(read=reader)
+    read_jdbc(spark, "t", "jdbc:x", partition_column="date_key", lower_bound=1, upper_bound=9, num_partitions=4)
+    assert {"partitionColumn": "date_key", "lowerBound": "1", "upperBound": "9", "numPartitions": 4}.items() <= reader.calls.items()
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "t", "jdbc:x", partition_column="date_key")
+
+
+def test_kafka_options():
+    from types import SimpleNamespace
+
+    from ledgerlake.sinks.messages import write_messages
+    from ledgerlake.sources.transport import kafka_options
+
+    assert kafka_options("h:1", "raw") == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "raw", "startingOffsets": "earliest", "failOnDataLoss": "true"
+    }
+    assert kafka_options("h:1", "raw", "latest", False)["failOnDataLoss"] == "false"
+    writer = Writer()
+    write_messages(SimpleNamespace(write=writer), "kafka", topic="dead", bootstrap="h:1")
+    assert writer.calls["format"] == "kafka" and writer.calls["topic"] == "dead"
+    assert writer.calls["kafka.bootstrap.servers"] == "h:1"
+
+
+def test_structural_path_is_required():
+    with pytest.raises((TypeError, ValueError)):
+        BronzeTargets("b")
+    with pytest.raises(ValueError):
+        BronzeTargets("b", "")
+
+
+def test_another_run_with_the_same_batch_ids_loses_nothing(spark, tmp_dir):
+    from ledgerlake.plans.catalog import payments
+
+    p = payments(spark, SF)
+    parts = [p.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == i) for i in range(3)]
+    targets = BronzeTargets(f"{tmp_dir}/bronze", f"{tmp_dir}/dead_letter", "file", dead_letter_path=f"{tmp_dir}/dl", replay_safe=True)
+    counts = [process_batch(x, b, targets, FIXTURE_CONFIG, run_id=r) for x, b, r in zip(parts, (0, 1, 0), ("a", "a", "b"))]
+    assert spark.read.parquet(targets.bronze_path).count() == sum(c["valid"] for c in counts)
+    assert spark.read.json(f"{tmp_dir}/dl/run=*/batch=*").count() == sum(c["dead_letter"] for c in counts)
+    assert spark.read.json(f"{tmp_dir}/dead_letter/run=*/batch=*").count() == sum(c["unparseable"] for c in counts)
+
+
+def test_a_silver_day_that_becomes_empty(spark, tmp_dir, payments_df):
+    from ledgerlake.plans.bronze import bronze_rows
+    from ledgerlake.sinks.parquet import write_day, write_partitioned
+
+    rows = [payment(tid="a", ts="2026-05-29 06:39:15"), payment(tid="b", ts="2026-05-30 06:39:15")]
+    bronze = bronze_rows(enrich(payments_df(rows)))
+    write_partitioned(bronze, f"{tmp_dir}/bronze")
+    run_silver(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver")
+    write_day(bronze.limit(0), f"{tmp_dir}/bronze", 2026, 5, 29)
+    run_silver(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver", 2026, 5, 29)
+    assert [r.transaction_id for r in read_partitioned(spark, f"{tmp_dir}/silver").collect()] == ["b"]
+    with pytest.raises(FileNotFoundError):
+        run_silver(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver", 2026, 6, 1)
+    assert read_partitioned(spark, f"{tmp_dir}/silver", 2026, 6, 1).count() == 0
 
 
 def test_cli_file_transport_end_to_end(spark, tmp_dir):
     from ledgerlake.cli import main
     from ledgerlake.plans.catalog import payments
-    from ledgerlake.sinks.jdbc import read_jdbc
     from ledgerlake.sources.fixtures import messages_from_payments
 
     messages_from_payments(payments(spark, SF)).write.json(f"{tmp_dir}/inbox")
     main(["bronze", "--transport", "file", "--inbox", f"{tmp_dir}/inbox", "--dead-letter-path", f"{tmp_dir}/dl",
           "--bronze-path", f"{tmp_dir}/lake/bronze", "--checkpoint-path", f"{tmp_dir}/ckpt", "--available-now"])
     main(["silver", "--bronze-path", f"{tmp_dir}/lake/bronze", "--silver-path", f"{tmp_dir}/lake/silver"])
-    url = "jdbc:derby:memory:cli_test;create=true"
-    main(["gold", "--silver-path", f"{tmp_dir}/lake/silver", "--jdbc-url", url])
+    main(["gold", "--silver-path", f"{tmp_dir}/lake/silver", "--parquet-path", f"{tmp_dir}/lake/gold"])
     assert spark.read.parquet(f"{tmp_dir}/lake/bronze").count() > 0
-    assert spark.read.json(f"{tmp_dir}/lake/dead_letter/batch_*").count() > 0  # unparseable timestamps
-    assert read_jdbc(spark, "fact_settlement_daily", url).count() > 0
+    assert spark.read.json(f"{tmp_dir}/lake/dead_letter/run=*/batch=*").count() > 0  # unparseable timestamps
+    assert gold(spark, f"{tmp_dir}/lake/gold", "fact_settlement_daily").count() > 0
 
 
 def test_replay_safe_bronze(spark, tmp_dir):
     from ledgerlake.plans.catalog import payments
 
-    targets = BronzeTargets(bronze_path=f"{tmp_dir}/bronze", dead_letter_transport="file",
+    targets = BronzeTargets(f"{tmp_dir}/bronze", f"{tmp_dir}/dead_letter", "file",
                             dead_letter_path=f"{tmp_dir}/dl", replay_safe=True)
     p = payments(spark, SF)
-    c = process_batch(p, 3, targets, FIXTURE_CONFIG)
-    process_batch(p, 3, targets, FIXTURE_CONFIG)  # replay of batch 3
+    c = process_batch(p, 3, targets, FIXTURE_CONFIG, run_id="r")
+    process_batch(p, 3, targets, FIXTURE_CONFIG, run_id="r")  # replay of batch 3
     bronze = spark.read.parquet(targets.bronze_path)
     assert bronze.count() == c["valid"] and "bronze_batch" in bronze.columns
     assert "bronze_batch" not in silver_transform(bronze).columns
-    process_batch(p, 4, targets, FIXTURE_CONFIG)  # a new batch appends
+    process_batch(p, 4, targets, FIXTURE_CONFIG, run_id="r")  # a new batch appends
     assert spark.read.parquet(targets.bronze_path).count() == 2 * c["valid"]
 
 
@@ -178,7 +279,7 @@ def test_full_silver_rebuild_file_count(spark, tmp_dir):
 
     from ledgerlake.plans.catalog import payments
 
-    targets = BronzeTargets(bronze_path=f"{tmp_dir}/bronze", dead_letter_transport="file", dead_letter_path=f"{tmp_dir}/dl")
+    targets = BronzeTargets(f"{tmp_dir}/bronze", f"{tmp_dir}/dead_letter", "file", dead_letter_path=f"{tmp_dir}/dl")
     process_batch(payments(spark, "/root/testdata/sf0.01"), 0, targets, FIXTURE_CONFIG)
     run_silver(spark, targets.bronze_path, f"{tmp_dir}/silver")
     days = spark.read.parquet(f"{tmp_dir}/silver").select("year", "month", "day").distinct().count()
@@ -187,23 +288,6 @@ def test_full_silver_rebuild_file_count(spark, tmp_dir):
     assert len(files) <= days + int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def test_jdbc_partitioned_read_keeps_every_row(spark):
-    from pyspark.sql import functions as F
-
-    from ledgerlake.sinks.jdbc import read_jdbc, write_jdbc
-
-    url = "jdbc:derby:memory:partitioned_read;create=true"
-    src = spark.range(1000).select(F.col("id").cast("int").alias("date_key"), (F.col("id") * 2).alias("v"))
-    write_jdbc(src, "facts", url, mode="overwrite", num_partitions=2)
-    # Bounds narrower than the data: rows outside them land in the edge strides.
-    parts = read_jdbc(spark, "facts", url, partition_column="date_key", lower_bound=100, upper_bound=900,
-                      num_partitions=4)
-    assert parts.rdd.getNumPartitions() == 4
-    assert parts.count() == 1000 and parts.agg(F.sum("v")).first()[0] == 999 * 1000
-    with pytest.raises(ValueError):
-        read_jdbc(spark, "facts", url, partition_column="date_key")
-
-
 def test_day_scoped_gold_merges_dimensions(spark, tmp_dir):
     """Day-scoped Gold runs add their dimension rows without replacing other
     days' rows, and a re-run inserts nothing twice."""
@@ -211,16 +295,15 @@ def test_day_scoped_gold_merges_dimensions(spark, tmp_dir):
 
     from ledgerlake.plans.catalog import silver_all
     from ledgerlake.plans.gold import run_gold
-    from ledgerlake.sinks.jdbc import read_jdbc
     from ledgerlake.sinks.parquet import write_partitioned
 
     write_partitioned(silver_all(spark, SF), f"{tmp_dir}/silver", mode="overwrite")
-    url = "jdbc:derby:memory:gold_days;create=true"
+    url = f"{tmp_dir}/gold"
     for y, m, d in [(2024, 1, 2), (2024, 1, 3), (2024, 1, 2)]:
         written = run_gold(spark, f"{tmp_dir}/silver", url, y, m, d, blacklist=("M11", "M22"))
         assert written["dim_card"] == "merge"
     both = read_partitioned(spark, f"{tmp_dir}/silver").filter(F.col("day").isin(2, 3) & (F.col("month") == 1))
     for name, cols in [("dim_card", ["card_hash"]), ("dim_merchant", ["merchant_id", "mcc", "country"])]:
-        got = read_jdbc(spark, name, url)
+        got = gold(spark, url, name)
         assert got.count() == got.distinct().count() == both.select(*cols).distinct().count()
-    assert read_jdbc(spark, "dim_date", url).count() == 2
+    assert gold(spark, url, "dim_date").count() == 2

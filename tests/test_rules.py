@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import payment
 from ledgerlake.config import DEFAULT_CONFIG, FIXTURE_CONFIG
 from ledgerlake.operators.enrich import with_event_time
+from ledgerlake.plans.bronze import enrich
 from ledgerlake.operators.rules import (
     FraudDetector,
     bank_declined_rule,
@@ -110,7 +111,6 @@ def test_reasons_and_three_valued_or(payments_df):
 
 def test_rules_never_change_row_count(spark):
     from ledgerlake.plans.catalog import payments
-    from ledgerlake.plans.bronze import enrich
 
     p = payments(spark, "/root/testdata/sf0.001")
     n = p.count()
@@ -120,7 +120,6 @@ def test_rules_never_change_row_count(spark):
 
 def test_strategies_agree_on_fixture(spark):
     from ledgerlake.plans.catalog import payments
-    from ledgerlake.plans.bronze import enrich
 
     p = payments(spark, "/root/testdata/sf0.001")
     cols = ["transaction_id", "is_high_velocity", "is_cross_border", "is_high_decline_rate", "fraud_reasons"]
@@ -132,7 +131,6 @@ def test_strategies_agree_on_fixture(spark):
 
 def test_broadcast_fallback_when_threshold_disabled(spark):
     from ledgerlake.plans.catalog import payments
-    from ledgerlake.plans.bronze import enrich
 
     p = payments(spark, "/root/testdata/sf0.001")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -165,7 +163,7 @@ def test_blacklist_table_equals_list(spark, payments_df):
     assert blacklisted_merchant_rule(table).apply(df).count() == 3  # no fan-out from duplicate keys
 
 
-def test_static_broadcast_writes_firing_groups_once_under_the_shared_folder(spark, payments_df):
+def test_enrich_runs_no_job_and_writes_nothing(spark, payments_df):
     import os
 
     from ledgerlake.session import scratch_root
@@ -173,10 +171,38 @@ def test_static_broadcast_writes_firing_groups_once_under_the_shared_folder(spar
     root = f"{scratch_root(spark)}/ledgerlake"
     before = set(os.listdir(root)) if os.path.isdir(root) else set()
     rows = [payment(tid=f"T{i}", ts=f"2026-05-29 06:39:{10 + i:02d}") for i in range(6)]
-    out = FraudDetector([high_velocity_rule()], strategy="broadcast", composites=False).apply(
-        with_event_time(payments_df(rows))
-    )
-    written = [d for d in set(os.listdir(root)) - before if d.startswith("firing_groups-")]
-    assert len(written) == 1  # one aggregation of the input, read back by the count and the join
-    assert spark.read.parquet(f"{root}/{written[0]}").count() == 1
-    assert all(flags(out, "is_high_velocity").values())
+    df = with_event_time(payments_df(rows))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    out = {s: FraudDetector([high_velocity_rule()], strategy=s, composites=False).apply(df) for s in STRATEGIES}
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
+    assert (set(os.listdir(root)) if os.path.isdir(root) else set()) == before
+    assert all(all(flags(x, "is_high_velocity").values()) for x in out.values())
+
+
+def test_window_scope(spark, payments_df):
+    from ledgerlake.config import DEFAULT_CONFIG
+
+    with pytest.raises(ValueError):
+        DEFAULT_CONFIG.with_(window_scope="week")
+    rows = [payment(tid=f"T{i}", ts=f"2026-05-29 06:39:{10 + i:02d}") for i in range(6)]
+    df = payments_df(rows)
+    for scope, want in (("micro_batch", True), ("table", True), ("stateful", False)):
+        got = enrich(df, DEFAULT_CONFIG.with_(window_scope=scope))
+        assert set(flags(got, "is_high_velocity").values()) == {want}
+
+
+def test_jobs_want_utc(spark, payments_df, tmp_dir):
+    from ledgerlake.plans.gold import run_gold
+    from ledgerlake.plans.silver import run_silver
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for job in (
+            lambda: enrich(payments_df([payment()])),
+            lambda: run_silver(spark, f"{tmp_dir}/b", f"{tmp_dir}/s"),
+            lambda: run_gold(spark, f"{tmp_dir}/s", f"{tmp_dir}/g"),
+        ):
+            with pytest.raises(ValueError, match="UTC"):
+                job()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

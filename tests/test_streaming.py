@@ -40,7 +40,7 @@ def test_one_batch_flags_velocity(spark, tmp_dir):
     _write_messages(spark, six_in_a_minute(), f"{tmp_dir}/inbox")
     counts = _run(spark, tmp_dir)
     assert sum(c["received"] for c in counts) == 6
-    dl = spark.read.json(f"{tmp_dir}/dl/batch_*")
+    dl = spark.read.json(f"{tmp_dir}/dl/run=*/batch=*")
     assert dl.count() == 6 and "VELOCITY" in json.loads(dl.first().value)["fraud_reasons"]
 
 
@@ -53,14 +53,14 @@ def test_windows_are_batch_local_and_restart_resumes(spark, tmp_dir):
     assert sum(c["received"] for c in c1) == 3 and sum(c["received"] for c in c2) == 4
     bronze = spark.read.parquet(f"{tmp_dir}/bronze")
     assert bronze.count() == 6  # split over two batches: never 6 in one window
-    st = spark.read.json(f"{tmp_dir}/dead_letter/batch_*")
+    st = spark.read.json(f"{tmp_dir}/dead_letter/run=*/batch=*")
     assert st.count() == 1 and st.first().raw_value is not None
 
 
 def test_malformed_message_goes_to_structural_dead_letter(spark, tmp_dir):
     spark.createDataFrame([("k", "{oops")], "key string, value string").write.json(f"{tmp_dir}/inbox")
     _run(spark, tmp_dir)
-    st = spark.read.json(f"{tmp_dir}/dead_letter/batch_*")
+    st = spark.read.json(f"{tmp_dir}/dead_letter/run=*/batch=*")
     assert st.first().raw_value == "{oops"
     assert not os.path.exists(f"{tmp_dir}/bronze")
 
@@ -82,13 +82,11 @@ def test_card_alerts_with_rocksdb_state(spark, tmp_dir):
     _write_messages(spark, six_in_a_minute("C7"), f"{tmp_dir}/inbox")
     decoded = decode_payload(read_raw_stream(spark, "file", path=f"{tmp_dir}/inbox"), keep_raw=False)
     old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    try:
-        for q in start_card_alerts(spark, decoded, f"{tmp_dir}/alerts", f"{tmp_dir}/ckpt", DEFAULT_CONFIG,
-                                   available_now=True, state_store="rocksdb"):
-            q.awaitTermination()
-            assert q.exception() is None
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    for q in start_card_alerts(spark, decoded, f"{tmp_dir}/alerts", f"{tmp_dir}/ckpt", DEFAULT_CONFIG,
+                               available_now=True, state_store="rocksdb"):
+        q.awaitTermination()
+        assert q.exception() is None
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == old
     alerts = read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect()
     assert [a.card_hash for a in alerts] == ["C7"]
 
@@ -163,3 +161,43 @@ def test_card_alerts_day_scoped_read(spark, tmp_dir):
     assert read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG, 2026, 6, 1).count() == 0
     with pytest.raises(ValueError):
         read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG, 2026, 5, None)
+
+
+def test_compaction_keeps_the_latest_versions(spark, tmp_dir):
+    from ledgerlake.streaming.alerts import compact_card_alerts
+
+    rows = six_in_a_minute("A")
+    decoded = lambda: decode_payload(read_raw_stream(spark, "file", path=f"{tmp_dir}/inbox"), keep_raw=False)
+    for part in (rows[:3], rows[3:]):
+        _write_messages(spark, part, f"{tmp_dir}/inbox")
+        for q in start_card_alerts(spark, decoded(), f"{tmp_dir}/alerts", f"{tmp_dir}/ckpt", DEFAULT_CONFIG, available_now=True):
+            q.awaitTermination()
+    day = f"{tmp_dir}/alerts/buckets/window_date=2026-05-29"
+    before = read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect()
+    assert len([d for d in os.listdir(day) if d.startswith("batch_id=")]) == 2
+    compact_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG, "2026-05-29")
+    spark.catalog.clearCache()
+    assert len([d for d in os.listdir(day) if d.startswith("batch_id=")]) == 1
+    assert read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect() == before
+    compact_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG, "2020-01-01")  # no such day: nothing to do
+
+
+def test_late_rows_are_counted(spark, tmp_dir):
+    from ledgerlake.streaming.alerts import rows_dropped_as_late
+
+    decoded = lambda: decode_payload(read_raw_stream(spark, "file", path=f"{tmp_dir}/inbox"), keep_raw=False)
+    dropped = 0
+    for ts in ("2026-05-29 12:00:00", "2026-05-29 12:00:01", "2026-05-29 01:00:00"):
+        _write_messages(spark, [payment(ts=ts)], f"{tmp_dir}/inbox")
+        for q in start_card_alerts(spark, decoded(), f"{tmp_dir}/alerts", f"{tmp_dir}/ckpt", DEFAULT_CONFIG, available_now=True):
+            q.awaitTermination()
+            dropped += rows_dropped_as_late(q)
+    assert dropped == 1
+
+
+def test_table_scope_is_no_scope_for_a_stream(spark, tmp_dir):
+    import pytest
+
+    _write_messages(spark, [payment()], f"{tmp_dir}/inbox")
+    with pytest.raises(ValueError):
+        _run(spark, tmp_dir, DEFAULT_CONFIG.with_(window_scope="table"))
