@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -216,28 +217,38 @@ def main_text(page: str | None) -> str:
     blocks = blocks_of(page or "")
     labels = [decide(b) for b in blocks]
     marked = any(b.region and not b.outside for b in blocks)
+    nearest = {r: _decided(blocks, labels, r) for r in {b.region for b in blocks}}
     kept = []
     for i, (block, label) in enumerate(zip(blocks, labels)):
         if marked and not block.region:
             continue
         if label is None:
-            label = _nearest(blocks, labels, i, block.region or None)
+            label = _inherited(nearest[block.region], labels, i)
         if label:
             kept.append(block.text)
     return "\n".join(kept)
 
 
-def _nearest(blocks: list[Block], labels: list[bool | None], i: int, region: int | None) -> bool:
-    """Pass two: the label of the nearest decided block (of the region); text if it has none."""
-    for gap in range(1, len(blocks)):
-        near = [
-            labels[j]
-            for j in (i - gap, i + gap)
-            if 0 <= j < len(blocks) and labels[j] is not None and (region is None or blocks[j].region == region and not blocks[j].outside)
-        ]
-        if near:
-            return any(near)
-    return True
+def _decided(blocks: list[Block], labels: list[bool | None], region: int) -> list[int]:
+    """The decided blocks (of the region, if it is an article), in order.
+
+    Link lists inside an article do not pass on their label while it has text.
+    """
+    decided = [
+        j
+        for j, label in enumerate(labels)
+        if label is not None and (not region or blocks[j].region == region and not blocks[j].outside)
+    ]
+    texts = [j for j in decided if labels[j]]
+    return texts if region and texts else decided
+
+
+def _inherited(decided: list[int], labels: list[bool | None], i: int) -> bool:
+    """Pass two: the label of the nearest decided block, text if there is none or two are as near."""
+    at = bisect(decided, i)
+    near = decided[max(0, at - 1) : at + 1]
+    gap = min((abs(j - i) for j in near), default=0)
+    return not near or any(labels[j] for j in near if abs(j - i) == gap)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
