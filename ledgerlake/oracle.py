@@ -11,13 +11,14 @@ from __future__ import annotations
 
 PAYMENTS = """
 payments AS (
-  SELECT concat('TXN', lpad(CAST(event_id AS VARCHAR), 12, '0')) AS transaction_id,
+  SELECT concat('TXN', lpad(CAST(CASE WHEN event_id % 23 = 1 THEN event_id - 1 ELSE event_id END AS VARCHAR), 12, '0'))
+           AS transaction_id,
          CASE WHEN event_id % 53 = 0 THEN 'bad-ts' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts_event,
-         concat('C', CAST(user_id AS VARCHAR)) AS card_hash,
+         CASE WHEN event_id % 89 = 0 THEN NULL ELSE concat('C', CAST(user_id AS VARCHAR)) END AS card_hash,
          CASE WHEN event_id % 41 = 0 THEN NULL ELSE concat('M', CAST(event_id % 50 AS VARCHAR)) END AS merchant_id,
          CASE WHEN event_id % 97 = 0 THEN NULL ELSE value * 50 END AS amount,
-         CASE event_id % 10 WHEN 0 THEN 'JPY' WHEN 1 THEN 'EUR' WHEN 2 THEN 'GBP'
-              WHEN 3 THEN 'NPR' WHEN 4 THEN 'usd' ELSE 'USD' END AS currency,
+         CASE WHEN event_id % 71 = 0 THEN NULL ELSE CASE event_id % 10 WHEN 0 THEN 'JPY' WHEN 1 THEN 'EUR'
+              WHEN 2 THEN 'GBP' WHEN 3 THEN 'NPR' WHEN 4 THEN 'usd' ELSE 'USD' END END AS currency,
          CASE event_id % 5 WHEN 0 THEN '5411' WHEN 1 THEN '5812' WHEN 2 THEN '4814'
               WHEN 3 THEN '5912' ELSE 'n/a' END AS mcc,
          CASE event_id % 4 WHEN 0 THEN 'POS' WHEN 1 THEN 'ONLINE' WHEN 2 THEN ' ATM ' ELSE '' END AS channel,
@@ -83,7 +84,16 @@ routed AS (
   FROM verdict
 )"""
 
+PAYMENT_COLS = "transaction_id, ts_event, card_hash, merchant_id, amount, currency, mcc, channel, auth_result, location"
+# As decoded from messages: a message that is cut off is a payment of nulls.
+DECODED = (
+    PAYMENTS.replace("payments AS", "sent AS")
+    + ",\npayments AS (SELECT "
+    + ", ".join(f"CASE WHEN transaction_id LIKE '%777' THEN NULL ELSE {c} END AS {c}" for c in PAYMENT_COLS.split(", "))
+    + " FROM sent)"
+)
 ROUTED = "WITH " + ",".join([PAYMENTS, PARSED, _flagged(), VERDICT])
+ROUTED_STREAM = "WITH " + ",".join([DECODED, PARSED, _flagged(), VERDICT])
 ROUTED_REFERENCE_WINDOWS = "WITH " + ",".join(
     [PAYMENTS, PARSED, _flagged("1 minute", "10 minutes", "10 minutes"), VERDICT]
 )
@@ -93,7 +103,6 @@ BRONZE_COLS = (
     "transaction_id, ts_event, card_hash, merchant_id, amount, currency, mcc, channel, auth_result, "
     "location, event_time, year, month, day, country, " + FLAGS + ", fraud_reasons"
 )
-PAYMENT_COLS = "transaction_id, ts_event, card_hash, merchant_id, amount, currency, mcc, channel, auth_result, location"
 SILVER_COLS = PAYMENT_COLS + ", event_time, year, month, day, country"
 
 # Silver over a relation `src` with Bronze-like columns (incl. country).
@@ -161,8 +170,10 @@ SELECT date_key, merchant_id, CAST(sum(amount) AS DECIMAL(28,2)) AS total_amount
        {EXACT_AVG} AS avg_amount, max(amount) AS max_amount
 FROM gold GROUP BY date_key, merchant_id"""
 
-PARSEABLE = "WITH " + ",".join([PAYMENTS, PARSED]) + f"""
+_PARSEABLE = f"""
 , parseable AS (SELECT *, {COUNTRY} AS country FROM parsed WHERE event_time IS NOT NULL)"""
+PARSEABLE = "WITH " + ",".join([PAYMENTS, PARSED]) + _PARSEABLE
+PARSEABLE_STREAM = "WITH " + ",".join([DECODED, PARSED]) + _PARSEABLE
 
 
 def _windows(select_aggs: str, having: str) -> str:
@@ -174,11 +185,11 @@ GROUP BY card_hash, time_bucket(INTERVAL '1 day', event_time)
 HAVING {having}"""
 
 
-DEAD_LETTER_REPORT = ROUTED + """
+_DEAD_LETTER_REPORT = """
 SELECT '[DEAD-LETTER]' AS label, card_hash, transaction_id, amount, currency, merchant_id, auth_result, fraud_reasons
 FROM routed WHERE route = 'dead_letter'"""
 
-ALERTS = PARSEABLE + """
+ALERTS = PARSEABLE_STREAM + """
 , agg AS (
   SELECT card_hash, time_bucket(INTERVAL '1 day', event_time) AS window_start,
          time_bucket(INTERVAL '1 day', event_time) + INTERVAL '1 day' AS window_end,
@@ -209,7 +220,7 @@ ORACLE_SQL = {
     "parse_event_time": "WITH " + ",".join([PAYMENTS, PARSED])
     + "\nSELECT transaction_id, ts_event, event_time, year, month, day FROM parsed WHERE event_time IS NOT NULL",
     "settlement_daily": GOLD + SETTLEMENT,
-    "decode_payload": f"WITH {PAYMENTS}\nSELECT * FROM payments",
+    "decode_payload": f"WITH {DECODED}\nSELECT * FROM payments",
     "extract_country": f"WITH {PAYMENTS}\nSELECT transaction_id, location, {COUNTRY} AS country FROM payments",
     "currency_validity": f"WITH {PAYMENTS}\nSELECT transaction_id, currency,"
     " NOT (currency IN ('USD', 'EUR', 'GBP', 'NPR')) AS is_invalid FROM payments",
@@ -280,10 +291,10 @@ SELECT transaction_id, date_key, card_hash, merchant_id, amount, currency, chann
     "fact_fraud_signals": GOLD + """
 SELECT transaction_id, date_key, merchant_id, is_high_amount, is_blacklisted, is_high_velocity, is_cross_border
 FROM gold WHERE is_high_amount OR is_blacklisted""",
-    "stream_bronze": ROUTED + f"\nSELECT {BRONZE_COLS} FROM routed WHERE route = 'valid'",
-    "stream_dead_letter": DEAD_LETTER_REPORT,
-    "stream_unparseable": ROUTED + f"\nSELECT {PAYMENT_COLS} FROM routed WHERE route = 'unparseable'",
-    "dead_letter_report": DEAD_LETTER_REPORT,
+    "stream_bronze": ROUTED_STREAM + f"\nSELECT {BRONZE_COLS} FROM routed WHERE route = 'valid'",
+    "stream_dead_letter": ROUTED_STREAM + _DEAD_LETTER_REPORT,
+    "stream_unparseable": ROUTED_STREAM + f"\nSELECT {PAYMENT_COLS} FROM routed WHERE route = 'unparseable'",
+    "dead_letter_report": ROUTED + _DEAD_LETTER_REPORT,
     "partition_check": GOLD + """
 SELECT CAST(2024 AS INTEGER) AS year, CAST(1 AS INTEGER) AS month, CAST(15 AS INTEGER) AS day,
        count(*) > 0 AS present, count(*) AS row_count
@@ -299,11 +310,12 @@ ORACLE_SQL |= {
 ORACLE_SQL |= {
     "gold_job_fact_settlement_daily": ORACLE_SQL["settlement_daily"],
     "rules_join_form_reference": ORACLE_SQL["rules_reference_windows"],
-    "rules_across_batches": ROUTED
+    "rules_across_batches": ROUTED_STREAM
     + "\nSELECT transaction_id, is_high_velocity, is_cross_border, is_high_decline_rate, fraud_reasons, is_fraud, route"
     " FROM routed",
-    "stream_partition_distribution": ORACLE_SQL["partition_distribution"],
-    "stream_restart": ROUTED + """
+    "stream_partition_distribution": ROUTED_STREAM + "\nSELECT year, month, day, count(*) AS row_count FROM routed"
+    " WHERE route = 'valid' GROUP BY year, month, day",
+    "stream_restart": ROUTED_STREAM + """
 SELECT 2 * count(*) AS received, 2 * count(*) AS accounted,
        CAST(2 * count_if(route = 'unparseable') AS BIGINT) AS unparseable, CAST(0 AS BIGINT) AS mismatches FROM routed""",
 }

@@ -503,11 +503,13 @@ def q_stream_card_alerts(spark, sf):
 
 def q_rules_across_batches(spark, sf):
     """Window scope "stateful": flags from state over several micro-batches equal those of the whole table."""
+    from ledgerlake.sources.transport import decode_payload
     from ledgerlake.streaming.alerts import read_card_alerts, with_window_state
 
     cfg = FX.with_(window_scope="stateful")
     alerts = read_card_alerts(spark, _alert_stream(spark, sf), cfg)
-    return with_window_state(routed(spark, sf, cfg), alerts, cfg).select(
+    rows = enrich(decode_payload(messages_from_payments(payments(spark, sf)), keep_raw=False), cfg)
+    return with_window_state(rows, alerts, cfg).select(
         "transaction_id", *WINDOW_FLAGS, "fraud_reasons", "is_fraud", "route"
     )
 

@@ -1,10 +1,11 @@
 """Payments derived from the driver's ``events`` table.
 
 The surveyed project has no test inputs; this mapping turns every event into
-one payment message with a known share of malformed timestamps, null
-merchants and amounts, lower-case or unknown currencies, non-numeric mcc,
-blank channels and locations without a country. It is a pure projection, so
-it partitions exactly like ``events`` and grows with it.
+one payment message with a known share of malformed timestamps, repeated
+transaction ids, null cards, merchants, amounts and currencies, lower-case or
+unknown currencies, non-numeric mcc, blank channels, locations without a
+country, and (as messages) malformed JSON. It is a pure projection, so it
+partitions exactly like ``events`` and grows with it.
 """
 
 from __future__ import annotations
@@ -16,6 +17,10 @@ from pyspark.sql import functions as F
 BAD_TS_EVERY = 53
 NULL_MERCHANT_EVERY = 41
 NULL_AMOUNT_EVERY = 97
+NULL_CARD_EVERY = 89
+NULL_CURRENCY_EVERY = 71
+REPEATED_ID_EVERY = 23  # the event after every 23rd repeats its id
+MALFORMED_ID_END = "777"  # messages of these ids are cut off
 MERCHANT_COUNT = 50
 AMOUNT_FACTOR = 50
 CURRENCY_BY_MOD10 = {0: "JPY", 1: "EUR", 2: "GBP", 3: "NPR", 4: "usd"}  # else USD
@@ -42,18 +47,25 @@ def payments_from_events(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     etype = F.col("event_type")
     return events.select(
-        F.concat(F.lit("TXN"), F.lpad(eid.cast("string"), 12, "0")).alias("transaction_id"),
+        F.concat(
+            F.lit("TXN"),
+            F.lpad((eid - F.when(eid % REPEATED_ID_EVERY == 1, 1).otherwise(0)).cast("string"), 12, "0"),
+        ).alias("transaction_id"),
         F.when(eid % BAD_TS_EVERY == 0, F.lit("bad-ts"))
         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
         .alias("ts_event"),
-        F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("card_hash"),
+        F.when(eid % NULL_CARD_EVERY == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("C"), F.col("user_id").cast("string")))
+        .alias("card_hash"),
         F.when(eid % NULL_MERCHANT_EVERY == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("M"), (eid % MERCHANT_COUNT).cast("string")))
         .alias("merchant_id"),
         F.when(eid % NULL_AMOUNT_EVERY == 0, F.lit(None).cast("double"))
         .otherwise(F.col("value") * AMOUNT_FACTOR)
         .alias("amount"),
-        _pick(eid % 10, CURRENCY_BY_MOD10, "USD").alias("currency"),
+        F.when(eid % NULL_CURRENCY_EVERY == 0, F.lit(None).cast("string"))
+        .otherwise(_pick(eid % 10, CURRENCY_BY_MOD10, "USD"))
+        .alias("currency"),
         _pick(eid % 5, MCC_BY_MOD5, "n/a").alias("mcc"),
         _pick(eid % 4, CHANNEL_BY_MOD4, "").alias("channel"),
         F.when(etype == "error", F.lit("DECLINED"))
@@ -65,7 +77,9 @@ def payments_from_events(events: DataFrame) -> DataFrame:
 
 
 def messages_from_payments(payments: DataFrame) -> DataFrame:
-    """Encode payments as transport messages: key = card, value = JSON payload."""
+    """Encode payments as transport messages: key = card, value = JSON payload (some of them cut off)."""
+    whole = F.to_json(F.struct(*payments.columns))
+    cut = F.col("transaction_id").endswith(MALFORMED_ID_END)
     return payments.select(
-        F.col("card_hash").alias("key"), F.to_json(F.struct(*payments.columns)).alias("value")
+        F.col("card_hash").alias("key"), F.when(cut, F.substring(whole, 1, 20)).otherwise(whole).alias("value")
     )
