@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.session import write_scratch_table
 
-#: Six tokens each; spans of 6 to 11.
-MASKS = ("111111", "11011011", "1101001011", "10110100011")
+#: Three pairs of tokens each; spans of 6 to 10.
+MASKS = ("111111", "11011011", "1100110011", "111100011")
 OVERLAP = 13
 SUBSTITUTIONS = 3
 #: Seeds of one broadcast: about 32 bytes each.
@@ -39,28 +39,36 @@ BLOCK_ROWS = 500_000
 
 
 def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _hashed(df: DataFrame, key: str, text_col: str, name: str, *more: str) -> DataFrame:
-    words = tokens(F.col(text_col))
-    return df.select(F.col(key), *more, F.transform(words, lambda w: F.xxhash64(w)).alias(name))
+def token_hashes(text: Column) -> Column:
+    return F.transform(tokens(text), lambda w: F.xxhash64(w))
 
 
-def _seeds(hashes: str) -> Column:
-    """All masks at all places: entry m * n + i is mask m at token i of n (null where it runs over the end)."""
+def _with_pairs(df: DataFrame, hashes: str) -> DataFrame:
+    """Columns _n (tokens) and _p (hash of each token and the next).
+
+    They are columns of their own before any lambda uses them, as an array
+    that is computed inside a lambda is computed for each element.
+    """
     h = F.col(hashes)
+    pairs = F.transform(F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(h, i + 1)))
+    return df.withColumns({"_n": F.size(h), "_p": pairs})
 
-    def under(mask: str) -> Column:
-        picks = [k for k, bit in enumerate(mask) if bit == "1"]
 
-        def seed(first: Column, i: Column) -> Column:
-            last = F.get(h, i + picks[-1])
-            return F.when(
-                last.isNotNull(), F.xxhash64(F.lit(mask), first, *[F.get(h, i + k) for k in picks[1:-1]], last)
-            )
+def _seeds() -> Column:
+    """All masks at all places: entry m * (n - 1) + i is mask m at token i of n (null where it runs over the end)."""
+    p = F.col("_p")
 
-        return F.transform(h, seed)
+    def under(mask: str) -> Column:
+        picks = [k for k, bit in enumerate(mask) if bit == "1"]
+        a, b, c = picks[::2]
+        if (a, picks) != (0, [a, a + 1, b, b + 1, c, c + 1]):
+            raise ValueError("a mask is three pairs of tokens")
+        return F.transform(
+            p, lambda x, i: F.when(F.get(p, i + c).isNotNull(), F.xxhash64(F.lit(mask), x, F.get(p, i + b), F.get(p, i + c)))
+        )
 
     return F.concat(*[under(m) for m in MASKS])
 
@@ -70,23 +78,24 @@ def seed_hits(docs: DataFrame, items: DataFrame, block_rows: int = BLOCK_ROWS) -
 
     ``docs``: columns _doc, _text_key, _h; ``items``: _item, _b (arrays of token hashes).
     """
-    n = F.size("_b")
+    # Read back as columns, so that no lambda computes them again.
+    items = write_scratch_table(_with_pairs(items, "_b"), "benchmark_items")
+    place = (F.col("_at") % (F.col("_n") - 1)).alias("_place")
     found = (
-        items.select("_item", n.alias("_n"), F.posexplode(_seeds("_b")).alias("_at", "_seed"))
+        items.select("_item", "_n", F.posexplode(_seeds()).alias("_at", "_seed"))
         .filter("_seed is not null")
-        .select("_item", (F.col("_at") % F.col("_n")).alias("_item_at"), "_seed")
+        .select("_item", place.alias("_item_at"), "_seed")
         .distinct()
     )
     found = write_scratch_table(found, "benchmark_seeds")
     blocks = max(1, -(-found.count() // block_rows))
-    # The length is a column before the explode, so that no exploded row carries the array.
-    counted = docs.withColumn("_n", F.size("_h"))
-    placed = counted.select("_doc", "_ta", "_tb", "_n", F.posexplode(_seeds("_h")).alias("_at", "_seed"))
+    placed = _with_pairs(docs, "_h").select("_doc", "_ta", "_tb", "_n", F.posexplode(_seeds()).alias("_at", "_seed"))
+    placed = placed.select("_doc", "_ta", "_tb", place, "_seed")
 
     def hits(block: int) -> DataFrame:
         part = found if blocks == 1 else found.filter(F.pmod(F.col("_seed"), F.lit(blocks)) == block)
         return placed.join(F.broadcast(part), "_seed").select(
-            "_doc", "_ta", "_tb", "_item", (F.col("_at") % F.col("_n") - F.col("_item_at")).alias("_diagonal")
+            "_doc", "_ta", "_tb", "_item", (F.col("_place") - F.col("_item_at")).alias("_diagonal")
         )
 
     return reduce(DataFrame.unionByName, [hits(b) for b in range(blocks)]).distinct()
@@ -116,21 +125,16 @@ def find_contamination(
         F.xxhash64(whole).alias("_ta"),
         F.xxhash64(F.lit("text"), whole).alias("_tb"),
     )
-    items = _hashed(benchmark.select(F.col(item_col).alias("_item"), F.col(item_text_col).alias("_text")), "_item", "_text", "_b")
-    hits = seed_hits(_hashed(keyed, "_doc", "_text", "_h", "_ta", "_tb"), items, block_rows)
+    items = benchmark.select(F.col(item_col).alias("_item"), token_hashes(F.col(item_text_col)).alias("_b"))
+    hits = seed_hits(keyed.select("_doc", "_ta", "_tb", token_hashes(F.col("_text")).alias("_h")), items, block_rows)
     hits = write_scratch_table(hits, "seed_hits")
 
-    near = (
-        keyed.join(
-            hits.withColumnsRenamed({"_doc": "_hd", "_ta": "_ha", "_tb": "_hb"}),
-            F.col("_doc").eqNullSafe(F.col("_hd")) & (F.col("_ta") == F.col("_ha")) & (F.col("_tb") == F.col("_hb")),
-        )
-        .select("_doc", "_text", "_item", "_diagonal")
-        .join(items, "_item")
-    )
-    hashed = near.select(
-        "_doc", "_item", "_diagonal", "_b", F.transform(tokens(F.col("_text")), lambda w: F.xxhash64(w)).alias("_h")
-    )
+    near = keyed.join(
+        hits.withColumnsRenamed({"_doc": "_hd", "_ta": "_ha", "_tb": "_hb"}),
+        F.col("_doc").eqNullSafe(F.col("_hd")) & (F.col("_ta") == F.col("_ha")) & (F.col("_tb") == F.col("_hb")),
+    ).select("_doc", "_item", "_diagonal", token_hashes(F.col("_text")).alias("_h"))
+    # Written, so that the comparison reads the hashes as a column.
+    hashed = write_scratch_table(near, "hit_documents").join(items, "_item")
     at = lambda i: F.when(i >= 0, F.get(F.col("_h"), i))
     same = F.transform(
         F.col("_b"), lambda x, j: F.coalesce(at(F.col("_diagonal") + j) == x, F.lit(False)).cast("int")

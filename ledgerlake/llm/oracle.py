@@ -70,7 +70,7 @@ SELECT doc_id,
 FROM cut
 """
 
-MASKS = ("111111", "11011011", "1101001011", "10110100011")
+MASKS = ("111111", "11011011", "1100110011", "111100011")
 
 
 def _seeds(table: str, key: str) -> str:
