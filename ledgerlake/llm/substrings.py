@@ -16,9 +16,10 @@ period that brings both onto the cover, so two equal windows of
 A task packs its hashes into one row per bucket. Before that it settles what
 it can by itself: an anchor or window that many of its documents hold is sent
 once, so a passage that a third of all documents share costs one entry a
-slice of text, and no bucket depends on how often a passage occurs. Documents
-are shuffled once by id; all three steps read that shuffle. Windows are
-compared by 64-bit hashes.
+slice of text, and no bucket depends on how often a passage occurs. What is
+found goes back packed by groups of documents, so rows grow with tasks and not
+with documents times buckets. Documents are shuffled once by id; all three steps
+read that shuffle. Windows are compared by 64-bit hashes.
 
 Cases: null and empty texts have no words; texts of fewer than 13 words keep
 all; a null id counts as smaller than every other; rows that share an id are
@@ -38,7 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WordHashes, shuffle_partitions, text_slices, window_hashes
+from ledgerlake.llm.common import (
+    WordHashes,
+    mix64,
+    shuffle_partitions,
+    text_slices,
+    window_hashes,
+)
 
 WINDOW = 13
 PERIOD = 7
@@ -48,8 +55,9 @@ BUCKET_ENTRIES = 2_000_000
 SLICE_BYTES = 8 << 20
 NO_ID = -(1 << 63)
 
-SENT = "_bucket long, _doc long, _keys binary, _docs binary, _places binary"
-FOUND = "_doc long, _places binary"
+SENT = "_bucket long, _keys binary, _docs binary, _places binary"
+PACKED = "_group long, _docs binary, _places binary"
+FOUND = "_doc long, _back binary"
 
 
 @lru_cache(maxsize=1)
@@ -60,13 +68,13 @@ def _word_hashes() -> WordHashes:
 class _Slice:
     """The words of some texts, one after the other, as hashes."""
 
-    def __init__(self, ids: np.ndarray, variants: np.ndarray, texts: list[str | None]):
+    def __init__(self, ids: np.ndarray, variants: np.ndarray, words: list[list[bytes]]):
         table = _word_hashes()
-        hashed = [table.of((x or "").encode().split()) for x in texts]
+        hashed = [table.of(x) for x in words]
         self.lengths = np.array([len(x) for x in hashed], dtype=np.int64)
         self.hashes = np.concatenate(hashed) if hashed else np.empty(0, dtype=np.uint64)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.text = np.repeat(np.arange(len(texts)), self.lengths)
+        self.text = np.repeat(np.arange(len(words)), self.lengths)
         self.at = np.arange(len(self.hashes)) - self.starts[self.text]
         self.ids, self.variants = ids, variants
 
@@ -94,16 +102,26 @@ def _groups(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return order, starts, least, most
 
 
-def _by_doc(docs: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    order = np.argsort(docs, kind="stable")
-    docs, places = docs[order], places[order]
-    starts = np.flatnonzero(np.diff(docs, prepend=docs[0] - 1 if docs[0] > NO_ID else docs[0] + 1))
-    for a, b in zip(starts, np.append(starts[1:], len(docs))):
-        yield int(docs[a]), places[a:b].astype("<i8").tobytes()
+def _runs(values: np.ndarray) -> Iterator[slice]:
+    """The runs of equal values."""
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    starts = np.flatnonzero(new)
+    for a, b in zip(starts, np.append(starts[1:], len(values))):
+        yield slice(int(a), int(b))
+
+
+def _packed(docs: np.ndarray, places: np.ndarray, groups: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """The places found, one row per group of documents."""
+    group = mix64(docs.view(np.uint64)) % np.uint64(groups)
+    order = np.lexsort((places, docs, group))
+    docs, places, group = docs[order].astype("<i8"), places[order], group[order]
+    for run in _runs(group):
+        yield int(group[run.start]), docs[run].tobytes(), _narrow(places[run])
 
 
 def _send(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, buckets: int, shared: bool) -> Iterator[tuple]:
-    """Rows for the buckets, and rows (bucket -1) with the places found without them.
+    """Rows for the buckets, and rows (bucket -1 - group) with the places found without them.
 
     ``shared``: a key that two documents hold is found; else the places of all
     but its smallest document are.
@@ -123,32 +141,30 @@ def _send(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, buckets: int,
         found = docs != least
         sent = ~found
         out = places[sent]
-    for doc, packed in _by_doc(docs[found], places[found]) if found.any() else ():
-        yield -1, doc, None, None, packed
+    for group, some_docs, some_places in _packed(docs[found], places[found], buckets):
+        yield -1 - group, None, some_docs, some_places
     keys, docs = keys[sent], docs[sent]
-    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))  # ascending, as the keys are
-    for b in np.flatnonzero(np.diff(cuts)):
-        part = slice(cuts[b], cuts[b + 1])
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)  # ascending, as the keys are
+    for part in _runs(bucket):
         # By document again: runs of one id compress.
         back = np.lexsort((out[part], docs[part]))
         yield (
-            int(b),
-            None,
+            int(bucket[part.start]),
             keys[part][back].tobytes(),
             docs[part][back].astype("<i8").tobytes(),
-            out[part][back].astype("<i8").tobytes(),
+            _narrow(out[part][back]),
         )
 
 
-def _sent_rows(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    names = [c.split()[0] for c in SENT.split(", ")]
+def _batches(rows: Iterator[tuple], schema: str) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of a few MB."""
+    names, kinds = zip(*(c.split() for c in schema.split(", ")))
+    types = [{"long": pa.int64(), "binary": pa.binary()}[k] for k in kinds]
     held: list[tuple] = []
     size = 0
     for row in rows:
         held.append(row)
-        size += sum(len(x) for x in row[2:] if x) + 32
+        size += sum(len(x) for x in row if isinstance(x, bytes)) + 32
         if size > 4 << 20:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
             held, size = [], 0
@@ -156,64 +172,78 @@ def _sent_rows(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
 
 
-def _settle(batches: Iterator[pa.RecordBatch], shared: bool) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket in; the places found, by document, out."""
+def _by_first(batches: Iterator[pa.RecordBatch], alone: bool) -> Iterator[tuple[int, list[tuple]]]:
+    """Rows sorted by their first column, as (value, the rest of its rows); with
+    ``alone``, rows of a negative value one by one."""
+    value, rows = None, []
+    for batch in batches:
+        for first, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+            if rows and (first != value or alone and first < 0):
+                yield value, rows
+                rows = []
+            value = first
+            rows.append(rest)
+    if rows:
+        yield value, rows
+
+
+def _narrow(places: np.ndarray) -> bytes:
+    """Places in 4 bytes each, if all of them fit (those of an id's first text do), else in 8."""
+    return places.astype("<i4" if places.max() < 1 << 31 else "<i8").tobytes()
+
+
+def _wide(places: bytes, docs: bytes) -> np.ndarray:
+    return np.frombuffer(places, dtype="<i8" if len(places) == len(docs) else "<i4").astype(np.int64)
+
+
+def _joined(parts, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(parts), dtype=kind)
 
-    def found(keys: list[bytes], docs: list[bytes], places: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        key = np.frombuffer(b"".join(keys), dtype="<u8")
-        doc = np.frombuffer(b"".join(docs), dtype="<i8")
-        place = np.frombuffer(b"".join(places), dtype="<i8")
+
+def _settle(batches: Iterator[pa.RecordBatch], shared: bool, groups: int) -> Iterator[tuple]:
+    """Rows sorted by bucket in; the places found, packed by group, out."""
+    for bucket, rows in _by_first(batches, alone=True):
+        if bucket < 0:
+            for _, docs, places in rows:
+                yield -1 - bucket, docs, places
+            continue
+        keys, docs, places = zip(*rows)
+        key, doc = _joined(keys, "<u8"), _joined(docs, "<i8")
+        place = np.concatenate([_wide(x, y) for x, y in zip(places, docs)])
         order, starts, least, most = _groups(key, doc)
         doc, place = doc[order], place[order]
         if shared:
             marked = np.maximum.reduceat(place < 0, starts)
-            sizes = np.diff(starts, append=len(doc))
-            hit = ((least != most) | np.repeat(marked, sizes)) & (place >= 0)
+            hit = ((least != most) | np.repeat(marked, np.diff(starts, append=len(doc)))) & (place >= 0)
         else:
             hit = doc != least
-        if hit.any():
-            yield from _by_doc(doc[hit], place[hit])
-
-    def rows() -> Iterator[tuple[int, bytes]]:
-        bucket, keys, docs, places = None, [], [], []
-        for batch in batches:
-            for b, doc, k, d, p in zip(*(c.to_pylist() for c in batch.columns)):
-                if b == -1:
-                    yield doc, p
-                    continue
-                if b != bucket and keys:
-                    yield from found(keys, docs, places)
-                    keys, docs, places = [], [], []
-                bucket = b
-                keys.append(k)
-                docs.append(d)
-                places.append(p)
-        if keys:
-            yield from found(keys, docs, places)
+        yield from _packed(doc[hit], place[hit], groups)
 
-    held: list[tuple] = []
-    for row in rows():
-        held.append(row)
-        if len(held) == 8192:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held)], names=["_doc", "_places"])
-            held = []
-    if held:
-        docs, places = zip(*held)
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(places, pa.binary())], names=["_doc", "_places"])
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows sorted by group in; one row per document out."""
+    for _, rows in _by_first(batches, alone=False):
+        docs, places = zip(*rows)
+        doc, place = _joined(docs, "<i8"), np.concatenate([_wide(x, y) for x, y in zip(places, docs)])
+        order = np.argsort(doc, kind="stable")
+        doc, place = doc[order], place[order]
+        for run in _runs(doc):
+            yield int(doc[run.start]), place[run].astype("<i8").tobytes()
 
 
-def _slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[_Slice, pa.RecordBatch]]:
+def _slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[_Slice, list[list[bytes]], pa.RecordBatch]]:
+    """Rows (_id, _variant, _text, ...) in slices of about ``size`` bytes of text."""
     for batch in batches:
         for part in text_slices(batch, "_text", size):
-            ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            variants = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield _Slice(ids, variants, part.column(2).to_pylist()), part
+            ids, variants = (part.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+            words = [(x or "").encode().split() for x in part.column(2).to_pylist()]
+            yield _Slice(ids, variants, words), words, part
 
 
 def _places(part: pa.RecordBatch, variants: np.ndarray) -> Iterator[np.ndarray]:
     """The places that came back for each row."""
     for packed, variant in zip(part.column(3).to_pylist(), variants):
-        places = np.frombuffer(b"".join(packed or ()), dtype="<i8")
+        places = np.frombuffer(packed or b"", dtype="<i8")
         yield places[places >> 32 == variant] & 0xFFFFFFFF
 
 
@@ -250,7 +280,7 @@ def remove_repeats(
     partitions = shuffle_partitions(docs)
     buckets = max(partitions, int(size / 5 * len(cover) / period / bucket_entries))
 
-    variant = F.dense_rank().over(Window.partitionBy("_id").orderBy("_text")).cast("long")
+    variant = F.dense_rank().over(Window.partitionBy("_id").orderBy("_text")).cast("long") - 1
     texts = (
         docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.col(text_col).alias("_text"))
         .repartition(partitions, "_id")
@@ -259,32 +289,31 @@ def remove_repeats(
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for s, _ in _slices(batches, SLICE_BYTES):
+            for s, _, _ in _slices(batches, SLICE_BYTES):
                 whole = (s.lengths >= window)[s.text]
                 chosen = np.flatnonzero(cover_flags[s.at % period] & s.fits(width) & whole)
                 yield from _send(*s.keys(chosen, width), buckets, shared=True)
 
-        return _sent_rows(rows())
+        return _batches(rows(), SENT)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for s, part in _slices(batches, SLICE_BYTES):
+            for s, _, part in _slices(batches, SLICE_BYTES):
                 chosen = np.flatnonzero(_spread(s, part, 1 - period, 0) & s.fits(window))
                 yield from _send(*s.keys(chosen, window), buckets, shared=False)
 
-        return _sent_rows(rows())
+        return _batches(rows(), SENT)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s, part in _slices(batches, 1 << 20):
+        for s, words, part in _slices(batches, 1 << 20):
             gone = _spread(s, part, 0, window - 1)
             removed, left = [], []
-            for start, length, text in zip(s.starts, s.lengths, part.column(2).to_pylist()):
+            for start, length, all_words in zip(s.starts, s.lengths, words):
                 out = gone[start : start + length]
                 removed.append(int(out.sum()))
-                words = (text or "").encode().split()
                 if removed[-1]:
-                    words = [w for w, x in zip(words, out.tolist()) if not x]
-                left.append(b" ".join(words).decode())
+                    all_words = [w for w, x in zip(all_words, out.tolist()) if not x]
+                left.append(b" ".join(all_words).decode())
             ids = pa.array(s.ids, mask=s.ids == NO_ID)
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(s.lengths), pa.array(removed, pa.int64()), pa.array(left, pa.string())],
@@ -293,14 +322,15 @@ def remove_repeats(
 
     def settled(sent: DataFrame, shared: bool) -> DataFrame:
         """By document, the places found in the buckets."""
-        # Rows that need no bucket go anywhere, spread by document.
-        spread = F.when(F.col("_bucket") >= 0, F.col("_bucket")).otherwise(F.xxhash64("_doc"))
-        return (
-            sent.repartition(partitions, spread)
+        packed = (
+            sent.repartition(partitions, "_bucket")
             .sortWithinPartitions("_bucket")
-            .mapInArrow(lambda batches: _settle(batches, shared), FOUND)
-            .groupBy("_doc")
-            .agg(F.collect_list("_places").alias("_back"))
+            .mapInArrow(lambda batches: _batches(_settle(batches, shared, buckets), PACKED), PACKED)
+        )
+        return (
+            packed.repartition(partitions, "_group")
+            .sortWithinPartitions("_group")
+            .mapInArrow(lambda batches: _batches(_unpack(batches), FOUND), FOUND)
         )
 
     def with_places(found: DataFrame, how: str) -> DataFrame:
@@ -308,9 +338,7 @@ def remove_repeats(
 
     shared = settled(texts.mapInArrow(anchors, SENT), shared=True)
     earlier = settled(with_places(shared, "inner").mapInArrow(windows, SENT), shared=False)
-    return with_places(earlier, "left").mapInArrow(
-        kept, "doc_id long, n_words long, n_removed long, kept_text string"
-    )
+    return with_places(earlier, "left").mapInArrow(kept, "doc_id long, n_words long, n_removed long, kept_text string")
 
 
 def repeat_digest(cleaned: DataFrame) -> DataFrame:
