@@ -1,11 +1,11 @@
 """Membership of a column in a lookup table (large blacklists).
 
 A literal ``isin`` ships the whole list inside every task's code; a table of
-values is joined instead. The distinct keys are written once to a table under
-the shared scratch folder and counted: under the session broadcast threshold
-they are broadcast and the rows are not shuffled; above it a shuffle join is
-planned, in which AQE can split a hot value's partition. Distinct keys mean
-the left join never fans out.
+values is joined instead, by a lazy plan that runs no job. Spark broadcasts
+the distinct keys if they fit under the session's threshold; else the keys
+have a shuffle of their own, so that adaptive execution can split a hot
+value's partition on the row side. Distinct keys mean the left join never
+fans out.
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.windows import broadcast_row_limit
-from ledgerlake.session import write_scratch_table
+from ledgerlake.operators.windows import shuffle_side
 
 
 def flag_membership(df: DataFrame, column: str, values: DataFrame, flag: str) -> DataFrame:
@@ -24,14 +23,7 @@ def flag_membership(df: DataFrame, column: str, values: DataFrame, flag: str) ->
         .where(F.col("_lk_key").isNotNull())
         .distinct()
     )
-    # Computed once; the count and the join read the written table. A plain
-    # scan on the key side lets AQE split a hot value's partition on the row
-    # side of a shuffle join.
-    keys = write_scratch_table(keys, "lookup_keys")
-    limit = broadcast_row_limit(df)
-    if limit > 0 and keys.count() <= limit:
-        keys = F.broadcast(keys)
-    hits = keys.withColumn("_lk_hit", F.lit(True))
+    hits = shuffle_side(keys.withColumn("_lk_hit", F.lit(True)), unless_broadcast=True)
     joined = df.join(hits, F.col(column) == F.col("_lk_key"), "left")
     return joined.withColumn(
         flag,

@@ -34,9 +34,6 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import bucket_start, duration_micros
 
-# Bytes per firing (card, bucket) row used to turn the broadcast threshold
-# into a row bound: card string, bucket timestamp, flags and row overhead.
-EST_ROW_BYTES = 96
 _SIZE = re.compile(r"^\s*(-?\d+)\s*([kmgt]?)(i?b)?\s*$", re.I)
 
 
@@ -55,11 +52,6 @@ def broadcast_threshold(df: DataFrame) -> int:
     return _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"), 10 << 20)
 
 
-def broadcast_row_limit(df: DataFrame) -> int:
-    """Firing groups that may be broadcast under the session threshold (0: never)."""
-    return max(0, broadcast_threshold(df) // EST_ROW_BYTES)
-
-
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (no job runs), or None if unknown."""
     try:
