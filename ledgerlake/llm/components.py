@@ -2,7 +2,7 @@
 
 Every step is a join and an aggregation; the edges are written to the shared
 scratch folder after each pair of steps, which cuts the lineage and survives a
-lost executor. Edges never reach the driver, only their number and checksum.
+lost executor. Edges never reach the driver.
 """
 
 from __future__ import annotations
@@ -27,13 +27,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or the end of one edge."""
+    ends = edges.select(F.col("b").alias("n"), F.lit(1).alias("ends"), F.lit(0).alias("centre"))
+    centres = edges.select(F.col("a").alias("n"), F.lit(0).alias("ends"), F.lit(1).alias("centre"))
+    seen = ends.unionByName(centres).groupBy("n").agg(F.sum("ends").alias("ends"), F.max("centre").alias("centre"))
+    return seen.filter("ends + centre > 1").isEmpty()
+
+
 def stars(edges: DataFrame) -> DataFrame:
     """Edges (a, b), a < b, in; edges (smallest node of the component, other node) out."""
     now = write_scratch_table(edges.filter("a < b").select("a", "b").distinct(), "edges")
-    mark = None
-    while True:
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == mark:
-            return now
-        mark = seen
+    while not _are_stars(now):
         now = write_scratch_table(_small_star(_large_star(now)), "edges")
+    return now

@@ -15,11 +15,16 @@ J_P. Bands of ``rows`` slots name buckets; at 0.8, ``bands`` x ``rows`` =
 
 Equal texts are one node. In each bucket the smallest node is compared with
 all others: linear in the bucket. Buckets that then hold more than one
-component compare their next nodes in the same way, 4, 16, 64 ... at a time,
+component compare their next nodes in the same way, 16, 256 ... at a time,
 each with the later nodes of other components, until one component is left or
 every node has had its turn. So a bucket of thousands of near copies costs a
-few passes, and no pair of a bucket is left undecided. Every comparison is on
-the whole texts.
+few passes, and no pair of a bucket is left undecided. In these later passes a
+pair whose signatures agree in too few slots for the threshold (4 standard
+deviations: 3e-5, as rare as a pair that shares no bucket) is decided by that,
+in the first bucket that it shares; every other one by the whole texts.
+
+Joins whose sides could be broadcast at small sizes only are merge joins at
+every size.
 
 Cases: null and empty texts are equal to each other and to nothing else; a
 text of fewer than five words is one shingle; a null id counts as the
@@ -46,7 +51,8 @@ THRESHOLD = 0.8
 BANDS = 26
 ROWS = 5
 NO_ID = -(1 << 63)
-SLICE_BYTES = 8 << 20
+#: Text worked on at once; the arrays of a slice take about 40 times as much.
+SLICE_BYTES = 2 << 20
 
 
 @lru_cache(maxsize=1)
@@ -90,7 +96,7 @@ def _signatures(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: in
     step, rounds = 0, 0
     alive = np.arange(len(shingle))
     while len(alive):
-        many = 1 if rounds < 3 else 16  # arrivals a round; few shingles are left after the first
+        many = 1 if rounds < 3 else 8  # arrivals a round; few shingles are left after the first
         state = shingle[alive, None] + np.arange(step, step + many, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         draw = mix64(state)
         wait = -np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / weight[alive, None]
@@ -109,7 +115,7 @@ def _signatures(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: in
 
 
 def _band_keys(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """Texts in, the band keys of those with words out."""
+    """Texts in, the band keys and signatures (16 bits a slot) of those with words out."""
     for batch in batches:
         for part in text_slices(batch, "_text", SLICE_BYTES):
             found = []
@@ -130,8 +136,12 @@ def _band_keys(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iter
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel())
             )
+            short = mix64(who).astype(np.uint16).view(np.int16)
+            signs = pa.ListArray.from_arrays(
+                pa.array(np.arange(0, short.size + 1, bands * rows), pa.int32()), pa.array(short.ravel())
+            )
             some = pa.array([len(x) > 0 for x in found], pa.bool_())
-            yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["_node", "_keys"]).filter(some)
+            yield pa.RecordBatch.from_arrays([part.column(0), lists, signs], names=["_node", "_keys", "_sign"]).filter(some)
 
 
 def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -176,33 +186,37 @@ def near_duplicate_classes(
 
     signed = keyed.select(F.struct("_id", "_da", "_db").alias("_node"), "_text").mapInArrow(
         lambda batches: _band_keys(batches, bands, rows),
-        "_node struct<_id:long,_da:long,_db:long>, _keys array<long>",
+        "_node struct<_id:long,_da:long,_db:long>, _keys array<long>, _sign array<smallint>",
     )
     banded = write_scratch_table(
-        of_node(signed.select("_node.*", "_keys")).select("_node", "_keys"), "band_keys"
+        of_node(signed.select("_node.*", "_keys", "_sign")).select("_node", "_keys", "_sign"), "band_keys"
     )
     members = banded.select("_node", F.explode("_keys").alias("_key"))
 
+    # The smallest node of each bucket against all others: sums and joins only.
+    buckets = members.groupBy("_key").agg(F.min("_node").alias("a"), F.max("_node").alias("_z")).filter("a < _z")
+    buckets = write_scratch_table(buckets.select(F.col("_key").alias("_k"), "a"), "buckets")
+    crowded = write_scratch_table(
+        members.join(buckets.hint("merge"), F.col("_key") == F.col("_k")).select("_key", "_node", "a"), "bucket_members"
+    )
+    # The texts of all nodes that share a bucket, fetched once.
+    wanted = crowded.select(F.col("_node").alias("_wanted")).distinct()
+    texts = of_node(keyed.join(wanted.hint("merge"), F.col("_id") == F.col("_wanted"), "left_semi"))
+    texts = write_scratch_table(texts.groupBy("_node").agg(F.min("_text").alias("_text")), "bucket_texts")
+
     def verified(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) whose texts are similar."""
-        pairs = write_scratch_table(pairs, "pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("_wanted")).distinct()
-        texts = of_node(keyed.join(wanted, F.col("_id") == F.col("_wanted"), "left_semi"))
-        texts = write_scratch_table(texts.groupBy("_node").agg(F.min("_text").alias("_text")), "pair_texts")
         one = texts.select(F.col("_node").alias("_n1"), F.col("_text").alias("_ta"))
         two = texts.select(F.col("_node").alias("_n2"), F.col("_text").alias("_tb"))
-        both = pairs.join(one, F.col("a") == F.col("_n1")).join(two, F.col("b") == F.col("_n2"))
+        both = pairs.join(one.hint("merge"), F.col("a") == F.col("_n1")).join(two.hint("merge"), F.col("b") == F.col("_n2"))
         return both.select("a", "b", "_ta", "_tb").mapInArrow(lambda x: _verify(x, threshold), "a long, b long")
 
-    # The smallest node of each bucket against all others: sums and joins only.
-    buckets = members.groupBy("_key").agg(F.min("_node").alias("a"), F.max("_node").alias("_z")).filter("a < _z")
-    buckets = write_scratch_table(buckets.select(F.col("_key").alias("_k"), "a"), "buckets")
-    crowded = write_scratch_table(
-        members.join(buckets, F.col("_key") == F.col("_k")).select("_key", "_node", "a"), "bucket_members"
-    )
     links = stars(verified(crowded.filter("_node > a").select("a", F.col("_node").alias("b")).distinct()))
 
-    done, step = 1, 4
+    slots = bands * rows
+    least = int(slots * threshold - 4 * (slots * threshold * (1 - threshold)) ** 0.5)
+    agree = F.aggregate(F.zip_with("_sign", "_s", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    done, step = 1, 16
     open_ = crowded.select("_key", "_node")
     while True:
         labels = links.select(F.col("b").alias("_n"), F.col("a").alias("_label"))
@@ -222,18 +236,31 @@ def near_duplicate_classes(
         )
         if open_.isEmpty():
             break
-        centres = open_.filter((F.col("_turn") > done) & (F.col("_turn") <= done + step)).select(
-            F.col("_key").alias("_k"), F.col("_node").alias("a"), F.col("_class").alias("_c"), F.col("_turn").alias("_t")
+        signs = banded.select(F.col("_node").alias("_n"), "_sign", "_keys")
+        signed_ = open_.join(signs, F.col("_node") == F.col("_n")).drop("_n")
+        centres = signed_.filter((F.col("_turn") > done) & (F.col("_turn") <= done + step)).select(
+            F.col("_key").alias("_k"),
+            F.col("_node").alias("a"),
+            F.col("_class").alias("_c"),
+            F.col("_turn").alias("_t"),
+            F.col("_sign").alias("_s"),
+            F.col("_keys").alias("_ks"),
         )
-        pairs = (
-            open_.join(centres, F.col("_key") == F.col("_k"))
-            .filter((F.col("_turn") > F.col("_t")) & (F.col("_class") != F.col("_c")))
-            .select("a", F.col("_node").alias("b"))
-            .distinct()
+        # The signatures are compared in the join itself, so that only pairs
+        # that may be similar leave it, each from its first common bucket.
+        likely = (
+            (F.col("_key") == F.col("_k"))
+            & (F.col("_turn") > F.col("_t"))
+            & (F.col("_class") != F.col("_c"))
+            & (agree >= least)
+            & (F.array_min(F.array_intersect("_keys", "_ks")) == F.col("_key"))
         )
-        links = stars(links.unionByName(verified(pairs)))
+        pairs = signed_.join(centres, likely).select("a", F.col("_node").alias("b")).distinct()
+        found = write_scratch_table(verified(pairs), "links")
+        if not found.isEmpty():
+            links = stars(links.unionByName(found))
         open_ = open_.select("_key", "_node")
-        done, step = done + step, step * 4
+        done, step = done + step, step * 16
 
     labels = links.select(F.col("b").alias("_n"), F.col("a").alias("_label"))
     classed = nodes.join(labels, F.col("_node") == F.col("_n"), "left").select(
