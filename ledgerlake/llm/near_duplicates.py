@@ -4,7 +4,7 @@ A text is a set of five-word shingles, each weighted by 1 + ln(times it
 occurs). Two texts are linked if the probability Jaccard similarity of their
 weighted shingles, or the plain Jaccard similarity of their shingle sets,
 is at least 0.8; classes are the connected components of the links, named by
-their smallest doc_id.
+their smallest doc_id and, as one id may have several texts, its text's digest.
 
 Signature: every shingle is a Poisson process whose rate is its weight; each
 arrival falls into a random slot, and a slot keeps the shingle that arrived
@@ -13,7 +13,7 @@ first arrival of its text's slots. Two texts agree in a slot with probability
 J_P. Bands of ``rows`` slots name buckets; at 0.8, ``bands`` x ``rows`` =
 26 x 5 miss a pair with probability 3e-5.
 
-Equal texts are one node. In each bucket the smallest node is compared with
+Equal texts are one node, whatever their ids. In each bucket the smallest node is compared with
 all others: linear in the bucket. Buckets that then hold more than one
 component compare their next nodes in the same way, 16, 256 ... at a time,
 each with the later nodes of other components, until one component is left or
@@ -28,18 +28,19 @@ every size.
 
 Cases: null and empty texts are equal to each other and to nothing else; a
 text of fewer than five words is one shingle; a null id counts as the
-smallest; rows that share an id are one node; equal rows give equal rows;
-an empty table gives no rows; columns other than id and text are ignored.
+smallest; rows that share an id, or have none, are told apart by their texts;
+equal rows give equal rows; an empty table gives no rows; columns other than
+id and text are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import WordHashes, mix64, text_slices, window_hashes
@@ -114,12 +115,18 @@ def _signatures(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: in
     return who.reshape(n, slots)
 
 
+def _lists(values: np.ndarray, some: np.ndarray) -> pa.ListArray:
+    """The rows of ``values`` as lists at the places of ``some``, empty lists elsewhere."""
+    ends = np.concatenate([[0], np.cumsum(some * values.shape[1])])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.ravel()))
+
+
 def _band_keys(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """Texts in, the band keys and signatures (16 bits a slot) of those with words out."""
+    """Texts in, their band keys and signatures (16 bits a slot) out; none for texts without words."""
     for batch in batches:
         for part in text_slices(batch, "_text", SLICE_BYTES):
             found = []
-            for x in part.column(1).to_pylist():
+            for x in part.column(3).to_pylist():
                 hashes = _word_hashes().of((x or "").encode().split())
                 found.append(window_hashes(hashes, min(SHINGLE, max(1, len(hashes)))))
             text = np.repeat(np.arange(len(found)), [len(x) for x in found])
@@ -133,15 +140,12 @@ def _band_keys(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iter
             for r in range(rows):
                 keys = mix64(keys * np.uint64(0x100000001B3) + who.reshape(-1, bands, rows)[:, :, r])
             keys = mix64(keys + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel())
-            )
+            some = np.array([len(x) > 0 for x in found])
             short = mix64(who).astype(np.uint16).view(np.int16)
-            signs = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, short.size + 1, bands * rows), pa.int32()), pa.array(short.ravel())
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:3], _lists(keys[some], some), _lists(short[some], some)],
+                names=["_id", "_da", "_db", "_keys", "_sign"],
             )
-            some = pa.array([len(x) > 0 for x in found], pa.bool_())
-            yield pa.RecordBatch.from_arrays([part.column(0), lists, signs], names=["_node", "_keys", "_sign"]).filter(some)
 
 
 def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -155,42 +159,29 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
             yield part.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
 
-def near_duplicate_classes(
-    docs: DataFrame,
-    threshold: float = THRESHOLD,
-    bands: int = BANDS,
-    rows: int = ROWS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id and class_id (smallest doc_id of its class).
-
-    Intermediate tables (nodes, band keys of nodes, links) are written to the
-    shared scratch folder while the plan is built.
-    """
+def _keyed(id_col: str, text_col: str) -> list[Column]:
+    """The id (NO_ID for null) and the two digests of the text."""
     whole = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(
+    return [
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"),
         F.xxhash64(whole).alias("_da"),
         F.xxhash64(F.lit("text"), whole).alias("_db"),
-        whole.alias("_text"),
-    )
-    nodes = write_scratch_table(keyed.groupBy("_da", "_db").agg(F.min("_id").alias("_node")), "nodes")
-    same_text = nodes.withColumnsRenamed({"_da": "_na", "_db": "_nb"})
+    ]
 
-    def of_node(frame: DataFrame) -> DataFrame:
-        """One row per node, whichever of its equal rows."""
-        return frame.join(
-            same_text, (F.col("_da") == F.col("_na")) & (F.col("_db") == F.col("_nb")) & (F.col("_id") == F.col("_node"))
-        )
 
-    signed = keyed.select(F.struct("_id", "_da", "_db").alias("_node"), "_text").mapInArrow(
+def _text_classes(docs: DataFrame, threshold: float, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per distinct text: its digests _ca, _cb and its class _top, the smallest (id, digests) in it."""
+    keyed = docs.select(*_keyed(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    signed = keyed.mapInArrow(
         lambda batches: _band_keys(batches, bands, rows),
-        "_node struct<_id:long,_da:long,_db:long>, _keys array<long>, _sign array<smallint>",
+        "_id long, _da long, _db long, _keys array<long>, _sign array<smallint>",
     )
-    banded = write_scratch_table(
-        of_node(signed.select("_node.*", "_keys", "_sign")).select("_node", "_keys", "_sign"), "band_keys"
+    # One row per text, combined before the shuffle, under a number of its own.
+    banded = signed.groupBy("_da", "_db").agg(
+        F.min("_id").alias("_id"), F.first("_keys").alias("_keys"), F.first("_sign").alias("_sign")
     )
+    banded = write_scratch_table(banded.withColumn("_node", F.monotonically_increasing_id()), "nodes")
+    nodes = banded.select("_node", "_id", "_da", "_db")
     members = banded.select("_node", F.explode("_keys").alias("_key"))
 
     # The smallest node of each bucket against all others: sums and joins only.
@@ -199,9 +190,10 @@ def near_duplicate_classes(
     crowded = write_scratch_table(
         members.join(buckets.hint("merge"), F.col("_key") == F.col("_k")).select("_key", "_node", "a"), "bucket_members"
     )
-    # The texts of all nodes that share a bucket, fetched once.
+    # The texts of all nodes that share a bucket, fetched once, each by its smallest id.
     wanted = crowded.select(F.col("_node").alias("_wanted")).distinct()
-    texts = of_node(keyed.join(wanted.hint("merge"), F.col("_id") == F.col("_wanted"), "left_semi"))
+    wanted = nodes.join(wanted.hint("merge"), F.col("_node") == F.col("_wanted"), "left_semi")
+    texts = keyed.join(wanted.hint("merge"), ["_id", "_da", "_db"])
     texts = write_scratch_table(texts.groupBy("_node").agg(F.min("_text").alias("_text")), "bucket_texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -264,26 +256,59 @@ def near_duplicate_classes(
 
     labels = links.select(F.col("b").alias("_n"), F.col("a").alias("_label"))
     classed = nodes.join(labels, F.col("_node") == F.col("_n"), "left").select(
-        F.col("_da").alias("_ca"), F.col("_db").alias("_cb"), F.coalesce("_label", "_node").alias("_class")
+        "_id", "_da", "_db", F.coalesce("_label", "_node").alias("_class")
     )
     classed = write_scratch_table(classed, "classes")
-    plain = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return keyed.join(classed, (F.col("_da") == F.col("_ca")) & (F.col("_db") == F.col("_cb"))).select(
-        plain("_id").alias("doc_id"), plain("_class").alias("class_id")
-    )
+    # Written, so that the large classes of the join can be split.
+    tops = classed.groupBy("_class").agg(F.min(F.struct("_id", "_da", "_db")).alias("_top"))
+    tops = write_scratch_table(tops, "class_names")
+    named = classed.join(tops, "_class").select(F.col("_da").alias("_ca"), F.col("_db").alias("_cb"), "_top")
+    return write_scratch_table(named, "text_classes")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each class: that of the smallest id (of several rows of that id, the smallest text).
+def near_duplicate_classes(
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id (smallest doc_id of its class), class_text.
 
-    The texts are shuffled once, by id; the semi join uses the same shuffle.
+    ``class_text`` is the digest of the text that names the class (of the
+    smallest id's texts in it the smallest digest): classes of one id, and of
+    rows without id, differ by it. Intermediate tables are written to the
+    shared scratch folder while the plan is built.
     """
-    classes = near_duplicate_classes(docs, id_col=id_col, text_col=text_col, **options)
-    first = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    first = write_scratch_table(
-        first.select(F.coalesce("class_id", F.lit(NO_ID)).alias("_first")).distinct(), "first_of_class"
+    classed = _text_classes(docs, threshold, bands, rows, id_col, text_col)
+    plain = lambda c: F.when(c != NO_ID, c)
+    return (
+        docs.select(*_keyed(id_col, text_col))
+        .join(classed, (F.col("_da") == F.col("_ca")) & (F.col("_db") == F.col("_cb")))
+        .select(
+            plain(F.col("_id")).alias("doc_id"),
+            plain(F.col("_top._id")).alias("class_id"),
+            F.concat_ws(":", F.hex("_top._da"), F.hex("_top._db")).alias("class_text"),
+        )
     )
-    turn = F.row_number().over(Window.partitionBy("_key").orderBy(F.col(text_col)))
-    keyed = docs.withColumn("_key", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
-    single = keyed.withColumn("_turn", turn).filter("_turn = 1")
-    return single.join(first, F.col("_key") == F.col("_first"), "left_semi").select(*docs.columns)
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs`` with one row of each class: the one that names it (of rows of equal id and text, any one).
+
+    The texts are shuffled once, by id and digest, for the join and to keep one row.
+    """
+    classed = _text_classes(docs, threshold, bands, rows, id_col, text_col)
+    first = write_scratch_table(classed.select("_top").distinct().select("_top.*"), "first_of_class")
+    own = ["_near_id", "_near_a", "_near_b"]  # beside the columns of ``docs``
+    keyed = docs.withColumns(dict(zip(own, _keyed(id_col, text_col))))
+    same = reduce(lambda x, y: x & y, [F.col(o) == F.col(c) for o, c in zip(own, first.columns)])
+    return keyed.join(first, same, "left_semi").dropDuplicates(own).select(*docs.columns)

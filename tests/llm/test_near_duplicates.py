@@ -138,6 +138,22 @@ def test_edges(spark):
     assert near_duplicates.drop_near_duplicates(edge.no_docs(spark)).count() == 0
 
 
+def test_texts_without_an_id_or_under_one_id_are_told_apart(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    near = x + " end"
+    # X and Y have valid ids, and copies both without id and under the repeated id 7.
+    rows = [(None, x), (None, y), (None, None), (None, x), (7, z), (7, "under one id"), (7, z), (20, near), (21, y), (22, z), (23, z)]
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    kept = [tuple(r) for r in near_duplicates.drop_near_duplicates(df).collect()]
+    want = [(None, x), (None, y), (None, None), (7, z), (7, "under one id")]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+    out = near_duplicates.near_duplicate_classes(df).collect()
+    assert len(out) == len(rows)
+    assert len({(r.class_id, r.class_text) for r in out}) == 5
+    by = {r.doc_id: (r.class_id, r.class_text) for r in out if r.doc_id and r.doc_id >= 20}
+    assert by[20][0] is None and by[21][0] is None and by[20] != by[21] and by[22] == by[23] and by[22][0] == 7
+
+
 def test_components(spark):
     rng = random.Random(3)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 460)]
