@@ -11,7 +11,9 @@ arrival falls into a random slot, and a slot keeps the shingle that arrived
 first. A shingle stops as soon as its next arrival is later than the latest
 first arrival of its text's slots. Two texts agree in a slot with probability
 J_P. Bands of ``rows`` slots name buckets; at 0.8, ``bands`` x ``rows`` =
-26 x 5 miss a pair with probability 3e-5.
+26 x 5 miss a pair with probability 3e-5. A text with repeated shingles also
+has the bands of its shingle set (all weights 1, which is what the bands of a
+text without repeats are), so that this holds for either similarity.
 
 Equal texts are one node, whatever their ids. In each bucket the smallest node is compared with
 all others: linear in the bucket. Buckets that then hold more than one
@@ -19,9 +21,9 @@ component compare their next nodes in the same way, 16, 256 ... at a time,
 each with the later nodes of other components, until one component is left or
 every node has had its turn. So a bucket of thousands of near copies costs a
 few passes, and no pair of a bucket is left undecided. In these later passes a
-pair whose signatures agree in too few slots for the threshold (4 standard
-deviations: 3e-5, as rare as a pair that shares no bucket) is decided by that,
-in the first bucket that it shares; every other one by the whole texts.
+pair is decided in the first bucket that it shares: by its counts of shingles
+in CELLS cells of their hashes if these prove both similarities to be below
+the threshold (an upper bound, which loses no link), else by the whole texts.
 
 Joins whose sides could be broadcast at small sizes only are merge joins at
 every size.
@@ -52,6 +54,8 @@ THRESHOLD = 0.8
 BANDS = 26
 ROWS = 5
 NO_ID = -(1 << 63)
+#: Parts of the hashes in which a text's distinct shingles are counted (a power of two).
+CELLS = 128
 #: Text worked on at once; the arrays of a slice take about 40 times as much.
 SLICE_BYTES = 2 << 20
 
@@ -115,39 +119,78 @@ def _signatures(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: in
     return who.reshape(n, slots)
 
 
-def _lists(values: np.ndarray, some: np.ndarray) -> pa.ListArray:
-    """The rows of ``values`` as lists at the places of ``some``, empty lists elsewhere."""
-    ends = np.concatenate([[0], np.cumsum(some * values.shape[1])])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.ravel()))
+def _keys_of(who: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """The band keys of signatures: (n, bands)."""
+    keys = np.zeros((len(who), bands), dtype=np.uint64)
+    for r in range(rows):
+        keys = mix64(keys * np.uint64(0x100000001B3) + who.reshape(-1, bands, rows)[:, :, r])
+    return mix64(keys + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
+
+
+def _lists(rows: list[np.ndarray], of: pa.DataType) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in rows])])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows), of))
 
 
 def _band_keys(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """Texts in, their band keys and signatures (16 bits a slot) out; none for texts without words."""
+    """Texts in; their band keys (none for texts without words), cells, total and largest weight out."""
     for batch in batches:
         for part in text_slices(batch, "_text", SLICE_BYTES):
             found = []
             for x in part.column(3).to_pylist():
                 hashes = _word_hashes().of((x or "").encode().split())
                 found.append(window_hashes(hashes, min(SHINGLE, max(1, len(hashes)))))
-            text = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            n = len(found)
+            text = np.repeat(np.arange(n), [len(x) for x in found])
             every = np.concatenate(found)
             # A shingle of a text: by a hash of both.
             both = mix64(every + text.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
             _, at, times = np.unique(both, return_index=True, return_counts=True)
             at, times = (x[np.argsort(at)] for x in (at, times))
-            who = _signatures(text[at], every[at], 1 + np.log(times), len(found), bands * rows)
-            keys = np.zeros((len(found), bands), dtype=np.uint64)
-            for r in range(rows):
-                keys = mix64(keys * np.uint64(0x100000001B3) + who.reshape(-1, bands, rows)[:, :, r])
-            keys = mix64(keys + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
-            some = np.array([len(x) > 0 for x in found])
-            short = mix64(who).astype(np.uint16).view(np.int16)
+            text, every, weight = text[at], every[at], 1 + np.log(times)
+            keys = _keys_of(_signatures(text, every, weight, n, bands * rows), bands, rows)
+            keys = [k if len(x) else k[:0] for k, x in zip(keys, found)]
+            repeats = np.unique(text[times > 1])
+            if len(repeats):
+                these = np.isin(text, repeats)
+                of = np.searchsorted(repeats, text[these])
+                sets = _signatures(of, every[these], np.ones(len(of)), len(repeats), bands * rows)
+                for i, k in zip(repeats, _keys_of(sets, bands, rows)):
+                    keys[i] = np.union1d(keys[i], k)
+            cell = (every >> np.uint64(64 - (CELLS.bit_length() - 1))).astype(np.int64)
+            cells = np.bincount(text * CELLS + cell, minlength=n * CELLS).reshape(n, CELLS)
+            most = np.ones(n)
+            np.maximum.at(most, text, weight)
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], _lists(keys[some], some), _lists(short[some], some)],
-                names=["_id", "_da", "_db", "_keys", "_sign"],
+                [
+                    *part.columns[:3],
+                    _lists(keys, pa.int64()),
+                    _lists(list(cells), pa.int32()),
+                    pa.array(np.bincount(text, weight, n), pa.float64()),
+                    pa.array(most, pa.float64()),
+                ],
+                names=["_id", "_da", "_db", "_keys", "_cells", "_total", "_most"],
             )
 
 
+def may_be_similar(one: list[Column], two: list[Column], threshold: float) -> Column:
+    """False only if the cells of two texts prove both similarities to be below the threshold.
+
+    Each text: cells, number of shingles, total and largest weight. Texts share
+    at most the sum of the smaller counts, so each has at least the rest of its
+    shingles (``own``) to itself, all of weight 1 or more. With i over the
+    shared shingles, J_P = sum of 1 / sum over j of max(x_j/x_i, y_j/y_i), at
+    most x_i / (total_x + own_y x_i / y_i), in sum no more than
+    (total_x - own_x) / (total_x + own_y / most_y); likewise for y.
+    """
+    (cx, nx, tx, mx), (cy, ny, ty, my) = one, two
+    shared = F.aggregate(F.zip_with(cx, cy, lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
+    own_x, own_y, least = nx - shared, ny - shared, F.lit(threshold - 1e-9)
+    plain = shared >= least * (nx + own_y)
+    weighted = (tx - own_x >= least * (tx + own_y / my)) & (ty - own_y >= least * (ty + own_x / mx))
+    return plain | weighted
+
+
 def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     cached = lru_cache(maxsize=16)(shingles)
     for batch in batches:
@@ -174,11 +217,14 @@ def _text_classes(docs: DataFrame, threshold: float, bands: int, rows: int, id_c
     keyed = docs.select(*_keyed(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     signed = keyed.mapInArrow(
         lambda batches: _band_keys(batches, bands, rows),
-        "_id long, _da long, _db long, _keys array<long>, _sign array<smallint>",
+        "_id long, _da long, _db long, _keys array<long>, _cells array<int>, _total double, _most double",
     )
+    size = F.aggregate("_cells", F.lit(0), lambda n, x: n + x)
+    sketch = ["_cells", "_size", "_total", "_most"]
     # One row per text, combined before the shuffle, under a number of its own.
+    signed = signed.withColumn("_size", size)
     banded = signed.groupBy("_da", "_db").agg(
-        F.min("_id").alias("_id"), F.first("_keys").alias("_keys"), F.first("_sign").alias("_sign")
+        F.min("_id").alias("_id"), *[F.first(c).alias(c) for c in ("_keys", *sketch)]
     )
     banded = write_scratch_table(banded.withColumn("_node", F.monotonically_increasing_id()), "nodes")
     nodes = banded.select("_node", "_id", "_da", "_db")
@@ -205,9 +251,6 @@ def _text_classes(docs: DataFrame, threshold: float, bands: int, rows: int, id_c
 
     links = stars(verified(crowded.filter("_node > a").select("a", F.col("_node").alias("b")).distinct()))
 
-    slots = bands * rows
-    least = int(slots * threshold - 4 * (slots * threshold * (1 - threshold)) ** 0.5)
-    agree = F.aggregate(F.zip_with("_sign", "_s", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
     done, step = 1, 16
     open_ = crowded.select("_key", "_node")
     while True:
@@ -228,26 +271,26 @@ def _text_classes(docs: DataFrame, threshold: float, bands: int, rows: int, id_c
         )
         if open_.isEmpty():
             break
-        signs = banded.select(F.col("_node").alias("_n"), "_sign", "_keys")
-        signed_ = open_.join(signs, F.col("_node") == F.col("_n")).drop("_n")
-        centres = signed_.filter((F.col("_turn") > done) & (F.col("_turn") <= done + step)).select(
+        sketches = banded.select(F.col("_node").alias("_n"), "_keys", *sketch)
+        sketched = open_.join(sketches, F.col("_node") == F.col("_n")).drop("_n")
+        centres = sketched.filter((F.col("_turn") > done) & (F.col("_turn") <= done + step)).select(
             F.col("_key").alias("_k"),
             F.col("_node").alias("a"),
             F.col("_class").alias("_c"),
             F.col("_turn").alias("_t"),
-            F.col("_sign").alias("_s"),
             F.col("_keys").alias("_ks"),
+            *[F.col(c).alias(f"{c}_of_a") for c in sketch],
         )
-        # The signatures are compared in the join itself, so that only pairs
-        # that may be similar leave it, each from its first common bucket.
+        # The cells are compared in the join itself, so that only pairs that
+        # may be similar leave it, each from its first common bucket.
         likely = (
             (F.col("_key") == F.col("_k"))
             & (F.col("_turn") > F.col("_t"))
             & (F.col("_class") != F.col("_c"))
-            & (agree >= least)
+            & may_be_similar([F.col(f"{c}_of_a") for c in sketch], [F.col(c) for c in sketch], threshold)
             & (F.array_min(F.array_intersect("_keys", "_ks")) == F.col("_key"))
         )
-        pairs = signed_.join(centres, likely).select("a", F.col("_node").alias("b")).distinct()
+        pairs = sketched.join(centres, likely).select("a", F.col("_node").alias("b")).distinct()
         found = write_scratch_table(verified(pairs), "links")
         if not found.isEmpty():
             links = stars(links.unionByName(found))

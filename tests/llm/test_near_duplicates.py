@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import components, near_duplicates
 from tests.llm import edge
@@ -107,6 +108,55 @@ def test_crowded_buckets_lose_no_link(spark):
     assert classes(spark, rows, bands=40, rows=1) == brute(rows)
 
 
+def with_repeats(groups, shared):
+    """Pairs of texts of near equal shingle sets (plain Jaccard over 0.8), lines of one repeated 40 times."""
+    rows = []
+    for g in range(groups):
+        once = shared + [f"g{g}_{i}" for i in range(100)]
+        lines = [once[k : k + 50] for k in range(len(once) - 100, len(once), 50)]
+        rows += [(2 * g, " ".join(once)), (2 * g + 1, " ".join(once + lines[0] * 40))]
+    return rows
+
+
+def test_one_sided_repeats_in_crowded_buckets_lose_no_link(spark):
+    # Buckets of one slot hold unlike texts, so that most pairs are decided in later passes.
+    rows = with_repeats(30, [f"s{i}" for i in range(60)])
+    want = brute(rows)
+    assert all(want[2 * g + 1] == 2 * g for g in range(30))
+    assert classes(spark, rows, bands=60, rows=1) == want
+
+
+def test_one_sided_repeats_share_a_bucket(spark):
+    rows = with_repeats(30, [])
+    assert classes(spark, rows) == brute(rows)
+
+
+def test_cells_rule_out_no_similar_pair(spark):
+    rng = random.Random(12)
+    schema = ", ".join(f"{c}{s} {t}" for s in "xy" for c, t in (("c", "array<int>"), ("n", "int"), ("t", "double"), ("m", "double")))
+    pairs, similar = [], []
+    for _ in range(400):
+        every = [rng.getrandbits(64) for _ in range(rng.randint(5, 300))]
+        two = []
+        for _ in range(2):
+            own = sorted(rng.sample(every, max(1, round(len(every) * rng.uniform(0.75, 1)))))
+            heavy = rng.choice([0, 0.3])
+            two.append((np.array(own, dtype=np.uint64), np.array([1 + np.log(rng.randint(2, 50)) * (rng.random() < heavy) for _ in own])))
+        similar.append(near_duplicates.similarity(*two))
+        pairs.append([])
+        for found, weight in two:
+            cells = np.bincount((found >> np.uint64(57)).astype(int), minlength=128)
+            pairs[-1] += [cells.tolist(), len(found), float(weight.sum()), float(weight.max())]
+    df = spark.createDataFrame(pairs, schema).repartition(1)
+    sides = [[F.col(c + s) for c in "cntm"] for s in "xy"]
+    for threshold in (0.7, 0.8, 0.9):
+        verdicts = df.select(*df.columns, near_duplicates.may_be_similar(*sides, threshold).alias("may")).collect()
+        may = {repr([r[c] for c in df.columns]): r.may for r in verdicts}
+        got = [may[repr(p)] for p in pairs]
+        assert all(g for g, s in zip(got, similar) if s >= threshold)
+        assert not all(got)
+
+
 def test_large_groups_of_copies(spark):
     rng = random.Random(9)
     base = [f"b{i}" for i in range(150)]
