@@ -9,14 +9,20 @@ with the document's: the pair counts if some ``overlap`` consecutive tokens
 agree in all but ``substitutions`` places (a shorter item: in the same share
 of its tokens).
 
+The masks hit every such run: of 13 and more tokens with up to 3 substitutions,
+of 11 and 12 with up to 2, wherever these lie. A shorter item, where they could
+miss, is cut into one block more than it may have substitutions, so that one
+block is whole; the blocks' first tokens, equally many of each, are its seeds.
+Other values of ``overlap`` and ``substitutions`` are held to the same rule
+below ``overlap`` tokens; a longer run must suit the masks.
+
 Tokens are runs of letters and digits, lower-cased. The seeds of the benchmark
 are counted and joined in blocks of at most ``block_rows`` by broadcast, so
 documents are never shuffled by seed, whatever the benchmark's size. Only
 Spark's own expressions run.
 
-Cases: null and empty texts have no tokens and no hits; an item of fewer
-tokens than the widest mask, or a document's tail, still gets its narrower
-masks; an item shorter than all masks cannot be found; repeated rows of one id
+Cases: null and empty texts have no tokens and no hits; an item of four tokens
+or fewer is found wherever it stands as a whole; repeated rows of one id
 count as one document, whose texts are each compared; empty tables give no
 rows; other columns are ignored.
 """
@@ -24,14 +30,16 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.session import write_scratch_table
 
-#: Three pairs of tokens each; spans of 6 to 10.
-MASKS = ("111111", "11011011", "1100110011", "111100011")
+#: Three pairs of tokens each; spans of 6 to 12. Together they hit all 286 ways
+#: to put 3 substitutions into 13 tokens (the first four: 265).
+MASKS = ("111111", "11011011", "1100110011", "111100011", "110110000011", "110001100011", "11000001111")
 OVERLAP = 13
 SUBSTITUTIONS = 3
 #: Seeds of one broadcast: about 32 bytes each.
@@ -46,20 +54,41 @@ def token_hashes(text: Column) -> Column:
     return F.transform(tokens(text), lambda w: F.xxhash64(w))
 
 
+def misses(tokens: int, substitutions: int) -> bool:
+    """Whether so many substitutions in a run of so many tokens can miss all masks."""
+    picks = [[k for k, bit in enumerate(mask) if bit == "1"] for mask in MASKS]
+    seeds = [{i + k for k in x} for x in picks for i in range(tokens - x[-1])]
+    return any(all(x & set(c) for x in seeds) for c in combinations(range(tokens), substitutions))
+
+
+def blocks_of(overlap: int, substitutions: int) -> dict[int, tuple[int, int]]:
+    """Tokens of an item shorter than ``overlap`` that the masks could miss: width and number of its blocks."""
+    found = {}
+    for n in range(1, overlap):
+        allowed = n + (substitutions - overlap) * n // overlap  # the share of its tokens, as in the comparison
+        if misses(n, allowed):
+            found[n] = n // (allowed + 1), allowed + 1
+    return found
+
+
 def _with_pairs(df: DataFrame, hashes: str) -> DataFrame:
-    """Columns _n (tokens) and _p (hash of each token and the next).
+    """Columns _n (tokens) and _p (hash of each token and the next, null for the last).
 
     They are columns of their own before any lambda uses them, as an array
     that is computed inside a lambda is computed for each element.
     """
     h = F.col(hashes)
-    pairs = F.transform(F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(h, i + 1)))
+    pairs = F.transform(h, lambda x, i: F.when(F.get(h, i + 1).isNotNull(), F.xxhash64(x, F.get(h, i + 1))))
     return df.withColumns({"_n": F.size(h), "_p": pairs})
 
 
-def _seeds() -> Column:
-    """All masks at all places: entry m * (n - 1) + i is mask m at token i of n (null where it runs over the end)."""
-    p = F.col("_p")
+def _block(hashes: str, width: int, i: Column | int) -> Column:
+    return F.xxhash64(F.lit(f"block of {width}"), *[F.get(F.col(hashes), i + k) for k in range(width)])
+
+
+def _seeds(hashes: str, widths: list[int]) -> Column:
+    """All masks, then blocks, at all places: entry m * n + i is mask m at token i of n (null where it runs over the end)."""
+    p, h = F.col("_p"), F.col(hashes)
 
     def under(mask: str) -> Column:
         picks = [k for k, bit in enumerate(mask) if bit == "1"]
@@ -70,26 +99,42 @@ def _seeds() -> Column:
             p, lambda x, i: F.when(F.get(p, i + c).isNotNull(), F.xxhash64(F.lit(mask), x, F.get(p, i + b), F.get(p, i + c)))
         )
 
-    return F.concat(*[under(m) for m in MASKS])
+    def blocks(width: int) -> Column:
+        return F.transform(h, lambda x, i: F.when(F.get(h, i + (width - 1)).isNotNull(), _block(hashes, width, i)))
 
+    return F.concat(*[under(m) for m in MASKS], *[blocks(w) for w in widths])
 
-def seed_hits(docs: DataFrame, items: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+
+def seed_hits(
+    docs: DataFrame,
+    items: DataFrame,
+    block_rows: int = BLOCK_ROWS,
+    overlap: int = OVERLAP,
+    substitutions: int = SUBSTITUTIONS,
+) -> DataFrame:
     """Distinct (doc, item, diagonal) with an equal seed.
 
     ``docs``: columns _doc, _text_key, _h; ``items``: _item, _b (arrays of token hashes).
     """
     # Read back as columns, so that no lambda computes them again.
     items = write_scratch_table(_with_pairs(items, "_b"), "benchmark_items")
-    place = (F.col("_at") % (F.col("_n") - 1)).alias("_place")
+    place = (F.col("_at") % F.col("_n")).alias("_place")
     found = (
-        items.select("_item", "_n", F.posexplode(_seeds()).alias("_at", "_seed"))
+        items.select("_item", "_n", F.posexplode(_seeds("_b", [])).alias("_at", "_seed"))
         .filter("_seed is not null")
         .select("_item", place.alias("_item_at"), "_seed")
-        .distinct()
     )
+    short = blocks_of(overlap, substitutions)
+    lengths = [r._n for r in items.filter(F.col("_n").isin(list(short))).select("_n").distinct().collect()]  # below overlap
+    for n in lengths:
+        width, count = short[n]
+        # The first tokens of equal blocks; what is left over belongs to the last.
+        seeds = F.explode(F.array(*[F.struct(F.lit(k * width).alias("_item_at"), _block("_b", width, k * width).alias("_seed")) for k in range(count)]))
+        found = found.unionByName(items.filter(F.col("_n") == n).select("_item", seeds.alias("_s")).select("_item", "_s.*"))
+    found = found.distinct()
     found = write_scratch_table(found, "benchmark_seeds")
     blocks = max(1, -(-found.count() // block_rows))
-    placed = _with_pairs(docs, "_h").select("_doc", "_ta", "_tb", "_n", F.posexplode(_seeds()).alias("_at", "_seed"))
+    placed = _with_pairs(docs, "_h").select("_doc", "_ta", "_tb", "_n", F.posexplode(_seeds("_h", sorted({short[n][0] for n in lengths}))).alias("_at", "_seed"))
     placed = placed.select("_doc", "_ta", "_tb", place, "_seed")
 
     def hits(block: int) -> DataFrame:
@@ -126,7 +171,7 @@ def find_contamination(
         F.xxhash64(F.lit("text"), whole).alias("_tb"),
     )
     items = benchmark.select(F.col(item_col).alias("_item"), token_hashes(F.col(item_text_col)).alias("_b"))
-    hits = seed_hits(keyed.select("_doc", "_ta", "_tb", token_hashes(F.col("_text")).alias("_h")), items, block_rows)
+    hits = seed_hits(keyed.select("_doc", "_ta", "_tb", token_hashes(F.col("_text")).alias("_h")), items, block_rows, overlap, substitutions)
     hits = write_scratch_table(hits, "seed_hits")
 
     near = keyed.join(

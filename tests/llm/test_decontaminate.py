@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 from ledgerlake.llm import decontaminate
 from tests.llm import edge
@@ -38,6 +39,28 @@ def test_substitutions_are_tolerated(spark):
     assert out[5, 7].start == -10
 
 
+def test_every_placement_of_the_substitutions_is_found(spark):
+    # By the rule itself, without masks: one more substitution than it allows is not found.
+    items, docs, want = [], [], set()
+    for n in (*range(1, 14), 15):
+        item = words(100 + n, n)
+        items.append((n, " ".join(item)))
+        width = min(n, 13)
+        allowed = width - -(-10 * width // 13)
+        for many in range(allowed + 2):
+            for gone in combinations(range(n), many):
+                if many > allowed and len(docs) % 5:
+                    docs.append((None, ""))
+                    continue
+                text = [f"z{i}" if i in gone else w for i, w in enumerate(item)]
+                same = [w == x for w, x in zip(item, text)]
+                if any(13 * sum(same[i : i + width]) >= 10 * width for i in range(n - width + 1)):
+                    want.add((len(docs), n))
+                docs.append((len(docs), " ".join(["before", "it", *text, "after", "it"])))
+    assert len(want) > 1000
+    assert set(found(spark, docs, items)) == want
+
+
 def test_blocks_give_the_same(spark):
     docs = [(i, " ".join(words(i, 60) + words(1000 + i % 5, 30))) for i in range(20)]
     items = [(i, " ".join(words(1000 + i, 30))) for i in range(5)]
