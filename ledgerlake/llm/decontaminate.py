@@ -146,7 +146,7 @@ def seed_hits(
     return reduce(DataFrame.unionByName, [hits(b) for b in range(blocks)]).distinct()
 
 
-def find_contamination(
+def _judged(
     docs: DataFrame,
     benchmark: DataFrame,
     overlap: int = OVERLAP,
@@ -157,12 +157,7 @@ def find_contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """One row per (doc_id, item_id) with a verified overlap.
-
-    ``best_overlap``: most agreeing tokens in a window of ``overlap``;
-    ``matched``: agreeing tokens on that diagonal; ``start``: where the item
-    would begin in the document (tokens, of the best diagonal, lowest first).
-    """
+    """One row per verified (text, item, diagonal): _doc, digests _ta and _tb of the text, _item, figures."""
     whole = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(
         F.col(id_col).alias("_doc"),
@@ -177,22 +172,32 @@ def find_contamination(
     near = keyed.join(
         hits.withColumnsRenamed({"_doc": "_hd", "_ta": "_ha", "_tb": "_hb"}),
         F.col("_doc").eqNullSafe(F.col("_hd")) & (F.col("_ta") == F.col("_ha")) & (F.col("_tb") == F.col("_hb")),
-    ).select("_doc", "_item", "_diagonal", token_hashes(F.col("_text")).alias("_h"))
+    ).select("_doc", "_ta", "_tb", "_item", "_diagonal", token_hashes(F.col("_text")).alias("_h"))
     # Written, so that the comparison reads the hashes as a column.
     hashed = write_scratch_table(near, "hit_documents").join(items, "_item")
     at = lambda i: F.when(i >= 0, F.get(F.col("_h"), i))
     same = F.transform(
         F.col("_b"), lambda x, j: F.coalesce(at(F.col("_diagonal") + j) == x, F.lit(False)).cast("int")
     )
-    compared = hashed.select("_doc", "_item", "_diagonal", F.size("_b").alias("_n"), same.alias("_same"))
+    compared = hashed.select("_doc", "_ta", "_tb", "_item", "_diagonal", F.size("_b").alias("_n"), same.alias("_same"))
     width = F.least(F.lit(overlap), F.col("_n"))
     total = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + x)
     windows = F.transform(
         F.sequence(F.lit(1), F.col("_n") - width + 1), lambda i: total(F.slice(F.col("_same"), i, width))
     )
-    judged = compared.select(
-        "_doc", "_item", "_diagonal", width.alias("_width"), F.array_max(windows).alias("_best"), total("_same").alias("_matched")
+    return compared.select(
+        "_doc", "_ta", "_tb", "_item", "_diagonal", width.alias("_width"), F.array_max(windows).alias("_best"), total("_same").alias("_matched")
     ).filter(overlap * F.col("_best") >= (overlap - substitutions) * F.col("_width"))
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, *args, **options) -> DataFrame:
+    """One row per (doc_id, item_id) with a verified overlap; options as of ``_judged``.
+
+    ``best_overlap``: most agreeing tokens in a window of ``overlap``;
+    ``matched``: agreeing tokens on that diagonal; ``start``: where the item
+    would begin in the document (tokens, of the best diagonal, lowest first).
+    """
+    judged = _judged(docs, benchmark, *args, **options)
     best = F.max(F.struct("_best", "_matched", (-F.col("_diagonal")).alias("_d")))
     return (
         judged.groupBy("_doc", "_item")
@@ -208,12 +213,14 @@ def find_contamination(
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage; rows of a null id are kept.
-
-    One id with several texts goes if any of them holds a passage.
-    """
-    id_col = options.get("id_col", "doc_id")
-    leaks = write_scratch_table(
-        find_contamination(docs, benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct(), "leaks"
+    """``docs`` without the texts that hold a benchmark passage, whatever their id; other texts of that id stay."""
+    found = _judged(docs, benchmark, **options)
+    leaks = found.select(F.col("_doc").alias("_leak"), F.col("_ta").alias("_leak_a"), F.col("_tb").alias("_leak_b"))
+    leaks = write_scratch_table(leaks.distinct(), "leaks")
+    whole = F.coalesce(F.col(options.get("text_col", "text")), F.lit(""))
+    same = (
+        F.col(options.get("id_col", "doc_id")).eqNullSafe(F.col("_leak"))
+        & (F.xxhash64(whole) == F.col("_leak_a"))
+        & (F.xxhash64(F.lit("text"), whole) == F.col("_leak_b"))
     )
-    return docs.join(leaks, F.col(id_col) == F.col("_leak"), "left_anti")
+    return docs.join(leaks, same, "left_anti")

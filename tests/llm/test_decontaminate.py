@@ -82,6 +82,13 @@ def test_edges(spark):
     assert decontaminate.find_contamination(edge.no_docs(spark), items).count() == 0
 
 
+def test_a_text_goes_by_its_own_passage_whatever_its_id(spark):
+    leak, clean, other = (" ".join(words(k, 40)) for k in (50, 51, 52))
+    rows = [(None, leak), (None, clean), (None, None), (3, leak), (3, clean), (4, other)]
+    kept = decontaminate.decontaminate(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(1, leak)], ITEMS))
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([r for r in rows if r[1] != leak], key=repr)
+
+
 def test_no_python_in_the_plan(spark):
     df = decontaminate.find_contamination(edge.docs(spark), spark.createDataFrame([(1, edge.PROSE)], ITEMS))
     plan = df._jdf.queryExecution().toString()
