@@ -195,9 +195,42 @@ JOIN judged j ON j.host = t.host AND j.template = t.template
 LEFT JOIN fit f ON f.page_id = p.page_id
 """
 
+OP12 = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+),
+hashed AS (
+  SELECT doc_id, text, t, CAST(len(t) AS BIGINT) AS n,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(t) + 1) AS c1,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(t) + 1) AS c2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS h3,
+         CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS h4
+  FROM cut
+),
+parts AS (
+  SELECT doc_id, text, n,
+         CASE WHEN text = '' OR regexp_matches(text, '<P>|<S>|<M>') OR h3 >= 50 THEN 'plain' WHEN h4 < 80 THEN 'spm' ELSE 'psm' END AS form,
+         coalesce(array_to_string(t[1:least(c1, c2)], ''), '') AS prefix,
+         coalesce(array_to_string(t[least(c1, c2) + 1:greatest(c1, c2)], ''), '') AS middle,
+         coalesce(array_to_string(t[greatest(c1, c2) + 1:], ''), '') AS suffix
+  FROM hashed
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 LLM_ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": OP3,
     "op4_url_filters": OP4,
     "op8_line_dedup": OP8,
     "op9_decontamination": OP9,
+    "op12_fill_middle": OP12,
 }

@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlake.llm import (
     chat,
     decontaminate,
+    fill_middle,
     html_text,
     lines,
     near_duplicates,
     packing,
     quality,
+    secrets,
     sharding,
     substrings,
+    token_alignment,
     urls,
 )
 from ledgerlake.llm.oracle import LLM_ORACLE_SQL
@@ -72,6 +75,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeat_digest(substrings.remove_repeats(docs))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    byte_path, piece_path = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.align_tokenizers(docs, byte_path, piece_path)
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fill_middle.fill_digest(fill_middle.fill_in_middle(docs))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.secret_digest(secrets.find_secrets(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_sharding": op2_sharding,
@@ -83,6 +106,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 __all__ = ["LLM_ORACLE_SQL", "LLM_QUERIES"]

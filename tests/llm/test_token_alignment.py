@@ -1,0 +1,159 @@
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from ledgerlake.llm import token_alignment as ta
+from tests.llm import edge
+
+BYTE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def models():
+    a = Tokenizer.from_file(BYTE)
+    a.encode_special_tokens = True
+    return a, SentencePieceProcessor(model_file=PIECE)
+
+
+def token_bytes(models, text):
+    """Whole texts, untouched tokenizers."""
+    a, b = models
+    letters = {chr(x): x for x in [*range(33, 127), *range(161, 173), *range(174, 256)]}
+    letters |= {chr(256 + i): x for i, x in enumerate(y for y in range(256) if chr(y) not in letters)}
+    ea = a.encode(" " + text, add_special_tokens=False)
+    ids = b.encode(text)
+    pieces = [b.id_to_piece(i) for i in ids]
+    bb = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(ids, pieces)]
+    return list(zip(ea.ids, [bytes(letters[c] for c in t) for t in ea.tokens])), list(zip(ids, bb))
+
+
+def brute_one(models, text):
+    """(groups as lists of A and B ids) or None."""
+    if not text:
+        return None
+    a, b = token_bytes(models, text)
+    want = (" " + text).encode()
+    if b"".join(x for _, x in a) != want or b"".join(x for _, x in b) != want:
+        return None
+    ends = []
+    for side in (a, b):
+        at, found = 0, []
+        for _, x in side:
+            at += len(x)
+            found.append(at)
+        ends.append(found)
+    common = sorted(set(ends[0]) & set(ends[1]))
+    groups = []
+    lo = 0
+    for hi in common:
+        groups.append(([i for (i, _), e in zip(a, ends[0]) if lo < e <= hi], [i for (i, _), e in zip(b, ends[1]) if lo < e <= hi]))
+        lo = hi
+    return groups
+
+
+def brute(models, rows):
+    held = [brute_one(models, t) for _, t in rows]
+    links = [Counter((x, y) for ga, gb in g for x in ga for y in gb) if g else Counter() for g in held]
+    count = Counter(p for x in links for p in x)
+    top = defaultdict(int)
+    for (x, _), n in count.items():
+        top[x] = max(top[x], n)
+    out = []
+    for (i, _), g, own in zip(rows, held, links):
+        told = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in g or ())
+        out.append((
+            i, sum(len(x) for x, _ in g or ()), sum(len(y) for _, y in g or ()), len(g or ()), sum(own.values()),
+            sum(n for p, n in own.items() if count[p] == top[p[0]]), sum(n * count[p] for p, n in own.items()),
+            hashlib.sha256(told.encode()).hexdigest() if g else "",
+        ))
+    return out
+
+
+def texts(seed=1, n=150):
+    rng = random.Random(seed)
+    parts = ["the", "Token", " ", "  ", "\n", "\n\n", "\t", ".", ",", "naïve", "漢字", "😀", "é", "▁", "\xa0", "　",
+             "<|endoftext|>", "<s>", "<0x0A>", "don't", "1234", "\r\n", "\x00", "_x_", "supercalifragilistic", "\x1c", "​", "and"]
+    out = [" ".join(rng.choice(["alpha", "beta,", "Gamma.", "delta", "of", "thtion"]) for _ in range(rng.randint(1, 60))) for _ in range(n // 2)]
+    out += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 25))) for _ in range(n)]
+    return out + ["line one\nline two words\nthree", " leading", "trailing ", "\nfeed first", "a\n", "x" * 500, "ab" * 300, "▁"]
+
+
+def test_parts_equal_whole_texts(models):
+    aligner = ta.Aligner(BYTE, PIECE)
+    for text, numbers in zip(texts(), aligner.numbers(texts())):
+        told = [aligner.groups[i] for i in numbers]
+        want = brute_one(models, text)
+        if want is None:
+            assert None in told, text
+        else:
+            assert ";".join(told) == ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in want), text
+
+
+@pytest.mark.parametrize("run_links", [40, 4_000_000])
+def test_documents_by_brute_force(spark, models, monkeypatch, run_links):
+    rows = [(i, t) for i, t in enumerate([*texts(2, 60), *texts(2, 60)[:20], None, ""])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(ta, "RUN_LINKS", run_links)
+    if run_links < 1000:  # workers read the module again, so the many runs are made here
+        writer_check(models, rows, run_links)
+    else:
+        assert sorted(map(tuple, ta.align_tokenizers(df, BYTE, PIECE).collect())) == sorted(brute(models, rows))
+
+
+def writer_check(models, rows, run_links):
+    """Many small runs, merged in two levels in this process."""
+    aligner = ta.Aligner(BYTE, PIECE)
+    writer = ta.RunWriter(3, aligner.a_bits + aligner.b_bits)
+    parts, docs_of_pair = [], Counter()
+    for (_, text), numbers in zip(rows, aligner.numbers([t or "" for _, t in rows])):
+        if numbers and all(aligner.groups[i] is not None for i in numbers):
+            for i in numbers:  # one slice after the other: records of one document meet again
+                writer.add(np.full(len(aligner.pairs[i]), writer.docs), aligner.pairs[i], aligner.weights[i])
+            docs_of_pair.update({int(p) for i in numbers for p in aligner.pairs[i]})
+        writer.docs += 1
+        if writer.full():
+            parts += writer.parts()
+    parts += writer.parts()
+    assert len({p[0] for p in parts}) > 20
+    by_radix = defaultdict(list)
+    for _, radix, pairs, counts, docs, links in parts:
+        by_radix[radix].append(ta._unpacked_pairs(pairs, counts))
+        assert len(ta.unpacked(docs)) == len(ta.unpacked(links)) == ta.unpacked(counts).sum()
+    got = {}
+    for radix, lists in by_radix.items():
+        halves = []
+        for half in (lists[::2], lists[1::2]):
+            merged = [(d, t) for d, t, _, _ in ta.merged_sides(half, aligner.b_bits)]
+            if merged:
+                halves.append(tuple(map(np.concatenate, zip(*merged))))
+        for distinct, totals, place, stretches in ta.merged_sides(halves, aligner.b_bits):
+            assert len({int(x) >> aligner.b_bits for x in distinct}) == 1
+            assert len(place) == sum(hi - lo for _, lo, hi in stretches)
+            got |= dict(zip(distinct.tolist(), totals.tolist()))
+    assert got == dict(docs_of_pair)
+
+
+def test_packing_round_trip():
+    for values in ([], [0], [1, 2, 3], [2**32 - 1, 0, 7] * 1000):
+        assert ta.unpacked(ta.packed(np.array(values, dtype=np.int64))).tolist() == values
+
+
+def test_edges(spark, models):
+    rows = [(r[0], r[1]) for r in edge.rows()]
+    out = sorted(map(tuple, ta.align_tokenizers(edge.docs(spark), BYTE, PIECE).collect()), key=str)
+    small = [r for r in rows if len(r[1] or "") < 10_000]
+    assert len(out) == len(rows)
+    # the long text has words of its own only, so the others' counts stand without it
+    assert [r for r in out if r[0] != 8 and r[0] is not None] != []
+    want = {(x[0], x[7]): x[:5] for x in brute(models, small)}
+    assert all(want[r[0], r[7]] == r[:5] for r in out if r[0] != 8)
+    assert ta.align_tokenizers(edge.no_docs(spark), BYTE, PIECE).count() == 0
+    nothing = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    assert [r[1:] for r in ta.align_tokenizers(nothing, BYTE, PIECE).collect()] == [(0, 0, 0, 0, 0, 0, "")] * 2
