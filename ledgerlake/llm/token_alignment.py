@@ -43,7 +43,7 @@ import math
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import chain, groupby
 from operator import itemgetter
 
 import numpy as np
@@ -74,6 +74,30 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+#: Links of a group from which on its distinct ids are paired instead of its tokens.
+WIDE_GROUP = 4096
+
+
+class Grown:
+    """Rows of integers that grow at the end."""
+
+    def __init__(self, width: int):
+        self.rows = np.empty((1024, width), dtype=np.int64)
+        self.used = 0
+
+    def __len__(self) -> int:
+        return self.used
+
+    def add(self, rows: np.ndarray) -> None:
+        need = self.used + len(rows)
+        if need > len(self.rows):
+            grown = np.empty((max(need, 2 * len(self.rows)), self.rows.shape[1]), dtype=np.int64)
+            grown[: self.used] = self.rows[: self.used]
+            self.rows = grown
+        self.rows[self.used : need] = rows
+        self.used = need
+
+
 class Aligner:
     """Parts of texts with their tokens, groups and linked id pairs.
 
@@ -99,6 +123,9 @@ class Aligner:
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)
         ]
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), dtype=np.int64) for x in (self.a_bytes, self.b_bytes))
+        numbers = [str(i) for i in range(max(len(self.a_bytes), len(pieces)))]
+        self.comma, self.bar, self.semicolon = (np.array([n + c for n in numbers], dtype=object) for c in ",|;")
         self.space_id = self.b.piece_to_id(SPACE)
         self.a_bits = (len(self.a_bytes) - 1).bit_length()
         self.b_bits = (len(pieces) - 1).bit_length()
@@ -110,11 +137,10 @@ class Aligner:
     def forget(self) -> None:
         self.after_space: dict[str, int] = {}  # parts by what stands before their word
         self.after_feed: dict[str, int] = {}
-        self.others: dict[str, int] = {}
-        self.groups: list[str | None] = []  # None: not reproduced
-        self.sizes: list[tuple[int, int, int, int]] = []  # A tokens, B tokens, groups, links
-        self.pairs: list[np.ndarray] = []
-        self.weights: list[np.ndarray] = []
+        self.groups: list[str] = []  # every group ends with a semicolon
+        self.sizes = Grown(4)  # A tokens, B tokens, groups, links; -1: not reproduced
+        self.starts = Grown(2)  # where the part's pairs begin, and how many there are
+        self.pairs = Grown(2)  # pair and its links
 
     def _learn(self, parts: set[str], known: dict[str, int], before: str, dropped: int) -> None:
         """Align new parts; ``dropped``: B tokens at the start of its result that are not the part's."""
@@ -122,50 +148,71 @@ class Aligner:
         if not new:
             return
         full = [before + x for x in new]
-        for text, a, b in zip(
-            full,
-            self.a.encode_batch_fast(full, add_special_tokens=False),
-            self.b.encode([x if dropped else x[1:] for x in full], num_threads=1),
-        ):
-            if dropped and b[:1] != [self.space_id]:
+        a = [x.ids for x in self.a.encode_batch_fast(full, add_special_tokens=False)]
+        b = self.b.encode([x if dropped else x[1:] for x in full], num_threads=1)
+        if dropped:
+            if any(x[:1] != [self.space_id] for x in b):
                 raise ValueError("the piece model joins its own space with a line feed")
-            known[text[len(before) :]] = len(self.groups)
-            self._align(text.encode(), a.ids, b[dropped:])
-
-    def _align(self, text: bytes, a: list[int], b: list[int]) -> None:
-        a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_bytes) != text or b"".join(b_bytes) != text:
-            self.groups.append(None)
-            self.sizes.append((0, 0, 0, 0))
-            self.pairs.append(np.empty(0, dtype=np.int64))
-            self.weights.append(np.empty(0, dtype=np.int64))
-            return
-        told, pairs, weights, links = [], [], [], 0
-        i = j = start_i = start_j = end_a = end_b = 0
-        while i < len(a):
-            if end_a <= end_b:
-                end_a += len(a_bytes[i])
-                i += 1
-            while end_b < end_a and j < len(b):
-                end_b += len(b_bytes[j])
-                j += 1
-            if end_a == end_b:
-                ga, gb = a[start_i:i], b[start_j:j]
-                told.append(f"{','.join(map(str, ga))}|{','.join(map(str, gb))}")
-                links += len(ga) * len(gb)
-                if len(ga) == len(gb) == 1:
-                    pairs.append(self.pair(ga[0], gb[0]))
-                    weights.append(1)
-                else:
-                    ia, na = np.unique(ga, return_counts=True)
-                    ib, nb = np.unique(gb, return_counts=True)
-                    pairs.extend(self.pair(ia[:, None], ib[None, :]).ravel().tolist())
-                    weights.extend(np.outer(na, nb).ravel().tolist())
-                start_i, start_j = i, j
-        self.groups.append(";".join(told))
-        self.sizes.append((len(a), len(b), len(told), links))
-        self.pairs.append(np.array(pairs, dtype=np.int64))
-        self.weights.append(np.array(weights, dtype=np.int64))
+            b = [x[1:] for x in b]
+        known.update(zip(new, range(len(self.groups), len(self.groups) + len(new))))
+        self._align([x.encode() for x in full], a, b)
+
+    def _align(self, texts: list[bytes], a: list[list[int]], b: list[list[int]]) -> None:
+        """Groups and pairs of all texts at once, in byte places of the texts one after the other."""
+        bad = set()
+        for table, rows in ((self.a_bytes, a), (self.b_bytes, b)):
+            if b"".join(map(table.__getitem__, chain.from_iterable(rows))) != b"".join(texts):
+                bad.update(k for k, x in enumerate(rows) if b"".join([table[i] for i in x]) != texts[k])
+        for k in bad:
+            a[k], b[k], texts[k] = [], [], b""
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(rows), dtype=np.int64) for rows in (a, b))
+        ends_a, ends_b = np.cumsum(self.a_sizes[ids_a]), np.cumsum(self.b_sizes[ids_b])
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        # Tokens up to each cut, of either side; the group of each token.
+        upto_a, upto_b = (np.searchsorted(x, cuts, side="right") for x in (ends_a, ends_b))
+        n_a, n_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
+        group_a, group_b = (np.repeat(np.arange(len(cuts)), n) for n in (n_a, n_b))
+
+        # Groups as text: A tokens of a group, then its B tokens.
+        told = np.empty(len(ids_a) + len(ids_b), dtype=object)
+        last_a, last_b = np.zeros(len(ids_a), dtype=bool), np.zeros(len(ids_b), dtype=bool)
+        last_a[upto_a - 1] = last_b[upto_b - 1] = True
+        told[np.arange(len(ids_a)) + (upto_b - n_b)[group_a]] = np.where(last_a, self.bar[ids_a], self.comma[ids_a])
+        told[np.arange(len(ids_b)) + upto_a[group_b]] = np.where(last_b, self.semicolon[ids_b], self.comma[ids_b])
+        told = told.tolist()
+
+        sizes = np.zeros((len(texts), 4), dtype=np.int64)
+        sizes[:, 0], sizes[:, 1] = list(map(len, a)), list(map(len, b))
+        bounds = np.concatenate([[0], np.cumsum(sizes[:, 0] + sizes[:, 1])]).tolist()
+        self.groups += ["".join(told[lo:hi]) for lo, hi in zip(bounds, bounds[1:])]
+        # Every text ends with a cut, so its groups are a stretch of them.
+        first = np.searchsorted(cuts, np.cumsum([len(x) for x in texts]), side="right")
+        sizes[:, 2] = np.diff(first, prepend=0)
+        of_group = np.concatenate([[0], np.cumsum(n_a * n_b)])
+        sizes[:, 3] = np.diff(of_group[first], prepend=0)
+
+        # Pairs of small groups: every A token beside every B token of its group.
+        wide = n_a * n_b > WIDE_GROUP
+        beside = np.where(wide, 0, n_b)[group_a]
+        at_b = np.repeat((upto_b - n_b)[group_a] - np.cumsum(beside) + beside, beside) + np.arange(beside.sum())
+        pairs = self.pair(np.repeat(ids_a, beside), ids_b[at_b])
+        pairs = np.stack([pairs, np.ones(len(pairs), dtype=np.int64)], axis=1)
+        text_of_group = np.repeat(np.arange(len(texts)), sizes[:, 2])
+        owner = np.repeat(text_of_group, np.where(wide, 0, n_a * n_b))
+        if wide.any():  # distinct ids of a large group, with their occurrences
+            for g in np.flatnonzero(wide).tolist():
+                x, nx = np.unique(ids_a[upto_a[g] - n_a[g] : upto_a[g]], return_counts=True)
+                y, ny = np.unique(ids_b[upto_b[g] - n_b[g] : upto_b[g]], return_counts=True)
+                both = np.stack([self.pair(x[:, None], y[None, :]).ravel(), np.outer(nx, ny).ravel()], axis=1)
+                pairs, owner = np.concatenate([pairs, both]), np.concatenate([owner, np.full(len(both), text_of_group[g])])
+            order = np.argsort(owner, kind="stable")
+            pairs, owner = pairs[order], owner[order]
+        held = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
+        self.starts.add(np.stack([len(self.pairs) + held[:-1], np.diff(held)], axis=1))
+        self.pairs.add(pairs)
+        for k in bad:
+            sizes[k] = -1
+        self.sizes.add(sizes)
 
     def pair(self, a, b):
         low = a & (RADIX - 1)
@@ -319,34 +366,29 @@ def _encode(batches: Iterator[pa.RecordBatch], aligner: Aligner) -> Iterator[pa.
     for batch in batches:
         for part in text_slices(batch, "text"):
             numbers = aligner.numbers([x or "" for x in part.column(1).to_pylist()])
-            rows, place, parts = [], [], []
-            for doc_id, found in zip(part.column(0).to_pylist(), numbers):
-                told = list(map(aligner.groups.__getitem__, found))
-                whole = bool(found) and None not in told
-                if whole:
-                    sizes = np.array([aligner.sizes[i] for i in found], dtype=np.int64).sum(axis=0).tolist()
-                    digest = hashlib.sha256(";".join(told).encode()).hexdigest()
-                    place.append(np.full(len(found), writer.docs))
-                    parts.append(found)
-                else:
-                    sizes, digest = (0, 0, 0, 0), ""
-                rows.append((writer.run, writer.docs, doc_id, *sizes, digest, *no_run))
-                writer.docs += 1
-            yield _batch(rows, ENCODED)
-            if parts:
-                at = np.concatenate(place)
-                used, number = np.unique(np.concatenate([np.array(x) for x in parts]), return_inverse=True)
-                pairs = [aligner.pairs[i] for i in used]
-                sizes = np.array([len(x) for x in pairs])
-                starts = np.cumsum(sizes) - sizes
-                flat, weights = np.concatenate(pairs), np.concatenate([aligner.weights[i] for i in used])
-                for lo in range(0, len(at), PARTS_AT_ONCE):
-                    some, docs = number[lo : lo + PARTS_AT_ONCE], at[lo : lo + PARTS_AT_ONCE]
-                    n = sizes[some]
-                    places = np.repeat(starts[some] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                    writer.add(np.repeat(docs, n), flat[places], weights[places])
-                    if writer.records >= 2 * RUN_LINKS:
-                        writer.compact()
+            lengths = list(map(len, numbers))
+            bounds = np.cumsum([0, *lengths])
+            flat = np.fromiter(chain.from_iterable(numbers), dtype=np.int64, count=bounds[-1])
+            sums = np.concatenate([np.zeros((1, 4), dtype=np.int64), np.cumsum(aligner.sizes.rows[flat], axis=0)])
+            broken = np.concatenate([[0], np.cumsum(aligner.sizes.rows[flat, 0] < 0)])
+            whole = (np.diff(bounds) > 0) & (np.diff(broken[bounds]) == 0)
+            sizes = np.where(whole[:, None], sums[bounds[1:]] - sums[bounds[:-1]], 0).tolist()
+            rows = []
+            for k, doc_id in enumerate(part.column(0).to_pylist()):
+                text = "".join(map(aligner.groups.__getitem__, numbers[k]))[:-1] if whole[k] else None
+                digest = "" if text is None else hashlib.sha256(text.encode()).hexdigest()
+                rows.append((writer.run, writer.docs + k, doc_id, *sizes[k], digest, *no_run))
+            if rows:
+                yield _batch(rows, ENCODED)
+            kept = np.repeat(whole, lengths)
+            flat, docs = flat[kept], np.repeat(writer.docs + np.arange(len(numbers)), lengths)[kept]
+            writer.docs += len(numbers)
+            for lo in range(0, len(flat), PARTS_AT_ONCE):
+                starts, n = aligner.starts.rows[flat[lo : lo + PARTS_AT_ONCE]].T
+                places = np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
+                writer.add(np.repeat(docs[lo : lo + PARTS_AT_ONCE], n), *aligner.pairs.rows[places].T)
+                if writer.records >= 2 * RUN_LINKS:
+                    writer.compact()
             if writer.full():
                 yield from flush()
     yield from flush()
