@@ -69,6 +69,8 @@ def _bronze(args) -> None:
         dead_letter_path=args.dead_letter_path,
         structural_path=root.rsplit("/", 1)[0] + "/dead_letter",
         replay_safe=args.replay_safe,
+        manifest_path=args.manifest_path,
+        late_path=root.rsplit("/", 1)[0] + "/late",
     )
     query = start_bronze_stream(
         spark,
@@ -77,6 +79,7 @@ def _bronze(args) -> None:
         f"{args.checkpoint_path.rstrip('/')}/bronze",
         cfg,
         available_now=args.available_now,
+        watermark=args.watermark,
         on_batch=lambda c: log.info("batch %s", json.dumps(c)),
     )
     query.awaitTermination()
@@ -133,7 +136,11 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--max-files-per-trigger", type=int, default=None,
                    help="file: files per micro-batch (default: no bound); narrows the window rules as well")
     b.add_argument("--window-scope", choices=["micro_batch", "stateful"], default="micro_batch",
-                   help="which rows a window rule sees: those of its micro-batch, or the alert stream's state")
+                   help="which rows a window rule sees: those of its micro-batch, or all of the stream (rows then "
+                        "wait until their windows have closed; late ones go to <bronze>/../late)")
+    b.add_argument("--watermark", default="10 minutes", help="window scope stateful: how late rows may come")
+    b.add_argument("--manifest-path", default=None,
+                   help="commit manifest: every row exactly once for readers that honour it (file sinks)")
     b.add_argument("--allow-data-loss", action="store_true", help="kafka: go on when offsets have expired")
     b.add_argument("--replay-safe", action="store_true", help="partition Bronze by batch id, overwrite on replay")
     b.add_argument("--null-policy", choices=["propagate", "quarantine"], default="propagate")

@@ -93,8 +93,9 @@ class PipelineConfig:
     # Which rows a window sees. "micro_batch": those of its micro-batch (the
     # surveyed behaviour; the size of a batch then decides verdicts).
     # "table": those of the static table at hand; not for streams.
-    # "stateful": all rows of the stream, by the alert stream's state; rows
-    # get their window flags from it (streaming.alerts.with_window_state).
+    # "stateful": all rows of the stream. The Bronze stream keeps rows until
+    # their windows have closed (streaming.window_verdicts); elsewhere the
+    # flags must be columns already (streaming.alerts.with_window_state).
     window_scope: str = "micro_batch"
     # Rule order decides the order of fraud_reasons.
     rule_names: tuple[str, ...] = (

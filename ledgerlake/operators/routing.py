@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import config as C
 
 
-def route_label(policy: str = "propagate"):
+def route_label(policy: str = "propagate", faulty: Column | None = None):
     """One label per row.
 
     ``valid`` needs both ``is_fraud`` and ``is_invalid`` to be false;
     ``dead_letter`` needs either to be true. Under ``propagate`` a null
     verdict matches neither and the row is ``unrouted`` (the surveyed
     pipeline loses it); under ``quarantine`` it goes to the dead letter.
-    Rows without an event time are ``unparseable``.
+    Rows without an event time, or ``faulty`` in some field, are ``unparseable``.
     """
     if policy not in ("propagate", "quarantine"):
         raise ValueError(f"unknown null policy {policy!r}")
     fraud, invalid = F.col("is_fraud"), F.col("is_invalid")
+    unparseable = F.col("event_time").isNull()
     label = (
-        F.when(F.col("event_time").isNull(), F.lit(C.ROUTE_UNPARSEABLE))
+        F.when(unparseable if faulty is None else unparseable | faulty, F.lit(C.ROUTE_UNPARSEABLE))
         .when(~fraud & ~invalid, F.lit(C.ROUTE_VALID))
         .when(fraud | invalid, F.lit(C.ROUTE_DEAD_LETTER))
     )
@@ -31,7 +32,8 @@ def route_label(policy: str = "propagate"):
 
 
 def with_route(df: DataFrame, policy: str = "propagate") -> DataFrame:
-    return df.withColumn("route", route_label(policy))
+    faulty = F.size("decode_faults") > 0 if "decode_faults" in df.columns else None
+    return df.withColumn("route", route_label(policy, faulty))
 
 
 def valid_rows(routed: DataFrame) -> DataFrame:

@@ -59,7 +59,7 @@ def blacklisted_merchant_rule(merchants=C.BLACKLISTED_MERCHANTS) -> Rule:
     """merchant_id in the blacklist (null merchant -> null).
 
     A list becomes an ``isin``; a DataFrame (first column = merchant ids,
-    for blacklists too large to inline) becomes a checked-size lookup join.
+    for blacklists too large to inline) becomes a lookup join.
     """
     if isinstance(merchants, DataFrame):
         return LookupRule("is_blacklisted", C.REASON_BLACKLISTED, "merchant_id", merchants)
@@ -224,8 +224,9 @@ class FraudDetector:
                 df = flag_membership(df, r.column, r.values, r.flag)
         win_rules = [r for r in self.rules if r.windowed]
         if win_rules and self.windows_from_state:
-            # Filled in from the alert stream's state (streaming.alerts.with_window_state).
-            df = df.withColumns({r.flag: F.lit(False) for r in win_rules})
+            missing = [r.flag for r in win_rules if r.flag not in df.columns]
+            if missing:
+                raise ValueError(f"window scope 'stateful' needs the window flags decided before: {missing}")
         elif win_rules:
             df = flag_windows(df, win_rules, self.strategy, self.card_col, self.time_col)
         if self.composites:

@@ -508,8 +508,8 @@ def q_rules_across_batches(spark, sf):
 
     cfg = FX.with_(window_scope="stateful")
     alerts = read_card_alerts(spark, _alert_stream(spark, sf), cfg)
-    rows = enrich(decode_payload(messages_from_payments(payments(spark, sf)), keep_raw=False), cfg)
-    return with_window_state(rows, alerts, cfg).select(
+    rows = decode_payload(messages_from_payments(payments(spark, sf)), keep_raw=False)
+    return enrich(with_window_state(rows, alerts, cfg), cfg).select(
         "transaction_id", *WINDOW_FLAGS, "fraud_reasons", "is_fraud", "route"
     )
 

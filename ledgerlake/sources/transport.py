@@ -8,8 +8,9 @@ tests drive. Decoding is identical for both.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.config import PAYMENT_SCHEMA, RAW_MESSAGE_SCHEMA, RAW_TOPIC
 
@@ -81,15 +82,48 @@ def read_raw_batch(
     raise ValueError(f"unknown transport {transport!r}")
 
 
-def decode_payload(raw: DataFrame, keep_raw: bool = True) -> DataFrame:
+#: Column of the faults of a message: (field, the value it came with); field "message": no JSON object at all.
+FAULTS = "decode_faults"
+FAULTS_TYPE = "array<struct<field: string, value: string>>"
+WHOLE_MESSAGE = "message"
+
+
+def decode_payload(raw: DataFrame, keep_raw: bool = True, faults: bool = False) -> DataFrame:
     """JSON value -> payment columns (PERMISSIVE).
 
     Malformed JSON gives an all-null payment, a wrongly typed field gives a
     null field, unknown fields are ignored. ``raw_value`` keeps the payload so
     that a structurally bad message is not lost in the dead letter.
+
+    ``faults`` adds ``decode_faults``: a message that is not a JSON object
+    (or null), and every field that came with a value which its type cannot
+    hold. A field that is absent or null has no fault.
     """
     parsed = F.from_json(F.col("value"), PAYMENT_SCHEMA, {"mode": "PERMISSIVE"})
     cols = [parsed.getField(f.name).alias(f.name) for f in PAYMENT_SCHEMA.fields]
     if keep_raw:
         cols.append(F.col("value").alias("raw_value"))
+    if faults:
+        cols.append(_faults(F.col("value")).alias(FAULTS))
     return raw.select(*cols)
+
+
+def _faults(value: Column) -> Column:
+    """Every field is read as text beside its own type; text without a typed value is a fault."""
+    corrupt = "_corrupt"
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in PAYMENT_SCHEMA.fields])
+    told = F.from_json(
+        value, texts.add(corrupt, T.StringType()), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    )
+    typed = F.from_json(value, PAYMENT_SCHEMA, {"mode": "PERMISSIVE"})
+
+    def fault(field: str, text: Column) -> Column:
+        return F.struct(F.lit(field).alias("field"), text.alias("value"))
+
+    whole = value.isNull() | told[corrupt].isNotNull()
+    found = [
+        F.when(~whole & told[f.name].isNotNull() & typed[f.name].isNull(), fault(f.name, told[f.name]))
+        for f in PAYMENT_SCHEMA.fields
+        if not isinstance(f.dataType, T.StringType)
+    ]
+    return F.array_compact(F.array(F.when(whole, fault(WHOLE_MESSAGE, value)), *found)).cast(FAULTS_TYPE)

@@ -25,8 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.config import DEFAULT_CONFIG, REASON_SEPARATOR, PipelineConfig
 from ledgerlake.functions import bucket_end, bucket_start, country_of, duration_micros, parse_event_time, reasons_of
-from ledgerlake.operators.routing import with_route
-from ledgerlake.operators.rules import FraudDetector, rules_from_config
+from ledgerlake.operators.rules import rules_from_config
 from ledgerlake.operators.windows import _MERGE, _group_by_duration, _named_aggs, rolled_up, shuffle_side
 from ledgerlake.session import write_scratch_table
 from ledgerlake.sources.tables import path_exists
@@ -195,27 +194,27 @@ def compact_card_alerts(spark: SparkSession, out_path: str, cfg: PipelineConfig,
         staged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(leaf)
 
 
-def with_window_state(rows: DataFrame, alerts: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Routed rows of window scope "stateful" with their window flags from the alert state.
+def with_window_state(payments: DataFrame, alerts: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Decoded payments with their window flags from the alert state, for window scope "stateful".
 
-    ``rows``: of :func:`ledgerlake.plans.bronze.enrich`; ``alerts``: of
-    :func:`read_card_alerts`. One join per duration; reasons, verdict and
-    route are derived again.
+    ``alerts``: of :func:`read_card_alerts`. One join per duration; the
+    verdict is then :func:`ledgerlake.plans.bronze.enrich`'s.
     """
-    out = rows
+    at = parse_event_time("ts_event", cfg.ts_format)
+    out = payments
     for group in window_rule_groups(cfg):
         flags = [r.flag for r in group]
         firing = alerts.filter(" OR ".join(flags)).select(
             F.col("card_hash").alias("_sc"), F.col("window_start").alias("_sw"), *[F.col(f).alias(f"_s_{f}") for f in flags]
         )
-        bucket = bucket_start("event_time", group[0].duration)
+        bucket = bucket_start(at, group[0].duration)
         out = out.withColumn("_sb", bucket).join(
             shuffle_side(firing, unless_broadcast=True), (F.col("card_hash") == F.col("_sc")) & (F.col("_sb") == F.col("_sw")), "left"
         )
         out = out.withColumns({f: F.coalesce(f"_s_{f}", F.lit(False)) for f in flags}).drop(
             "_sb", "_sc", "_sw", *[f"_s_{f}" for f in flags]
         )
-    return with_route(FraudDetector.from_config(cfg).with_verdict(out), cfg.null_policy)
+    return out
 
 
 def _latest(spark: SparkSession, folder: str, columns: list[str], date: str | None) -> DataFrame:

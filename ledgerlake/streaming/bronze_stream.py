@@ -8,9 +8,12 @@ again (Silver's dedup absorbs it) and rewrites its dead-letter folders,
 which carry the stream's own id, so that another run on the same folders
 never touches them.
 
-Windowed rules see only the rows of their micro-batch, as in the surveyed
-pipeline; :mod:`ledgerlake.streaming.alerts` evaluates the same rules over
-event-time state across batches.
+With the window scope ``micro_batch`` windowed rules see only the rows of
+their micro-batch, as in the surveyed pipeline. With ``stateful`` a row waits
+in the stream's state until its windows have closed and is routed by all rows
+of the stream (:mod:`ledgerlake.streaming.window_verdicts`); rows behind the
+watermark go to ``targets.late_path``. :mod:`ledgerlake.streaming.alerts`
+reports windows, without waiting, as soon as they change.
 """
 
 from __future__ import annotations
@@ -18,12 +21,14 @@ from __future__ import annotations
 import json
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.config import DEFAULT_CONFIG, PipelineConfig
 from ledgerlake.plans.bronze import BronzeTargets, process_batch
 from ledgerlake.sources.transport import decode_payload
+from ledgerlake.streaming.window_verdicts import late_rows, late_watermark, settled_rows, with_stream_windows
 
 
 def start_bronze_stream(
@@ -35,23 +40,41 @@ def start_bronze_stream(
     *,
     available_now: bool = False,
     query_name: str | None = None,
+    watermark: str = "10 minutes",
     on_batch: Callable[[dict], None] | None = None,
 ) -> StreamingQuery:
     """Start the query over a raw ``key, value`` stream.
 
     ``available_now=True`` processes what is there and stops (tests, backfill);
-    otherwise it triggers every ``cfg.trigger_interval``.
+    otherwise it triggers every ``cfg.trigger_interval``. ``watermark`` (scope
+    ``stateful``): how far behind the newest event time a row may come; rows
+    whose windows are still open when the query stops stay in its state.
     """
     if cfg.window_scope == "table":
         raise ValueError("window scope 'table' needs a static table; use 'micro_batch' or 'stateful' for a stream")
-    decoded = decode_payload(raw, keep_raw=True)
+    stateful = cfg.window_scope == "stateful"
+    if stateful and not targets.late_path:
+        raise ValueError("window scope 'stateful' needs a late_path: rows behind the watermark are written there")
+    decoded = decode_payload(raw, keep_raw=True, faults=True)
+    rows = with_stream_windows(decoded, cfg, watermark) if stateful else decoded
+    run_ids: list[str] = []
 
     def _batch(batch_df: DataFrame, batch_id: int) -> None:
-        counts = process_batch(batch_df, batch_id, targets, cfg, run_id=stream_id(spark, checkpoint))
+        if not run_ids:
+            run_ids.append(stream_id(spark, checkpoint))
+        if not stateful:
+            counts = process_batch(batch_df, batch_id, targets, cfg, run_id=run_ids[0])
+        else:
+            batch_df.persist(StorageLevel.MEMORY_AND_DISK)  # else the stateful part would run for every use
+            try:
+                late = late_rows(batch_df, late_watermark(spark, checkpoint, batch_id), cfg)
+                counts = process_batch(settled_rows(batch_df), batch_id, targets, cfg, run_id=run_ids[0], late=late)
+            finally:
+                batch_df.unpersist()
         if on_batch is not None:
             on_batch(counts)
 
-    writer = decoded.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     if available_now:

@@ -186,9 +186,12 @@ def test_window_scope(spark, payments_df):
         DEFAULT_CONFIG.with_(window_scope="week")
     rows = [payment(tid=f"T{i}", ts=f"2026-05-29 06:39:{10 + i:02d}") for i in range(6)]
     df = payments_df(rows)
-    for scope, want in (("micro_batch", True), ("table", True), ("stateful", False)):
+    for scope in ("micro_batch", "table"):
         got = enrich(df, DEFAULT_CONFIG.with_(window_scope=scope))
-        assert set(flags(got, "is_high_velocity").values()) == {want}
+        assert set(flags(got, "is_high_velocity").values()) == {True}
+    # Nothing may pass as unflagged because its flags were never decided.
+    with pytest.raises(ValueError, match="is_high_velocity"):
+        enrich(df, DEFAULT_CONFIG.with_(window_scope="stateful"))
 
 
 def test_jobs_want_utc(spark, payments_df, tmp_dir):
