@@ -4,7 +4,7 @@ Keeps, per key, the first row in ``order_by`` order (ascending, nulls
 first), breaking ties by ``ties`` (default: the remaining columns) so the
 result is deterministic. Columns that are functions of those in ``ties`` need
 not be sorted by, and a plan that reads few columns then prunes the rest.
-Two plans:
+:func:`not_seen_elsewhere` adds the keys that other runs have taken. Two plans:
 
 ``window`` (default)
     ``row_number() over (partition by key order by ...) = 1``. Spark plans a
@@ -21,6 +21,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def not_seen_elsewhere(df: DataFrame, taken: DataFrame, keys: list[str] | str) -> DataFrame:
+    """The rows whose key is not in ``taken`` (null keys are kept): a shuffle or broadcast anti join, as sizes go."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    taken = taken.select(*[F.col(k).alias(f"_taken_{k}") for k in keys])
+    return df.join(taken, [F.col(k) == F.col(f"_taken_{k}") for k in keys], "left_anti")
+
+
 def _order(df: DataFrame, keys: list[str], order_by: list[str], ties: list[str] | None) -> list[str]:
     rest = [c for c in (df.columns if ties is None else ties) if c not in keys and c not in order_by]
     return list(order_by) + rest

@@ -319,3 +319,34 @@ ORACLE_SQL |= {
 SELECT 2 * count(*) AS received, 2 * count(*) AS accounted,
        CAST(2 * count_if(route = 'unparseable') AS BIGINT) AS unparseable, CAST(0 AS BIGINT) AS mismatches FROM routed""",
 }
+
+ROUTED_STREAM_REFERENCE = "WITH " + ",".join([DECODED, PARSED, _flagged("1 minute", "10 minutes", "10 minutes"), VERDICT])
+REUSED_IDS = PAYMENTS.replace("CASE WHEN event_id % 23 = 1 THEN event_id - 1 ELSE event_id END", "(CASE WHEN event_id % 23 = 1 THEN event_id - 1 ELSE event_id END) % 331")
+REUSED_DAYS = "WITH " + ",".join([REUSED_IDS, PARSED, _flagged(), VERDICT]) + f""",
+bronze AS (SELECT {SILVER_COLS} FROM routed WHERE route = 'valid' AND year = 2024 AND month = 1 AND day IN (15, 16, 17)),""" + _silver("bronze")
+
+
+def _faults(from_payload: str) -> str:
+    """Faults of the messages; ``from_payload``: the id where the whole message is cut off."""
+    return f"""WITH {PAYMENTS}
+SELECT CASE WHEN transaction_id LIKE '%777' THEN {from_payload} ELSE transaction_id END AS transaction_id,
+       'message' AS field, substr('{{"transaction_id":"' || transaction_id, 1, 20) AS value FROM payments WHERE transaction_id LIKE '%777'
+UNION ALL
+SELECT transaction_id, 'ts_event', ts_event FROM payments WHERE ts_event = 'bad-ts' AND transaction_id NOT LIKE '%777'
+UNION ALL
+SELECT transaction_id, 'amount', CASE WHEN transaction_id LIKE '%55' THEN 'n/a' ELSE '{{"value":"12.5"}}' END
+FROM payments WHERE transaction_id LIKE '%55' OR transaction_id LIKE '%33'"""
+
+
+ORACLE_SQL |= {
+    "stream_stateful_bronze": ORACLE_SQL["stream_bronze"],
+    "stream_stateful_dead_letter": ORACLE_SQL["stream_dead_letter"],
+    "stream_stateful_reference": ROUTED_STREAM_REFERENCE + f"\nSELECT {BRONZE_COLS} FROM routed WHERE route = 'valid'",
+    "stream_exactly_once": ORACLE_SQL["stream_bronze"],
+    "stream_late_rows": "WITH " + ",".join([DECODED, PARSED])
+    + "\nSELECT transaction_id, ts_event, coalesce(card_hash IS NOT NULL AND day < 10, false) AS late FROM parsed",
+    "stream_empty_batch": "SELECT true AS empty_batches_seen, CAST(0 AS BIGINT) AS received, CAST(0 AS BIGINT) AS sinks_written",
+    "decode_faults": f"SELECT *, 'unparseable' AS route FROM ({_faults('NULL')})",
+    "stream_faults": _faults("NULL"),
+    "silver_dedup_across_days": REUSED_DAYS + f"\nSELECT {SILVER_COLS} FROM silver",
+}

@@ -8,6 +8,7 @@ session's shared scratch folder and return a DataFrame over what was written.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +24,8 @@ from ledgerlake.operators.windows import window_groups
 from ledgerlake.plans.bronze import BronzeTargets, bronze_rows, enrich, process_batch
 from ledgerlake.plans.silver import silver_transform
 from ledgerlake.session import ensure_utc, new_run_dir
-from ledgerlake.sources.fixtures import messages_from_payments, payments_from_events
-from ledgerlake.sources.tables import read_partitioned, read_table
+from ledgerlake.sources.fixtures import messages_from_payments, messages_with_faults, payments_from_events, reuse_ids
+from ledgerlake.sources.tables import path_exists, read_partitioned, read_table
 
 FLAGS = (
     "is_high_amount",
@@ -107,7 +108,7 @@ def q_rule_blacklist(spark, sf):
 
 
 def q_rule_blacklist_table(spark, sf):
-    """Blacklist given as a table: checked-size broadcast lookup join."""
+    """Blacklist given as a table: a lookup join."""
     table = spark.createDataFrame([(m,) for m in FX.blacklisted_merchants], "merchant_id string")
     return RU.blacklisted_merchant_rule(table).apply(payments(spark, sf)).select(
         "transaction_id", "merchant_id", "is_blacklisted"
@@ -514,6 +515,194 @@ def q_rules_across_batches(spark, sf):
     )
 
 
+# ------------------------------------- verdicts, late rows and faults in streams
+#: First day of each staged slice of the month (the last one is open).
+SLICES = (1, 9, 17, 25)
+LATE_BEFORE = 10  # in the query of late rows, days before it come after the others
+
+
+def _stage_slice(spark, payments_, inbox, parts=2):
+    """Add messages to an inbox, in a few files."""
+    messages_from_payments(payments_).repartition(parts).write.mode("append").json(inbox)
+
+
+def _stage_end(spark, inbox):
+    """A payment far ahead of all others: windows before it can close. It stays in the stream's state itself."""
+    value = F.to_json(F.struct(F.lit("2030-01-01 00:00:00").alias("ts_event"), F.lit("end").alias("card_hash")))
+    end = spark.range(1).select(F.lit("end").alias("key"), value.alias("value"))
+    end.coalesce(1).write.mode("append").json(inbox)
+
+
+def _stateful_stream(spark, run, cfg, watermark, on_batch=None, files=2):
+    """The Bronze stream with window verdicts in its state, to the end of the inbox."""
+    from dataclasses import replace
+
+    from ledgerlake.sources.transport import read_raw_stream
+    from ledgerlake.streaming.bronze_stream import start_bronze_stream
+
+    targets = replace(_targets(run), late_path=f"{run}/late")
+    raw = read_raw_stream(spark, "file", path=f"{run}/inbox", max_files_per_trigger=files)
+    _finish(
+        start_bronze_stream(
+            spark, raw, targets, f"{run}/checkpoint", cfg, available_now=True, watermark=watermark, on_batch=on_batch
+        )
+    )
+    return targets
+
+
+def _staged_month(spark, sf, run, every=SLICES):
+    """Stage the payments slice by slice in order of days (those without a time first); files are read in this order."""
+    rows = parsed(spark, sf)
+    columns = payments(spark, sf).columns
+    for i, first in enumerate(every):
+        at = F.coalesce(F.col("day"), F.lit(1))
+        inside = at >= first if i + 1 == len(every) else (at >= first) & (at < every[i + 1])
+        _stage_slice(spark, rows.filter(inside).select(*columns), f"{run}/inbox")
+    _stage_end(spark, f"{run}/inbox")
+
+
+def _stateful_month(spark, sf, cfg):
+    """Four slices and the end through the stateful Bronze stream; at least four batches must have had rows."""
+    run = new_run_dir(spark, "stateful")
+    _staged_month(spark, sf, run)
+    seen = []
+    targets = _stateful_stream(spark, run, cfg.with_(window_scope="stateful"), "1 hour", on_batch=seen.append)
+    if sum(c["received"] > 0 for c in seen) < 4:
+        raise RuntimeError("expected at least four batches with rows")
+    return targets
+
+
+def q_stream_stateful_bronze(spark, sf):
+    """Bronze of a stream whose window rules see all of it: equal to the table's, over several batches."""
+    return spark.read.parquet(_stateful_month(spark, sf, FX).bronze_path).select(*BRONZE_COLUMNS)
+
+
+def q_stream_stateful_dead_letter(spark, sf):
+    from ledgerlake.sources.dead_letter import dead_letter_report
+
+    return dead_letter_report(_dead_letter_messages(spark, _stateful_month(spark, sf, FX)))
+
+
+def q_stream_stateful_reference(spark, sf):
+    """The surveyed windows (1 and 10 minutes) inside the stream."""
+    cfg = C.DEFAULT_CONFIG.with_(blacklisted_merchants=FX.blacklisted_merchants)
+    return spark.read.parquet(_stateful_month(spark, sf, cfg).bronze_path).select(*BRONZE_COLUMNS)
+
+
+def q_stream_late_rows(spark, sf):
+    """Early days staged after late ones: every staged payment is either routed or kept as late.
+
+    Null verdicts go to the dead letter, so that no other row is missing.
+    """
+    run = new_run_dir(spark, "late")
+    rows, columns = parsed(spark, sf), payments(spark, sf).columns
+    early = F.coalesce(F.col("day"), F.lit(1)) < LATE_BEFORE
+    cfg = FX.with_(window_scope="stateful", null_policy="quarantine")
+    _stage_slice(spark, rows.filter(~early).select(*columns), f"{run}/inbox")
+    _stateful_stream(spark, run, cfg, "1 hour")
+    _stage_slice(spark, rows.filter(early).select(*columns), f"{run}/inbox")
+    _stage_end(spark, f"{run}/inbox")
+    targets = _stateful_stream(spark, run, cfg, "1 hour")
+    fields = "transaction_id string, ts_event string"
+    routed_ = [
+        spark.read.parquet(targets.bronze_path).select("transaction_id", "ts_event"),
+        _dead_letter_messages(spark, targets).select(F.from_json("value", fields).alias("v")).select("v.*"),
+        _structural_rows(spark, targets).select("transaction_id", "ts_event"),
+    ]
+    late = spark.read.schema(fields).json(f"{targets.late_path}/run=*/batch=*").withColumn("late", F.lit(True))
+    for rows in routed_:
+        late = late.unionByName(rows.withColumn("late", F.lit(False)))
+    return late
+
+
+def q_stream_empty_batch(spark, sf):
+    """Batches without rows reach the sinks (the watermark moves, nothing has closed) and write nothing."""
+    run = new_run_dir(spark, "empty")
+    _stage_slice(spark, parsed(spark, sf).filter("day = 15 AND card_hash IS NOT NULL AND NOT endswith(transaction_id, '777')").select(*payments(spark, sf).columns), f"{run}/inbox")
+    seen = []
+    # The watermark never leaves the day behind, so its windows stay open and the batches are empty.
+    targets = _stateful_stream(spark, run, FX.with_(window_scope="stateful"), "2 days", seen.append, files=1)
+    paths = (targets.bronze_path, targets.dead_letter_path, targets.structural_path, targets.late_path)
+    row = (sum(c["received"] == 0 for c in seen) >= 2, sum(c["received"] for c in seen), sum(path_exists(spark, p) for p in paths))
+    return spark.createDataFrame([row], "empty_batches_seen boolean, received long, sinks_written long")
+
+
+def q_stream_exactly_once(spark, sf):
+    """A batch that fails after its Bronze write and is replayed: committed readers see each row once.
+
+    The first run's dead letter is on a file system that does not exist.
+    """
+    from dataclasses import replace
+
+    from ledgerlake.sinks.manifest import read_committed
+    from ledgerlake.sources.transport import read_raw_stream
+    from ledgerlake.streaming.bronze_stream import start_bronze_stream
+
+    run = new_run_dir(spark, "once")
+    inbox = _write_messages(spark, sf, run)
+    good = replace(_targets(run), manifest_path=f"{run}/manifest")
+    for targets in (replace(good, dead_letter_path="nowhere://dead_letter"), good):
+        raw = read_raw_stream(spark, "file", path=inbox)
+        query = start_bronze_stream(spark, raw, targets, f"{run}/checkpoint", FX, available_now=True)
+        if targets is good:
+            _finish(query)
+            continue
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            continue
+        raise RuntimeError("the first attempt should have failed")
+    committed = read_committed(spark, good.bronze_path, good.manifest_path).select(*BRONZE_COLUMNS)
+    if spark.read.parquet(good.bronze_path).count() <= committed.count():
+        raise RuntimeError("the failed attempt should have left rows")
+    return committed
+
+
+def q_decode_faults(spark, sf):
+    """Messages with text and objects for amounts, cut-off messages and bad times: each fault by field, and its route."""
+    from ledgerlake.sources.transport import decode_payload
+
+    decoded = decode_payload(messages_with_faults(payments(spark, sf)), faults=True)
+    # Taken apart first: a filter on the faults would be pushed down and parse every message again.
+    rows = enrich(decoded, FX).select("transaction_id", F.explode_outer("decode_faults").alias("f"), "route")
+    return rows.filter(F.col("f").isNotNull()).select(
+        "transaction_id", F.col("f.field").alias("field"), F.col("f.value").alias("value"), "route"
+    )
+
+
+def q_stream_faults(spark, sf):
+    """The same faults as the stream stores them, with the payload: its id is read out of the payload."""
+    from ledgerlake.sources.transport import FAULTS_TYPE, read_raw_stream
+    from ledgerlake.streaming.bronze_stream import start_bronze_stream
+
+    run = new_run_dir(spark, "faults")
+    messages_with_faults(payments(spark, sf)).repartition(4).write.json(f"{run}/inbox")
+    targets = _targets(run)
+    raw = read_raw_stream(spark, "file", path=f"{run}/inbox")
+    _finish(start_bronze_stream(spark, raw, targets, f"{run}/checkpoint", FX, available_now=True))
+    schema = f"raw_value string, decode_faults {FAULTS_TYPE}"
+    rows = spark.read.schema(schema).json(f"{targets.structural_path}/run=*/batch=*")
+    return rows.select(
+        F.get_json_object("raw_value", "$.transaction_id").alias("transaction_id"), F.explode("decode_faults").alias("f")
+    ).select("transaction_id", F.col("f.field").alias("field"), F.col("f.value").alias("value"))
+
+
+#: Days refined one after the other by the query of ids over runs; the middle one is refined again at the end.
+REUSE_DAYS = ((2024, 1, 15), (2024, 1, 16), (2024, 1, 17))
+
+
+def q_silver_dedup_across_days(spark, sf):
+    """Ids that come again on other days, one Silver run a day with a table of taken ids: each id once."""
+    from ledgerlake.plans.silver import run_silver
+
+    run = new_run_dir(spark, "reuse")
+    targets = _targets(run)
+    process_batch(reuse_ids(payments(spark, sf)), 0, targets, FX)
+    for day in (*REUSE_DAYS, REUSE_DAYS[1]):
+        run_silver(spark, targets.bronze_path, f"{run}/silver", *day, keys_path=f"{run}/taken")
+    return read_partitioned(spark, f"{run}/silver").select(*SILVER_COLUMNS)
+
+
 QUERIES = {
     "parse_event_time": q_parse_event_time,
     "settlement_daily": q_settlement_daily,
@@ -566,4 +755,13 @@ QUERIES = {
     "dead_letter_report": q_dead_letter_report,
     "partition_check": q_partition_check,
     "stream_card_alerts": q_stream_card_alerts,
+    "stream_stateful_bronze": q_stream_stateful_bronze,
+    "stream_stateful_dead_letter": q_stream_stateful_dead_letter,
+    "stream_stateful_reference": q_stream_stateful_reference,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_empty_batch": q_stream_empty_batch,
+    "stream_exactly_once": q_stream_exactly_once,
+    "decode_faults": q_decode_faults,
+    "stream_faults": q_stream_faults,
+    "silver_dedup_across_days": q_silver_dedup_across_days,
 }

@@ -21,6 +21,9 @@ NULL_CARD_EVERY = 89
 NULL_CURRENCY_EVERY = 71
 REPEATED_ID_EVERY = 23  # the event after every 23rd repeats its id
 MALFORMED_ID_END = "777"  # messages of these ids are cut off
+TEXT_AMOUNT_ID_END = "55"  # messages of these ids carry the amount as text
+OBJECT_AMOUNT_ID_END = "33"  # and of these as an object
+REUSED_IDS = 331  # ids of the payments whose ids come again on other days
 MERCHANT_COUNT = 50
 AMOUNT_FACTOR = 50
 CURRENCY_BY_MOD10 = {0: "JPY", 1: "EUR", 2: "GBP", 3: "NPR", 4: "usd"}  # else USD
@@ -83,3 +86,27 @@ def messages_from_payments(payments: DataFrame) -> DataFrame:
     return payments.select(
         F.col("card_hash").alias("key"), F.when(cut, F.substring(whole, 1, 20)).otherwise(whole).alias("value")
     )
+
+
+def reuse_ids(payments: DataFrame) -> DataFrame:
+    """The payments with transaction ids that come round again, also on other days."""
+    number = F.substring("transaction_id", 4, 12).cast("long") % REUSED_IDS
+    return payments.withColumn("transaction_id", F.concat(F.lit("TXN"), F.lpad(number.cast("string"), 12, "0")))
+
+
+def messages_with_faults(payments: DataFrame) -> DataFrame:
+    """As :func:`messages_from_payments`, some amounts being text or an object."""
+
+    def value(amount: Column) -> Column:
+        return F.to_json(F.struct(*[amount.alias(c) if c == "amount" else F.col(c) for c in payments.columns]))
+
+    tid = F.col("transaction_id")
+    whole = value(F.col("amount"))
+    return payments.select(
+        F.col("card_hash").alias("key"),
+        F.when(tid.endswith(MALFORMED_ID_END), F.substring(whole, 1, 20))
+        .when(tid.endswith(TEXT_AMOUNT_ID_END), value(F.lit("n/a")))
+        .when(tid.endswith(OBJECT_AMOUNT_ID_END), value(F.struct(F.lit("12.5").alias("value"))))
+        .otherwise(whole)
+        .alias("value"),
+    )

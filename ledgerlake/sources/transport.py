@@ -99,30 +99,33 @@ def decode_payload(raw: DataFrame, keep_raw: bool = True, faults: bool = False)
     (or null), and every field that came with a value which its type cannot
     hold. A field that is absent or null has no fault.
     """
-    parsed = F.from_json(F.col("value"), PAYMENT_SCHEMA, {"mode": "PERMISSIVE"})
-    cols = [parsed.getField(f.name).alias(f.name) for f in PAYMENT_SCHEMA.fields]
+    permissive = {"mode": "PERMISSIVE"}
+    # Columns of their own, so that each message is parsed once whatever is read of it later.
+    parsed = {"_typed": F.from_json("value", PAYMENT_SCHEMA, permissive)}
+    if faults:
+        texts = T.StructType([T.StructField(f.name, T.StringType()) for f in PAYMENT_SCHEMA.fields])
+        texts = texts.add(CORRUPT, T.StringType())
+        parsed["_texts"] = F.from_json("value", texts, permissive | {"columnNameOfCorruptRecord": CORRUPT})
+    cols = [F.col(f"_typed.{f.name}").alias(f.name) for f in PAYMENT_SCHEMA.fields]
     if keep_raw:
         cols.append(F.col("value").alias("raw_value"))
     if faults:
-        cols.append(_faults(F.col("value")).alias(FAULTS))
-    return raw.select(*cols)
+        cols.append(_faults(F.col("value"), F.col("_typed"), F.col("_texts")).alias(FAULTS))
+    return raw.withColumns(parsed).select(*cols)
+
+
+CORRUPT = "_corrupt"
 
 
-def _faults(value: Column) -> Column:
-    """Every field is read as text beside its own type; text without a typed value is a fault."""
-    corrupt = "_corrupt"
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in PAYMENT_SCHEMA.fields])
-    told = F.from_json(
-        value, texts.add(corrupt, T.StringType()), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-    )
-    typed = F.from_json(value, PAYMENT_SCHEMA, {"mode": "PERMISSIVE"})
+def _faults(value: Column, typed: Column, texts: Column) -> Column:
+    """Every field read as text beside its own type: text without a typed value is a fault."""
 
     def fault(field: str, text: Column) -> Column:
         return F.struct(F.lit(field).alias("field"), text.alias("value"))
 
-    whole = value.isNull() | told[corrupt].isNotNull()
+    whole = texts.isNull() | texts[CORRUPT].isNotNull()
     found = [
-        F.when(~whole & told[f.name].isNotNull() & typed[f.name].isNull(), fault(f.name, told[f.name]))
+        F.when(~whole & texts[f.name].isNotNull() & typed[f.name].isNull(), fault(f.name, texts[f.name]))
         for f in PAYMENT_SCHEMA.fields
         if not isinstance(f.dataType, T.StringType)
     ]
