@@ -14,16 +14,20 @@ gives the same rows.
 
 Cases: null and empty texts are the one end id; equal documents are packed
 each for itself; very long texts give many pieces; an empty table gives no
-rows; columns other than id and text are ignored.
+rows; columns other than id and text are ignored. The string of a special
+token inside a text is that token, as the tokenizer has it.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,94 +62,117 @@ def cut_plan(capacity: int = CAPACITY, cut_cost: int = CUT_COST) -> list[tuple[t
 class TokenIds:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer's pre-tokens never run over a single space between two
-    other characters (they only begin with it), so a text is cut there and at
-    single line feeds, and the ids of the parts are remembered: those of the
-    last ``limit`` new parts and of as many before them. Texts with other
-    white space are encoded whole.
+    The tokenizer's pre-tokens never run over a single space or line feed
+    between two other characters (they only begin with the space), so a text
+    is cut there. All parts of a slice of texts are numbered by Arrow, the
+    distinct ones looked up or encoded once, and the ids gathered. Texts with
+    other white space, or with the string of a special token, are encoded
+    whole.
+
+    Remembers parts until there are ``limit`` of them, then forgets all.
     """
 
     GROUP = 64
+    FIRST = "\x01"  # stands before the first part of a text; no text with it is cut
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.limit = limit
+        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         # In this vocabulary a token that begins with a space is written with this letter.
         self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.begins[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        self.feed, self.stop, self.comma = self.encode(["\n", ".", ","])
-        self.first: dict[str, bytes] = {}
-        self.inner: dict[str, bytes] = {}
-        self.old_first: dict[str, bytes] = {}
-        self.old_inner: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        rows = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in rows]
-
-    def encode_inner(self, parts: list[str]) -> list[bytes]:
+        self.stop, self.comma = self.encode([".", ","])[0].tolist()
+        self.limit = limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.starts = np.zeros(1, dtype=np.int64)  # of the parts' ids, and their end
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has."""
+        rows = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+        return np.fromiter(chain.from_iterable(rows), dtype="<u4", count=int(sizes.sum())), sizes
+
+    def can_cut(self, text: str) -> bool:
+        if not text or text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
+            return False
+        return text.replace("\n", "").isprintable() and not any(x in text for x in self.special)
+
+    def learn(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.numbers.update(zip(parts, range(len(self.numbers), len(self.numbers) + len(parts))))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def gather(self, number: np.ndarray, more: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts one after the other with ``more`` free places after each, and their ends."""
+        sizes = self.starts[number + 1] - self.starts[number]
+        ends = np.cumsum(sizes + more)
+        place = np.repeat(self.starts[number] - ends + sizes + more, sizes + more) + np.arange(int(ends[-1]))
+        return self.ids[np.minimum(place, len(self.ids) - 1)], ends
+
+    def encode_inner(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of parts that follow a space: many in one string, cut where a token begins with a space."""
         groups = [" " + " ".join(parts[i : i + self.GROUP]) for i in range(0, len(parts), self.GROUP)]
-        rows = self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)
-        ids = np.concatenate([np.array(x.ids, dtype="<u4") for x in rows]) if rows else np.empty(0, dtype="<u4")
-        cuts = (4 * np.flatnonzero(self.begins[ids])).tolist()
+        ids, _ = self.encode(groups)
+        cuts = np.flatnonzero(self.begins[ids])
         if len(cuts) != len(parts):
             raise ValueError("the tokenizer joins words over spaces")
-        packed = ids.tobytes()
-        return [packed[a:b] for a, b in zip(cuts, [*cuts[1:], len(packed)])]
-
-    def learn(self, parts: set[str], known: dict[str, bytes], old: dict[str, bytes], encode) -> None:
-        new = parts.difference(known)
-        again = new.intersection(old)
-        known.update((x, old[x]) for x in again)
-        new -= again
+        return ids, np.diff(cuts, append=len(ids))
+
+    def of_parts(self, parts: list[str]) -> np.ndarray:
+        """Numbers of distinct parts; new ones are encoded with what stands before them."""
+        new = [x for x in parts if x not in self.numbers]
         # "word," is "word" and ",": a letter and a stop never share a pre-token.
         stopped = [x for x in new if x[-1] in ".," and x[-2:-1].isalpha()]
-        bare = {x[:-1] for x in stopped}.difference(known)
-        bare |= new.difference(stopped)
-        need = list(bare)
-        known.update(zip(need, encode(need)))
-        for x in stopped:
-            known[x] = known[x[:-1]] + (self.stop if x[-1] == "." else self.comma)
+        bare = {x[:-1] for x in stopped} | set(new).difference(stopped)
+        bare = [x for x in bare if x not in self.numbers]
+        inner = [x for x in bare if x[0] != self.FIRST and x[0] != "\n"]
+        # A part after a line feed carries it; its pre-token is one of its own.
+        others = [x for x in bare if x[0] == self.FIRST or x[0] == "\n"]
+        if inner:
+            self.learn(inner, *self.encode_inner(inner))
+        if others:
+            self.learn(others, *self.encode([x.removeprefix(self.FIRST) for x in others]))
+        if stopped:
+            number = np.fromiter((self.numbers[x[:-1]] for x in stopped), dtype=np.int64, count=len(stopped))
+            ids, ends = self.gather(number, 1)
+            ids[ends - 1] = np.where([x[-1] == "." for x in stopped], self.stop, self.comma)
+            self.learn(stopped, ids, np.diff(ends, prepend=0))
+        return np.fromiter(map(self.numbers.__getitem__, parts), dtype=np.int64, count=len(parts))
 
     def of(self, texts: list[str]) -> list[bytes]:
-        if len(self.inner) > self.limit:
-            self.old_inner, self.inner = self.inner, {}
-        if len(self.first) > self.limit // 4:
-            self.old_first, self.first = self.first, {}
-        cut: list[list[list[str]] | None] = []
-        first: set[str] = set()
-        inner: set[str] = set()
-        for text in texts:
-            lines = text.split("\n")
-            parts: list[list[str]] | None = None
-            if all(map(str.isprintable, lines)):  # no white space but single spaces, as no part is empty
-                parts = [line.split(" ") for line in lines]
-                if any("" in x for x in parts):
-                    parts = None
-            cut.append(parts)
-            for x in parts or ():
-                first.add(x[0])
-                inner.update(x[1:])
-        self.learn(first, self.first, self.old_first, self.encode)
-        self.learn(inner, self.inner, self.old_inner, self.encode_inner)
-        whole = iter(self.encode([x for x, parts in zip(texts, cut) if parts is None]))
-        start, rest = self.first, self.inner.__getitem__
-        out = []
-        for parts in cut:
-            if parts is None:
-                out.append(next(whole))
-            else:
-                out.append(self.feed.join([b"".join([start[x[0]], *map(rest, x[1:])]) for x in parts]))
+        if len(self.numbers) > self.limit:
+            self.forget()
+        cut = [self.can_cut(x) for x in texts]
+        out: list[bytes] = [b""] * len(texts)
+        whole = [i for i, x in enumerate(cut) if not x]
+        if whole:
+            ids, sizes = self.encode([texts[i] for i in whole])
+            for i, part in zip(whole, np.split(ids, np.cumsum(sizes)[:-1])):
+                out[i] = part.tobytes()
+        simple = [i for i, x in enumerate(cut) if x]
+        if simple:
+            marked = pa.array([self.FIRST + texts[i].replace("\n", " \n") for i in simple], pa.large_string())
+            split = pc.split_pattern(marked, " ")
+            coded = split.flatten().dictionary_encode()
+            number = self.of_parts(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            ids, ends = self.gather(number)
+            bounds = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+            packed = ids.tobytes()
+            for i, lo, hi in zip(simple, (4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist()):
+                out[i] = packed[lo:hi]
         return out
 
 
 @lru_cache(maxsize=2)
 def _token_ids(path: str) -> TokenIds:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     return TokenIds(path)
 
 

@@ -14,9 +14,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)  # as it comes: the strings of special tokens are special
 
 
 def check(rows, docs, tokenizer):
@@ -98,6 +96,11 @@ def test_remembered_ids_equal_the_tokenizers(tokenizer):
     assert got == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
 
 
+def test_special_strings_are_the_tokenizers(tokenizer):
+    ids = np.frombuffer(packing.TokenIds(PATH).of(["ab <|endoftext|> cd"])[0], dtype="<u4").tolist()
+    assert 50256 in ids and ids == tokenizer.encode("ab <|endoftext|> cd", add_special_tokens=False).ids
+
+
 def test_sequences_are_padded_but_at_powers_of_two(spark):
     df = spark.createDataFrame([(1, "a b c"), (2, "word " * 2000)], "doc_id long, text string").coalesce(1)
     pieces = packing.pack_documents(df, PATH)
