@@ -40,6 +40,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
+import os
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -257,6 +258,7 @@ class Aligner:
 
 @lru_cache(maxsize=2)
 def _aligner(byte_path: str, piece_path: str) -> Aligner:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     return Aligner(byte_path, piece_path)
 
 
