@@ -1,13 +1,15 @@
 r"""URL filter by a path-template tree.
 
 Each host has a tree of path segments. Runs of digits are wildcards from the
-start. Then, level by level below the host, a segment becomes ``*`` if its
-parent has more than ``max_children`` different segments and this one holds
-less than their even share of the pages (a variable part), or if the labels
-below it do not differ from those of all its siblings (a two-proportion test
-at ``z``; with fewer than ``min_labelled`` labels there is no telling them
-apart): similar branches merge. What is left after ``depth`` segments is
-``**``. A template is a path through the merged tree. Its purity is the share
+start. Then, level by level below the host, a segment becomes ``*`` if the
+labels below it do not differ from those of all its siblings (a two-proportion
+test at ``z``; with fewer than ``min_labelled`` labels there is no telling
+them apart): similar branches merge. A variable part of the path (its parent
+has more than ``max_children`` different segments and this one holds less than
+their even share of the pages) is compared at ``z_variable``, as so many tests
+at once would find differences by chance; one that differs stays. Where fewer
+than ``min_labelled`` labels are left below a node, all below it is ``**``,
+however deep. A template is a path through the merged tree. Its purity is the share
 of good pages among its labelled pages, smoothed by ``strength`` pages of its
 host's purity, itself smoothed towards that of all pages; a template below
 ``min_purity`` is blocked.
@@ -25,7 +27,7 @@ Cases: a url that is null or has no ``://`` has an empty host and path, and
 is judged as the template of that empty host; empty segments are ignored;
 repeated pages count and are judged each; an empty table gives no rows; no
 labels at all: purity 1, nothing is blocked by the tree; other columns are
-carried through, those named like a result are replaced.
+carried through, whatever their names; those named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import put_back, set_aside
 from ledgerlake.session import write_scratch_table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -51,10 +54,10 @@ RULES = (
 
 @dataclass(frozen=True)
 class TreeOptions:
-    depth: int = 4
     max_children: int = 50
     min_labelled: int = 10
     z: float = 1.96
+    z_variable: float = 3.29
     strength: float = 10.0
     min_purity: float = 0.5
 
@@ -68,13 +71,10 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def path_segments(path: Column, depth: int) -> Column:
-    """The path's segments, digits as ``*``; all beyond ``depth`` as one ``**``."""
-    every = F.transform(
-        F.filter(F.split(path, "/"), lambda s: s != ""), lambda s: F.regexp_replace(s, "[0-9]+", "*")
-    )
-    tail = F.when(F.size(every) > depth, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    return F.concat(F.slice(every, 1, depth), tail)
+def path_segments(path: Column) -> Column:
+    """The path's segments, runs of digits as ``*`` (a star of the path itself as ``%star``)."""
+    named = F.filter(F.split(F.replace(path, F.lit("*"), F.lit("%star")), "/"), lambda s: s != "")
+    return F.transform(named, lambda s: F.regexp_replace(s, "[0-9]+", "*"))
 
 
 def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
@@ -94,10 +94,14 @@ def _purity(good: Column, labelled: Column, prior: Column, strength: float) -> C
 
 
 def path_templates(shapes: DataFrame, options: TreeOptions = TreeOptions()) -> DataFrame:
-    """Merge the trees: ``shapes`` (host, segments, pages, labelled, bad) plus ``template``."""
-    rows = shapes.withColumn("template", F.lit(""))
-    for level in range(options.depth):
-        at = rows.withColumn("_seg", F.get("segments", F.lit(level)))
+    """Merge the trees: ``shapes`` (host, segments, pages, labelled, bad) plus ``template``.
+
+    One round a level, until no node has enough labels below it.
+    """
+    least = max(1, options.min_labelled)
+    rows, level = shapes.withColumns({"template": F.lit(""), "_open": F.lit(True)}), 0
+    while True:
+        at = rows.withColumn("_seg", F.when(F.col("_open"), F.get("segments", F.lit(level))))
         children = write_scratch_table(
             at.filter("_seg is not null")
             .groupBy("host", "template", "_seg")
@@ -109,15 +113,17 @@ def path_templates(shapes: DataFrame, options: TreeOptions = TreeOptions()) -> D
         )
         rate = F.try_divide("_b", "_l")
         gap = F.abs(F.try_divide("bad", "labelled") - rate)
-        similar = (F.col("labelled") < max(1, options.min_labelled)) | (
-            gap <= options.z * F.sqrt(F.try_divide(rate * (1 - rate), F.col("labelled")))
-        )
         variable = (F.col("_kids") > options.max_children) & (F.col("n") * options.max_children < F.col("_n"))
-        decided = children.join(parents, (F.col("host") == F.col("_ph")) & (F.col("template") == F.col("_pt"))).select(
-            F.col("host").alias("_h"),
-            F.col("template").alias("_t"),
-            F.col("_seg").alias("_s"),
-            F.when(variable | similar, "*").otherwise(F.col("_seg")).alias("_to"),
+        z = F.when(variable, options.z_variable).otherwise(options.z)
+        similar = (F.col("labelled") < least) | (gap <= z * F.sqrt(F.try_divide(rate * (1 - rate), F.col("labelled"))))
+        decided = write_scratch_table(
+            children.join(parents, (F.col("host") == F.col("_ph")) & (F.col("template") == F.col("_pt"))).select(
+                F.col("host").alias("_h"),
+                F.col("template").alias("_t"),
+                F.col("_seg").alias("_s"),
+                F.when(F.col("_l") < least, "**").when(similar, "*").otherwise(F.col("_seg")).alias("_to"),
+            ),
+            "url_segments",
         )
         rows = (
             at.join(
@@ -125,11 +131,17 @@ def path_templates(shapes: DataFrame, options: TreeOptions = TreeOptions()) -> D
                 (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")) & (F.col("_seg") == F.col("_s")),
                 "left",
             )
-            .withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "_to"), F.lit(""))))
+            .withColumns(
+                {
+                    "template": F.concat("template", F.coalesce(F.concat(F.lit("/"), "_to"), F.lit(""))),
+                    "_open": F.coalesce(F.col("_to") != "**", F.lit(False)),
+                }
+            )
             .drop("_seg", "_h", "_t", "_s", "_to")
         )
-    tail = F.when(F.size("segments") > options.depth, "/**").otherwise("")
-    return write_scratch_table(rows.withColumn("template", F.concat("template", tail)), "url_templates")
+        rows, level = write_scratch_table(rows, "url_templates"), level + 1
+        if rows.filter(F.col("_open") & (F.size("segments") > level)).isEmpty():
+            return rows.drop("_open")
 
 
 def judge_urls(
@@ -145,10 +157,11 @@ def judge_urls(
     ``labels``: one row (page id as ``_page``, ``_bad`` boolean) per labelled
     page. Tables over distinct path shapes are written while the plan is built.
     """
-    out = ("host", "path", "template", "rule", "verdict")
-    pages = pages.drop(*[c for c in out if c not in (id_col, url_col)])
+    out = ["host", "path", "template", "rule", "verdict"]
+    columns = [c for c in pages.columns if c not in out or c in (id_col, url_col)]
+    pages, names = set_aside(pages.select(*[f"`{c}`" for c in columns]), id_col, url_col)
     parts = pages.withColumns({"host": url_host(F.col(url_col)), "path": url_path(F.col(url_col))})
-    parts = parts.withColumn("_shape", F.array_join(path_segments(F.col("path"), options.depth), "/"))
+    parts = parts.withColumn("_shape", F.array_join(path_segments(F.col("path")), "/"))
 
     marked = labels.groupBy("_page").agg(F.max(F.col("_bad").cast("long")).alias("_bad"))
     labelled = parts.select(F.col(id_col).alias("_id"), "host", "_shape").join(marked, F.col("_id") == F.col("_page"), "left")
@@ -183,7 +196,7 @@ def judge_urls(
         parts.join(verdicts, (F.col("host") == F.col("_vh")) & (F.col("_shape") == F.col("_vs")), "left")
         .withColumn("_rule", rule)
         .withColumns({"rule": F.col("_rule.rule"), "verdict": F.coalesce("_rule.verdict", "_verdict")})
-        .drop("_rule", "_verdict", "_vh", "_vs", "_shape")
+        .select(*put_back(columns, names), *out)
     )
 
 

@@ -53,6 +53,44 @@ def test_similar_branches_merge_and_variable_segments_generalise(spark):
     assert {r.template for r in out.values()} == {"/*/*"}
 
 
+def test_a_bad_section_is_blocked_beside_any_number_of_good_ones(spark):
+    for good in (5, 49, 50, 120):
+        rows = [(40 * s + i, f"http://h.net/section-{chr(97 + s // 26)}{chr(97 + s % 26)}/{i}") for s in range(good + 1) for i in range(40)]
+        out = judged(spark, rows, [(i, i < 40) for i, _ in rows])
+        assert {out[i].verdict for i in range(40)} == {"block"}
+        assert {out[i].verdict for i, _ in rows[40:]} == {"allow"}
+
+
+def test_labels_are_followed_however_deep(spark):
+    rows = [(i, f"http://h.net/a/b/c/d/e/f/{'spam' if i < 200 else 'good'}/{i}/more") for i in range(400)]
+    out = judged(spark, rows, [(i, i < 200) for i, _ in rows])
+    assert {out[i].verdict for i in range(200)} == {"block"} and {out[i].verdict for i in range(200, 400)} == {"allow"}
+    assert out[0].template == "/*/*/*/*/*/*/spam/*/*"
+
+
+def test_the_tree_rejects_pages_of_the_given_shape(spark):
+    """Urls as the given pages have them: language and number; one language all bad."""
+    hosts = ("site1.example.net", "blog.example.com")
+    rows = [(i, f"https://{hosts[i % 2]}/{('en', 'it', 'es')[i // 2 % 3]}/{i}") for i in range(600)]
+    out = judged(spark, rows, [(i, i // 2 % 3 == 1 or i % 30 == 0) for i in range(600) if i % 5])
+    blocked = {u.split("/")[3] for i, u in rows if out[i].verdict == "block" and out[i].rule is None}
+    assert blocked == {"it"} and all(out[i].verdict == "block" for i, u in rows if "/it/" in u)
+
+
+def test_a_star_in_a_path_is_no_wildcard(spark):
+    rows = [(i, f"http://h.net/{'**' if i % 2 else '7'}/x") for i in range(100)]
+    out = judged(spark, rows, [(i, bool(i % 2)) for i, _ in rows])
+    assert {out[i].verdict for i, _ in rows if i % 2} == {"block"} and {out[i].verdict for i, _ in rows if not i % 2} == {"allow"}
+
+
+def test_columns_of_any_name_come_back(spark):
+    clash = ["_shape", "_rule", "_vh", "_vs", "_verdict", "_id", "_page", "_bad", "carried 0", "url_shapes"]
+    rows = [(1, "http://h.net/a/1", *clash)]
+    pages = spark.createDataFrame(rows, ["page_id", "url", *clash])
+    out = urls.judge_urls(pages, spark.createDataFrame([(1, True)], "_page long, _bad boolean")).first()
+    assert [out[c] for c in clash] == clash
+
+
 def test_purity_is_smoothed(spark):
     rows = [(i, f"http://big.net/p/{i}") for i in range(100)] + [(1000, "http://tiny.net/x/1")]
     out = judged(spark, rows, [(i, False) for i in range(100)] + [(1000, True)])
@@ -69,7 +107,7 @@ def test_edges(spark):
     marks = spark.createDataFrame([(1, True), (1, True), (77, False)], "_page long, _bad boolean")
     out = urls.judge_urls(pages, marks).collect()
     assert len(out) == 4 and all(r.verdict in ("allow", "block") for r in out)
-    assert {r.template for r in out if r.page_id is None} == {"/*/*/*/*/**"}
+    assert {r.template for r in out if r.page_id is None} == {"/**"}  # no labels: nothing to tell apart
     none = spark.createDataFrame([], PAGES)
     assert urls.judge_urls(none, marks).count() == 0
     assert urls.labels_by_document_number(none, spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
