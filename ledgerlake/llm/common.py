@@ -20,6 +20,21 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
 
 
+def set_aside(df: DataFrame, *own: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with all columns but ``own`` under names that no operator uses, and these names.
+
+    A name with a space in it: whatever the columns are called, helper
+    columns added to the frame cannot meet them.
+    """
+    names = {c: f"carried {i}" for i, c in enumerate(df.columns) if c not in own}
+    return df.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in df.columns]), names
+
+
+def put_back(columns: list[str], names: dict[str, str]) -> list[Column]:
+    """The columns under their own names again."""
+    return [F.col(f"`{names.get(c, c)}`").alias(c) for c in columns]
+
+
 def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into row ranges of about ``max_bytes`` of text (one row at least)."""
     sizes = [x or 0 for x in pc.binary_length(batch.column(column)).to_pylist()]

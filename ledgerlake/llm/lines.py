@@ -8,9 +8,12 @@ is one row a map task before the shuffle. Lines whose estimate is far above
 get an exact distinct count. Boilerplate lines are then taken out of every
 text.
 
-A text of which more than ``max_removed_percent`` of the words would go is a
-copy of other documents rather than a page with boilerplate; it is left whole
-for the near-duplicate step.
+Lines spread over many sites are also those of a document that was copied to
+them. These are told apart by the texts they stand in: of boilerplate most
+texts hold much else, of copies most texts consist of such lines. So a spread
+line stays if more than half of the distinct texts that hold it are spread
+lines for more than half of their characters (the near-duplicate step decides
+on them); every other one goes from every text.
 
 Only Spark's own expressions run. Texts are matched to their removed lines by
 the text's 128-bit hash, so repeated ids and copies need no special care, and
@@ -18,7 +21,7 @@ hot keys meet in joins that adaptive execution can split.
 
 Cases: null text stays null; null sites are no site; blank lines are never
 removed; lines cut at ``\n``; an empty table gives no rows; other columns
-(clashing names too) are carried through.
+(whatever their names) are carried through, but ``_removed_lines`` is replaced.
 """
 
 from __future__ import annotations
@@ -26,11 +29,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WORD_GAP, words_of
+from ledgerlake.llm.common import put_back, set_aside
 from ledgerlake.session import write_scratch_table
 
 MIN_SITES = 8
-MAX_REMOVED_PERCENT = 50
 #: 128 registers: 13 longs a line in the shuffle, mostly zeros.
 SKETCH_ERROR = 0.1
 EDGE = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
@@ -50,7 +52,7 @@ def _lines(docs: DataFrame, text_col: str, *more: Column) -> DataFrame:
 def boilerplate_lines(
     docs: DataFrame, min_sites: int = MIN_SITES, site_col: str = "source", text_col: str = "text"
 ) -> DataFrame:
-    """Hashes (_la, _lb) of the lines found on at least ``min_sites`` sites."""
+    """Hashes (_la, _lb) of the lines found on at least ``min_sites`` sites: boilerplate, and lines of copies."""
     lines = _lines(docs, text_col, F.col(site_col).alias("_site"))
     sketched = write_scratch_table(
         lines.groupBy("_la", "_lb")
@@ -73,45 +75,56 @@ def boilerplate_lines(
 def remove_boilerplate(
     docs: DataFrame,
     min_sites: int = MIN_SITES,
-    max_removed_percent: int = MAX_REMOVED_PERCENT,
     site_col: str = "source",
     text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of the text, and ``_removed_lines`` (long) added.
 
-    Two small tables (sketches of lines on several sites, boilerplate hashes)
-    are written to the shared scratch folder while the plan is built.
+    Small tables (sketches of lines on several sites, spread lines and where
+    they stand) are written to the shared scratch folder while the plan is built.
     """
-    found = write_scratch_table(boilerplate_lines(docs, min_sites, site_col, text_col), "boilerplate")
+    columns = [c for c in docs.columns if c != "_removed_lines"]
+    docs, names = set_aside(docs, text_col, site_col)
+    spread = write_scratch_table(boilerplate_lines(docs, min_sites, site_col, text_col), "spread_lines")
     whole = F.coalesce(F.col(text_col), F.lit(""))
     keys = [F.xxhash64(whole).alias("_ta"), F.xxhash64(F.lit("text"), whole).alias("_tb")]
+    # One row per distinct text that holds spread lines.
+    held = write_scratch_table(
+        _lines(docs, text_col, *keys, F.length(whole).alias("_size"))
+        .join(spread, ["_la", "_lb"])
+        .groupBy("_ta", "_tb", "_size")
+        .agg(F.collect_set(F.struct("_at", F.length("_line").alias("_n"), "_la", "_lb")).alias("_held")),
+        "held_lines",
+    )
+    mostly = 2 * F.aggregate("_held._n", F.lit(0), lambda a, x: a + x) > F.col("_size")
+    lines = held.select("_ta", "_tb", mostly.alias("_mostly"), F.explode("_held").alias("_h"))
+    copied = (
+        lines.select("_ta", "_tb", "_mostly", "_h._la", "_h._lb")
+        .distinct()
+        .groupBy("_la", "_lb")
+        .agg(F.count("*").alias("_texts"), F.count_if("_mostly").alias("_copies"))
+        .filter(2 * F.col("_copies") > F.col("_texts"))
+        .select("_la", "_lb")
+    )
     removed = (
-        _lines(docs, text_col, *keys)
-        .join(found, ["_la", "_lb"])
-        .select("_ta", "_tb", "_at", F.size(F.split("_line", WORD_GAP)).alias("_n"))
-        .groupBy("_ta", "_tb")
-        .agg(F.collect_set(F.struct("_at", "_n")).alias("_gone"))
-        .select(
-            F.col("_ta").alias("_ra"),
-            F.col("_tb").alias("_rb"),
-            F.map_from_arrays("_gone._at", "_gone._n").alias("_gone"),
-            F.aggregate("_gone._n", F.lit(0), lambda a, x: a + x).alias("_gone_words"),
-        )
+        lines.select("_ta", "_tb", "_h._at", "_h._la", "_h._lb")
+        .join(copied, ["_la", "_lb"], "left_anti")
+        .groupBy(F.col("_ta").alias("_ra"), F.col("_tb").alias("_rb"))
+        .agg(F.collect_set("_at").alias("_gone"))
+        .withColumn("_gone", F.map_from_arrays("_gone", F.transform("_gone", lambda _: F.lit(True))))
     )
     removed = write_scratch_table(removed, "removed_lines")
     # The keys are columns of their own, so that both join sides are plain shuffles.
     keyed = docs.withColumns({"_ta": keys[0], "_tb": keys[1]})
     joined = keyed.join(removed, (F.col("_ta") == F.col("_ra")) & (F.col("_tb") == F.col("_rb")), "left")
-    applies = F.col("_gone").isNotNull() & (
-        100 * F.col("_gone_words") <= max_removed_percent * F.size(words_of(F.col(text_col)))
-    )
+    cut = F.col("_gone").isNotNull()
     kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.map_contains_key(F.col("_gone"), i))
-    cut = joined.withColumn("_cut", applies)
-    return (
-        cut.withColumn(text_col, F.when(F.col("_cut"), F.array_join(kept, "\n")).otherwise(F.col(text_col)))
-        .withColumn("_removed_lines", F.when(F.col("_cut"), F.size("_gone")).otherwise(0).cast("long"))
-        .select(*docs.columns, "_removed_lines")
-    )
+    return joined.withColumns(
+        {
+            text_col: F.when(cut, F.array_join(kept, "\n")).otherwise(F.col(text_col)),
+            "_removed_lines": F.when(cut, F.size("_gone")).otherwise(0).cast("long"),
+        }
+    ).select(*put_back(columns, names), "_removed_lines")
 
 
 def line_digest(docs: DataFrame, **options) -> DataFrame:
