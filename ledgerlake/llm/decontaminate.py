@@ -16,10 +16,11 @@ block is whole; the blocks' first tokens, equally many of each, are its seeds.
 Other values of ``overlap`` and ``substitutions`` are held to the same rule
 below ``overlap`` tokens; a longer run must suit the masks.
 
-Tokens are runs of letters and digits, lower-cased. The seeds of the benchmark
-are counted and joined in blocks of at most ``block_rows`` by broadcast, so
-documents are never shuffled by seed, whatever the benchmark's size. Only
-Spark's own expressions run.
+Tokens are runs of letters and digits, lower-cased. The distinct seeds of the
+benchmark are counted and joined in blocks of about ``block_rows`` by
+broadcast, so documents are never shuffled by seed, whatever the benchmark's
+size (a block that turns out twice as large is joined without a broadcast).
+Only Spark's own expressions run.
 
 Cases: null and empty texts have no tokens and no hits; an item of four tokens
 or fewer is found wherever it stands as a whole; repeated rows of one id
@@ -35,6 +36,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import put_back, set_aside
 from ledgerlake.session import write_scratch_table
 
 #: Three pairs of tokens each; spans of 6 to 12. Together they hit all 286 ways
@@ -71,38 +73,29 @@ def blocks_of(overlap: int, substitutions: int) -> dict[int, tuple[int, int]]:
     return found
 
 
-def _with_pairs(df: DataFrame, hashes: str) -> DataFrame:
-    """Columns _n (tokens) and _p (hash of each token and the next, null for the last).
-
-    They are columns of their own before any lambda uses them, as an array
-    that is computed inside a lambda is computed for each element.
-    """
-    h = F.col(hashes)
-    pairs = F.transform(h, lambda x, i: F.when(F.get(h, i + 1).isNotNull(), F.xxhash64(x, F.get(h, i + 1))))
-    return df.withColumns({"_n": F.size(h), "_p": pairs})
+def _pair(h: Column, i: Column) -> Column:
+    """Hash of the tokens at ``i`` and ``i + 1`` (null at the last one)."""
+    return F.when(F.get(h, i + 1).isNotNull(), F.xxhash64(F.get(h, i), F.get(h, i + 1)))
 
 
-def _block(hashes: str, width: int, i: Column | int) -> Column:
-    return F.xxhash64(F.lit(f"block of {width}"), *[F.get(F.col(hashes), i + k) for k in range(width)])
+def _mask_seed(mask: str, h: Column, i: Column) -> Column:
+    """The seed of a mask laid at token ``i`` (null where it runs over the end)."""
+    picks = [k for k, bit in enumerate(mask) if bit == "1"]
+    a, b, c = picks[::2]
+    if (a, picks) != (0, [a, a + 1, b, b + 1, c, c + 1]):
+        raise ValueError("a mask is three pairs of tokens")
+    pairs = [F.xxhash64(F.get(h, i + k), F.get(h, i + k + 1)) for k in (a, b, c)]
+    return F.when(F.get(h, i + c + 1).isNotNull(), F.xxhash64(F.lit(mask), *pairs))
 
 
-def _seeds(hashes: str, widths: list[int]) -> Column:
-    """All masks, then blocks, at all places: entry m * n + i is mask m at token i of n (null where it runs over the end)."""
-    p, h = F.col("_p"), F.col(hashes)
+def _block_seed(width: int, h: Column, i: Column) -> Column:
+    whole = F.xxhash64(F.lit(f"block of {width}"), *[F.get(h, i + k) for k in range(width)])
+    return F.when(F.get(h, i + width - 1).isNotNull(), whole)
 
-    def under(mask: str) -> Column:
-        picks = [k for k, bit in enumerate(mask) if bit == "1"]
-        a, b, c = picks[::2]
-        if (a, picks) != (0, [a, a + 1, b, b + 1, c, c + 1]):
-            raise ValueError("a mask is three pairs of tokens")
-        return F.transform(
-            p, lambda x, i: F.when(F.get(p, i + c).isNotNull(), F.xxhash64(F.lit(mask), x, F.get(p, i + b), F.get(p, i + c)))
-        )
 
-    def blocks(width: int) -> Column:
-        return F.transform(h, lambda x, i: F.when(F.get(h, i + (width - 1)).isNotNull(), _block(hashes, width, i)))
-
-    return F.concat(*[under(m) for m in MASKS], *[blocks(w) for w in widths])
+def _seeds(h: Column, i: Column, widths: list[int]) -> Column:
+    """All masks and blocks of the widths at token ``i``."""
+    return F.array_compact(F.array(*[_mask_seed(m, h, i) for m in MASKS], *[_block_seed(w, h, i) for w in widths]))
 
 
 def seed_hits(
@@ -112,38 +105,59 @@ def seed_hits(
     overlap: int = OVERLAP,
     substitutions: int = SUBSTITUTIONS,
 ) -> DataFrame:
-    """Distinct (doc, item, diagonal) with an equal seed.
+    """Distinct (text, item, diagonal) with an equal seed.
+
+    ``docs``: columns _doc, _ta, _tb, _h; ``items``: _item, _b (arrays of token hashes).
 
-    ``docs``: columns _doc, _text_key, _h; ``items``: _item, _b (arrays of token hashes).
+    All seeds begin with two neighbouring tokens (but those of one token), so
+    a place of a document is looked at further only if its pair begins some
+    seed of the benchmark: one look-up a token, and seeds are made of what is
+    left. Only distinct seeds are broadcast; the items that hold them are
+    joined to the hits.
     """
-    # Read back as columns, so that no lambda computes them again.
-    items = write_scratch_table(_with_pairs(items, "_b"), "benchmark_items")
-    place = (F.col("_at") % F.col("_n")).alias("_place")
-    found = (
-        items.select("_item", "_n", F.posexplode(_seeds("_b", [])).alias("_at", "_seed"))
-        .filter("_seed is not null")
-        .select("_item", place.alias("_item_at"), "_seed")
-    )
+    items = write_scratch_table(items.withColumn("_n", F.size("_b")), "benchmark_items")
+    h, i = F.col("_b"), F.col("_item_at")
+    placed = items.select("_item", "_b", F.posexplode("_b").alias("_item_at", "_token"))
+    found = placed.select("_item", "_item_at", _pair(h, i).alias("_key"), F.explode(_seeds(h, i, [])).alias("_seed"))
     short = blocks_of(overlap, substitutions)
     lengths = [r._n for r in items.filter(F.col("_n").isin(list(short))).select("_n").distinct().collect()]  # below overlap
+    widths = sorted({short[n][0] for n in lengths})
     for n in lengths:
         width, count = short[n]
         # The first tokens of equal blocks; what is left over belongs to the last.
-        seeds = F.explode(F.array(*[F.struct(F.lit(k * width).alias("_item_at"), _block("_b", width, k * width).alias("_seed")) for k in range(count)]))
-        found = found.unionByName(items.filter(F.col("_n") == n).select("_item", seeds.alias("_s")).select("_item", "_s.*"))
-    found = found.distinct()
-    found = write_scratch_table(found, "benchmark_seeds")
-    blocks = max(1, -(-found.count() // block_rows))
-    placed = _with_pairs(docs, "_h").select("_doc", "_ta", "_tb", "_n", F.posexplode(_seeds("_h", sorted({short[n][0] for n in lengths}))).alias("_at", "_seed"))
-    placed = placed.select("_doc", "_ta", "_tb", place, "_seed")
-
-    def hits(block: int) -> DataFrame:
-        part = found if blocks == 1 else found.filter(F.pmod(F.col("_seed"), F.lit(blocks)) == block)
-        return placed.join(F.broadcast(part), "_seed").select(
-            "_doc", "_ta", "_tb", "_item", (F.col("_place") - F.col("_item_at")).alias("_diagonal")
-        )
-
-    return reduce(DataFrame.unionByName, [hits(b) for b in range(blocks)]).distinct()
+        starts = F.explode(F.array(*[F.lit(k * width) for k in range(count)]))
+        own = items.filter(F.col("_n") == n).select("_item", "_b", starts.alias("_item_at"))
+        key = _pair(h, i) if width > 1 else F.get(h, i)
+        found = found.unionByName(own.select("_item", "_item_at", key.alias("_key"), _block_seed(width, h, i).alias("_seed")))
+    found = write_scratch_table(found.distinct(), "benchmark_seeds")
+
+    seeds = found.select("_key", "_seed").distinct()
+    blocks = max(1, -(-seeds.count() // block_rows))
+    block = F.pmod(F.col("_key"), F.lit(blocks))
+    # Seeds with one key share a block, so the largest block is counted too.
+    largest = seeds.groupBy(block).count().agg(F.max("count")).first()[0] or 0
+
+    def small(part: DataFrame) -> DataFrame:
+        return F.broadcast(part) if largest <= 2 * block_rows else part
+
+    h, i = F.col("_h"), F.col("_place")
+    places = docs.select("_doc", "_ta", "_tb", "_h", F.posexplode("_h").alias("_place", "_token"))
+
+    def hits(number: int) -> DataFrame:
+        part = seeds if blocks == 1 else seeds.filter(block == number)
+        keys = small(part.select("_key").distinct())
+        begun = places.withColumn("_key", _pair(h, i)).join(keys, "_key", "left_semi")
+        if 1 in widths:  # items of one token
+            begun = begun.unionByName(places.withColumn("_key", F.col("_token")).join(keys, "_key", "left_semi"))
+        tried = begun.select("_doc", "_ta", "_tb", "_place", F.explode(_seeds(h, i, widths)).alias("_seed"))
+        return tried.join(small(part.select("_seed").distinct()), "_seed", "left_semi")
+
+    hit = reduce(DataFrame.unionByName, [hits(k) for k in range(blocks)])
+    return (
+        hit.join(found.select("_seed", "_item", "_item_at"), "_seed")
+        .select("_doc", "_ta", "_tb", "_item", (F.col("_place") - F.col("_item_at")).alias("_diagonal"))
+        .distinct()
+    )
 
 
 def _judged(
@@ -218,9 +232,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     leaks = found.select(F.col("_doc").alias("_leak"), F.col("_ta").alias("_leak_a"), F.col("_tb").alias("_leak_b"))
     leaks = write_scratch_table(leaks.distinct(), "leaks")
     whole = F.coalesce(F.col(options.get("text_col", "text")), F.lit(""))
+    columns, id_col = docs.columns, options.get("id_col", "doc_id")
+    docs, names = set_aside(docs, id_col, options.get("text_col", "text"))
     same = (
-        F.col(options.get("id_col", "doc_id")).eqNullSafe(F.col("_leak"))
+        F.col(id_col).eqNullSafe(F.col("_leak"))
         & (F.xxhash64(whole) == F.col("_leak_a"))
         & (F.xxhash64(F.lit("text"), whole) == F.col("_leak_b"))
     )
-    return docs.join(leaks, same, "left_anti")
+    return docs.join(leaks, same, "left_anti").select(*put_back(columns, names))

@@ -93,3 +93,12 @@ def test_no_python_in_the_plan(spark):
     df = decontaminate.find_contamination(edge.docs(spark), spark.createDataFrame([(1, edge.PROSE)], ITEMS))
     plan = df._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_columns_of_any_name_come_back(spark):
+    clash = ["_leak", "_leak_a", "_leak_b", "_doc", "_ta", "_h", "carried 0"]
+    rows = [(1, " ".join(words(50, 40)), *clash), (2, " ".join(words(51, 40)), *clash)]
+    kept = decontaminate.decontaminate(
+        spark.createDataFrame(rows, ["doc_id", "text", *clash]), spark.createDataFrame([(1, rows[0][1])], ITEMS)
+    ).collect()
+    assert [tuple(r) for r in kept] == [rows[1]]
