@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WordHashes, mix64, text_slices, window_hashes
+from ledgerlake.llm.common import WordHashes, mix64, put_back, set_aside, text_slices, window_hashes
 from ledgerlake.llm.components import stars
 from ledgerlake.session import write_scratch_table
 
@@ -351,7 +351,9 @@ def drop_near_duplicates(
     """
     classed = _text_classes(docs, threshold, bands, rows, id_col, text_col)
     first = write_scratch_table(classed.select("_top").distinct().select("_top.*"), "first_of_class")
-    own = ["_near_id", "_near_a", "_near_b"]  # beside the columns of ``docs``
+    own = ["_near_id", "_near_a", "_near_b"]
+    columns = docs.columns
+    docs, names = set_aside(docs, id_col, text_col)
     keyed = docs.withColumns(dict(zip(own, _keyed(id_col, text_col))))
     same = reduce(lambda x, y: x & y, [F.col(o) == F.col(c) for o, c in zip(own, first.columns)])
-    return keyed.join(first, same, "left_semi").dropDuplicates(own).select(*docs.columns)
+    return keyed.join(first, same, "left_semi").dropDuplicates(own).select(*put_back(columns, names))

@@ -50,22 +50,23 @@ FROM base
 TRIM = r"regexp_replace(regexp_replace({}, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '')"
 
 OP8 = rf"""
-WITH lined AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines, len({WORDS}) AS n_words FROM documents),
-each AS (SELECT doc_id, source, unnest(range(1, len(lines) + 1)) AS i, lines FROM lined),
-line AS (SELECT doc_id, source, i, {TRIM.format('lines[i]')} AS l FROM each),
+WITH lined AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+each AS (SELECT DISTINCT source, text, unnest(range(1, len(lines) + 1)) AS i, lines FROM lined),
+line AS (SELECT source, text, i, {TRIM.format('lines[i]')} AS l FROM each),
 spread AS (SELECT l FROM line WHERE l <> '' GROUP BY l HAVING count(DISTINCT source) >= 8),
-gone AS (
-  SELECT doc_id, list(i) AS gone, sum(len(regexp_split_to_array(l, '[\x20\x09-\x0D]+'))) AS words
-  FROM line JOIN spread USING (l) GROUP BY doc_id
-),
-cut AS (
-  SELECT d.doc_id, text, lines, g.gone, coalesce(100 * g.words <= 50 * n_words, false) AS cut
-  FROM lined d LEFT JOIN gone g ON d.doc_id = g.doc_id
-)
+held AS (SELECT DISTINCT text, i, l FROM line JOIN spread USING (l)),
+share AS (SELECT text, 2 * sum(length(l)) > length(text) AS mostly FROM held GROUP BY text),
+copied AS (
+  SELECT l FROM (SELECT DISTINCT text, l FROM held) JOIN share USING (text)
+  GROUP BY l HAVING 2 * count_if(mostly) > count(*)
+),
+gone AS (SELECT text, list(i) AS gone FROM held WHERE l NOT IN (SELECT l FROM copied) GROUP BY text),
+cut AS (SELECT d.doc_id, d.text, lines, g.gone FROM lined d LEFT JOIN gone g ON d.text = g.text)
 SELECT doc_id,
        CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines,
-       CAST(CASE WHEN cut THEN len(gone) ELSE 0 END AS BIGINT) AS n_removed,
-       sha256(CASE WHEN cut THEN coalesce(array_to_string(list_filter(lines, lambda x, i: NOT list_contains(gone, i)), chr(10)), '')
+       CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN gone IS NOT NULL
+                   THEN coalesce(array_to_string(list_filter(lines, lambda x, i: NOT list_contains(gone, i)), chr(10)), '')
                    ELSE coalesce(text, '') END) AS text_sha256
 FROM cut
 """
@@ -113,23 +114,23 @@ def _op4_level(d: int) -> str:
     return rf"""
 kids{d} AS (
   SELECT host, template, seg[{d + 1}] AS s, sum(n) AS n, sum(l) AS l, sum(b) AS b
-  FROM tree{d} WHERE len(seg) > {d} GROUP BY ALL
+  FROM tree{d} WHERE len(seg) > {d} AND template NOT LIKE '%**' GROUP BY ALL
 ),
 up{d} AS (
   SELECT host, template, count(*) AS k, sum(n) AS n, sum(l) AS l, sum(b) AS b FROM kids{d} GROUP BY ALL
 ),
 to{d} AS (
   SELECT c.host, c.template, c.s,
-         CASE WHEN u.k > 50 AND c.n * 50 < u.n THEN '*'
+         CASE WHEN u.l < 10 THEN '**'
               WHEN c.l < 10 THEN '*'
               WHEN abs(c.b::DOUBLE / c.l::DOUBLE - u.b::DOUBLE / u.l::DOUBLE)
-                   <= 1.96 * sqrt(u.b::DOUBLE / u.l::DOUBLE * (1 - u.b::DOUBLE / u.l::DOUBLE) / c.l::DOUBLE) THEN '*'
+                   <= CASE WHEN u.k > 50 AND c.n * 50 < u.n THEN 3.29 ELSE 1.96 END * sqrt(u.b::DOUBLE / u.l::DOUBLE * (1 - u.b::DOUBLE / u.l::DOUBLE) / c.l::DOUBLE) THEN '*'
               ELSE c.s END AS x
   FROM kids{d} c JOIN up{d} u ON c.host = u.host AND c.template = u.template
 ),
 tree{d + 1} AS (
   SELECT t.host, t.shape, t.seg, t.n, t.l, t.b, t.template || coalesce('/' || x, '') AS template
-  FROM tree{d} t LEFT JOIN to{d} o ON t.host = o.host AND t.template = o.template AND t.seg[{d + 1}] = o.s
+  FROM tree{d} t LEFT JOIN to{d} o ON t.host = o.host AND t.template = o.template AND t.template NOT LIKE '%**' AND t.seg[{d + 1}] = o.s
 )"""
 
 
@@ -153,12 +154,12 @@ WITH split AS (
   FROM pages
 ),
 segs AS (
-  SELECT *, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
+  SELECT *, list_transform(list_filter(string_split(replace(path, '*', '%star'), '/'), lambda s: s <> ''),
                            lambda s: regexp_replace(s, '[0-9]+', '*', 'g')) AS every
   FROM split
 ),
 parts AS (
-  SELECT page_id, host, path, array_to_string(every[1:4] || CASE WHEN len(every) > 4 THEN ['**'] ELSE [] END, '/') AS shape
+  SELECT page_id, host, path, array_to_string(every, '/') AS shape
   FROM segs
 ),
 marks AS (
@@ -171,8 +172,8 @@ shapes AS (
   FROM parts LEFT JOIN marks USING (page_id) GROUP BY ALL
 ),
 tree0 AS (SELECT *, list_filter(string_split(shape, '/'), lambda s: s <> '') AS seg, '' AS template FROM shapes),
-{",".join(_op4_level(d) for d in range(4))},
-tree AS (SELECT host, shape, l, b, template || CASE WHEN len(seg) > 4 THEN '/**' ELSE '' END AS template FROM tree4),
+{",".join(_op4_level(d) for d in range(6))},
+tree AS (SELECT host, shape, l, b, template FROM tree6),
 prior AS (SELECT coalesce((sum(l) - sum(b))::DOUBLE / nullif(sum(l), 0)::DOUBLE, 1.0) AS g FROM shapes),
 hosts AS (
   SELECT host, ((sum(l) - sum(b))::DOUBLE + 10.0::DOUBLE * any_value(g)) / (sum(l)::DOUBLE + 10.0::DOUBLE) AS g

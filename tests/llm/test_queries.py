@@ -49,7 +49,7 @@ def test_pipeline_stages_by_brute_force(spark):
 
     now = spark.createDataFrame(kept, docs.schema)
     cut = stages["line_dedup"](spark, now, SF).collect()
-    lines = {i: t for i, t, _ in brute_lines([(r.doc_id, r.text, r.source) for r in kept], 8, 50)}
+    lines = {i: t for i, t, _ in brute_lines([(r.doc_id, r.text, r.source) for r in kept], 8)}
     assert {r.doc_id: r.text for r in cut} == lines
     assert all(r.n_chars == (len(r.text) if r.text != rows[r.doc_id].text else rows[r.doc_id].n_chars) for r in cut)
 
