@@ -20,7 +20,8 @@ all others: linear in the bucket. Buckets that then hold more than one
 component compare their next nodes in the same way, 16, 256 ... at a time,
 each with the later nodes of other components, until one component is left or
 every node has had its turn. So a bucket of thousands of near copies costs a
-few passes, and no pair of a bucket is left undecided. In these later passes a
+few passes, and no pair of a bucket is left undecided; blocks of its nodes are
+compared with one another in as many tasks as there are. In these later passes a
 pair is decided in the first bucket that it shares: by its counts of shingles
 in CELLS cells of their hashes if these prove both similarities to be below
 the threshold (an upper bound, which loses no link), else by the whole texts.
@@ -56,8 +57,10 @@ ROWS = 5
 NO_ID = -(1 << 63)
 #: Parts of the hashes in which a text's distinct shingles are counted (a power of two).
 CELLS = 128
+#: Nodes of a bucket that are compared with as many others at once.
+BLOCK = 256
 #: Text worked on at once; the arrays of a slice take about 40 times as much.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 @lru_cache(maxsize=1)
@@ -173,24 +176,72 @@ def _band_keys(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iter
             )
 
 
-def may_be_similar(one: list[Column], two: list[Column], threshold: float) -> Column:
-    """False only if the cells of two texts prove both similarities to be below the threshold.
+def may_be_similar(shared, one: tuple, two: tuple, threshold: float):
+    """False only if the cells of two texts prove both similarities to be below the threshold (arrays or numbers).
 
-    Each text: cells, number of shingles, total and largest weight. Texts share
-    at most the sum of the smaller counts, so each has at least the rest of its
+    ``shared``: the sum of the smaller counts of their cells; each text: number
+    of shingles, total and largest weight. Texts share at most ``shared``
+    shingles, so each has at least the rest of its
     shingles (``own``) to itself, all of weight 1 or more. With i over the
     shared shingles, J_P = sum of 1 / sum over j of max(x_j/x_i, y_j/y_i), at
     most x_i / (total_x + own_y x_i / y_i), in sum no more than
     (total_x - own_x) / (total_x + own_y / most_y); likewise for y.
     """
-    (cx, nx, tx, mx), (cy, ny, ty, my) = one, two
-    shared = F.aggregate(F.zip_with(cx, cy, lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
-    own_x, own_y, least = nx - shared, ny - shared, F.lit(threshold - 1e-9)
+    (nx, tx, mx), (ny, ty, my) = one, two
+    own_x, own_y, least = nx - shared, ny - shared, threshold - 1e-9
     plain = shared >= least * (nx + own_y)
     weighted = (tx - own_x >= least * (tx + own_y / my)) & (ty - own_y >= least * (ty + own_x / mx))
     return plain | weighted
 
 
+def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Rows sorted by their first ``keys`` columns, as one table for each value of these."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([np.asarray(batch.column(i)).astype(np.int64) for i in range(keys)], axis=1)
+        cuts = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(values)]):
+            if held and tuple(values[lo]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+            last = tuple(values[lo])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _compare(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Centres and others of a bucket, a block of each, in; pairs (a, b) that may be similar out.
+
+    A pair is given by the first bucket that it shares.
+    """
+    for table in _grouped(batches, 3):
+        key = table.column("_key")[0].as_py()
+        centre = np.asarray(table.column("_centre"))
+        if centre.all() or not centre.any():
+            continue
+        parts = [table.filter(pa.array(x)).combine_chunks() for x in (centre, ~centre)]
+        cells = [np.asarray(x.column("_cells").combine_chunks().flatten()).reshape(-1, CELLS) for x in parts]
+        one, two = ({c: np.asarray(x.column(c)) for c in ("_node", "_class", "_turn", "_size", "_total", "_most")} for x in parts)
+        found = []
+        for k in range(len(one["_node"])):
+            shared = np.minimum(cells[0][k], cells[1]).sum(axis=1)
+            ok = may_be_similar(
+                shared, tuple(one[c][k] for c in ("_size", "_total", "_most")), tuple(two[c] for c in ("_size", "_total", "_most")), threshold
+            )
+            ok &= (two["_turn"] > one["_turn"][k]) & (two["_class"] != one["_class"][k])
+            hits = np.flatnonzero(ok)
+            if len(hits):
+                own = set(parts[0].column("_keys")[k].as_py())
+                found += [(k, h) for h in hits.tolist() if min(own.intersection(parts[1].column("_keys")[h].as_py())) == key]
+        if found:
+            a, b = (np.array(x) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(one["_node"][a]), pa.array(two["_node"][b])], names=["a", "b"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     cached = lru_cache(maxsize=16)(shingles)
     for batch in batches:
@@ -262,35 +313,34 @@ def _text_classes(docs: DataFrame, threshold: float, bands: int, rows: int, id_c
             labelled.groupBy("_key")
             .agg(F.min("_class").alias("_low"), F.max("_class").alias("_high"), F.count("*").alias("_size"))
             .filter((F.col("_low") < F.col("_high")) & (F.col("_size") > done + 1))
-            .select(F.col("_key").alias("_k"))
+            .select(F.col("_key").alias("_k"), F.col("_size").alias("_bucket"))
         )
         turn = F.row_number().over(Window.partitionBy("_key").orderBy("_node"))
         open_ = write_scratch_table(
-            labelled.join(mixed, F.col("_key") == F.col("_k")).select("_key", "_node", "_class", turn.alias("_turn")),
+            labelled.join(mixed, F.col("_key") == F.col("_k")).select(
+                "_key", "_node", "_class", "_bucket", turn.cast("long").alias("_turn")
+            ),
             "open_buckets",
         )
         if open_.isEmpty():
             break
         sketches = banded.select(F.col("_node").alias("_n"), "_keys", *sketch)
         sketched = open_.join(sketches, F.col("_node") == F.col("_n")).drop("_n")
-        centres = sketched.filter((F.col("_turn") > done) & (F.col("_turn") <= done + step)).select(
-            F.col("_key").alias("_k"),
-            F.col("_node").alias("a"),
-            F.col("_class").alias("_c"),
-            F.col("_turn").alias("_t"),
-            F.col("_keys").alias("_ks"),
-            *[F.col(c).alias(f"{c}_of_a") for c in sketch],
-        )
-        # The cells are compared in the join itself, so that only pairs that
-        # may be similar leave it, each from its first common bucket.
-        likely = (
-            (F.col("_key") == F.col("_k"))
-            & (F.col("_turn") > F.col("_t"))
-            & (F.col("_class") != F.col("_c"))
-            & may_be_similar([F.col(f"{c}_of_a") for c in sketch], [F.col(c) for c in sketch], threshold)
-            & (F.array_min(F.array_intersect("_keys", "_ks")) == F.col("_key"))
-        )
-        pairs = sketched.join(centres, likely).select("a", F.col("_node").alias("b")).distinct()
+        # Blocks of centres against blocks of others, each pair of blocks for itself.
+        turn, block = F.col("_turn"), F.lit(BLOCK)
+        columns = ("_node", "_class", "_turn", "_cells", "_size", "_total", "_most", "_keys")
+        first = F.floor((turn - done - 1) / block)
+        centres = sketched.filter((turn > done) & (turn <= done + step)).select(
+            "_key", first.alias("_i"), F.explode(F.sequence(F.floor(turn / block), F.floor(F.col("_bucket") / block))).alias("_j"),
+            F.lit(True).alias("_centre"), *columns,
+        )
+        reached = F.least(F.lit((step - 1) // BLOCK), F.floor((turn - done - 2) / block))
+        others = sketched.filter(turn > done + 1).select(
+            "_key", F.explode(F.sequence(F.lit(0), reached)).alias("_i"), F.floor(turn / block).alias("_j"),
+            F.lit(False).alias("_centre"), *columns,
+        )
+        dealt = centres.unionByName(others).repartition("_key", "_i", "_j").sortWithinPartitions("_key", "_i", "_j")
+        pairs = dealt.mapInArrow(lambda x: _compare(x, threshold), "a long, b long").distinct()
         found = write_scratch_table(verified(pairs), "links")
         if not found.isEmpty():
             links = stars(links.unionByName(found))

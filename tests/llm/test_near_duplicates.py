@@ -131,9 +131,8 @@ def test_one_sided_repeats_share_a_bucket(spark):
     assert classes(spark, rows) == brute(rows)
 
 
-def test_cells_rule_out_no_similar_pair(spark):
+def test_cells_rule_out_no_similar_pair():
     rng = random.Random(12)
-    schema = ", ".join(f"{c}{s} {t}" for s in "xy" for c, t in (("c", "array<int>"), ("n", "int"), ("t", "double"), ("m", "double")))
     pairs, similar = [], []
     for _ in range(400):
         every = [rng.getrandbits(64) for _ in range(rng.randint(5, 300))]
@@ -147,16 +146,43 @@ def test_cells_rule_out_no_similar_pair(spark):
         for found, weight in two:
             cells = np.bincount((found >> np.uint64(57)).astype(int), minlength=128)
             pairs[-1] += [cells.tolist(), len(found), float(weight.sum()), float(weight.max())]
-    df = spark.createDataFrame(pairs, schema).repartition(1)
-    sides = [[F.col(c + s) for c in "cntm"] for s in "xy"]
     for threshold in (0.7, 0.8, 0.9):
-        verdicts = df.select(*df.columns, near_duplicates.may_be_similar(*sides, threshold).alias("may")).collect()
-        may = {repr([r[c] for c in df.columns]): r.may for r in verdicts}
-        got = [may[repr(p)] for p in pairs]
+        got = []
+        for cx, nx, tx, mx, cy, ny, ty, my in pairs:
+            shared = int(np.minimum(cx, cy).sum())
+            got.append(bool(near_duplicates.may_be_similar(shared, (nx, tx, mx), (ny, ty, my), threshold)))
         assert all(g for g, s in zip(got, similar) if s >= threshold)
         assert not all(got)
 
 
+@pytest.mark.parametrize("block", [1, 3, 256])
+def test_blocks_of_a_bucket_compare_every_pair(spark, monkeypatch, block):
+    """One-row bands put nearly all texts into common buckets; chains of links need every pass."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for g in range(40):
+        text = list(base)
+        for k in rng.sample(range(60), 3 + g % 9):
+            text[k] = f"g{g}_{k}"
+        rows.append((2 * g, " ".join(text)))
+        rows.append((2 * g + 1, " ".join([*text, "end"])))
+    assert classes(spark, rows, bands=60, rows=1) == brute(rows)
+
+
+def test_grouped_rows_over_batches():
+    import pyarrow as pa
+
+    keys = sorted([(i // 7, i // 3 % 2) for i in range(50)])
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*keys)], names=["a", "b"])
+    for size in (1, 4, 50):
+        parts = [batch.slice(i, size) for i in range(0, 50, size)]
+        got = [list(zip(t.column(0).to_pylist(), t.column(1).to_pylist())) for t in near_duplicates._grouped(iter(parts), 2)]
+        assert [x for g in got for x in g] == keys and all(len(set(g)) == 1 for g in got)
+        assert len(got) == len(set(keys))
+
+
 def test_large_groups_of_copies(spark):
     rng = random.Random(9)
     base = [f"b{i}" for i in range(150)]
