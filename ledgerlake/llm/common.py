@@ -62,7 +62,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Word (bytes) -> 64-bit hash, the same in every process; forgets all at ``limit``."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 

@@ -19,7 +19,8 @@ once, so a passage that a third of all documents share costs one entry a
 slice of text, and no bucket depends on how often a passage occurs. What is
 found goes back packed by groups of documents, so rows grow with tasks and not
 with documents times buckets. Documents are shuffled once by id; all three steps
-read that shuffle. Windows are compared by 64-bit hashes.
+read that shuffle. Windows are compared by hashes of 96 bits (64, and a check
+of 32 from another seed), anchors, which only propose windows, by 64.
 
 Cases: null and empty texts have no words; texts of fewer than 13 words keep
 all; a null id counts as smaller than every other; rows that share an id are
@@ -52,10 +53,11 @@ PERIOD = 7
 COVER = (1, 2, 4)
 #: Hashes a bucket holds at once (28 bytes each).
 BUCKET_ENTRIES = 2_000_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 NO_ID = -(1 << 63)
+CHECK_SEED = 77
 
-SENT = "_bucket long, _keys binary, _docs binary, _places binary"
+SENT = "_bucket long, _keys binary, _checks binary, _docs binary, _places binary"
 PACKED = "_group long, _docs binary, _places binary"
 FOUND = "_doc long, _back binary"
 
@@ -84,17 +86,24 @@ class _Slice:
         places = (self.variants[text] << 32) | self.at[chosen]
         return window_hashes(self.hashes, width)[chosen], self.ids[text], places
 
+    def checks(self, chosen: np.ndarray, width: int) -> np.ndarray:
+        """32 further bits of the chosen runs."""
+        return (window_hashes(self.hashes, width, CHECK_SEED)[chosen] >> np.uint64(32)).astype("<u4")
+
     def fits(self, width: int) -> np.ndarray:
         """Whether a run of ``width`` words from each place ends within its text."""
         return self.at + width <= self.lengths[self.text]
 
 
-def _groups(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Order by key, start of each key's run, its length, and its smallest and largest document."""
-    order = np.argsort(keys)
+def _groups(keys: np.ndarray, docs: np.ndarray, checks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order by key (and check), start of each one's run, and its smallest and largest document."""
+    order = np.argsort(keys) if checks is None else np.lexsort((checks, keys))
     sorted_keys = keys[order]
     new = np.ones(len(keys), dtype=bool)
     np.not_equal(sorted_keys[1:], sorted_keys[:-1], out=new[1:])
+    if checks is not None:
+        sorted_checks = checks[order]
+        new[1:] |= sorted_checks[1:] != sorted_checks[:-1]
     starts = np.flatnonzero(new)
     sizes = np.diff(starts, append=len(keys))
     least = np.repeat(np.minimum.reduceat(docs[order], starts), sizes)
@@ -120,7 +129,9 @@ def _packed(docs: np.ndarray, places: np.ndarray, groups: int) -> Iterator[tuple
         yield int(group[run.start]), docs[run].tobytes(), _narrow(places[run])
 
 
-def _send(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, buckets: int, shared: bool) -> Iterator[tuple]:
+def _send(
+    keys: np.ndarray, docs: np.ndarray, places: np.ndarray, buckets: int, shared: bool, checks: np.ndarray | None = None
+) -> Iterator[tuple]:
     """Rows for the buckets, and rows (bucket -1 - group) with the places found without them.
 
     ``shared``: a key that two documents hold is found; else the places of all
@@ -128,8 +139,9 @@ def _send(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, buckets: int,
     """
     if not len(keys):
         return
-    order, starts, least, most = _groups(keys, docs)
+    order, starts, least, most = _groups(keys, docs, checks)
     keys, docs, places = keys[order], docs[order], places[order]
+    checks = None if checks is None else checks[order]
     if shared:
         found = least != most
         # Such a key is sent once, marked (place -1), for the sake of other slices.
@@ -142,8 +154,9 @@ def _send(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, buckets: int,
         sent = ~found
         out = places[sent]
     for group, some_docs, some_places in _packed(docs[found], places[found], buckets):
-        yield -1 - group, None, some_docs, some_places
+        yield -1 - group, None, None, some_docs, some_places
     keys, docs = keys[sent], docs[sent]
+    checks = None if checks is None else checks[sent]
     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)  # ascending, as the keys are
     for part in _runs(bucket):
         # By document again: runs of one id compress.
@@ -151,6 +164,7 @@ def _send(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, buckets: int,
         yield (
             int(bucket[part.start]),
             keys[part][back].tobytes(),
+            None if checks is None else checks[part][back].tobytes(),
             docs[part][back].astype("<i8").tobytes(),
             _narrow(out[part][back]),
         )
@@ -204,13 +218,14 @@ def _settle(batches: Iterator[pa.RecordBatch], shared: bool, groups: int) -> Ite
     """Rows sorted by bucket in; the places found, packed by group, out."""
     for bucket, rows in _by_first(batches, alone=True):
         if bucket < 0:
-            for _, docs, places in rows:
+            for _, _, docs, places in rows:
                 yield -1 - bucket, docs, places
             continue
-        keys, docs, places = zip(*rows)
+        keys, checks, docs, places = zip(*rows)
         key, doc = _joined(keys, "<u8"), _joined(docs, "<i8")
+        check = None if shared else _joined(checks, "<u4")
         place = np.concatenate([_wide(x, y) for x, y in zip(places, docs)])
-        order, starts, least, most = _groups(key, doc)
+        order, starts, least, most = _groups(key, doc, check)
         doc, place = doc[order], place[order]
         if shared:
             marked = np.maximum.reduceat(place < 0, starts)
@@ -231,13 +246,18 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield int(doc[run.start]), place[run].astype("<i8").tobytes()
 
 
-def _slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[_Slice, list[list[bytes]], pa.RecordBatch]]:
-    """Rows (_id, _variant, _text, ...) in slices of about ``size`` bytes of text."""
+def _slices(
+    batches: Iterator[pa.RecordBatch], size: int, keep: bool = False
+) -> Iterator[tuple[_Slice, list[list[bytes]], pa.RecordBatch]]:
+    """Rows (_id, _variant, _text, ...) in slices of about ``size`` bytes of text; ``keep``: with their words."""
     for batch in batches:
         for part in text_slices(batch, "_text", size):
             ids, variants = (part.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
             words = [(x or "").encode().split() for x in part.column(2).to_pylist()]
-            yield _Slice(ids, variants, words), words, part
+            slice_ = _Slice(ids, variants, words)
+            if not keep:
+                words = []
+            yield slice_, words, part
 
 
 def _places(part: pa.RecordBatch, variants: np.ndarray) -> Iterator[np.ndarray]:
@@ -300,12 +320,12 @@ def remove_repeats(
         def rows():
             for s, _, part in _slices(batches, SLICE_BYTES):
                 chosen = np.flatnonzero(_spread(s, part, 1 - period, 0) & s.fits(window))
-                yield from _send(*s.keys(chosen, window), buckets, shared=False)
+                yield from _send(*s.keys(chosen, window), buckets, shared=False, checks=s.checks(chosen, window))
 
         return _batches(rows(), SENT)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s, words, part in _slices(batches, 1 << 20):
+        for s, words, part in _slices(batches, 1 << 20, keep=True):
             gone = _spread(s, part, 0, window - 1)
             removed, left = [], []
             for start, length, all_words in zip(s.starts, s.lengths, words):

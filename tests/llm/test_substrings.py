@@ -70,3 +70,25 @@ def test_a_passage_in_most_documents(spark):
 def test_digest_of_kept_words(spark):
     df = spark.createDataFrame([(1, "é  b\tc")], "doc_id long, text string")
     assert digest(substrings.remove_repeats(df))[1] == (3, 0, hashlib.sha256("é b c".encode()).hexdigest())
+
+
+def test_an_equal_hash_of_other_words_removes_nothing():
+    """Two windows with one 64-bit hash: told apart by the check, found if that is equal too."""
+    import numpy as np
+
+    keys, docs = np.array([7, 7, 7], dtype=np.uint64), np.array([1, 2, 3], dtype=np.int64)
+    places, checks = np.array([10, 20, 30], dtype=np.int64), np.array([5, 6, 5], dtype="<u4")
+
+    def found(order):
+        rows = []
+        for part in order:  # each from a slice of its own
+            rows += substrings._send(keys[part], docs[part], places[part], 1, False, checks[part])
+        rows.sort(key=lambda r: r[0])
+        batches = list(substrings._batches(iter(rows), substrings.SENT))
+        out = []
+        for _, packed_docs, packed_places in substrings._settle(iter(batches), False, 1):
+            docs_ = np.frombuffer(packed_docs, dtype="<i8")
+            out += zip(docs_.tolist(), substrings._wide(packed_places, packed_docs).tolist())
+        return sorted(out)
+
+    assert found([[0, 1, 2]]) == found([[0], [1], [2]]) == [(3, 30)]
