@@ -124,9 +124,9 @@ def _packed(docs: np.ndarray, places: np.ndarray, groups: int) -> Iterator[tuple
     """The places found, one row per group of documents."""
     group = mix64(docs.view(np.uint64)) % np.uint64(groups)
     order = np.lexsort((places, docs, group))
-    docs, places, group = docs[order].astype("<i8"), places[order], group[order]
+    docs, places, group = docs[order], places[order], group[order]
     for run in _runs(group):
-        yield int(group[run.start]), docs[run].tobytes(), _narrow(places[run])
+        yield int(group[run.start]), _differences(docs[run]), _narrow(places[run])
 
 
 def _send(
@@ -159,13 +159,13 @@ def _send(
     checks = None if checks is None else checks[sent]
     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)  # ascending, as the keys are
     for part in _runs(bucket):
-        # By document again: runs of one id compress.
+        # By document again: small differences compress.
         back = np.lexsort((out[part], docs[part]))
         yield (
             int(bucket[part.start]),
             keys[part][back].tobytes(),
             None if checks is None else checks[part][back].tobytes(),
-            docs[part][back].astype("<i8").tobytes(),
+            _differences(docs[part][back]),
             _narrow(out[part][back]),
         )
 
@@ -201,13 +201,21 @@ def _by_first(batches: Iterator[pa.RecordBatch], alone: bool) -> Iterator[tuple[
         yield value, rows
 
 
+def _differences(docs: np.ndarray) -> bytes:
+    return np.diff(docs, prepend=0).astype("<i8").tobytes()
+
+
+def _docs(rows) -> np.ndarray:
+    return np.concatenate([np.cumsum(np.frombuffer(x, dtype="<i8")) for x in rows])
+
+
 def _narrow(places: np.ndarray) -> bytes:
-    """Places in 4 bytes each, if all of them fit (those of an id's first text do), else in 8."""
-    return places.astype("<i4" if places.max() < 1 << 31 else "<i8").tobytes()
+    """Differences of places in 4 bytes each, if all places fit (those of an id's first text do), else in 8."""
+    return np.diff(places, prepend=0).astype("<i4" if places.max() < 1 << 31 else "<i8").tobytes()
 
 
 def _wide(places: bytes, docs: bytes) -> np.ndarray:
-    return np.frombuffer(places, dtype="<i8" if len(places) == len(docs) else "<i4").astype(np.int64)
+    return np.cumsum(np.frombuffer(places, dtype="<i8" if len(places) == len(docs) else "<i4").astype(np.int64))
 
 
 def _joined(parts, kind: str) -> np.ndarray:
@@ -222,7 +230,7 @@ def _settle(batches: Iterator[pa.RecordBatch], shared: bool, groups: int) -> Ite
                 yield -1 - bucket, docs, places
             continue
         keys, checks, docs, places = zip(*rows)
-        key, doc = _joined(keys, "<u8"), _joined(docs, "<i8")
+        key, doc = _joined(keys, "<u8"), _docs(docs)
         check = None if shared else _joined(checks, "<u4")
         place = np.concatenate([_wide(x, y) for x, y in zip(places, docs)])
         order, starts, least, most = _groups(key, doc, check)
@@ -239,7 +247,7 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Rows sorted by group in; one row per document out."""
     for _, rows in _by_first(batches, alone=False):
         docs, places = zip(*rows)
-        doc, place = _joined(docs, "<i8"), np.concatenate([_wide(x, y) for x, y in zip(places, docs)])
+        doc, place = _docs(docs), np.concatenate([_wide(x, y) for x, y in zip(places, docs)])
         order = np.argsort(doc, kind="stable")
         doc, place = doc[order], place[order]
         for run in _runs(doc):

@@ -87,8 +87,7 @@ def test_an_equal_hash_of_other_words_removes_nothing():
         batches = list(substrings._batches(iter(rows), substrings.SENT))
         out = []
         for _, packed_docs, packed_places in substrings._settle(iter(batches), False, 1):
-            docs_ = np.frombuffer(packed_docs, dtype="<i8")
-            out += zip(docs_.tolist(), substrings._wide(packed_places, packed_docs).tolist())
+            out += zip(substrings._docs([packed_docs]).tolist(), substrings._wide(packed_places, packed_docs).tolist())
         return sorted(out)
 
     assert found([[0, 1, 2]]) == found([[0], [1], [2]]) == [(3, 30)]
