@@ -348,5 +348,6 @@ ORACLE_SQL |= {
     "stream_empty_batch": "SELECT true AS empty_batches_seen, CAST(0 AS BIGINT) AS received, CAST(0 AS BIGINT) AS sinks_written",
     "decode_faults": f"SELECT *, 'unparseable' AS route FROM ({_faults('NULL')})",
     "stream_faults": _faults("NULL"),
+    "settlement_incremental": ORACLE_SQL["settlement_daily"],
     "silver_dedup_across_days": REUSED_DAYS + f"\nSELECT {SILVER_COLS} FROM silver",
 }

@@ -703,6 +703,30 @@ def q_silver_dedup_across_days(spark, sf):
     return read_partitioned(spark, f"{run}/silver").select(*SILVER_COLUMNS)
 
 
+def q_settlement_incremental(spark, sf):
+    """Settlement from partials: all days, then late rows of one day; only that day is read again.
+
+    Silver is refined from every parseable payment; every third row of the day comes late.
+    """
+    from ledgerlake.plans.settlement import settlement, update_settlement
+    from ledgerlake.plans.silver import run_silver
+    from ledgerlake.sinks.parquet import write_partitioned
+
+    run = new_run_dir(spark, "settlement")
+    rows = E.with_country(E.parseable(parsed(spark, sf)))
+    is_late = (F.col("day") == CHECK_DAY[2]) & (F.col("month") == CHECK_DAY[1]) & (F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0)
+    paths = {"changes_path": f"{run}/changes"}
+    write_partitioned(rows.filter(~is_late), f"{run}/bronze", mode="append")
+    run_silver(spark, f"{run}/bronze", f"{run}/silver", **paths)
+    first = update_settlement(spark, f"{run}/silver", f"{run}/changes", f"{run}/partials")
+    write_partitioned(rows.filter(is_late), f"{run}/bronze", mode="append")
+    run_silver(spark, f"{run}/bronze", f"{run}/silver", *CHECK_DAY, **paths)
+    second = update_settlement(spark, f"{run}/silver", f"{run}/changes", f"{run}/partials")
+    if len(first) < 2 or second != [CHECK_DAY[0] * 10000 + CHECK_DAY[1] * 100 + CHECK_DAY[2]]:
+        raise RuntimeError(f"expected all days, then one: {first}, {second}")
+    return settlement(spark, f"{run}/partials")
+
+
 QUERIES = {
     "parse_event_time": q_parse_event_time,
     "settlement_daily": q_settlement_daily,
@@ -764,4 +788,5 @@ QUERIES = {
     "decode_faults": q_decode_faults,
     "stream_faults": q_stream_faults,
     "silver_dedup_across_days": q_silver_dedup_across_days,
+    "settlement_incremental": q_settlement_incremental,
 }

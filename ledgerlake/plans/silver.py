@@ -13,6 +13,7 @@ from ledgerlake.operators.dedup import keep_first, not_seen_elsewhere
 from ledgerlake.plans.bronze import BATCH_COLUMN
 from ledgerlake.operators.enrich import with_partition_columns
 from ledgerlake.operators.refine import clean_strings, drop_critical_nulls, standardize_types
+from ledgerlake.plans.settlement import log_changes
 from ledgerlake.session import require_utc
 from ledgerlake.sinks.manifest import read_committed
 from ledgerlake.sinks.parquet import write_day, write_partitioned
@@ -53,6 +54,7 @@ def run_silver(
     keys_path: str | None = None,
     keys_days: int | None = None,
     manifest_path: str | None = None,
+    changes_path: str | None = None,
 ) -> None:
     """Refine one day (or everything) of Bronze into Silver.
 
@@ -67,7 +69,8 @@ def run_silver(
     days that is its first copy). Running a day again gives up its own ids
     and takes them anew. ``keys_days`` bounds the table that is read to so
     many days before and after the day (default: all of it).
-    ``manifest_path``: read committed Bronze batches only.
+    ``manifest_path``: read committed Bronze batches only. ``changes_path``:
+    log the days written, for :mod:`ledgerlake.plans.settlement`.
     """
     require_utc(spark)
     if bronze_path.rstrip("/") == silver_path.rstrip("/"):
@@ -77,6 +80,17 @@ def run_silver(
     else:
         bronze = read_partitioned(spark, bronze_path, year, month, day, missing="error")
     copies = first_copies(bronze, dedup_strategy)
+    _refine_and_write(spark, copies, silver_path, year, month, day, mode, keys_path, keys_days)
+    if changes_path:
+        # After the write: a day is noted once its rows are there.
+        if year is not None:
+            days = spark.createDataFrame([(int(year), int(month), int(day))], "year int, month int, day int")
+        else:
+            days = spark.read.parquet(silver_path).select(*PARTITION_COLUMNS).distinct()
+        log_changes(spark, changes_path, days)
+
+
+def _refine_and_write(spark, copies: DataFrame, silver_path, year, month, day, mode, keys_path, keys_days) -> None:
     if keys_path is None:
         _write(refined(copies), silver_path, year, month, day, mode)
         return
