@@ -2,19 +2,21 @@
 
 Pass one scatters the records: a seeded hash of the id names the shard
 (highest-random-weight, so a further shard takes records only into itself)
-and, within the shard, one of as many buckets as its bytes need to fit in
-memory. Pass two reads one bucket at a time, Fisher-Yates shuffles it with a
+and a hash of id and text, within the shard, one of as many buckets as its
+bytes need to fit in memory (half of ``bucket_bytes`` on average). Pass two reads one bucket at a time, Fisher-Yates shuffles it with a
 seed of its own and writes it. Slots run through a shard's buckets.
 
 The scatter is Spark's shuffle (files on disk, recomputed from lineage if an
 executor is lost). Within a bucket the rows arrive sorted by a second hash,
-so a rerun of a task sees the same order and draws the same permutation. A
-bucket that outgrows its bytes (many rows of one id) is shuffled in runs of
-``bucket_bytes``; no task ever holds more.
+so a rerun of a task sees the same order and draws the same permutation. Rows
+of one id spread by their texts, so every bucket is shuffled as a whole. Only
+rows that are equal in id and text must share a bucket; one that they make
+four times as large as planned is shuffled in runs, which bounds memory.
 
 Cases: null text counts as empty (1 byte, CRC 0); null ids share one shard;
 equal rows are kept, each with its own slot; an empty table gives no rows;
-columns other than id and text are carried through.
+columns other than id and text are carried through, whatever their names, but
+those named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -27,9 +29,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.llm.common import put_back, set_aside, shuffle_partitions
 from ledgerlake.session import new_run_dir
 
 BUCKET_BYTES = 16 << 20
+#: Text that a task of the second pass reads, bucket by bucket.
+TASK_BYTES = 64 << 20
 SHARDING_COLUMNS = ("shard", "grown_shard", "slot")
 
 
@@ -50,7 +55,7 @@ def fisher_yates(n: int, rng: np.random.Generator) -> np.ndarray:
 
 
 def _shuffle_buckets(batches: Iterator[pa.RecordBatch], seed: int, limit: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket in, each bucket shuffled out, ``_pos`` filled in."""
+    """Rows sorted by bucket in, each bucket shuffled out (in runs of ``limit`` bytes), ``_pos`` filled in."""
     bucket, held, size, done = None, [], 0, 0
 
     def flush():
@@ -68,19 +73,17 @@ def _shuffle_buckets(batches: Iterator[pa.RecordBatch], seed: int, limit: int) -
 
     for batch in batches:
         ids = batch.column("_bucket").to_numpy()
-        sizes = batch.column("_size").to_numpy()
-        start = 0
-        for i in range(batch.num_rows):
-            if ids[i] != bucket or size > limit:
-                if i > start:
-                    held.append(batch.slice(start, i - start))
+        cuts = np.flatnonzero(np.diff(ids)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(ids)]):
+            if lo == hi:
+                continue
+            if ids[lo] != bucket:
                 yield from flush()
-                if ids[i] != bucket:
-                    bucket, done = int(ids[i]), 0
-                start = i
-            size += int(sizes[i])
-        if start < batch.num_rows:
-            held.append(batch.slice(start))
+                bucket, done = int(ids[lo]), 0
+            elif size > limit:
+                yield from flush()
+            held.append(batch.slice(lo, hi - lo))
+            size += int(batch.column("_size").slice(lo, hi - lo).to_numpy().sum())
     yield from flush()
 
 
@@ -97,30 +100,31 @@ def shuffle_into_shards(
     Columns of ``docs`` that have one of these names are dropped. Runs one
     aggregate over the sizes to find the number of buckets.
     """
-    docs = docs.drop(*SHARDING_COLUMNS)
+    columns = [c for c in docs.columns if c not in SHARDING_COLUMNS]
+    docs, names = set_aside(docs.select(*[f"`{c}`" for c in columns]), id_col, text_col)
+    own = [F.col(id_col), F.col(text_col)]
     placed = docs.withColumns(
         {
             "shard": shard_of(F.col(id_col), n_shards, seed),
             "grown_shard": shard_of(F.col(id_col), n_shards + 1, seed),
             "_size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1,
+            "_order": F.xxhash64(F.lit(seed + 2), *own),
         }
     )
     most = placed.groupBy("shard").agg(F.sum("_size").alias("n")).agg(F.max("n")).first()[0] or 0
-    per_shard = max(1, -(-int(most) // bucket_bytes))
+    per_shard = max(1, -(-2 * int(most) // bucket_bytes))
     scattered = placed.withColumn(
-        "_bucket",
-        F.col("shard").cast("long") * per_shard + F.pmod(F.xxhash64(F.lit(seed + 1), F.col(id_col)), F.lit(per_shard)),
+        "_bucket", F.col("shard").cast("long") * per_shard + F.pmod(F.xxhash64(F.lit(seed + 1), "_order"), F.lit(per_shard))
     )
 
+    # As many tasks as the bytes ask for, so that a task's share does not grow with the data.
     rows = (
-        scattered.withColumns(
-            {"_order": F.xxhash64(F.lit(seed + 2), F.col(id_col), F.col(text_col)), "_pos": F.lit(0).cast("long")}
-        )
-        .repartition("_bucket")
+        scattered.withColumn("_pos", F.lit(0).cast("long"))
+        .repartition(max(shuffle_partitions(docs), -(-n_shards * int(most) // TASK_BYTES)), "_bucket")
         .sortWithinPartitions("_bucket", "_order")
     )
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields])
-    dealt = rows.mapInArrow(lambda batches: _shuffle_buckets(batches, seed, bucket_bytes), schema)
+    dealt = rows.mapInArrow(lambda batches: _shuffle_buckets(batches, seed, 2 * bucket_bytes), schema)
 
     # Where each bucket starts in its shard: one row a bucket, from the ids alone.
     before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -132,7 +136,7 @@ def shuffle_into_shards(
     return (
         dealt.join(starts, F.col("_bucket") == F.col("_b"))
         .withColumn("slot", F.col("_start") + F.col("_pos"))
-        .drop("_b", "_bucket", "_start", "_pos", "_order", "_size")
+        .select(*put_back(columns, names), *SHARDING_COLUMNS)
     )
 
 

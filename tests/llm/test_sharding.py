@@ -59,10 +59,46 @@ def test_edges(spark):
     assert sharding.shuffle_into_shards(edge.no_docs(spark)).count() == 0
 
 
-def test_one_id_with_most_rows_is_shuffled_in_runs(spark):
-    rows = [(7, f"text {i}") for i in range(3000)] + [(i, "x") for i in range(100, 400)]
+def rank_correlation(values):
+    order = np.argsort(np.argsort(values))
+    return abs(np.corrcoef(order, np.arange(len(order)))[0, 1])
+
+
+def test_rows_of_one_id_spread_and_shuffle_evenly(spark):
+    rows = [(7, f"text {i}") for i in range(6000)] + [(i, "x") for i in range(100, 400)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    out = sharding.shuffle_into_shards(df, bucket_bytes=2_000).collect()
+    out = sharding.shuffle_into_shards(df, bucket_bytes=4_000).collect()
     assert sorted((r.doc_id, r.text) for r in out) == sorted(rows)
     shard = next(r.shard for r in out if r.doc_id == 7)
-    assert sorted(r.slot for r in out if r.shard == shard) == list(range(sum(r.shard == shard for r in out)))
+    own = sorted((r for r in out if r.shard == shard), key=lambda r: r.slot)
+    assert [r.slot for r in own] == list(range(len(own)))
+    # No order of texts or hashes shows in the slots, nor in those of the first tenth.
+    numbers = [int(r.text.split()[1]) for r in own if r.doc_id == 7]
+    assert rank_correlation(numbers) < 0.06 and abs(np.mean(numbers[:600]) - 3000) < 300
+
+
+def test_equal_rows_are_all_kept(spark):
+    rows = [(7, "the same text")] * 4000 + [(i, f"other {i}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = sharding.shuffle_into_shards(df, n_shards=1, bucket_bytes=4_000).collect()
+    assert sorted(r.slot for r in out) == list(range(6000)) and sorted((r.doc_id, r.text) for r in out) == sorted(rows)
+
+
+def test_one_bucket_by_brute_force(spark):
+    """Sort by the hashes, then the textbook exchange: from the last place, with one at or before it."""
+    rows = [(i, f"text {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.slot) for r in sharding.shuffle_into_shards(df, n_shards=1, seed=17).collect()]
+    key = sharding.F.xxhash64(sharding.F.lit(19), "doc_id", "text")
+    order = [r[0] for r in df.select("doc_id", key.alias("k")).orderBy("k").collect()]
+    draws = np.random.default_rng([17, 0, 0]).random(300)
+    for i in range(299, 0, -1):
+        j = int(draws[i] * (i + 1))
+        order[i], order[j] = order[j], order[i]
+    assert sorted(got, key=lambda x: x[1]) == [(d, s) for s, d in enumerate(order)]
+
+
+def test_columns_of_any_name_come_back(spark):
+    clash = ["_size", "_bucket", "_order", "_pos", "_b", "_start", "carried 0"]
+    df = spark.createDataFrame([(i, f"t{i}", *clash) for i in range(5)], ["doc_id", "text", *clash])
+    assert all([r[c] for c in clash] == clash for r in sharding.shuffle_into_shards(df).collect())
