@@ -9,12 +9,13 @@ found by rendering the turn again with a sentinel as its text: what stands
 before and after the sentinel is the turn's frame, the rest its body. The
 loss mask covers the bodies of assistant turns.
 
-Prefixes are rendered from the last ``window`` turns on, so a conversation of
-n turns costs n * window and not n * n, and memory holds one window of one
-conversation. Windows overlap by one turn. Where a window starts inside a
-conversation, the turn before it is rendered as context and its own output is
-subtracted; a template that looks further back than ``window`` turns needs a
-larger window.
+Unless told otherwise, every prefix is rendered whole: exact for any template,
+with the whole conversation in memory and work that grows with its square. A
+caller who knows that a template never looks further back than ``reach`` turns
+(what it writes for a turn, and what a new turn makes it rewrite, depends on so
+many turns before) says so: then prefixes start ``reach`` turns before the one
+in hand, work is linear and memory holds a few turns. The turn template has a
+reach of one.
 
 The turn template writes ``### role: text</turn>\n``. Backslashes, a ``#``
 after a ``#`` and a ``/`` after a ``<`` inside roles and texts get a backslash
@@ -40,7 +41,10 @@ Message = tuple[str, str]
 Template = Callable[[list[Message]], str]
 
 SENTINEL = "\ue000\ue001\ue000"
+#: Turns that are rendered together where the reach is known.
 WINDOW = 64
+#: The reach of :func:`turn_template`.
+TURN_REACH = 1
 SPANS = (
     "conv_id long, turn_no long, role string, start long, body_start long, body_end long, end long, "
     "loss boolean, rewrites_history boolean, rendered string"
@@ -104,7 +108,7 @@ def _conversations(batches: Iterator[pa.RecordBatch], keys: str) -> Iterator[tup
     yield from groupby(rows(), key=lambda r: r[keys])
 
 
-def _render(batches: Iterator[pa.RecordBatch], render: Template, window: int) -> Iterator[pa.RecordBatch]:
+def _render(batches: Iterator[pa.RecordBatch], render: Template, reach: int | None) -> Iterator[pa.RecordBatch]:
     fields = ("conv_id", "turn_no", "role", "start", "body_start", "body_end", "end", "loss", "rewrites_history", "rendered")
     types = [pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 4, pa.bool_(), pa.bool_(), pa.string()]
     schema = pa.schema(list(zip(fields, types)))
@@ -120,11 +124,11 @@ def _render(batches: Iterator[pa.RecordBatch], render: Template, window: int) ->
             for (span, head, tail, rewrites), (role, _) in zip(locate_turns(render, messages, len(context)), pending):
                 yield (conv, turn, role, at, at + head, at + tail, at + len(span), role == "assistant", rewrites, span)
                 turn, at = turn + 1, at + len(span)
-            context = messages[-1:]
+            context = messages[-reach:] if reach else []
 
         for row in rows:
             pending.append((row["role"] or "", row["text"] or ""))
-            if len(pending) == window:
+            if reach is not None and len(pending) == WINDOW:
                 for x in located():
                     out.append(x)
                     size += len(x[-1])
@@ -142,20 +146,26 @@ def _render(batches: Iterator[pa.RecordBatch], render: Template, window: int) ->
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], schema=schema)
 
 
-def format_conversations(conversations: DataFrame, render: Template = turn_template, window: int = WINDOW) -> DataFrame:
+def format_conversations(
+    conversations: DataFrame, render: Template = turn_template, reach: int | None = None
+) -> DataFrame:
     """One row per turn, in order within a task: its span, its body's places and its rendered text.
 
     A conversation's formatted text is its ``rendered`` strings joined in the
     order of ``turn_no``; ``start`` to ``end`` count code points in it. One
-    task streams a conversation in order, so no conversation is ever held
-    whole.
+    task streams a conversation in order; with a ``reach`` (turns that the
+    template looks back) no conversation is ever held whole.
     """
+    if reach is None and render is turn_template:
+        reach = TURN_REACH
+    if reach is not None and reach < 0:
+        raise ValueError("reach counts turns")
     ordered = (
         conversations.select("conv_id", "turn", "role", "text")
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "text")
     )
-    return ordered.mapInArrow(lambda batches: _render(batches, render, window), SPANS)
+    return ordered.mapInArrow(lambda batches: _render(batches, render, reach), SPANS)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -73,6 +73,32 @@ def test_templates_that_rewrite_history_are_detected():
     assert [x[3] for x in chat.locate_turns(trims, [("user", " q "), ("user", "r")])] == [False, False]
 
 
+def forgetful(turns):
+    """A template that drops the thoughts of assistant turns older than ``turns``."""
+
+    def render(messages):
+        parts = []
+        for i, (role, text) in enumerate(messages):
+            old = len(messages) - i > turns
+            parts.append(f"<{role}>{text.split('|')[-1] if old else text}\n")
+        return "".join(parts)
+
+    return render
+
+
+def flags(spark, n, render, **options):
+    rows = [(1, i, "assistant", f"thought {i}|said {i}") for i in range(n)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return [r.rewrites_history for r in sorted(chat.format_conversations(df, render, **options).collect(), key=lambda r: r.turn_no)]
+
+
+def test_rewrites_are_found_however_far_back(spark):
+    for turns in (2, 70):
+        want = [i >= turns for i in range(135)]
+        assert flags(spark, 135, forgetful(turns)) == want
+        assert flags(spark, 135, forgetful(turns), reach=turns) == want  # wherever the windows begin
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.text("ab:#/\\<tur>n \n"), st.text("ab#/\\<tur>n: \n")), max_size=4))
 def test_escaping_round_trip(messages):
