@@ -2,9 +2,13 @@ r"""Main text of web pages by two-pass block rules.
 
 A page is cut into blocks at its block-level tags. Pass one decides what it
 can: blocks inside menus, headers, footers, sidebars, notices, adverts, forms
-and comments (by tag, role, class or id) and blocks that are mostly links are
-boilerplate; long blocks, or medium ones with many stop words, are text. Short
-blocks, and those with too few stop words, stay open. In pass two an open
+and comments (by tag, role, class or id) and blocks outside an article that
+are mostly links are boilerplate; long blocks, or medium ones with many stop
+words, are text. Short blocks, those with too few stop words, and those of an
+article that are mostly links, stay open. A class or id marks no article and
+nothing that holds one, and says nothing where it names a state of the element
+(``has-sidebar``, ``comments-open``); if all text of a page were marked, its
+marks by class and id do not count. In pass two an open
 block takes the label of the nearest decided block of its region (the
 enclosing article, if there is one); between two different neighbours the
 nearer counts, at the same distance the text. A page that marks its article
@@ -28,7 +32,7 @@ import html
 import re
 from bisect import bisect
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,7 +46,7 @@ BLOCK = frozenset(
     "tr ul".split()
 )
 SKIPPED = frozenset(
-    "audio button canvas datalist embed head iframe map math noembed noframes noscript object optgroup option script "
+    "audio button canvas datalist embed head iframe map noembed noframes noscript optgroup option script "
     "select style svg template textarea title video".split()
 )
 RAW = frozenset("iframe noembed noframes noscript script style textarea title".split())
@@ -68,7 +72,12 @@ SHORT, LONG = 70, 140
 MANY_LINKS = 0.5
 STOPS = 0.2
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+#: Words that make a name of a class the name of a state.
+STATES_BEFORE = frozenset("has hide is no not show with without".split())
+STATES_AFTER = frozenset("allowed closed disabled enabled layout off on open".split())
+
+NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+STOP = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 WORD = re.compile(r"\w+")
 
@@ -77,33 +86,98 @@ WORD = re.compile(r"\w+")
 class Block:
     text: str
     linked: int  # code points inside links
-    outside: bool  # in a part that is not the article
+    outside: bool  # in a part that is not the article, by tag, role or style
+    marks: frozenset[int]  # numbers of the elements around it that class or id mark
     region: int  # number of the enclosing article, 0 if none
     heading: bool
 
 
-def _marked(tag: str, attributes: str, in_article: bool) -> bool:
+class Tags:
+    """Finds the tags of a page from left to right; work is linear in the page whatever it holds.
+
+    A quote matters where it opens a value (after ``=``) and is closed later.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in ">\"'"}
+
+    def next(self, at: int) -> tuple[int, int, str | None, str, str] | None:
+        """(start, end, slash or None for a comment or declaration, name, attributes) of the next tag."""
+        page = self.page
+        while True:
+            start = page.find("<", at)
+            if start < 0:
+                return None
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, len(page) if end < 0 else end + 3, None, "", ""
+            if page.startswith(("<!", "<?"), start):
+                end = page.find(">", start)
+                return start, len(page) if end < 0 else end + 1, None, "", ""
+            found = NAME.match(page, start + 1)
+            end = self._end(found.end()) if found else -1
+            if end >= 0:
+                return start, end + 1, found[1], found[2].lower(), page[found.end() : end]
+            at = start + 1
+
+    def _end(self, at: int) -> int:
+        """Where the tag's ``>`` is, or -1."""
+        page = self.page
+        while at <= self.last[">"]:
+            stop = STOP.search(page, at)
+            if stop[0] == ">":
+                return stop.start()
+            at = stop.end()
+            back = stop.start() - 1
+            while back >= 0 and page[back] in " \t\r\n\f" and stop.start() - back < 64:
+                back -= 1
+            if back >= 0 and page[back] == "=" and self.last[stop[0]] >= at:
+                at = page.index(stop[0], at) + 1
+        return -1
+
+    def after_raw(self, tag: str, at: int) -> int:
+        """The end of the closing tag of an element whose content is no markup."""
+        stop = re.compile(rf"</{tag}\b", re.I).search(self.page, at)
+        end = self.page.find(">", stop.end()) if stop else -1
+        return len(self.page) if end < 0 else end + 1
+
+
+def _is_mark(name: str) -> bool:
+    """Whether a name of class or id marks boilerplate."""
+    words = [w for w in re.split(r"[^a-z]+", name) if w]
+    if MARKS.isdisjoint(words):
+        return False
+    return not (words[0] in STATES_BEFORE or words[-1] in STATES_AFTER)
+
+
+def _marked(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is boilerplate by tag, role or style, and whether by class or id."""
     if tag in BOILERPLATE or (tag == "header" and not in_article):
-        return True
+        return True, False
     if not attributes.strip() or tag in ("html", "body", "main"):
-        return False
+        return False, False
+    named = False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id") and not MARKS.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
+        if name in ("class", "id") and tag != "article" and any(map(_is_mark, value.split())):
+            named = True
         if name == "role" and value in ROLES:
-            return True
+            return True, named
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return True, named
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return True, named
+    return False, named
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks with text, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, marked, region
+    stack: list[tuple[str, bool, int, int]] = []  # tag, marked, region, number if marked by class or id
+    tags = Tags(page)
+    elements = 0
+    holds_article: set[int] = set()  # marked elements around an article
     parts: list[str] = []
     linked = links = breaks = regions = 0
     at, end = 0, len(page)
@@ -115,8 +189,8 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join("".join(parts).split())
         if text:
             out.append(
-                Block(text, linked, any(m for _, m, _ in stack), stack[-1][2] if stack else 0,
-                      any(t in HEADINGS for t, _, _ in stack))
+                Block(text, linked, any(x[1] for x in stack), frozenset(x[3] for x in stack if x[3]),
+                      stack[-1][2] if stack else 0, any(x[0] in HEADINGS for x in stack))
             )
         parts, linked = [], 0
 
@@ -130,17 +204,18 @@ def blocks_of(page: str) -> list[Block]:
         parts.append(text)
 
     while at < end:
-        found = TAG.search(page, at)
+        found = tags.next(at)
         if found is None:
             if not skipped:
                 say(page[at:])
             break
-        if found.start() > at and not skipped:
-            say(page[at : found.start()])
-        at = found.end()
-        if found[2] is None:
+        start, stop, slash, tag, attributes = found
+        if start > at and not skipped:
+            say(page[at:start])
+        at = stop
+        if slash is None:
             continue
-        closing, tag = bool(found[1]), found[2].lower()
+        closing = bool(slash)
         if skipped:
             if tag == skipped:
                 depth += -1 if closing else 1
@@ -150,16 +225,14 @@ def blocks_of(page: str) -> list[Block]:
                 skipped = ""  # a head that was never closed
             if skipped or closing:
                 if skipped and not closing and tag in RAW:
-                    stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                    at = stop.end() if stop else end
+                    at = tags.after_raw(tag, at)
                     depth -= tag == skipped
                 continue
         if tag in SKIPPED:
-            if closing or tag == "embed" or found[3].endswith("/"):
+            if closing or tag == "embed" or attributes.endswith("/"):
                 continue
             if tag in RAW:
-                stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = stop.end() if stop else end
+                at = tags.after_raw(tag, at)
             else:
                 skipped, depth = tag, 1
             parts.append(" ")
@@ -191,9 +264,12 @@ def blocks_of(page: str) -> list[Block]:
         if tag in ("article", "main") and not region:
             regions += 1
             region = regions
-        stack.append((tag, _marked(tag, found[3], region > 0), region))
+            holds_article.update(x[3] for x in stack)
+        marked, named = _marked(tag, attributes, region > 0)
+        elements += named
+        stack.append((tag, marked, region, elements if named else 0))
     close()
-    return out
+    return [replace(b, marks=b.marks - holds_article) if b.marks else b for b in out]
 
 
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -202,8 +278,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 def decide(block: Block) -> bool | None:
     """Pass one: text, boilerplate or (None) open."""
     n = len(block.text)
-    if block.outside or (block.linked > MANY_LINKS * n and not block.heading):
+    if block.outside:
         return False
+    if block.linked > MANY_LINKS * n and not block.heading:
+        return None if block.region else False
     if n < SHORT or block.heading:
         return None
     if n >= LONG and block.region:
@@ -215,6 +293,11 @@ def decide(block: Block) -> bool | None:
 
 def main_text(page: str | None) -> str:
     blocks = blocks_of(page or "")
+    found = _text_of([replace(b, outside=b.outside or bool(b.marks)) if b.marks else b for b in blocks])
+    return found or _text_of(blocks)
+
+
+def _text_of(blocks: list[Block]) -> str:
     labels = [decide(b) for b in blocks]
     marked = any(b.region and not b.outside for b in blocks)
     nearest = {r: _decided(blocks, labels, r) for r in {b.region for b in blocks}}

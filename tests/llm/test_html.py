@@ -30,7 +30,7 @@ def test_boilerplate_goes():
     <section class="comments"><p>{PROSE}</p></section><div role="dialog">{PROSE}</div>
     <footer>{PROSE}</footer>"""
     assert main_text(page(body)).split("\n") == [
-        "Headline", f"{PROSE} One.", "Short.", f"{PROSE} Two & three é A", "End.",
+        "Headline", f"{PROSE} One.", "Short.", f"{PROSE} Two & three é A", "Read more here", "End.",
     ]
 
 
@@ -50,6 +50,67 @@ def test_unclosed_and_stray_tags():
     assert main_text(f"<article><p>{PROSE}</p></article><!-- never closed <p>x") == PROSE
 
 
+def test_names_of_states_mark_nothing():
+    for start in ("<article class='post comment-open'>", "<article id=comments>", "<div class='content has-sidebar'>",
+                  "<div class='no-sidebar comments-closed'>", "<div class='page-with-sidebar widget'><article>", "<div class=widget>"):
+        assert main_text(f"{start}<p>{PROSE} One.</p><p>{PROSE} Two.</p>") == f"{PROSE} One.\n{PROSE} Two.", start
+    # beside an article the same names mark again
+    assert main_text(f"<div class=widget><p>{PROSE}</p></div><article><p>{PROSE} One.</p></article>") == f"{PROSE} One."
+    assert main_text(f"<article><p>{PROSE} One.</p><div class=comments><p>{PROSE}</p></div></article>") == f"{PROSE} One."
+
+
+def test_a_linked_paragraph_of_the_article_stays():
+    body = f"<article><p>{PROSE} One.</p><p><a href=/x>{PROSE}</a></p><p>{PROSE} Two.</p><p><math>x + y</math></p></article>"
+    assert main_text(page(body)) == f"{PROSE} One.\n{PROSE}\n{PROSE} Two.\nx + y"
+
+
+def test_work_is_linear_in_the_page():
+    import time
+
+    for piece in ('<p "x ', "<p a='x ", "<p a=\"x '", "</script ", "<script></scrip", "<!-- ", "<", "<a b=\" >", "<p a= \"", "&amp"):
+        start = time.time()
+        main_text(piece * (1_000_000 // len(piece)))
+        main_text("<p>t" + piece * (300_000 // len(piece)) + ">")
+        assert time.time() - start < 5, piece
+
+
+def brute_inherited(labels, region_of, outside, i):
+    """Nearest decided block by trying every distance."""
+    own = region_of[i]
+    decided = [j for j, x in enumerate(labels) if x is not None and (not own or region_of[j] == own and not outside[j])]
+    if own and any(labels[j] for j in decided):
+        decided = [j for j in decided if labels[j]]
+    for gap in range(1, len(labels)):
+        near = [labels[j] for j in (i - gap, i + gap) if j in decided]
+        if near:
+            return any(near)
+    return True
+
+
+def test_open_blocks_by_brute_force():
+    import random
+
+    from ledgerlake.llm import html_text as ht
+
+    rng = random.Random(4)
+    for _ in range(200):
+        parts = []
+        for k in range(rng.randint(1, 12)):
+            kind = rng.choice(["<p>{}</p>", "<div><a href=/>{}</a></div>", "<nav>{}</nav>", "<article><p>{}</p></article>"])
+            parts.append(kind.format(rng.choice([f"short {k}", f"{PROSE} {k}", "zq " * 60 + str(k)])))
+        blocks = ht.blocks_of("".join(parts))
+        labels = [ht.decide(b) for b in blocks]
+        marked = any(b.region and not b.outside for b in blocks)
+        want = []
+        for i, b in enumerate(blocks):
+            label = labels[i]
+            if label is None:
+                label = brute_inherited(labels, [x.region for x in blocks], [x.outside for x in blocks], i)
+            if label and not (marked and not b.region):
+                want.append(b.text)
+        assert main_text("".join(parts)).split("\n") == (want or [""])
+
+
 def test_edges(spark):
     long = "<article>" + "".join(f"<p>{PROSE} {i}</p>" for i in range(5000)) + "</article>"
     rows = [(1, "u", None, "x"), (2, None, "", "x"), (3, "u", long, "x"), (3, "u", long, "x"), (None, "u", "<nav>a</nav>", "x")]
