@@ -1,4 +1,7 @@
-"""Gold star schema from Silver: three dimensions and three facts."""
+"""Gold star schema from Silver: three dimensions and three facts.
+
+Fixed values: the names of the tables and their columns, in their order.
+"""
 
 from __future__ import annotations
 

@@ -34,8 +34,3 @@ def clean_strings(df: DataFrame, columns=STRING_COLUMNS) -> DataFrame:
     if "auth_result" in df.columns:
         changes["auth_result"] = F.upper(changes.get("auth_result", F.col("auth_result")))
     return df.withColumns(changes)
-
-
-def refine(df: DataFrame) -> DataFrame:
-    """standardize -> drop critical nulls -> clean strings (Silver order)."""
-    return clean_strings(drop_critical_nulls(standardize_types(df)))

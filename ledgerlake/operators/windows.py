@@ -13,8 +13,8 @@ runs no job and writes nothing while it is built):
     firing groups have a shuffle of their own (see :func:`shuffle_side`), so
     that it can split a hot (card, bucket) on the row side.
 ``broadcast``
-    As ``join`` without that extra shuffle of the firing groups, for inputs
-    known to have few of them.
+    As ``join`` without that extra shuffle of the firing groups; whether they
+    are broadcast is left to Spark's threshold.
 ``window``
     Window aggregates over ``partitionBy(card, bucket)``: one shuffle per
     bucket duration, no join, but a hot (card, bucket) group is one task.

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.config import DEAD_LETTER_TOPIC
 
-# Fields of the dead-letter payload the report projects.
+# The fields of the dead-letter payload that the report projects, and the labels.
 REPORT_SCHEMA = T.StructType(
     [
         T.StructField("transaction_id", T.StringType()),
