@@ -345,6 +345,11 @@ ORACLE_SQL |= {
     "stream_exactly_once": ORACLE_SQL["stream_bronze"],
     "stream_late_rows": "WITH " + ",".join([DECODED, PARSED])
     + "\nSELECT transaction_id, ts_event, coalesce(card_hash IS NOT NULL AND day < 10, false) AS late FROM parsed",
+    "stream_alerts_closed_dates": ALERTS,
+    "stream_alerts_late_rows": PARSEABLE_STREAM + """
+SELECT card_hash, time_bucket(INTERVAL '1 day', event_time) + INTERVAL '1 day' AS window_end,
+       CAST(count_if(day >= 10) AS BIGINT) AS n_counted, CAST(count_if(day < 10) AS BIGINT) AS n_late
+FROM parseable WHERE card_hash IS NOT NULL GROUP BY ALL""",
     "stream_empty_batch": "SELECT true AS empty_batches_seen, CAST(0 AS BIGINT) AS received, CAST(0 AS BIGINT) AS sinks_written",
     "decode_faults": f"SELECT *, 'unparseable' AS route FROM ({_faults('NULL')})",
     "stream_faults": _faults("NULL"),

@@ -25,7 +25,7 @@ from ledgerlake.plans.bronze import BronzeTargets, bronze_rows, enrich, process_
 from ledgerlake.plans.silver import silver_transform
 from ledgerlake.session import ensure_utc, new_run_dir
 from ledgerlake.sources.fixtures import messages_from_payments, messages_with_faults, payments_from_events, reuse_ids
-from ledgerlake.sources.tables import path_exists, read_partitioned, read_table
+from ledgerlake.sources.tables import partition_values, path_exists, read_partitioned, read_table
 
 FLAGS = (
     "is_high_amount",
@@ -465,7 +465,7 @@ def q_settlement_day(spark, sf):
 
 def _gold_job_query(name):
     def q(spark, sf):
-        """One table of the Gold job: Silver on disk -> six Parquet tables,
+        """The Gold job scoped to one table: Silver on disk -> Parquet table,
         all of Silver, then one day again (its facts replaced, its dimensions merged)."""
         from ledgerlake.plans.gold import run_gold
         from ledgerlake.sinks.parquet import write_partitioned
@@ -473,6 +473,7 @@ def _gold_job_query(name):
         run = new_run_dir(spark, "gold")
         write_partitioned(silver_all(spark, sf), f"{run}/silver", mode="overwrite")
         options = {"threshold": FX.amount_threshold, "blacklist": FX.blacklisted_merchants, "fact_mode": "replace_day"}
+        options["tables"] = (name,)
         run_gold(spark, f"{run}/silver", f"{run}/gold", **options)
         run_gold(spark, f"{run}/silver", f"{run}/gold", *CHECK_DAY, **options)
         return spark.read.parquet(f"{run}/gold/{name}")
@@ -496,6 +497,54 @@ def _alert_stream(spark, sf):
     return f"{run}/alerts"
 
 
+def _alerts_of_inbox(spark, run):
+    """Card alerts to the end of the inbox, an hour's watermark; dates are closed on the way, late rows kept."""
+    from ledgerlake.sources.transport import decode_payload, read_raw_stream
+    from ledgerlake.streaming.alerts import start_card_alerts
+
+    raw = read_raw_stream(spark, "file", path=f"{run}/inbox", max_files_per_trigger=2)
+    for q in start_card_alerts(
+        spark, decode_payload(raw, keep_raw=False), f"{run}/alerts", f"{run}/checkpoints", FX,
+        watermark="1 hour", available_now=True, late_path=f"{run}/late",
+    ):
+        _finish(q)
+
+
+def q_stream_alerts_closed_dates(spark, sf):
+    """Alerts of a month that came in order: dates the watermark passed are closed by the query, the last stay open."""
+    from ledgerlake.streaming.alerts import CLOSED_FOLDER, MARKER, ROLLUP_FOLDER, read_card_alerts
+
+    run = new_run_dir(spark, "closed")
+    _staged_month(spark, sf, run)
+    _alerts_of_inbox(spark, run)
+    folder = f"{run}/alerts/{ROLLUP_FOLDER}"
+    closed = partition_values(spark, f"{folder}/{CLOSED_FOLDER}", "window_date", MARKER)
+    still_open = partition_values(spark, folder, "window_date")
+    if not closed or not still_open or set(closed) & set(still_open):
+        raise RuntimeError("expected closed dates and open dates")
+    return read_card_alerts(spark, f"{run}/alerts", FX)
+
+
+def q_stream_alerts_late_rows(spark, sf):
+    """Early days staged after late ones: payments that the card windows count, and those kept as late."""
+    from ledgerlake.streaming.alerts import ROLLUP_FOLDER, read_window_state
+
+    run = new_run_dir(spark, "alerts-late")
+    rows, columns = parsed(spark, sf), payments(spark, sf).columns
+    early = F.coalesce(F.col("day"), F.lit(1)) < LATE_BEFORE
+    _stage_slice(spark, rows.filter(~early).select(*columns), f"{run}/inbox")
+    _alerts_of_inbox(spark, run)
+    _stage_slice(spark, rows.filter(early).select(*columns), f"{run}/inbox")
+    _alerts_of_inbox(spark, run)
+    fields = "card_hash string, ts_event string, window_end timestamp"
+    late = spark.read.schema(fields).json(f"{run}/late/{ROLLUP_FOLDER}/run=*/batch=*")
+    late = late.groupBy("card_hash", "window_end").agg(F.count(F.lit(1)).alias("n_late"))
+    counted = read_window_state(spark, f"{run}/alerts", FX).select(
+        "card_hash", "window_end", F.col("_wa_is_high_velocity_velocity_count").alias("n_counted")
+    )
+    return counted.join(late, ["card_hash", "window_end"], "full").fillna(0, ["n_counted", "n_late"])
+
+
 def q_stream_card_alerts(spark, sf):
     from ledgerlake.streaming.alerts import read_card_alerts
 
@@ -779,6 +828,8 @@ QUERIES = {
     "dead_letter_report": q_dead_letter_report,
     "partition_check": q_partition_check,
     "stream_card_alerts": q_stream_card_alerts,
+    "stream_alerts_closed_dates": q_stream_alerts_closed_dates,
+    "stream_alerts_late_rows": q_stream_alerts_late_rows,
     "stream_stateful_bronze": q_stream_stateful_bronze,
     "stream_stateful_dead_letter": q_stream_stateful_dead_letter,
     "stream_stateful_reference": q_stream_stateful_reference,

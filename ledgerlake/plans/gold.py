@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.config import BLACKLISTED_MERCHANTS, HIGH_AMOUNT_THRESHOLD
@@ -40,8 +42,9 @@ def run_gold(
     num_partitions: int | None = DEFAULT_JDBC_CONNECTIONS,
     threshold: float = HIGH_AMOUNT_THRESHOLD,
     blacklist=BLACKLISTED_MERCHANTS,
+    tables: Iterable[str] | None = None,
 ) -> dict[str, str]:
-    """Build and write the six tables to ``target``: a ``jdbc:`` url or a Parquet root.
+    """Build and write the six tables (or only ``tables``) to ``target``: a ``jdbc:`` url or a Parquet root.
 
     Each table is its own plan over the Silver scan, so every write reads
     only the columns it needs (pruned, partition-filtered Parquet) instead
@@ -68,8 +71,13 @@ def run_gold(
     if jdbc and fact_mode == "replace_day":
         raise ValueError("replace_day needs a Parquet target")
     conn = {"user": user, "password": password, "driver": driver}
+    built = gold_tables(silver, threshold, blacklist)
+    chosen = list(built) if tables is None else list(tables)
+    if unknown := [t for t in chosen if t not in built]:
+        raise ValueError(f"unknown tables {unknown}")
     written = {}
-    for name, table in gold_tables(silver, threshold, blacklist).items():
+    for name in chosen:
+        table = built[name]
         mode = dim_mode if name in DIMENSIONS else fact_mode
         if mode == "merge":
             table = new_dimension_rows(table, existing_table(spark, name, target, conn))

@@ -59,3 +59,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def partition_values(spark: SparkSession, root: str, column: str, marker: str = "") -> list[str]:
+    """Values of the folders ``column=<value>`` under ``root``, sorted; with ``marker``, of those that hold such a file.
+
+    One glob through the cluster's Hadoop file system: names only, no data file is listed.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{column}=*/{marker}".rstrip("/"))
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    folders = [(f.getPath().getParent() if marker else f.getPath()).getName() for f in found or []]
+    return sorted(name.split("=", 1)[1] for name in folders)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what it holds, if it is there."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -8,7 +8,13 @@ windows are written under ``window_date=<d>/batch_id=<n>`` (dynamic
 overwrite: a replayed batch rewrites exactly its own folders), and
 :func:`read_card_alerts` keeps the latest version of each window and returns
 those that fire. A long-running stream adds a batch folder every trigger;
-reading one day lists only that day's folders.
+reading one day lists only that day's folders. Once the watermark has passed
+the last window of a date, the running query closes the date: the latest
+version of its windows goes to ``closed/`` and its batch folders are deleted,
+so only open dates hold versions.
+
+Rows behind the watermark change no window any more. With a ``late_path`` they
+are written there, payment by payment.
 
 When every rule duration is a multiple of the shortest one and every rule
 says how its aggregates merge (``WindowRule.rollup``), a single query keeps
@@ -19,6 +25,10 @@ store -- and the reader rolls the buckets up into each rule's windows
 
 from __future__ import annotations
 
+from datetime import date as Date
+from datetime import timedelta
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,11 +37,21 @@ from ledgerlake.config import DEFAULT_CONFIG, REASON_SEPARATOR, PipelineConfig
 from ledgerlake.functions import bucket_end, bucket_start, country_of, duration_micros, parse_event_time, reasons_of
 from ledgerlake.operators.rules import rules_from_config
 from ledgerlake.operators.windows import _MERGE, _group_by_duration, _named_aggs, rolled_up, shuffle_side
+from ledgerlake.plans.bronze import batch_folder
 from ledgerlake.session import write_scratch_table
-from ledgerlake.sources.tables import path_exists
+from ledgerlake.sinks.parquet import write_json
+from ledgerlake.sources.tables import delete_folder, partition_values, path_exists
+from ledgerlake.streaming.bronze_stream import stream_id
+from ledgerlake.streaming.window_verdicts import WINDOW_END, late_watermark
 
 ROLLUP_FOLDER = "buckets"
+# Below the alerts' folder: closed dates, each with Spark's marker of a finished write.
+CLOSED_FOLDER = "closed"
+MARKER = "_SUCCESS"
+#: Helper column of a batch: a payment as it came, beside the updated windows.
+ARRIVED = "_arrived"
 DAY_MICROS = 86_400_000_000
+WINDOW_KEY = ("card_hash", "window_start", "window_end")
 
 
 def window_rule_groups(cfg: PipelineConfig = DEFAULT_CONFIG) -> list[list]:
@@ -90,12 +110,65 @@ def card_bucket_updates(decoded: DataFrame, cfg: PipelineConfig, watermark: str)
     )
 
 
-def _start(updates: DataFrame, target: str, checkpoint: str, cfg: PipelineConfig, available_now: bool):
-    def _batch(batch_df: DataFrame, batch_id: int) -> None:
+def _with_arrivals(updates: DataFrame, decoded: DataFrame, cfg: PipelineConfig, duration: str) -> DataFrame:
+    """The updated windows and, beside them, every payment as it comes with the end of its window.
+
+    The second branch keeps no state; the source is read by both.
+    """
+    at = parse_event_time("ts_event", cfg.ts_format)
+    arrivals = decoded.filter(at.isNotNull() & F.col("card_hash").isNotNull()).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in updates.schema.fields],
+        F.struct(*decoded.columns).alias(ARRIVED),
+        bucket_end(bucket_start(at, duration), duration).alias(WINDOW_END),
+    )
+    none = {f.name: F.lit(None).cast(f.dataType) for f in arrivals.schema.fields if f.name in (ARRIVED, WINDOW_END)}
+    return updates.withColumns(none).unionByName(arrivals)
+
+
+def _last_window_end(date: str, duration: str) -> int:
+    """End (microseconds) of the last window that starts on a date."""
+    day = (Date.fromisoformat(date) + timedelta(days=1) - Date(1970, 1, 1)).days * DAY_MICROS
+    micros = duration_micros(duration)
+    return -(-day // micros) * micros
+
+
+def close_alert_dates(spark: SparkSession, target: str, duration: str, watermark_millis: int) -> list[str]:
+    """Close the dates whose windows all ended at or before the watermark; returns them.
+
+    ``target``: a query's folder of versions. A date is written to its closed
+    folder first and its versions are deleted only after that write is marked
+    as finished; :func:`read_card_alerts` takes a date from where it is
+    finished, so a close that failed anywhere is taken up again by the next.
+    A reader that listed the versions just before must read again.
+    """
+    ready = [
+        d for d in partition_values(spark, target, "window_date")
+        if _last_window_end(d, duration) <= watermark_millis * 1000
+    ]
+    finished = set(partition_values(spark, f"{target}/{CLOSED_FOLDER}", "window_date", MARKER)) if ready else set()
+    for date in ready:
+        leaf = f"{target}/window_date={date}"
+        if date not in finished:
+            versions = spark.read.parquet(leaf)
+            columns = [c for c in versions.columns if c not in (*WINDOW_KEY, "batch_id")]
+            _latest_versions(versions, columns).write.mode("overwrite").parquet(
+                f"{target}/{CLOSED_FOLDER}/window_date={date}"
+            )
+        delete_folder(spark, leaf)
+    return ready
+
+
+def _start(
+    updates: DataFrame, decoded: DataFrame, duration: str, folder: str, out_path: str, checkpoint: str,
+    cfg: PipelineConfig, available_now: bool, late_path: str | None, close_dates: bool,
+) -> StreamingQuery:
+    target, checkpoint = f"{out_path}/{folder}", f"{checkpoint}/{folder}"
+
+    def _write(windows: DataFrame, batch_id: int) -> None:
         # Rebalanced by date: about one file per date instead of one per date
         # and state partition, and a date with most of the rows is split.
         (
-            batch_df.withColumns(
+            windows.withColumns(
                 {"window_date": F.to_date("window_start"), "batch_id": F.lit(batch_id).cast("long")}
             )
             .hint("rebalance", "window_date")
@@ -105,6 +178,26 @@ def _start(updates: DataFrame, target: str, checkpoint: str, cfg: PipelineConfig
             .parquet(target)
         )
 
+    def _batch(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        passed = late_watermark(spark, checkpoint, batch_id) if late_path or close_dates else 0
+        if late_path is None:
+            _write(batch_df, batch_id)
+        else:
+            batch_df.persist(StorageLevel.MEMORY_AND_DISK)  # else the state would be asked once more for the late rows
+            try:
+                _write(batch_df.filter(F.col(ARRIVED).isNull()).drop(ARRIVED, WINDOW_END), batch_id)
+                late = batch_df.filter(F.col(ARRIVED).isNotNull() & (F.unix_millis(WINDOW_END) <= F.lit(passed)))
+                if not late.isEmpty():
+                    at = batch_folder(f"{late_path}/{folder}", stream_id(spark, checkpoint), batch_id)
+                    write_json(late.select(f"{ARRIVED}.*", F.col(WINDOW_END).alias("window_end")), at)
+            finally:
+                batch_df.unpersist()
+        if close_dates:
+            close_alert_dates(spark, target, duration, passed)
+
+    if late_path is not None:
+        updates = _with_arrivals(updates, decoded, cfg, duration)
     writer = updates.writeStream.outputMode("update").foreachBatch(_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=cfg.trigger_interval)
     return writer.start()
@@ -120,11 +213,20 @@ def start_card_alerts(
     watermark: str = "1 hour",
     available_now: bool = False,
     state_store: str | None = None,
+    late_path: str | None = None,
+    close_dates: bool = True,
 ) -> list[StreamingQuery]:
     """Start the alert query (or one per duration); returns the started queries.
 
     Rows later than ``watermark`` are left out of the alerts; how many, the
-    queries' progress tells (:func:`rows_dropped_as_late`).
+    queries' progress tells (:func:`rows_dropped_as_late`). With ``late_path``
+    each goes, with the end of the window it came too late for, as JSON under
+    ``<late_path>/<query's folder>/run=<stream id>/batch=<n>``: every payment
+    with a card and a time is in a window or there, and a replayed batch
+    rewrites its own folder.
+
+    ``close_dates``: dates that the watermark has passed are closed after each
+    batch (:func:`close_alert_dates`).
 
     ``state_store="rocksdb"`` keeps the (card, window) state in RocksDB
     instead of the executor heap (many cards, long watermarks). It applies
@@ -132,14 +234,15 @@ def start_card_alerts(
     """
     if state_store not in (None, "rocksdb"):
         raise ValueError(f"unknown state store {state_store!r}")
+    options = (out_path, checkpoint, cfg, available_now, late_path, close_dates)
     if state_store is None:
-        return _start_all(decoded, out_path, checkpoint, cfg, watermark, available_now)
+        return _start_all(decoded, watermark, cfg, options)
     # A query takes the session's settings when it starts, so the provider is
     # set for these queries only.
     before = spark.conf.get(PROVIDER, None)
     spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        return _start_all(decoded, out_path, checkpoint, cfg, watermark, available_now)
+        return _start_all(decoded, watermark, cfg, options)
     finally:
         if before is None:
             spark.conf.unset(PROVIDER)
@@ -150,18 +253,12 @@ def start_card_alerts(
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-def _start_all(decoded, out_path, checkpoint, cfg, watermark, available_now) -> list[StreamingQuery]:
-    if rollup_duration(cfg) is not None:
-        updates = card_bucket_updates(decoded, cfg, watermark)
-        return [_start(updates, f"{out_path}/{ROLLUP_FOLDER}", f"{checkpoint}/{ROLLUP_FOLDER}", cfg, available_now)]
+def _start_all(decoded: DataFrame, watermark: str, cfg: PipelineConfig, options: tuple) -> list[StreamingQuery]:
+    base = rollup_duration(cfg)
+    if base is not None:
+        return [_start(card_bucket_updates(decoded, cfg, watermark), decoded, base, ROLLUP_FOLDER, *options)]
     return [
-        _start(
-            card_window_updates(decoded, group, cfg, watermark),
-            f"{out_path}/group={i}",
-            f"{checkpoint}/group={i}",
-            cfg,
-            available_now,
-        )
+        _start(card_window_updates(decoded, group, cfg, watermark), decoded, group[0].duration, f"group={i}", *options)
         for i, group in enumerate(window_rule_groups(cfg))
     ]
 
@@ -176,8 +273,9 @@ def rows_dropped_as_late(query: StreamingQuery) -> int:
 def compact_card_alerts(spark: SparkSession, out_path: str, cfg: PipelineConfig, date: str) -> None:
     """Replace a finished date's batch folders by one with the latest version of each window.
 
-    For dates that the watermark has passed: the running query must not write
-    to the date meanwhile. The rows are staged in the scratch folder first.
+    For a query started with ``close_dates=False``, and dates that the
+    watermark has passed: the running query must not write to the date
+    meanwhile. The rows are staged in the scratch folder first.
     """
     groups = window_rule_groups(cfg)
     if rollup_duration(cfg) is not None:
@@ -217,20 +315,40 @@ def with_window_state(payments: DataFrame, alerts: DataFrame, cfg: PipelineConfi
     return out
 
 
+def _latest_versions(versions: DataFrame, columns: list[str]) -> DataFrame:
+    """The version with the highest batch id of every (card, window)."""
+    latest = versions.groupBy(*WINDOW_KEY).agg(F.max_by(F.struct(*columns), F.col("batch_id")).alias("s"))
+    return latest.select(*WINDOW_KEY, *[F.col(f"s.{c}").alias(c) for c in columns])
+
+
 def _latest(spark: SparkSession, folder: str, columns: list[str], date: str | None) -> DataFrame:
-    """Latest written version of every (card, window) (highest batch id)."""
-    if date is None:
-        versions = spark.read.parquet(folder)
-    else:
-        leaf = f"{folder}/window_date={date}"
-        if path_exists(spark, leaf):
-            versions = spark.read.option("basePath", folder).parquet(leaf)
-        else:  # no window that day: the same columns, no rows
-            versions = spark.read.parquet(folder).filter(F.col("window_date") == F.lit(date).cast("date"))
-    latest = versions.groupBy("card_hash", "window_start", "window_end").agg(
-        F.max_by(F.struct(*columns), F.col("batch_id")).alias("s")
-    )
-    return latest.select("card_hash", "window_start", "window_end", *[F.col(f"s.{c}").alias(c) for c in columns])
+    """Every (card, window) as last written: closed dates as they are, of open ones the latest version."""
+    finished = partition_values(spark, f"{folder}/{CLOSED_FOLDER}", "window_date", MARKER)
+    versioned = [d for d in partition_values(spark, folder, "window_date") if d not in set(finished)]
+    if not finished and not versioned:
+        raise FileNotFoundError(f"no alerts in {folder}")
+    if date is not None:
+        finished, versioned = [d for d in finished if d == date], [d for d in versioned if d == date]
+        if not finished and not versioned:  # no window that day: the same columns, no rows
+            return _latest(spark, folder, columns, None).limit(0)
+    parts = []
+    if versioned:
+        # Open dates are few: the watermark keeps them so.
+        leaves = [f"{folder}/window_date={d}" for d in versioned]
+        parts.append(_latest_versions(spark.read.option("basePath", folder).parquet(*leaves), columns))
+    if finished:
+        closed = f"{folder}/{CLOSED_FOLDER}"
+        leaves = [f"{closed}/window_date={d}" for d in finished]
+        parts.append(spark.read.option("basePath", closed).parquet(*leaves).select(*WINDOW_KEY, *columns))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def read_window_state(spark: SparkSession, out_path: str, cfg: PipelineConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The aggregates of every (card, shortest window), firing or not, of a query that serves all rules."""
+    if rollup_duration(cfg) is None:
+        raise ValueError("these rules keep their flags only: their durations do not nest")
+    columns = list(_named_aggs([r for g in window_rule_groups(cfg) for r in g]))
+    return _latest(spark, f"{out_path}/{ROLLUP_FOLDER}", columns, None)
 
 
 def read_card_alerts(

@@ -307,3 +307,16 @@ def test_day_scoped_gold_merges_dimensions(spark, tmp_dir):
         got = gold(spark, url, name)
         assert got.count() == got.distinct().count() == both.select(*cols).distinct().count()
     assert gold(spark, url, "dim_date").count() == 2
+
+
+def test_gold_job_scoped_to_tables(spark, tmp_dir):
+    from ledgerlake.plans.catalog import silver_all
+    from ledgerlake.plans.gold import run_gold
+    from ledgerlake.sinks.parquet import write_partitioned
+    from ledgerlake.sources.tables import path_exists
+
+    write_partitioned(silver_all(spark, SF), f"{tmp_dir}/silver", mode="overwrite")
+    assert run_gold(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold", tables=["dim_card"]) == {"dim_card": "overwrite"}
+    assert path_exists(spark, f"{tmp_dir}/gold/dim_card") and not path_exists(spark, f"{tmp_dir}/gold/dim_date")
+    with pytest.raises(ValueError):
+        run_gold(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold", tables=["dim_card", "dim_cards"])

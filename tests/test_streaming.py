@@ -201,3 +201,94 @@ def test_table_scope_is_no_scope_for_a_stream(spark, tmp_dir):
     _write_messages(spark, [payment()], f"{tmp_dir}/inbox")
     with pytest.raises(ValueError):
         _run(spark, tmp_dir, DEFAULT_CONFIG.with_(window_scope="table"))
+
+
+def _alerts(spark, d, **options):
+    decoded = decode_payload(read_raw_stream(spark, "file", path=f"{d}/inbox"), keep_raw=False)
+    for q in start_card_alerts(spark, decoded, f"{d}/alerts", f"{d}/ckpt", DEFAULT_CONFIG, available_now=True, **options):
+        q.awaitTermination()
+        assert q.exception() is None
+
+
+def _days(folder):
+    return sorted(x for x in os.listdir(folder) if x.startswith("window_date="))
+
+
+def test_dates_behind_the_watermark_are_closed(spark, tmp_dir):
+    from ledgerlake.streaming.alerts import compact_card_alerts
+
+    rows = six_in_a_minute("A")
+    buckets = f"{tmp_dir}/alerts/buckets"
+    for part in (rows[:3], rows[3:], [payment(tid="n", card="N", ts="2026-05-31 12:00:00")]):
+        _write_messages(spark, part, f"{tmp_dir}/inbox")
+        _alerts(spark, tmp_dir)
+    # The watermark is that of the batch before, so the next run closes the first day.
+    assert _days(buckets) == ["window_date=2026-05-29", "window_date=2026-05-31"]
+    before = read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect()
+    _write_messages(spark, [payment(tid="m", card="N", ts="2026-05-31 12:00:01")], f"{tmp_dir}/inbox")
+    _alerts(spark, tmp_dir)
+    assert _days(buckets) == ["window_date=2026-05-31"] and _days(f"{buckets}/closed") == ["window_date=2026-05-29"]
+    after = read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect()
+    assert after == before and [r.card_hash for r in after] == ["A"]
+    assert read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG, 2026, 5, 29).collect() == after
+    assert read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG, 2026, 5, 30).count() == 0
+    compact_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG, "2026-05-29")  # closed already: nothing to do
+    assert read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect() == after
+
+
+def test_a_close_that_failed_is_taken_up_again(spark, tmp_dir):
+    from ledgerlake.streaming import alerts as A
+
+    _write_messages(spark, six_in_a_minute("A"), f"{tmp_dir}/inbox")
+    _alerts(spark, tmp_dir, close_dates=False)
+    buckets, day = f"{tmp_dir}/alerts/buckets", "window_date=2026-05-29"
+    before = read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect()
+    end = 1780099200000  # 2026-05-30 00:00:00 UTC
+    assert A.close_alert_dates(spark, buckets, "1 minute", end - 1) == []
+    # Left behind by a write that was cut off: no marker, so it does not count.
+    spark.range(3).write.parquet(f"{buckets}/closed/{day}")
+    os.remove(f"{buckets}/closed/{day}/_SUCCESS")
+    assert read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect() == before
+    # Cut off after the write, before the versions went: both are there, the date is read once.
+    kept = A.delete_folder
+    A.delete_folder = lambda *_: None
+    try:
+        assert A.close_alert_dates(spark, buckets, "1 minute", end) == ["2026-05-29"]
+    finally:
+        A.delete_folder = kept
+    assert _days(buckets) == _days(f"{buckets}/closed") == [day]
+    assert read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect() == before
+    assert A.close_alert_dates(spark, buckets, "1 minute", end) == ["2026-05-29"]
+    assert _days(buckets) == [] and read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect() == before
+    assert A.close_alert_dates(spark, buckets, "1 minute", end) == []
+
+
+def test_late_payments_are_kept(spark, tmp_dir):
+    from ledgerlake.streaming.alerts import read_window_state
+
+    late = [payment(tid=f"late{i}", ts="2026-05-29 01:00:00", card=c) for i, c in enumerate(["C1", "C1", "C2", None])]
+    for rows in ([payment(ts="2026-05-29 12:00:00")], [payment(ts="2026-05-29 12:00:01")], late):
+        _write_messages(spark, rows + [payment(tid="bad", ts="nope")], f"{tmp_dir}/inbox")
+        _alerts(spark, tmp_dir, late_path=f"{tmp_dir}/late")
+    kept = spark.read.json(f"{tmp_dir}/late/buckets/run=*/batch=*")
+    assert sorted(r.transaction_id for r in kept.collect()) == ["late0", "late1", "late2"]
+    assert {r.window_end for r in kept.collect()} == {"2026-05-29T01:01:00.000Z"} and "location" in kept.columns
+    state = read_window_state(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect()
+    assert sum(r._wa_is_high_velocity_velocity_count for r in state) == 2
+
+
+def test_last_window_end():
+    from ledgerlake.streaming.alerts import DAY_MICROS, _last_window_end
+
+    assert _last_window_end("1970-01-01", "1 minute") == _last_window_end("1970-01-01", "1 day") == DAY_MICROS
+    assert _last_window_end("1970-01-01", "7 hours") == 28 * DAY_MICROS // 24
+
+
+def test_cli_alerts(spark, tmp_dir):
+    from ledgerlake.cli import main
+
+    _write_messages(spark, six_in_a_minute("A"), f"{tmp_dir}/inbox")
+    main(["alerts", "--transport", "file", "--inbox", f"{tmp_dir}/inbox", "--alerts-path", f"{tmp_dir}/alerts",
+          "--late-path", f"{tmp_dir}/late", "--checkpoint-path", f"{tmp_dir}/ckpt", "--available-now"])
+    assert [r.card_hash for r in read_card_alerts(spark, f"{tmp_dir}/alerts", DEFAULT_CONFIG).collect()] == ["A"]
+    assert not os.path.exists(f"{tmp_dir}/late")
