@@ -71,28 +71,18 @@ SELECT doc_id,
 FROM cut
 """
 
-MASKS = ("111111", "11011011", "1100110011", "111100011")
-
-
-def _seeds(table: str, key: str) -> str:
-    parts = []
-    for m, mask in enumerate(MASKS):
-        picks = [k for k, bit in enumerate(mask) if bit == "1"]
-        words = " || ' ' || ".join(f"t[i + {k}]" for k in picks)
-        parts.append(f"SELECT {key}, i, '{m}:' || {words} AS seed FROM {table}_at WHERE i + {picks[-1]} <= len(t)")
-    return " UNION ALL ".join(parts)
-
-
 TOKENS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
 
+# The rule itself, without masks: all diagonals on which enough tokens agree.
 OP9 = f"""
 WITH d AS (SELECT doc_id, {TOKENS} AS t FROM documents),
 b AS (SELECT item_id, {TOKENS} AS t FROM benchmark),
-d_at AS (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS i FROM d),
-b_at AS (SELECT item_id, t, unnest(range(1, len(t) + 1)) AS i FROM b),
-ds AS ({_seeds('d', 'doc_id')}),
-bs AS ({_seeds('b', 'item_id')}),
-hits AS (SELECT DISTINCT doc_id, item_id, ds.i - bs.i AS diagonal FROM ds JOIN bs USING (seed)),
+d_at AS (SELECT doc_id, unnest(t) AS w, unnest(range(1, len(t) + 1)) AS i FROM d),
+b_at AS (SELECT item_id, len(t) AS n, unnest(t) AS w, unnest(range(1, len(t) + 1)) AS i FROM b),
+hits AS (
+  SELECT doc_id, item_id, d_at.i - b_at.i AS diagonal FROM d_at JOIN b_at USING (w)
+  GROUP BY ALL HAVING 13 * count(*) >= 10 * least(13, any_value(n))
+),
 compared AS (
   SELECT h.doc_id, h.item_id, diagonal, len(b.t) AS n, least(13, len(b.t)) AS w,
          list_transform(range(1, len(b.t) + 1), lambda j:
