@@ -218,10 +218,57 @@ SELECT doc_id, n, form,
 FROM parts
 """
 
+# What an escape adds: one character before a backslash, a # after a #, a / after a < (in roles also a colon).
+ESCAPES = (
+    r"length({0}) - length(replace({0}, '\', '')) + length({0}) - length(regexp_replace({0}, '#+', '#', 'g'))"
+    r" + (length({0}) - length(replace({0}, '</', ''))) // 2"
+)
+TURN_ORDER = "ORDER BY turn NULLS FIRST, role, text"
+
+OP1 = rf"""
+WITH said AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role,
+         coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL
+  SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)
+),
+sized AS (
+  SELECT *, length('### : </turn>') + 1 + length(role) + length(text) + {ESCAPES.format("text")}
+            + {ESCAPES.format("role")} + length(role) - length(replace(role, ':', '')) AS chars
+  FROM said
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' {TURN_ORDER})) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' {TURN_ORDER}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars, false AS rewrites_history
+FROM sized GROUP BY conv_id
+"""
+
+OP10 = rf"""
+WITH d AS (SELECT doc_id, {WORDS} AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i+12], ' ')) AS k
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d)
+),
+repeats AS (SELECT doc_id, i FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY k)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM repeats),
+placed AS (SELECT doc_id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS i FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS text FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
+
 LLM_ORACLE_SQL: dict[str, str] = {
+    "op1_chat_formatting": OP1,
     "op3_quality_rules": OP3,
     "op4_url_filters": OP4,
     "op8_line_dedup": OP8,
     "op9_decontamination": OP9,
+    "op10_substring_dedup": OP10,
     "op12_fill_middle": OP12,
 }
