@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from ledgerlake.llm import decontaminate, quality
+from ledgerlake.llm import decontaminate
 from ledgerlake.llm.queries import LLM_ORACLE_SQL, LLM_QUERIES
 from tests.llm import edge
 from tests.llm.test_lines import brute as brute_lines
@@ -37,14 +37,27 @@ def test_query_matches_sql(spark, duck, name):
     assert norm(sdf.toPandas()) == norm(rel.df())
 
 
-def test_pipeline_stages_by_brute_force(spark):
+def ids_by_sql(con, sql, docs):
+    """The doc_ids of a query's SQL over these documents instead of the table's."""
+    con.register("stage_documents", docs.select("doc_id", "text").toPandas())
+    # A view of the name shadows the table's.
+    con.execute("CREATE OR REPLACE TEMP VIEW documents AS SELECT * FROM stage_documents")
+    try:
+        return {r[0] for r in con.sql(f"SELECT doc_id FROM ({sql})").fetchall()}
+    finally:
+        con.execute("DROP VIEW temp.documents")
+        con.unregister("stage_documents")
+
+
+def test_pipeline_stages_by_brute_force(spark, duck):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["quality_rules", "line_dedup", "minhash_near_dedup", "benchmark_decontamination", "packing"]
     rows = {r.doc_id: r for r in docs.collect()}
 
     kept = stages["quality_rules"](spark, docs, SF).collect()
-    want = {r.doc_id for r in quality.judge_quality(docs).collect() if r.kept}
+    want = ids_by_sql(duck, f"SELECT * FROM ({LLM_ORACLE_SQL['op3_quality_rules']}) WHERE kept", docs)
+    assert len(want) < len(rows)
     assert {r.doc_id for r in kept} == want and all(rows[r.doc_id] == r for r in kept)
 
     now = spark.createDataFrame(kept, docs.schema)
@@ -60,8 +73,9 @@ def test_pipeline_stages_by_brute_force(spark):
     now = spark.createDataFrame(single, docs.schema)
     clean = stages["benchmark_decontamination"](spark, now, SF).collect()
     items = [" ".join(r.text.lower().split()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    leaks = {r.doc_id for r in single if any(x in " ".join(r.text.lower().split()) for x in items)}
-    assert leaks and {r.doc_id for r in clean} == {r.doc_id for r in single} - leaks
+    verbatim = {r.doc_id for r in single if any(x in " ".join(r.text.lower().split()) for x in items)}
+    leaks = ids_by_sql(duck, LLM_ORACLE_SQL["op9_decontamination"], now)
+    assert verbatim and verbatim <= leaks and {r.doc_id for r in clean} == {r.doc_id for r in single} - leaks
 
     pieces = stages["packing"](spark, spark.createDataFrame(clean, docs.schema), SF).collect()
     by = {}
