@@ -320,3 +320,23 @@ def test_gold_job_scoped_to_tables(spark, tmp_dir):
     assert path_exists(spark, f"{tmp_dir}/gold/dim_card") and not path_exists(spark, f"{tmp_dir}/gold/dim_date")
     with pytest.raises(ValueError):
         run_gold(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold", tables=["dim_card", "dim_cards"])
+
+
+def test_bronze_writers_share_all_rows_of_the_batch(spark, tmp_dir):
+    """A writer reads every cached row of its part, also where few rows are valid."""
+    rows = spark.range(0, 40, 1, 4).select(
+        F.concat(F.lit("T"), F.col("id").cast("string")).alias("transaction_id"),
+        F.lit("2026-05-29 06:39:15").alias("ts_event"),
+        F.lit("C1").alias("card_hash"), F.lit("M1").alias("merchant_id"), F.lit(100.0).alias("amount"),
+        F.lit("USD").alias("currency"), F.lit("5411").alias("mcc"), F.lit("POS").alias("channel"),
+        F.when(F.col("id") % 10 == 0, "APPROVED").otherwise("DECLINED").alias("auth_result"),
+        F.lit("Tokyo, Japan").alias("location"),
+    )
+    targets = BronzeTargets(
+        f"{tmp_dir}/bronze", f"{tmp_dir}/structural", dead_letter_transport="file",
+        dead_letter_path=f"{tmp_dir}/dead", rows_per_task=10,
+    )
+    cfg = DEFAULT_CONFIG.with_(rule_names=("high_amount", "blacklisted", "bank_declined"))
+    assert process_batch(rows, 0, targets, cfg)["valid"] == 4
+    bronze = spark.read.parquet(targets.bronze_path)
+    assert bronze.count() == 4 and len(bronze.inputFiles()) == 4
