@@ -28,7 +28,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlake.config import DEFAULT_CONFIG, PipelineConfig
 from ledgerlake.plans.bronze import BronzeTargets, process_batch
 from ledgerlake.sources.transport import decode_payload
-from ledgerlake.streaming.window_verdicts import late_rows, late_watermark, settled_rows, with_stream_windows
+from ledgerlake.streaming.window_verdicts import (
+    late_rows,
+    late_watermark,
+    settled_or_late,
+    settled_rows,
+    with_stream_windows,
+)
 
 
 def start_bronze_stream(
@@ -65,12 +71,14 @@ def start_bronze_stream(
         if not stateful:
             counts = process_batch(batch_df, batch_id, targets, cfg, run_id=run_ids[0])
         else:
-            batch_df.persist(StorageLevel.MEMORY_AND_DISK)  # else the stateful part would run for every use
+            behind = late_watermark(spark, checkpoint, batch_id)
+            # Persisted, else the stateful part would run for every use; without the payments that only wait.
+            ready = settled_or_late(batch_df, behind).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                late = late_rows(batch_df, late_watermark(spark, checkpoint, batch_id), cfg)
-                counts = process_batch(settled_rows(batch_df), batch_id, targets, cfg, run_id=run_ids[0], late=late)
+                late = late_rows(ready, behind, cfg)
+                counts = process_batch(settled_rows(ready), batch_id, targets, cfg, run_id=run_ids[0], late=late)
             finally:
-                batch_df.unpersist()
+                ready.unpersist()
         if on_batch is not None:
             on_batch(counts)
 

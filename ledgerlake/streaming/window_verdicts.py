@@ -121,10 +121,18 @@ def settled_rows(batch: DataFrame) -> DataFrame:
     return batch.filter(SETTLED).drop(SETTLED, WINDOW_END)
 
 
+def _closed(watermark_millis: int) -> Column:
+    return F.unix_millis(WINDOW_END) <= F.lit(watermark_millis)
+
+
+def settled_or_late(batch: DataFrame, watermark_millis: int) -> DataFrame:
+    """A batch without the rows that have only arrived and now wait in the state: all that its sinks can get."""
+    return batch.filter(F.col(SETTLED) | _closed(watermark_millis))
+
+
 def late_rows(batch: DataFrame, watermark_millis: int, cfg: PipelineConfig = DEFAULT_CONFIG) -> DataFrame:
     """The rows that arrived after their window had closed: the stateful branches dropped them."""
-    closed = F.unix_millis(WINDOW_END) <= F.lit(watermark_millis)
-    return batch.filter(~F.col(SETTLED) & closed).drop(SETTLED, *[r.flag for r in window_rules(cfg)])
+    return batch.filter(~F.col(SETTLED) & _closed(watermark_millis)).drop(SETTLED, *[r.flag for r in window_rules(cfg)])
 
 
 def late_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> int:

@@ -12,7 +12,13 @@ from ledgerlake.plans.bronze import BronzeTargets, enrich
 from ledgerlake.sinks.manifest import read_committed, read_manifest
 from ledgerlake.sources.transport import read_raw_stream
 from ledgerlake.streaming.bronze_stream import start_bronze_stream
-from ledgerlake.streaming.window_verdicts import late_watermark, longest_window, window_rules
+from ledgerlake.streaming.window_verdicts import (
+    late_watermark,
+    longest_window,
+    settled_or_late,
+    settled_rows,
+    window_rules,
+)
 
 STATEFUL = DEFAULT_CONFIG.with_(window_scope="stateful")
 FLAGS = ("is_high_velocity", "is_cross_border", "is_high_decline_rate")
@@ -155,3 +161,16 @@ def test_a_committed_batch_is_not_written_again(spark, tmp_dir):
     for kw in ({"replay_safe": True}, {"dead_letter_transport": "kafka"}):
         with pytest.raises(ValueError):
             BronzeTargets(**({"bronze_path": "b", "structural_path": "s", "dead_letter_transport": "file", "manifest_path": "m"} | kw))
+
+
+def test_waiting_rows_are_left_out_of_a_batch(spark):
+    """Only rows whose verdict is final or that are late are kept for the sinks."""
+    rows = spark.sql(
+        "SELECT * FROM VALUES ('settled', true, TIMESTAMP '2026-01-02 00:00:00'), ('no window', true, NULL),"
+        " ('late', false, TIMESTAMP '2026-01-01 00:00:00'), ('waiting', false, TIMESTAMP '2026-01-03 00:00:00')"
+        " AS t(id, _settled, _window_end)"
+    )
+    behind = 1767225600000  # 2026-01-01
+    kept = settled_or_late(rows, behind)
+    assert {r.id for r in kept.collect()} == {"settled", "no window", "late"}
+    assert {r.id for r in settled_rows(kept).collect()} == {"settled", "no window"}
