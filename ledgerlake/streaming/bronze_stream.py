@@ -10,9 +10,10 @@ never touches them.
 
 With the window scope ``micro_batch`` windowed rules see only the rows of
 their micro-batch, as in the surveyed pipeline. With ``stateful`` a row waits
-in the stream's state until its windows have closed and is routed by all rows
-of the stream (:mod:`ledgerlake.streaming.window_verdicts`); rows behind the
-watermark go to ``targets.late_path``. :mod:`ledgerlake.streaming.alerts`
+beside the stream's state, in files under its checkpoint, until its windows
+have closed and is routed by all rows of the stream
+(:mod:`ledgerlake.streaming.window_verdicts`); rows behind the watermark go
+to ``targets.late_path``. :mod:`ledgerlake.streaming.alerts`
 reports windows, without waiting, as soon as they change.
 """
 
@@ -21,7 +22,6 @@ from __future__ import annotations
 import json
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,13 +29,17 @@ from ledgerlake.config import DEFAULT_CONFIG, PipelineConfig
 from ledgerlake.plans.bronze import BronzeTargets, process_batch
 from ledgerlake.sources.transport import decode_payload
 from ledgerlake.streaming.window_verdicts import (
+    hold,
     late_rows,
     late_watermark,
-    settled_or_late,
-    settled_rows,
+    ready_rows,
+    settled_payments,
     with_stream_windows,
 )
 
+#: Folder of the rows that wait, in the checkpoint of a stateful stream.
+WAITING_FOLDER = "waiting"
+
 
 def start_bronze_stream(
     spark: SparkSession,
@@ -54,7 +58,7 @@ def start_bronze_stream(
     ``available_now=True`` processes what is there and stops (tests, backfill);
     otherwise it triggers every ``cfg.trigger_interval``. ``watermark`` (scope
     ``stateful``): how far behind the newest event time a row may come; rows
-    whose windows are still open when the query stops stay in its state.
+    whose windows are still open when the query stops stay in its checkpoint.
     """
     if cfg.window_scope == "table":
         raise ValueError("window scope 'table' needs a static table; use 'micro_batch' or 'stateful' for a stream")
@@ -71,14 +75,13 @@ def start_bronze_stream(
         if not stateful:
             counts = process_batch(batch_df, batch_id, targets, cfg, run_id=run_ids[0])
         else:
-            behind = late_watermark(spark, checkpoint, batch_id)
-            # Persisted, else the stateful part would run for every use; without the payments that only wait.
-            ready = settled_or_late(batch_df, behind).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                late = late_rows(ready, behind, cfg)
-                counts = process_batch(settled_rows(ready), batch_id, targets, cfg, run_id=run_ids[0], late=late)
-            finally:
-                ready.unpersist()
+            # The batch's own offsets are logged before it runs: the watermark up to which it closes windows.
+            behind, reached = (late_watermark(spark, checkpoint, n) for n in (batch_id, batch_id + 1))
+            waiting = f"{checkpoint}/{WAITING_FOLDER}"
+            hold(batch_df, waiting, batch_id, behind)
+            late = late_rows(ready_rows(spark, batch_df.schema, waiting, batch_id, behind), behind, cfg)
+            settled = settled_payments(spark, batch_df.schema, waiting, batch_id, (behind, reached), cfg)
+            counts = process_batch(settled, batch_id, targets, cfg, run_id=run_ids[0], late=late)
         if on_batch is not None:
             on_batch(counts)
 

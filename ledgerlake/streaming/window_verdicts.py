@@ -1,21 +1,22 @@
 """Window rules decided inside the stream (window scope ``stateful``).
 
-Rows wait in state until the longest rule window around them has closed, that
-is until the watermark has passed its end; then they are emitted once, with
-the flags of every window rule over all rows of the stream, whatever the
-micro-batches were:
-
-    rows ── window, card, shortest bucket ── aggregates ── firing buckets ─┐
-    rows ── window ─────────────────────── join on (window, card) ─────────┴─ flagged rows
-
-Both stateful sides are keyed by the same window, so both let go of it at the
-same watermark, and both drop a row whose window has closed before. Such late
-rows, and rows that belong to no window (no card or no event time), pass
-through a third branch without state. :func:`settled_rows` and
-:func:`late_rows` take a batch apart; together they return every row once.
-
-The card state holds one row per (card, window, shortest bucket); the row
-state holds the payments of the open windows.
+Rows wait until the longest rule window around them has closed, that is until
+the watermark has passed its end; then they are emitted once, with the flags
+of every window rule over all rows of the stream, whatever the micro-batches
+were:
+
+    rows ── window, card, shortest bucket ── aggregates in state ── closed buckets ─┐
+    rows ── files of their batch ── rows whose window closed ───────── join ────────┴─ flagged rows
+
+The stream's state holds one row per (card, window, shortest bucket) of the
+open windows; payments do not go through it. A batch is written once
+(:func:`hold`): its buckets that closed, its payments that wait, and those
+that are ready. The window ends between the watermarks of the batch before
+and of this batch are those that this batch closes, in the state and in the
+files alike, so a replayed batch finds the same rows. Rows that come behind
+the watermark, and rows that belong to no window (no card or no event time),
+do not wait. :func:`settled_payments` and :func:`late_rows` together return
+every row once.
 """
 
 from __future__ import annotations
@@ -28,11 +29,13 @@ from pyspark.sql import functions as F
 from ledgerlake.config import DEFAULT_CONFIG, PipelineConfig
 from ledgerlake.functions import bucket_end, bucket_start, country_of, duration_micros, parse_event_time
 from ledgerlake.operators.rules import rules_from_config
-from ledgerlake.operators.windows import _named_aggs, rolled_up
-from ledgerlake.sources.tables import path_exists
+from ledgerlake.operators.windows import _named_aggs, flag_by_buckets, rolled_up
+from ledgerlake.sources.tables import create_marker, delete_folder, folder_markers, path_exists
 
-#: Helper columns of a batch: is the row ready, and the end of its longest window.
-SETTLED, WINDOW_END = "_settled", "_window_end"
+#: Helper columns of a batch: is the row ready, the end of its longest window, and in rows that are no payments a closed bucket.
+SETTLED, WINDOW_END, BUCKET = "_settled", "_window_end", "_bucket"
+#: The parts of a batch that was held, and the file that names the last window end its payments wait for.
+PART, WAITING, READY, BUCKETS, LAST = "part", "waiting", "ready", "buckets", "last"
 
 
 def window_rules(cfg: PipelineConfig) -> list:
@@ -47,73 +50,91 @@ def longest_window(rules: list) -> str:
     return longest
 
 
-def _merged(parts: Column, name: str, how: str) -> Column:
-    """One aggregate over a list of buckets."""
-    values = F.transform(parts, lambda p: p[name])
-    if how == "sum":
-        return F.aggregate(values, F.lit(0).cast("long"), lambda total, v: total + v)
-    return F.array_min(values) if how == "min" else F.array_max(values)
-
-
-def _firing_starts(rule, parts: Column) -> Column:
-    """Starts of the rule's windows, among the buckets of one longest window, in which it fires."""
-
-    def fires(start: Column) -> Column:
-        inside = F.filter(parts, lambda p: bucket_start(p["_b"], rule.duration) == start)
-        how = dict(rule.rollup)
-        return F.coalesce(rule.predicate(lambda n: _merged(inside, f"_wa_{rule.flag}_{n}", how[n])), F.lit(False))
-
-    return F.filter(F.array_distinct(F.transform(parts, lambda p: bucket_start(p["_b"], rule.duration))), fires)
-
-
 def with_stream_windows(decoded: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, watermark: str = "10 minutes") -> DataFrame:
-    """A stream of decoded payments with their window flags, ``SETTLED`` and ``WINDOW_END``.
+    """A stream of decoded payments with ``SETTLED`` and ``WINDOW_END``, and of the buckets of windows that closed.
 
-    Append mode. A payment comes twice: unsettled when it arrives (it is then
-    only looked at for being late) and settled once its window has closed;
-    payments that belong to no window come once, settled. The source is read
-    by each of the three branches.
+    Append mode. A payment comes once, as it arrives, settled if it belongs to
+    no window; a row with ``BUCKET`` holds the window rules' aggregates of one
+    card and shortest bucket, once its longest window has closed. The source
+    is read by both branches.
     """
     rules = window_rules(cfg)
-    names = decoded.columns
     at = parse_event_time("ts_event", cfg.ts_format)
     if not rules:
         return decoded.withColumns({SETTLED: F.lit(True), WINDOW_END: F.lit(None).cast("timestamp")})
     longest, base = longest_window(rules), rolled_up(rules)
-    timed = decoded.withColumn("_at", at).filter(F.col("_at").isNotNull() & F.col("card_hash").isNotNull())
-    timed = timed.withWatermark("_at", watermark)
-
-    # One row per bucket, then the buckets of each window as a list. The time
-    # column is the window at every step, so each step closes it together.
+    # Null if the payment belongs to no window. F.window leaves those out above the
+    # watermark; a filter below it would be pushed down and parse every message again.
+    timed = decoded.withColumn("_at", F.when(F.col("card_hash").isNotNull(), at))
     buckets = (
-        timed.withColumn("country", country_of("location"))
-        .groupBy(F.window("_at", longest).alias("_w"), "card_hash", bucket_start("_at", base).alias("_b"))
+        timed.withWatermark("_at", watermark)
+        .withColumn("country", country_of("location"))
+        .groupBy(F.window("_at", longest), F.col("card_hash").alias("_wk_card"), bucket_start("_at", base).alias("_wk_bkt"))
         .agg(*[a.alias(n) for n, a in _named_aggs(rules).items()])
     )
-    part = F.struct("_b", *_named_aggs(rules))
-    if duration_micros(base) == duration_micros(longest):
-        lists = buckets.select("_w", "card_hash", F.array(part).alias("_parts"))
-    else:
-        lists = buckets.groupBy("_w", "card_hash").agg(F.collect_list(part).alias("_parts"))
-    firing = lists.select(
-        F.col("_w").alias("_fw"),
-        F.col("card_hash").alias("_fc"),
-        *[_firing_starts(r, F.col("_parts")).alias(f"_f_{r.flag}") for r in rules],
-    )
-
-    # A payload waits in state only if a later stage writes it: with a fault in it.
-    kept = {"raw_value": F.when(F.size("decode_faults") > 0, F.col("raw_value"))} if "decode_faults" in names else {}
-    kept = {c: e for c, e in kept.items() if c in names}
-    waiting = timed.withColumns(kept | {"_w": F.window("_at", longest)}).drop("_at")
-    flags = {r.flag: F.array_contains(f"_f_{r.flag}", bucket_start(at, r.duration)) for r in rules}
-    settled = waiting.join(firing, (F.col("_w") == F.col("_fw")) & (F.col("card_hash") == F.col("_fc"))).select(
-        *names, *[c.alias(n) for n, c in flags.items()], F.lit(True).alias(SETTLED), F.col("_w.end").cast("timestamp").alias(WINDOW_END)
-    )
+    closed = buckets.select(F.struct("_wk_card", "_wk_bkt", *_named_aggs(rules)).alias(BUCKET))
     end = F.when(F.col("card_hash").isNotNull(), bucket_end(bucket_start(at, longest), longest))
-    arriving = decoded.select(
-        *names, *[F.lit(False).alias(n) for n in flags], end.isNull().alias(SETTLED), end.alias(WINDOW_END)
-    )
-    return settled.unionByName(arriving)
+    arriving = decoded.withColumn(WINDOW_END, end).withColumn(SETTLED, F.col(WINDOW_END).isNull())
+    return arriving.unionByName(closed, allowMissingColumns=True)
+
+
+def hold(batch: DataFrame, root: str, batch_id: int, watermark_millis: int) -> None:
+    """Write a batch by its parts, in one run of the stream's plan; a replayed batch is written anew.
+
+    ``watermark_millis``: behind it rows are late. Folders whose payments all
+    wait for windows behind it are deleted: batches before this one, which
+    have ended, settled them.
+    """
+    spark = batch.sparkSession
+    folder = f"{root}/batch={batch_id}"
+    for name, last in folder_markers(spark, root, LAST).items():
+        if int(last) <= watermark_millis * 1000:
+            delete_folder(spark, f"{root}/{name}")
+    part = F.when(F.col(SETTLED) | _closed(watermark_millis), READY).otherwise(WAITING)
+    if BUCKET in batch.columns:
+        part = F.when(F.col(BUCKET).isNotNull(), BUCKETS).otherwise(part)
+    batch = batch.withColumn(PART, part)
+    if "raw_value" in batch.columns and "decode_faults" in batch.columns:
+        # A payload waits only if a later stage writes it: with a fault in it.
+        needed = (F.col(PART) != WAITING) | (F.size("decode_faults") > 0)
+        batch = batch.withColumn("raw_value", F.when(needed, F.col("raw_value")))
+    batch.write.mode("overwrite").partitionBy(PART).parquet(folder)
+    waiting = _held(spark, f"{WINDOW_END} timestamp", [f"{folder}/{PART}={WAITING}"])
+    last = waiting.agg(F.max(F.unix_micros(WINDOW_END))).first()[0]
+    create_marker(spark, f"{folder}/{LAST}={last or 0}")
+
+
+def _held(spark: SparkSession, schema, folders: list[str]) -> DataFrame:
+    """The rows of those folders that exist."""
+    found = [f for f in folders if path_exists(spark, f)]
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+
+
+def ready_rows(spark: SparkSession, schema, root: str, batch_id: int, watermark_millis: int) -> DataFrame:
+    """The payments of a held batch (columns ``schema``) that do not wait: those of no window, and late ones."""
+    held = _held(spark, schema, [f"{root}/batch={batch_id}/{PART}={READY}"])
+    return settled_or_late(held.drop(BUCKET), watermark_millis)
+
+
+def settled_payments(
+    spark: SparkSession, schema, root: str, batch_id: int, watermarks: tuple[int, int], cfg: PipelineConfig = DEFAULT_CONFIG
+) -> DataFrame:
+    """The payments of all held batches whose verdict this batch decides, with their window flags.
+
+    ``watermarks``: of the batch before and of this batch.
+    """
+    rules = window_rules(cfg)
+    behind, reached = watermarks
+    ready = settled_rows(ready_rows(spark, schema, root, batch_id, behind))
+    settled = ready.withColumns({r.flag: F.lit(False) for r in rules})
+    if not rules or reached <= behind:
+        return settled
+    still = [name for name, last in folder_markers(spark, root, LAST).items() if int(last) > behind * 1000]
+    waiting = _held(spark, schema, [f"{root}/{name}/{PART}={WAITING}" for name in still])
+    waiting = waiting.filter(~_closed(behind) & _closed(reached)).drop(SETTLED, WINDOW_END, BUCKET)
+    buckets = _held(spark, schema, [f"{root}/batch={batch_id}/{PART}={BUCKETS}"]).select(f"{BUCKET}.*")
+    timed = waiting.withColumn("_at", parse_event_time("ts_event", cfg.ts_format))
+    return settled.unionByName(flag_by_buckets(timed, buckets, rules, time_col="_at").drop("_at"))
 
 
 def settled_rows(batch: DataFrame) -> DataFrame:
@@ -122,16 +143,16 @@ def settled_rows(batch: DataFrame) -> DataFrame:
 
 
 def _closed(watermark_millis: int) -> Column:
-    return F.unix_millis(WINDOW_END) <= F.lit(watermark_millis)
+    return F.col(WINDOW_END) <= F.timestamp_millis(F.lit(watermark_millis))
 
 
 def settled_or_late(batch: DataFrame, watermark_millis: int) -> DataFrame:
-    """A batch without the rows that have only arrived and now wait in the state: all that its sinks can get."""
+    """A batch without the rows that have only arrived and now wait."""
     return batch.filter(F.col(SETTLED) | _closed(watermark_millis))
 
 
 def late_rows(batch: DataFrame, watermark_millis: int, cfg: PipelineConfig = DEFAULT_CONFIG) -> DataFrame:
-    """The rows that arrived after their window had closed: the stateful branches dropped them."""
+    """The rows that arrived after their window had closed: the stream's state dropped them."""
     return batch.filter(~F.col(SETTLED) & _closed(watermark_millis)).drop(SETTLED, *[r.flag for r in window_rules(cfg)])
 
 
